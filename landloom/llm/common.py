@@ -213,6 +213,27 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def annotate(docs: DataFrame, text: str, fields: str, make) -> DataFrame:
+    """(row, *fields): every row of docs as a struct, with what make(column of texts) gives for it as a dict of arrays."""
+    from pyspark.sql.types import StructType
+
+    plain = docs.select(F.struct("*").alias("row"), F.col(text).alias("_text"))
+    schema = StructType([plain.schema["row"], *StructType.fromDDL(fields)])
+    names = schema.names
+
+    def run(batches):
+        for part in blocks(batches, "_text"):
+            made = make(part.column("_text"))
+            yield pa.RecordBatch.from_arrays([part.column("row"), *[made[x] if isinstance(made[x], pa.Array) else pa.array(made[x]) for x in names[1:]]], names)
+
+    return plain.mapInArrow(run, schema)
+
+
+def unpack(docs: DataFrame, columns: list[str]) -> list:
+    """Columns of the struct row."""
+    return [F.col("row").getField(c).alias(c) for c in columns]
+
+
 # ------------------------------------------------------------------------------------------------- columns
 
 
