@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from landloom.llm import decontam, lines, minhash, mixing, toxicity
+from landloom.llm import decontam, lines, minhash, mixing, substrings, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1,
     "op6_decontamination": decontam.op6,
     "op7_line_dedup": lines.op7,
     "op8_minhash_dedup": minhash.op8,
+    "op9_substring_dedup": substrings.op9,
     "op10_toxicity": toxicity.op10,
 }
 
