@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from landloom.llm import decontam, embeddings, licenses, lines, minhash, mixing, secrets, substrings, toxicity
+from landloom.llm import decontam, embeddings, licenses, lines, minhash, mixing, secrets, substrings, suffixes, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1,
     "op2_secrets": secrets.op2,
     "op3_embeddings": embeddings.op3,
+    "op4_suffix_dedup": suffixes.op4,
     "op5_licenses": licenses.op5,
     "op6_decontamination": decontam.op6,
     "op7_line_dedup": lines.op7,
