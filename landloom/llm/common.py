@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 3 << 20
@@ -50,7 +50,7 @@ def forget(*frames: DataFrame) -> None:
     for df in frames:
         jvm = df.sparkSession._jvm
         at = jvm.org.apache.hadoop.fs.Path(df._saved_at)
-        at.getFileSystem(df.sparkSession._jsc.sc().hadoopConfiguration() if hasattr(df.sparkSession, "_jsc") else df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -253,19 +253,25 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps: each links a node's neighbours to its least one, the first those that are
     larger, the second those that are smaller. A step is one aggregation by node and one join, so a node with very many
-    neighbours is no single task's group. Every step is saved; it ends when a round changes nothing."""
-    now = save(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    neighbours is no single task's group. Steps are saved and report whether they changed anything; a graph of stars is
+    recognised in one round."""
+    few = 4 * edges.sparkSession.sparkContext.defaultParallelism  # ids only: tasks beyond four a core are overhead
+    plain = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    now = save(plain.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).coalesce(few))
     while True:
-        both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = save(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        after = save(small.distinct())
-        forget(large)
-        same = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first() == now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        least = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        seen = Observation()
+        large = save(now.join(least.select(F.col("a").alias("b"), "m"), "b").observe(seen, F.count_if(F.col("m") < F.col("b")).alias("n")).select("a", F.col("m").alias("b")).coalesce(few))
+        more = Observation()
+        small = save(large.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("last")).observe(more, F.count_if(F.col("b") < F.col("last")).alias("n")).coalesce(few))
+        changed, several = (seen.get["n"] or 0) + (more.get["n"] or 0), more.get["n"]
         forget(now)
-        now = after
-        if same:
-            break
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        now = small.select("a", "b")
+        if several:
+            now = save(now.unionByName(large.join(small.where("b < last").select("a", F.col("b").alias("m")), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))))
+            forget(small)
+        else:
+            now._saved_at = small._saved_at
+        forget(large)
+        if not changed:
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -179,26 +179,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keys = index_keys(classes, m, errors)
     held = keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("n")).where("n > 1")
     buckets = save(keys.join(held, "key").where("id <> p OR n > 2"))
-    nodes = classes.groupBy("id").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
     star = buckets.where("id <> p").select(F.col("p").alias("a"), F.col("id").alias("b")).distinct()
-    star = star.join(nodes.select(F.col("id").alias("a"), F.col("lo").alias("la"), F.col("hi").alias("ha")), "a").join(nodes.select(F.col("id").alias("b"), F.col("lo").alias("lb"), F.col("hi").alias("hb")), "b")
-    star = save(star.where(F.least("ha", "hb") * 100 >= F.greatest("la", "lb") * percent).select("a", "b"))
+    star = star.join(classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na")), "a").join(classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb")), "b")
+    star = save(star.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
     several = buckets.where("n > 2").select("id").unionByName(star.select(F.col("a").alias("id"))).unionByName(star.select(F.col("b").alias("id"))).distinct()
-    wanted = classes.join(several, "id").join(rows.groupBy(*same).agg(F.min("id").alias("id")), [*same, "id"]).select("id").distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(several, "id", "left_semi")
     sets = save(annotate(texts, "text", "shingles binary", lambda c: {"shingles": pa.array([x.tobytes() for x in shingle_sets(c, shingle)], pa.binary())}).select("row.id", "shingles").where(F.octet_length("shingles") > 0))
     links = save(confirm(star, sets, percent))
     part = save(components(links))
 
     open_ = buckets.where("n > 2").join(part.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     loose = open_.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
-    open_ = save(open_.join(loose, "key").select("p", "id", "component").distinct())
-    clusters = save(components(open_.select(F.col("p").alias("a"), F.col("id").alias("b"))))
-    members = open_.select("id", "component").distinct().join(clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id")
+    open_ = open_.join(loose, "key")
+    heads = open_.where("id = p").select("key", F.col("component").alias("head"))
+    open_ = save(open_.join(heads, "key").select("id", "component", "head").distinct())
+    clusters = save(components(open_.select(F.col("component").alias("a"), F.col("head").alias("b")).distinct()))
+    members = open_.select("id", "component").distinct().join(clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster")), "component")
     members = members.join(classes.groupBy("id").agg(F.first("sig").alias("sig")), "id").join(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "id")
     more = save(in_blocks(members, m, errors, percent, block))
-    whole = save(components(links.unionByName(more)))
-    forget(buckets, star, sets, links, part, open_, clusters, more)
+    whole = save(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))) if not more.isEmpty() else part
+    forget(buckets, star, sets, links, open_, clusters, more)
 
     known = classes.select(*[F.col(c).alias("_" + c) for c in same], F.col("id").alias("_rep"))
     out = rows.drop("sig").join(known, (F.col("n_shingles") == F.col("_n_shingles")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & F.col("id").isNotNull(), "left")
