@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import BYTE_VALUES, LOWER, NOT_ALNUM, annotate, blocks, forget, prefixes, save, signed, spans, table, unpack, utf8, word_bounds
+from landloom.llm.common import BYTE_VALUES, LOWER, NOT_ALNUM, annotate, blocks, forget, mixed, prefixes, save, signed, spans, table, unpack, utf8, windows, word_bounds, word_table
 
 FOLDS = 5
 #: A token counts as itself and, so that inflected and compound forms count too, as its first so many bytes.
@@ -36,8 +36,9 @@ class Model:
     drift: float = 0.1
     rate: float = 1.0  # lambda
     log_k: float = 0.0
+    usual: float = 0.0  # mean logarithm of a clean text's tokens
     slope: float = 1.0
-    offset: float = -1e9  # of the logistic curve: every score is 0 until it is fitted
+    offset: float = 0.0  # of the logistic curve
 
 
 def held_out(doc_id):
@@ -59,8 +60,8 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counts(batches):
-    """In how many clean and toxic documents each token stands, summed over the partition."""
-    keys, sums = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
+    """The weight of clean and toxic documents in which each token stands, summed over the partition."""
+    keys, sums = np.zeros(0, np.uint64), np.zeros((0, 2))
     kept: list = []
 
     def merge():
@@ -74,22 +75,31 @@ def _counts(batches):
 
     for part in blocks(batches, "text"):
         words, first = features(part.column("text"))
-        toxic = part.column("toxic").to_numpy(zero_copy_only=False)
-        for y in (0, 1):
-            own = [np.unique(words[a:b]) for a, b, t in zip(first[:-1], first[1:], toxic, strict=True) if t == y]
-            own = [x[x > 0] for x in own]
+        toxic, weight = (part.column(c).to_numpy(zero_copy_only=False) for c in ("toxic", "weight"))
+        for y in (False, True):
+            own = [(np.unique(words[a:b]), w) for a, b, t, w in zip(first[:-1], first[1:], toxic > 0, weight, strict=True) if t == y]
             if own:
-                k, n = np.unique(np.concatenate(own), return_counts=True)
-                kept.append((k, np.stack([n * (y == 0), n * (y == 1)], 1).astype(np.int64)))
-        if sum(len(x[0]) for x in kept) > 1 << 20:
+                k, inverse = np.unique(np.concatenate([x for x, _ in own]), return_inverse=True)
+                n = np.bincount(inverse, np.repeat([w for _, w in own], [len(x) for x, _ in own]), len(k))
+                k, n = k[k > 0], n[k > 0]
+                kept.append((k, np.stack([n * (not y), n * y], 1)))
+        if sum(len(x[0]) for x in kept) > 1 << 18:
             merge()
-        if len(keys) > 1 << 21:
-            yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(sums[:, 0]), pa.array(sums[:, 1])], ["token", "clean", "toxic"])
+        if len(keys) > 1 << 19:
+            yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(np.ascontiguousarray(sums[:, 0])), pa.array(np.ascontiguousarray(sums[:, 1]))], ["token", "clean", "toxic"])
             keys, sums = keys[:0], sums[:0]
     merge()
     yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(np.ascontiguousarray(sums[:, 0])), pa.array(np.ascontiguousarray(sums[:, 1]))], ["token", "clean", "toxic"])
 
 
+def least_shingle(column: pa.Array) -> pa.Array:
+    """The least hash of each text's runs of three words (null for fewer): near-copies mostly share it."""
+    words, first = word_table(column, lower=True, gaps=NOT_ALNUM)
+    grams = windows(prefixes(mixed(words)), 3)
+    out = [int(signed(grams[a : b - 2].min()[None])[0]) if b - a > 2 else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    return pa.array(out, pa.int64())
+
+
 def segments(sums: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score), given running sums (one more than tokens) and where scores are
     positive: a segment joins the one before that began lower if it ends higher."""
@@ -135,7 +145,7 @@ def scan(column: pa.Array, model: Model) -> dict[str, list]:
 FIELDS = "n long, best double, n_segments long, best_start long, best_end long"
 
 
-def curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
+def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float]:
     """Slope (0 or more) and offset of a logistic curve over (value, clean, toxic) counts, by Newton steps with a weak prior."""
     x, clean, toxic = (np.array(v, float) for v in zip(*bins, strict=True))
     mean, spread = np.average(x, weights=clean + toxic), max(1e-3, np.sqrt(np.cov(x, aweights=clean + toxic)) if len(x) > 1 else 1.0)
@@ -153,18 +163,25 @@ def curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 
 def standard(model: Model):
-    """lambda * S - ln(K * n) as a column."""
-    return F.lit(model.rate) * F.col("best") - F.lit(model.log_k) - F.log(F.greatest(F.col("n"), F.lit(1)).cast("double"))
+    """lambda * S - ln(K * n) as a column. A text without any segment counts as of the usual length at least: that it is short
+    doesn't make it suspect."""
+    n = F.log(F.greatest(F.col("n"), F.lit(1)).cast("double"))
+    return F.lit(model.rate) * F.col("best") - F.lit(model.log_k) - F.when(F.col("best") > 0, n).otherwise(F.greatest(n, F.lit(model.usual)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_tokens: int = 1 << 16, prior: float = 500.0, drift: float = 0.1, least_z: float = 2.5) -> Model:
-    """Learn from labels(doc_id, toxic) of documents that are not held out.
+def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, max_tokens: int = 1 << 16, prior: float = 500.0, drift: float = 0.1, least_z: float = 2.5) -> Model:
+    """Learn from labels(doc_id, toxic) of documents that are not held out: from max_labels of them at most, chosen by hash
+    (two megabytes, which are broadcast, so that no text is shuffled).
 
     Rows without an id, a label or a text don't count; where an id has several labels, the largest holds. Without documents
-    of both classes there is nothing to learn, and every score is 0."""
-    own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = save(docs.select("doc_id", "text").where("text IS NOT NULL").where(~held_out(F.col("doc_id"))).join(own.where(~held_out(F.col("doc_id"))), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic")))
-    counts = save(train.mapInArrow(_counts, "token long, clean long, toxic long").groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    of both classes there is nothing to learn, and every score is 0. Documents alike share one document's weight, so that a
+    text copied a thousand times doesn't make each of its words telling."""
+    own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
+    train = docs.select("doc_id", "text").where("text IS NOT NULL").where(~held_out(F.col("doc_id"))).join(F.broadcast(own), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    train = save(train.withColumn("alike", F.arrow_udf(least_shingle, "long")("text")))
+    groups = train.where("alike IS NOT NULL").groupBy("alike").agg((1 / F.count("*")).alias("weight")).where("weight < 1")
+    train, plain = train.join(F.broadcast(groups), "alike", "left").select("text", "toxic", F.coalesce("weight", F.lit(1.0)).alias("weight")), train
+    counts = save(train.mapInArrow(_counts, "token long, clean double, toxic double").groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     clean, toxic = counts.agg(F.sum("clean"), F.sum("toxic")).first()
     model = Model(np.zeros(0, np.uint64), np.zeros(0), drift)
     if clean and toxic:
@@ -175,19 +192,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_tokens: int = 1 << 16, prior: fl
         tokens = best["token"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(tokens)
         model.tokens, model.scores = tokens[order], best["s"].to_numpy(float)[order]
-        scored = save(annotate(train, "text", FIELDS, lambda column: scan(column, model)).select("row.toxic", "n", "best"))
+        scored = save(annotate(train, "text", FIELDS, lambda column: scan(column, model)).select("row.toxic", "row.weight", "n", "best"))
         ln = F.log(F.greatest(F.col("n"), F.lit(1)).cast("double"))
         m = scored.where("toxic = 0").agg(F.avg("best").alias("s"), F.avg(ln).alias("l"), F.var_pop("best").alias("vs"), F.var_pop(ln).alias("vl"), F.covar_pop("best", ln).alias("c")).first()
         # the variance of lambda * S - ln n is to be that of the extreme-value law, pi^2 / 6; its mean gives K
         if m.vs and m.vs > 1e-9:
             root = m.c * m.c - m.vs * (m.vl - math.pi**2 / 6)
             model.rate = min(5.0, max(0.05, (m.c + math.sqrt(max(0.0, root))) / m.vs))
+        model.usual = m.l or 0.0
         model.log_k = model.rate * (m.s or 0.0) - (m.l or 0.0) - EULER
         at = F.least(F.greatest(F.floor((standard(model) - LOW) / BIN), F.lit(0)), F.lit(BINS - 1))
-        bins = scored.groupBy(at.alias("bin")).agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") > 0).alias("toxic")).orderBy("bin").collect()
+        weigh = lambda y: F.sum(F.when(y, F.col("weight")).otherwise(0.0))
+        bins = scored.groupBy(at.alias("bin")).agg(weigh(F.col("toxic") <= 0).alias("clean"), weigh(F.col("toxic") > 0).alias("toxic")).orderBy("bin").collect()
         model.slope, model.offset = curve([(LOW + BIN * (b.bin + 0.5), b.clean, b.toxic) for b in bins])
         forget(scored)
-    forget(train, counts)
+    forget(plain, counts)
     return model
 
 
@@ -197,7 +216,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have no passage and get the score of one; equal texts get equal scores, however long. An empty
     table gives an empty result; other columns ride along in row."""
     out = annotate(docs, "text", FIELDS, lambda column: scan(column, model))
-    return out.withColumn("score", 1 / (1 + F.exp(-F.lit(float(model.slope)) * standard(model) - F.lit(float(max(model.offset, -700.0))))))
+    if not len(model.tokens):
+        return out.withColumn("score", F.lit(0.0))
+    return out.withColumn("score", 1 / (1 + F.exp(-F.lit(float(model.slope)) * standard(model) - F.lit(float(model.offset)))))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
