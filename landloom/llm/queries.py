@@ -19,5 +19,9 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_mixing": mixing.SQL,
+    "op3_embeddings": embeddings.SQL,
+    "op4_suffix_dedup": suffixes.SQL,
     "op7_line_dedup": lines.SQL,
+    "op8_minhash_dedup": minhash.SQL,
+    "op9_substring_dedup": substrings.SQL,
 }

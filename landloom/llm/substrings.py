@@ -144,3 +144,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, unnest(list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i:i + 49], ' ')))) AS h FROM d WHERE len(w) >= 50),
+f AS (SELECT h, min(doc_id) AS first FROM x GROUP BY h),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM x JOIN f USING (h) WHERE first < doc_id),
+v AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+s AS (SELECT v.doc_id, count(*) FILTER (g.k IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY v.k) FILTER (g.k IS NULL) AS kept FROM v LEFT JOIN g ON g.doc_id = v.doc_id AND g.k = v.k GROUP BY v.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN s USING (doc_id)
+"""
