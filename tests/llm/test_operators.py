@@ -1,0 +1,325 @@
+"""Each corpus operator against a plain version, on rows with nulls, blanks, copies, ties, long texts and clashing names."""
+
+import hashlib
+import random
+import sys
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+import brute
+
+from landloom.llm import common, decontam, embeddings, licenses, lines, minhash, mixing, secrets, substrings, suffixes, toxicity
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def corpus(seed=1):
+    r = random.Random(seed)
+    vocabulary = ["".join(r.choices("abcdeéß漢", k=r.randint(1, 7))) for _ in range(400)]
+    prose = lambda n: " ".join(r.choices(vocabulary, k=n))
+    passage, line = prose(80), "A line that MANY documents share "
+    out = [(i, prose(r.randint(0, 160))) for i in range(60)]
+    out += [(100 + i, f"{prose(30)} {passage} {prose(20)}") for i in range(6)] + [(110 + i, f"{prose(10)}\n{line}{' ' * i}\n{prose(10)}") for i in range(6)]
+    base = prose(200).split()
+    for i in range(30):
+        w = list(base)
+        for _ in range(i // 2):
+            w[r.randrange(len(w))] = "x" + str(r.random())
+        out.append((200 + i, " ".join(w)))
+    out += [(300 + i, out[5][1] + " " + passage) for i in range(4)]
+    out += [(400, None), (401, ""), (402, "  \t\n "), (403, "one"), (404, "one"), (405, "a b"), (406, "the " * 3000), (407, "the " * 2500), (408, "ab" * 4000), (409, prose(9000)), (410, "\n".join([line] * 5))]
+    return out
+
+
+def frame(spark, rows, **more):
+    return spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 3}" if (i or 0) % 7 else None, len(t or "")) for i, t in rows], DOCS).withColumns({"row": F.lit(1), "id": F.lit("clash"), "_text": F.lit("x"), "n": F.lit(None).cast("int"), "h": F.lit(0), **more})
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return corpus()
+
+
+def test_line_dedup(spark, rows):
+    rows = [*rows, (None, "A line that MANY documents share"), (5, rows[5][1])]
+    got = lines.line_dedup(frame(spark, rows)).select("row.doc_id", "n_lines", "n_dropped", "kept").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute.line_dedup(rows), key=str)
+    assert lines.line_dedup(frame(spark, rows[:0])).count() == 0
+    kept = lines.dedup_documents(spark.createDataFrame([(1, "shared line of text", "en", "s", 19), (2, "shared line of text", "en", "s", 19), (3, None, "en", "s", 0)], DOCS))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_mixing(spark, rows):
+    rows = [*rows, (None, "some words here"), (5, rows[5][1])]
+    out = mixing.mix(frame(spark, rows)).collect()
+    assert len(out) == len(rows) and out and sorted(map(tuple, out), key=str) == sorted(map(tuple, mixing.mix(frame(spark, rows).repartition(5)).collect()), key=str)
+    assert all(0 <= r.copies <= 3 and r.size >= 0 for r in out) and all(r.target <= 3 * r.source_size + 1e-6 for r in out)
+    by = {}
+    for r in out:
+        by.setdefault(r.source_size, [r.target, 0, 0])
+        by[r.source_size][1] += r.size * r.copies
+        by[r.source_size][2] = max(by[r.source_size][2], r.size)
+    assert abs(sum(v[0] for v in by.values()) - sum(r.size for r in out)) < 1e-6
+    assert all(abs(t - n) <= big / 2 + 1 for t, n, big in by.values())
+    assert mixing.mix(frame(spark, rows[:0])).count() == 0
+
+
+def test_mixing_caps_and_reshares(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 0), (None, 100)], "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    assert got["a"] == 30 and got["c"] == 0 and got[None] == 300 and abs(got["b"] - 780) < 1e-9
+
+
+def test_near_duplicates(spark, rows):
+    rows = [*rows, (5, rows[5][1])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(spark, [*rows, (None, rows[0][1])]), block=7).collect()}
+    assert got.pop(None)[1] is None and got == brute.near_duplicates(rows)
+    assert minhash.near_duplicates(frame(spark, rows[:0])).count() == 0
+
+
+def test_every_pair_within_the_distance_shares_a_key():
+    r = np.random.default_rng(3)
+    for m, similarity in ((40, 0.85), (40, 0.8), (24, 0.9)):
+        errors = minhash.max_errors(m, similarity)
+        chunks, free = minhash.layout(m, errors)
+        assert sorted(s for c in chunks for s in c) == list(range(m))
+        for _ in range(300):
+            wrong = set(r.choice(m, errors, replace=False).tolist())
+            assert any(len(wrong & set(c)) <= min(free, len(c) - 1) for c in chunks)
+
+
+def test_components(spark):
+    r = random.Random(2)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (None, 3)]
+    got = {x.node: x.component for x in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    pairs = {(a, b) for a, b in edges if a is not None and a != b}
+    want = brute.components({n for p in pairs for n in p}, lambda a, b: (a, b) in pairs or (b, a) in pairs)
+    assert got == want
+
+
+def test_substrings(spark, rows):
+    rows = [*rows, (None, rows[60][1]), (5, rows[5][1])]
+    got = substrings.remove_repeats(frame(spark, rows)).select("row.doc_id", "n_words", "n_removed", "kept").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute.substrings(rows), key=str)
+    assert substrings.remove_repeats(frame(spark, rows[:0])).count() == 0
+
+
+def test_windows_of_another_document_than_the_leader(spark):
+    """Two documents share a run whose anchor a third, smaller one has in other surroundings."""
+    w = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(w[100:125])), (2, " ".join(w[80:160])), (3, " ".join(w[90:150])), (4, " ".join(w[100:148] + ["z"] * 30)), (5, " ".join(["q"] * 5 + w[98:148] + ["z"] * 30))]
+    got = substrings.remove_repeats(frame(spark, rows)).select("row.doc_id", "n_words", "n_removed", "kept").collect()
+    assert sorted(map(tuple, got)) == sorted(brute.substrings(rows))
+
+
+@pytest.mark.parametrize("part_bytes", [None, 3000])
+def test_repeated_bytes(spark, rows, part_bytes, monkeypatch):
+    if part_bytes:  # small ranges, which cut groups
+        monkeypatch.setattr(suffixes, "PART_BYTES", part_bytes)
+        monkeypatch.setattr(suffixes, "BLOCK_ENTRIES", 5)
+    rows = [*rows, (None, rows[60][1]), (5, rows[5][1])]
+    got = suffixes.remove_repeats(frame(spark, rows)).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    assert sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got), key=str) == sorted(brute.repeated_bytes(rows), key=str)
+    if not part_bytes:
+        assert suffixes.remove_repeats(frame(spark, rows[:0])).count() == 0
+
+
+@pytest.mark.parametrize("cuts", [[], [b"ab", b"abab"], [b"aaaaa", b"b"]])
+@pytest.mark.parametrize("most", [0, 3, 256])
+def test_merged_parts_find_all_repeats(cuts, most, monkeypatch):
+    """Over a small alphabet, strings of 8 and seeds of 3: what is not found at once stands at an anchor that is asked later."""
+    monkeypatch.setattr(suffixes, "GROUP", most)
+    r = random.Random(11)
+    length, seed = 8, 3
+    texts = ["".join(r.choices("ab", k=r.randint(0, 30))).encode() for _ in range(30)]
+    places = [(d, a) for d, t in enumerate(texts) for a in range(len(t) - seed + 1)]
+    runs, members = {}, {}
+    for k in range(3):
+        own = places[k::3]
+        of, entries = suffixes.sorted_run([texts[d][a : a + length] for d, a in own], [texts[d][max(0, a - 5) : a] for d, a in own])
+        runs[k] = [(i, suffixes.pack(entries[i : i + 4])) for i in range(0, len(entries), 4)]
+        for p, e in zip(own, of, strict=True):
+            members.setdefault((k, e), []).append(p)
+    edges = [None, *cuts, None]
+    got, loose = set(), set()
+    for low, high in zip(edges, edges[1:], strict=False):
+        for run, entry, size, number, c, reach, _ in suffixes.merge_part(runs, low, high, length, seed):
+            for d, a in members[run, entry]:
+                if not reach:
+                    got.update((d, i) for i in range(a - c, a + size))
+                else:
+                    loose.add((d, a))
+    seen = {}
+    for d, t in enumerate(texts):
+        for i in range(len(t) - length + 1):
+            seen.setdefault(t[i : i + length], []).append((d, i))
+    want = {(d, j) for own in seen.values() if len(own) > 1 for d, i in own for j in range(i, i + length)}
+    assert got <= want
+    assert all(any((d, a) in loose for a in range(max(0, j - length), j + length)) for d, j in want - got)
+    if most == 256 and not cuts:
+        assert got == want
+
+
+def test_loser_tree_merges_and_knows_prefixes():
+    r = random.Random(4)
+    for k in (0, 1, 2, 3, 7):
+        runs = [sorted("".join(r.choices("ab", k=r.randint(0, 6))).encode() for _ in range(r.randint(0, 30))) for _ in range(k)]
+        entries = [[(suffixes.common(run[i - 1], s, 0) if i else 0, s) for i, s in enumerate(run)] for run in runs]
+        out = [(known, e[1]) for known, _, e in suffixes.LoserTree([iter(e) for e in entries])]
+        want = sorted(s for run in runs for s in run)
+        assert [s for _, s in out] == want
+        assert [n for n, _ in out] == [suffixes.common(want[i - 1], s, 0) if i else 0 for i, s in enumerate(want)]
+
+
+def test_blocks_round_trip():
+    entries = [(0, b"abc", 1, b"left"), (3, b"abcd", 2, b""), (1, b"ax", 1, b"\xff")]
+    assert suffixes.unpack(suffixes.pack(entries)) == entries
+
+
+def test_embeddings(spark):
+    r = np.random.default_rng(1)
+    centres = r.normal(size=(30, 32))
+    x = np.concatenate([centres[r.integers(0, 30, 260)] + r.normal(size=(260, 32)) * 0.08, r.normal(size=(200, 32))]).astype(np.float32)
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, x[0].tolist()), (1001, x[0].tolist()), (1002, (x[0] * 3).tolist()), (1003, None), (1004, []), (1005, [0.0] * 32), (1006, [float("nan")] * 32), (1007, [None] * 32), (1008, [float("inf")] * 32), (None, x[0].tolist())]
+    got = {q.vec_id: (q.n_links, q.component_id, q.kept) for q in embeddings.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("id", F.lit("clash")), block=40).collect()}
+    good = [i for i, v in data if i is not None and i < 1003]
+    m = np.array([v for i, v in data if i is not None and i < 1003], np.float64)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    near = m @ m.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert sum(got[i][0] for i in good) >= 0.9 * near.sum() and all(got[i][0] <= n for i, n in zip(good, near.sum(1), strict=True))
+    want = brute.components(range(len(good)), lambda a, b: near[a, b])
+    assert np.mean([got[good[a]][1] == good[c] for a, c in want.items()]) > 0.98
+    assert all(got[i] == (0, i, True) for i in (1003, 1004, 1005, 1006, 1007, 1008)) and got[None][0] == 0
+    assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_embeddings_of_few_vectors(spark):
+    got = embeddings.near_duplicates(spark.createDataFrame([(2, [1.0, 0.0]), (1, [1.0, 0.01]), (3, [0.0, 1.0]), (4, [1.0])], "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
+
+
+def test_licenses(spark):
+    texts = ["Licensed UNDER the (MIT) License. Under the mit license", "Apache License, Version 2.0 and CC BY-NC 4.0", "xunder the mit license", "SPDX-License-Identifier: GPL-3.0", "released under the GNU General Public License v3", None, "", "under the é mit license", "All rights reserved", "word " * 50000]
+    got = {r[0]: r for r in licenses.scan(frame(spark, list(enumerate(texts)))).select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score").collect()}
+    assert got[0][1:6] == (9, 2, 1, 5, "mit") and got[1].base_labels == "apache-2,cc-by-nc" and got[1].n_base == 2
+    assert got[2].n_base == 0 and got[2].first_word is None and "gpl-3.0" in got[3].labels and "gpl-3.0" in got[4].labels
+    assert got[5][1:] == (0, 0, None, None, "", "", 0.0) == got[6][1:] and got[7].n_base == 0 and got[8].labels == "proprietary" and got[9].n_words == 50000
+    assert all(0 <= r.score <= 1 for r in got.values()) and len(licenses.make_rules()) > 200
+    assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_contained_detections_of_lower_priority_are_suppressed():
+    rules = licenses.make_rules()
+    found = licenses.detect(b"licensed under the apache license, version 2.0", rules)
+    assert [x[2] for x in found] == ["apache-2"]
+
+
+def test_secrets(spark):
+    r = random.Random(5)
+    hexes = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(60)]
+    keys = ["AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) for _ in range(60)]
+    texts = [f"é {'Api_Key' if i % 2 else 'TOKEN'} = \"{h}\" and {k}" for i, (h, k) in enumerate(zip(hexes, keys, strict=True))]
+    texts += ["password: short", "x ASIA" + keys[0][4:] + " y", "token: token: abcdefgh", None, "", "plain release-notes-2024-for-version-two words", "a1" * 60000]
+    out = secrets.find(frame(spark, list(enumerate(texts)))).select("row.doc_id", "base", "spans").collect()
+    got = {x.doc_id: x for x in out}
+    assert [(s.kind, s.start, s.end) for s in got[0].base] == [("assign", 2, 2 + len(f'TOKEN = "{hexes[0]}')), ("hex", 11, 51), ("access", 57, 77)]
+    assert got[60].base == [] and got[62].base == [] and got[63].spans == [] and got[64].spans == []
+    assert [(s.kind, s.start, s.end) for s in got[61].spans] == [("format", 2, 22)] and got[65].spans == []
+    assert all({(s.start, s.kind) for s in x.base} <= {(s.start, s.kind) for s in x.spans} for x in out)
+    assert secrets.find(frame(spark, [])).count() == 0
+
+
+def test_automata_tell_formats_apart():
+    r = random.Random(6)
+    hexes = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(200)]
+    automata, background = secrets.learn({"hex": hexes}, ["release-notes-of-2024"] * 50)
+    (_, a, least) = automata[0]
+    fresh = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(100)]
+    assert np.mean([secrets.odds(a, background, secrets.classes(w)) >= least for w in fresh]) > 0.8
+    assert not any(secrets.odds(a, background, secrets.classes(w)) >= least for w in ("release-notes-of-2023-a", "Some-Path/To-9-Things"))
+
+
+def test_decontamination(spark, rows):
+    r = random.Random(7)
+    items = [(i, " ".join(f"b{r.randrange(10**6)}" for _ in range(n))) for i, n in enumerate((40, 60, 18, 6, 3, 30))] + [(50, None), (51, ""), (None, "x y z " * 9)]
+    hide = lambda text, share: " ".join(w if r.random() > share else f"s{r.random()}" for w in text.split())
+    clean = [(i, t) for i, t in rows if i != 406]
+    dirty = [(500, f"{rows[1][1]} {items[0][1].upper()} {rows[2][1]}"), (501, hide(items[1][1], 0.1)), (502, f"a, {items[2][1]}!"), (503, f"z {items[3][1]} z"), (504, " ".join(items[5][1].split()[:22])), (505, items[0][1] + " " + items[1][1])]
+    found = decontam.contamination(frame(spark, clean + dirty), spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(0)))
+    got = {(x.doc_id, x.item_id) for x in found.collect()}
+    assert got == {(500, 0), (501, 1), (502, 2), (503, 3), (504, 5), (505, 0), (505, 1)}
+    unfiltered = decontam.contamination(frame(spark, clean[:10] + dirty), spark.createDataFrame(items, "item_id long, text string"), max_filter=0)
+    assert {(x.doc_id, x.item_id) for x in unfiltered.collect()} == got
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.contamination(frame(spark, clean[:3]), none).count() == 0
+    assert sorted(x.doc_id for x in decontam.drop_contaminated(frame(spark, clean[:3] + dirty[:1]), spark.createDataFrame(items, "item_id long, text string")).collect()) == sorted(i for i, _ in clean[:3])
+
+
+def labelled(n=600):
+    r = random.Random(8)
+    plain, bad = [f"w{i}" for i in range(300)], ["vile", "nasty", "awful"]
+    rows, labels = [], []
+    for i in range(n):
+        w = r.choices(plain, k=r.randint(5, 120))
+        toxic = r.random() < 0.3
+        if toxic:
+            for _ in range(3):
+                w.insert(r.randrange(len(w)), r.choice(bad))
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def test_toxicity(spark):
+    rows, labels = labelled()
+    truth = {i: y for i, _, y in labels}
+    edge = [(9000, None), (9001, ""), (9002, "vile " * 20000), (None, "nasty vile awful things"), (3, rows[3][1])]
+    y = spark.createDataFrame([*labels, (3, 1, 0), (None, 1, 1), (7, 1, None), (8888, 0, 1)], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows + edge)
+    model = toxicity.fit(docs, y)
+    out = toxicity.score(docs, model).select("row.doc_id", "score", "n_segments", "best_start", "best_end").collect()
+    got = {r.doc_id: r.score for r in out}
+    held = [i for i in truth if __import__("zlib").crc32(str(i).encode()) % 5 == 0]
+    assert len(out) == len(rows) + len(edge) and all(0 <= r.score <= 1 for r in out)
+    assert np.mean([(got[i] >= 0.5) == truth[i] for i in held]) > 0.95
+    assert got[9000] == got[9001] < 0.5 <= got[9002] and got[None] >= 0.5
+    flipped = [(i, q, 1 - t if __import__("zlib").crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]
+    again = toxicity.fit(docs, spark.createDataFrame([*flipped, (3, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert np.array_equal(again.tokens, model.tokens) and again.slope == pytest.approx(model.slope)
+
+
+def test_toxicity_without_labels(spark):
+    docs = frame(spark, labelled(20)[0])
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, none)).collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), none)).count() == 0
+
+
+def test_maximal_segments():
+    def plain(scores):
+        """Ruzzo and Tompa's definition, by recursion on the best segment."""
+        best = max(((sum(scores[a:b]), -(b - a), a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=None)
+        if not best or best[0] <= 0:
+            return []
+        a, b = best[2], best[3]
+        return plain(scores[:a]) + [(a, b)] + [(x + b, y + b) for x, y in plain(scores[b:])]
+
+    r = random.Random(9)
+    for _ in range(200):
+        s = [r.choice([-3, -2, -1, 1, 2, 3]) + r.random() / 1000 for _ in range(r.randint(0, 12))]
+        sums = np.concatenate([[0.0], np.cumsum(s)])
+        assert [(a, b) for a, b, _ in toxicity.segments(sums, np.flatnonzero(np.array(s) > 0))] == plain(s)
+
+
+def test_bytes_and_windows():
+    r = np.random.default_rng(1)
+    x = r.integers(0, 50, 200).astype(np.uint64)
+    for w in (1, 3, 17):
+        assert common.sliding_min(x, w).tolist() == [int(x[i : i + w].min()) for i in range(len(x) - w + 1)]
+    assert hashlib.sha256(b"").hexdigest() == brute.sha("")
