@@ -4,17 +4,19 @@ A byte goes when a string of length bytes around it also starts anywhere else. E
 anchor (the place of its least hash of seed bytes) that equal strings share at the same offset, so it is enough to sort the
 suffixes that start at anchors whose hash occurs more than once, each to length bytes.
 
-1. Tasks sort their suffixes into runs. Equal suffixes of a run are one entry with their number and the length c of the left
-   context that all of them share. Runs are front-coded (common prefix with the entry before, then the rest) in blocks.
+1. Tasks sort their suffixes into runs. Suffixes of a run that are equal, with equal left context, are one entry with their
+   number. Runs are front-coded (common prefix with the entry before, then the rest) in blocks.
 2. Blocks are exchanged by ranges of suffixes; a block goes to each range that it, or a neighbour of its entries, lies in.
 3. Each range is merged by a loser tree whose entries remember their common prefix with the last winner: the longer one wins
    unseen, and only on a tie are bytes compared, from where the known prefix ends. The front coding supplies what the next
    entry of a run has in common with the one before, so known prefixes are never compared again. The common prefixes of
    neighbours come out of the tree by themselves.
-4. Neighbours tell how far each anchor's suffix repeats (r), and how far beyond its own class (r2). A class of equal suffixes
-   with common left context repeats as a whole. Where only some of a class agree to the left, at the edges of repeats, the
-   strings concerned are compared by 128-bit hashes. Which strings these are depends on the strings alone, so equal ones
-   are all there or all absent.
+4. Entries that begin with the same seed bytes come out together. In a group of at most GROUP entries each is extended
+   against the others, to the right by the least common prefix between them, to the left by comparing contexts. Of a larger
+   group, or one that a range's border cuts, neighbours tell how far each suffix repeats (r), and how far beyond the class of
+   its equals (r2). A class with common left context repeats as a whole; where only some of it agree to the left, at the edges
+   of repeats, the strings concerned are compared by 96-bit hashes. Which strings these are depends on the strings alone, so
+   equal ones are all there or all absent.
 
 A passage that every third document holds is one entry per run, so no range is filled by copies."""
 
@@ -32,12 +34,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from landloom.llm.common import BYTE_VALUES, annotate, blocks, covered, forget, inside, mixed, prefixes, runs, save, signed, table, utf8, windows, winnow
+from landloom.llm.common import BYTE_VALUES, annotate, blocks, covered, forget, inside, mixed, prefixes, runs, save, signed, table, tidy, utf8, windows, winnow
 from landloom.llm.substrings import only
 
 LENGTH, SEED = 200, 64
 RUN_BYTES, BLOCK_ENTRIES, PART_BYTES, HEADS = 24 << 20, 256, 8 << 20, 4096
-FREE = 1 << 20  # the common left context of a single entry
+GROUP = 256
 
 
 def common(a: bytes, b: bytes, h: int) -> int:
@@ -57,19 +59,19 @@ def common_end(a: bytes, b: bytes) -> int:
 # ------------------------------------------------------------------------------------------------- runs and blocks
 
 
-def pack(entries: list[tuple[int, bytes, int, int, bytes]]) -> bytes:
-    """A block of (common prefix with the entry before, suffix, number, c, left context); the first suffix is whole."""
+def pack(entries: list[tuple[int, bytes, int, bytes]]) -> bytes:
+    """A block of (common prefix with the entry before, suffix, number, left context); the first suffix is whole."""
     n = len(entries)
-    numbers = np.array([(e[0], len(e[1]), min(e[2], 2), e[3], len(e[4])) for e in entries], np.int32)
+    numbers = np.array([(e[0], len(e[1]), min(e[2], 2), len(e[3])) for e in entries], np.int32)
     rest = [e[1] if not k else e[1][e[0] :] for k, e in enumerate(entries)]
-    return struct.pack("<i", n) + numbers.tobytes() + b"".join(rest) + b"".join(e[4] for e in entries)
+    return struct.pack("<i", n) + numbers.tobytes() + b"".join(rest) + b"".join(e[3] for e in entries)
 
 
-def unpack(blob: bytes) -> list[tuple[int, bytes, int, int, bytes]]:
+def unpack(blob: bytes) -> list[tuple[int, bytes, int, bytes]]:
     (n,) = struct.unpack_from("<i", blob)
-    numbers = np.frombuffer(blob, np.int32, n * 5, 4).reshape(n, 5).tolist()
-    at, out, last = 4 + n * 20, [], b""
-    for k, (lcp, size, _, _, _) in enumerate(numbers):
+    numbers = np.frombuffer(blob, np.int32, n * 4, 4).reshape(n, 4).tolist()
+    at, out, last = 4 + n * 16, [], b""
+    for k, (lcp, size, _, _) in enumerate(numbers):
         shared = lcp if k else 0
         last = last[:shared] + blob[at : at + size - shared]
         at += size - shared
@@ -78,20 +80,19 @@ def unpack(blob: bytes) -> list[tuple[int, bytes, int, int, bytes]]:
     for *_, size in numbers:
         lefts.append(blob[at : at + size])
         at += size
-    return [(x[0], s, x[2], x[3], left) for x, s, left in zip(numbers, out, lefts, strict=True)]
+    return [(x[0], s, x[2], left) for x, s, left in zip(numbers, out, lefts, strict=True)]
 
 
-def sorted_run(suffixes: list[bytes], lefts: list[bytes]) -> tuple[list[int], list[tuple[int, bytes, int, int, bytes]]]:
-    """(class of each suffix, entries in order)."""
+def sorted_run(suffixes: list[bytes], lefts: list[bytes]) -> tuple[list[int], list[tuple[int, bytes, int, bytes]]]:
+    """(entry of each suffix, entries in order)."""
     of, entries = [0] * len(suffixes), []
     last = None
-    for i in sorted(range(len(suffixes)), key=suffixes.__getitem__):
-        s = suffixes[i]
-        if s == last:
-            lcp, _, n, c, left = entries[-1]
-            entries[-1] = (lcp, s, n + 1, min(c, common_end(left, lefts[i])), left)
+    for i in sorted(range(len(suffixes)), key=lambda i: (suffixes[i], lefts[i])):
+        s, left = suffixes[i], lefts[i]
+        if s == last and left == entries[-1][3]:
+            entries[-1] = (*entries[-1][:2], entries[-1][2] + 1, left)
         else:
-            entries.append((common(last, s, 0) if last is not None else 0, s, 1, FREE, lefts[i]))
+            entries.append((common(last, s, 0) if last is not None else 0, s, 1, left))
             last = s
         of[i] = len(entries) - 1
     return of, entries
@@ -193,8 +194,11 @@ class LoserTree:
             self.winner = k
 
 
-def merge_part(runs_of: dict[int, list[tuple[int, bytes]]], low: bytes | None, high: bytes | None) -> Iterator[tuple[int, int, int, int, int, int, int]]:
-    """(run, entry, size, number, c, r, r2) of the entries with low <= suffix < high; runs_of: blocks of each run in order."""
+def merge_part(runs_of: dict[int, list[tuple[int, bytes]]], low: bytes | None, high: bytes | None, length: int, seed: int) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+    """(run, entry, size, number, c, r, r2) of the entries with low <= suffix < high; runs_of: blocks of each run in order.
+
+    Of an extended group: a row for each way in which an entry repeats, c bytes before its anchor and size from there on, with
+    number 2, r and r2 0. Of others: number of equal suffixes, c that they share on the left, r and r2 as above."""
 
     def source(run: int) -> Iterator[tuple]:
         """Entries from the last one below low to the first one from high on."""
@@ -214,32 +218,68 @@ def merge_part(runs_of: dict[int, list[tuple[int, bytes]]], low: bytes | None, h
         if before is not None:
             yield before
 
-    names = list(runs_of)
-    reps: list[tuple[int, int]] = []
-    suffix, number, c, left, lcp_before = b"", 0, FREE, b"", 0
-
-    def close(lcp_after: int):
-        if (low is None or suffix >= low) and (high is None or suffix < high):
-            beyond = max(lcp_before, lcp_after)
-            r = max(beyond, len(suffix) if number > 1 else 0)
-            for run, entry in reps:
-                yield run, entry, len(suffix), number, c, r, beyond
-
-    for known, _, (_, s, n, own_c, own_left, run, entry) in LoserTree([source(k) for k in names]):
-        if reps and known == len(s) == len(suffix):
-            number += n
-            c = min(c, own_c, common_end(left, own_left))
-            reps.append((run, entry))
+    def wanted(s: bytes) -> bool:
+        return (low is None or s >= low) and (high is None or s < high)
+
+    # a class: suffix, common prefix with the class before, [(run, entry, number, left context)]
+    group: list[tuple[bytes, int, list[tuple[int, int, int, bytes]]]] = []
+    for known, _, (_, s, n, left, run, entry) in LoserTree([source(k) for k in runs_of]):
+        if group and known == len(s) == len(group[-1][0]):
+            group[-1][2].append((run, entry, n, left))
             continue
-        if reps:
-            yield from close(known)
-        reps, suffix, number, c, left, lcp_before = [(run, entry)], s, n, own_c, own_left, known if reps else 0
-    if reps:
-        yield from close(0)
+        if group and known < seed:
+            yield from extended(group, length, wanted)
+            group = []
+        group.append((s, known if group else 0, [(run, entry, n, left)]))
+    if group:
+        yield from extended(group, length, wanted)
+
+
+def extended(group: list, length: int, wanted) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+    """Rows of merge_part() for one group; see there."""
+    if sum(len(c[2]) for c in group) > GROUP or not all(wanted(c[0]) for c in group):
+        for k, (s, before, own) in enumerate(group):
+            if wanted(s):
+                beyond = max(before, group[k + 1][1] if k + 1 < len(group) else 0)
+                number = sum(x[2] for x in own)
+                c = min(common_end(own[0][3], x[3]) for x in own)
+                for run, entry, *_ in own:
+                    yield run, entry, len(s), number, c, max(beyond, len(s) if number > 1 else 0), beyond
+        return
+    found: dict[tuple[int, int], dict[int, int]] = {}
+
+    def note(a, right: int, left: int) -> None:
+        own = found.setdefault(a[:2], {})
+        own[right] = max(own.get(right, 0), left)
+
+    for i, (s, _, own) in enumerate(group):
+        for k, a in enumerate(own):
+            if a[2] > 1 and len(a[3]) + len(s) >= length:
+                note(a, len(s), len(a[3]))
+            for b in own[:k]:
+                left = common_end(a[3], b[3])
+                if left + len(s) >= length:
+                    note(a, len(s), left)
+                    note(b, len(s), left)
+        right = len(s)
+        for _, before, others in group[i + 1 :]:
+            right = min(right, before)
+            for a in own:
+                for b in others:
+                    left = common_end(a[3], b[3])
+                    if left + right >= length:
+                        note(a, right, left)
+                        note(b, right, left)
+    for (run, entry), own in found.items():
+        best = -1
+        for right in sorted(own, reverse=True):
+            if own[right] > best:  # else a longer one covers as much to the left
+                best = own[right]
+                yield run, entry, right, 2, best, 0, 0
 
 
 def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
-    """(run, entry, size, number, c, r, r2) for all entries that repeat for seed bytes or more."""
+    """Rows of merge_part() for all entries that repeat for seed bytes or more."""
     parts = table_of_runs.where("block IS NOT NULL")
     total = parts.agg(F.sum(F.octet_length("block"))).first()[0] or 0
     heads = sorted(bytes(r.head) for r in parts.select("head").orderBy(F.xxhash64("head"), "run").limit(HEADS).collect())
@@ -255,7 +295,7 @@ def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
         by: dict[int, list[tuple[int, bytes]]] = {}
         for r, e, b in zip(*[group.column(c).to_pylist() for c in ("run", "entry", "block")], strict=True):
             by.setdefault(r, []).append((e, b))
-        rows = [x for x in merge_part(by, cuts[k - 1] if k else None, cuts[k] if k < len(cuts) else None) if x[5] >= seed]
+        rows = [x for x in merge_part(by, cuts[k - 1] if k else None, cuts[k] if k < len(cuts) else None, length, seed) if x[5] >= seed or not x[5]]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["run", "entry", "size", "number", "c", "r", "r2"])
 
@@ -276,16 +316,21 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
         at = winnow(grams, length - seed + 1, inside(offsets, length, len(data) - length + 1))[1] if len(data) >= length else np.zeros(0, np.int64)
         cuts = np.searchsorted(at, offsets).astype(np.int32)
         own = at - offsets[np.searchsorted(offsets, at, "right") - 1]
-        return {"h": pa.ListArray.from_arrays(cuts, pa.array(signed(grams[at]))), "at": pa.ListArray.from_arrays(cuts, pa.array(own))}
+        return {"h": pa.ListArray.from_arrays(cuts, pa.array(signed(grams[at]))), "at": pa.ListArray.from_arrays(cuts, pa.array(own.astype(np.int32)))}
 
-    each = annotate(docs, "text", "h array<long>, at array<long>", anchors).select("row.id", "row.same", "h", "at")
+    spark = docs.sparkSession
+    each = save(annotate(docs, "text", "h array<long>, at array<int>", anchors).select("row.id", "row.same", "h", "at"))
     often = each.select(F.explode("h").alias("h")).groupBy("h").count().where("count > 1").select("h")
     spots = each.select("id", "same", F.explode(F.arrays_zip("h", "at")).alias("z")).select("id", "same", "z.h", "z.at").join(often, "h").groupBy("id", "same").agg(F.collect_set("at").alias("ats"))
     spots = save(spots)
     ids = save(spots.select("id").distinct())
+    forget(each)
+    tidy(spark)
     texts = only(docs, ids, "id")
     table_of_runs = save(make_runs(texts.join(spots, ["id", "same"]), length, seed))
+    tidy(spark)
     found = save(merged(table_of_runs, length, seed))
+    tidy(spark)
     members = table_of_runs.where("block IS NULL").select("run", "entry", "id", "same", "at")
     reach = members.join(found, ["run", "entry"]).groupBy("id", "same").agg(F.collect_set(F.struct("at", "size", "number", "c", "r", "r2")).alias("z"))
 
@@ -301,6 +346,10 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
                 at, size, number, c, r, r2 = (v[order] for v in (at, size, number, c, r, r2))
                 whole = (number > 1) & (c + size >= length)
                 starts, ends = at[whole] - c[whole], at[whole] + size[whole]
+                if not (r > 0).any():
+                    rows.append((starts.tolist(), ends.tolist(), [], [], []))
+                    continue
+                at, size, number, c, r, r2 = (v[r > 0] for v in (at, size, number, c, r, r2))
                 sums = prefixes(BYTE_VALUES[data])
                 grams = windows(sums, seed)
                 least, chosen = winnow(grams, w, np.ones(len(data) - length + 1, bool))
@@ -317,17 +366,19 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
                 safe = (number[j] > 1) & (p <= c[j]) & (length - p <= size[j]) & (length - p > r2[j])
                 ask = np.flatnonzero((at[j] == x) & (length - p <= r[j]) & ~safe)
                 h1, h2 = windows(sums, length)[ask], windows(prefixes(mixed(BYTE_VALUES[data] + np.uint64(1))), length)[ask]
-                rows.append((starts.tolist(), ends.tolist(), signed(h1).tolist(), signed(h2).tolist(), ask.tolist()))
+                rows.append((starts.tolist(), ends.tolist(), signed(h1).tolist(), (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist(), ask.tolist()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("same"), *[pa.array(v, pa.list_(pa.int64())) for v in columns]], ["id", "same", "a", "b", "h1", "h2", "at"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("same"), *[pa.array(v, pa.list_(pa.int64() if k == 2 else pa.int32())) for k, v in enumerate(columns)]], ["id", "same", "a", "b", "h1", "h2", "at"])
 
-    held = save(only(docs, ids, "id").join(reach, ["id", "same"]).select("id", "same", "text", "z").mapInArrow(edges, "id long, same long, a array<long>, b array<long>, h1 array<long>, h2 array<long>, at array<long>"))
+    held = save(only(docs, ids, "id").join(reach, ["id", "same"]).select("id", "same", "text", "z").mapInArrow(edges, "id long, same long, a array<int>, b array<int>, h1 array<long>, h2 array<int>, at array<int>"))
+    tidy(spark)
     asked = held.select("id", "same", F.explode(F.arrays_zip("h1", "h2", "at")).alias("z")).select("id", "same", "z.*")
     twice = asked.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
     some = asked.join(twice, ["h1", "h2"]).select("id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span"))
     plain = held.select("id", "same", F.explode(F.arrays_zip(F.col("a").alias("start"), F.col("b").alias("end"))).alias("span"))
     out = save(plain.unionByName(some).groupBy("id", "same").agg(F.collect_set("span").alias("spans")))
     forget(spots, ids, table_of_runs, found, held)
+    tidy(spark)
     return out
 
 
@@ -364,3 +415,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, unnest(range(0, n - 199)) AS i, unnest(list_transform(range(0, n - 199), lambda i: md5(substr(x, 2 * i + 1, 400)))) AS h FROM d WHERE n >= 200),
+t AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+g AS (SELECT doc_id, i, i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 200 AS fresh FROM w JOIN t USING (h)),
+k AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM k GROUP BY doc_id, run),
+e AS (SELECT s.*, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM s),
+c AS (SELECT e.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept FROM e JOIN d USING (doc_id) GROUP BY e.doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN c USING (doc_id)
+"""
