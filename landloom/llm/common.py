@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -67,10 +67,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ------------------------------------------------------------------------------------------------- Arrow and bytes
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a column of strings has at most limit bytes in each, or one row."""
+def blocks(batches: Iterator[pa.RecordBatch], column: str, field: str | None = None, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a column of strings (or a field of a column of structs) has at most limit bytes in each, or one row."""
     for batch in batches:
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        strings = batch.column(column) if field is None else batch.column(column).field(field)
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(strings), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             base = sizes[start - 1] if start else 0
@@ -224,13 +225,13 @@ def annotate(docs: DataFrame, text: str, fields: str, make) -> DataFrame:
     """(row, *fields): every row of docs as a struct, with what make(column of texts) gives for it as a dict of arrays."""
     from pyspark.sql.types import StructType
 
-    plain = docs.select(F.struct("*").alias("row"), F.col(text).alias("_text"))
+    plain = docs.select(F.struct("*").alias("row"))
     schema = StructType([plain.schema["row"], *StructType.fromDDL(fields)])
     names = schema.names
 
     def run(batches):
-        for part in blocks(batches, "_text"):
-            made = make(part.column("_text"))
+        for part in blocks(batches, "row", text):
+            made = make(part.column("row").field(text))
             yield pa.RecordBatch.from_arrays([part.column("row"), *[made[x] if isinstance(made[x], pa.Array) else pa.array(made[x]) for x in names[1:]]], names)
 
     return plain.mapInArrow(run, schema)

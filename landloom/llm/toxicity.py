@@ -94,9 +94,11 @@ def _counts(batches):
 
 def least_shingle(column: pa.Array) -> pa.Array:
     """The least hash of each text's runs of three words (null for fewer): near-copies mostly share it."""
-    words, first = word_table(column, lower=True, gaps=NOT_ALNUM)
-    grams = windows(prefixes(mixed(words)), 3)
-    out = [int(signed(grams[a : b - 2].min()[None])[0]) if b - a > 2 else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    out: list[int | None] = []
+    for part in blocks(iter([pa.RecordBatch.from_arrays([column], ["text"])]), "text"):
+        words, first = word_table(part.column("text"), lower=True, gaps=NOT_ALNUM)
+        grams = windows(prefixes(mixed(words)), 3)
+        out += [int(signed(grams[a : b - 2].min()[None])[0]) if b - a > 2 else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
     return pa.array(out, pa.int64())
 
 
