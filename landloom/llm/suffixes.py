@@ -11,9 +11,9 @@ suffixes that start at anchors whose hash occurs more than once, each to length
    unseen, and only on a tie are bytes compared, from where the known prefix ends. The front coding supplies what the next
    entry of a run has in common with the one before, so known prefixes are never compared again. The common prefixes of
    neighbours come out of the tree by themselves.
-4. Entries that begin with the same seed bytes come out together. In a group of at most GROUP entries each is extended
-   against the others, to the right by the least common prefix between them, to the left by comparing contexts. Of a larger
-   group, or one that a range's border cuts, neighbours tell how far each suffix repeats (r), and how far beyond the class of
+4. Entries that begin with the same seed bytes come out together. In a group of at most GROUP entries each is extended both
+   ways: classes of equal suffixes are joined in order of falling common prefix, the smaller to the larger, and an entry is
+   compared with its neighbours in the order of left contexts, which share most with it: n log n comparisons. Of a larger group, or one that a range's border cuts, neighbours tell how far each suffix repeats (r), and how far beyond the class of
    its equals (r2). A class with common left context repeats as a whole; where only some of it agree to the left, at the edges
    of repeats, the strings concerned are compared by 96-bit hashes. Which strings these are depends on the strings alone, so
    equal ones are all there or all absent.
@@ -23,7 +23,7 @@ A passage that every third document holds is one entry per run, so no range is f
 from __future__ import annotations
 
 import struct
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from math import ceil
 
@@ -39,7 +39,7 @@ from landloom.llm.substrings import only
 
 LENGTH, SEED = 200, 64
 RUN_BYTES, BLOCK_ENTRIES, PART_BYTES, HEADS = 24 << 20, 256, 8 << 20, 4096
-GROUP = 256
+GROUP = 1 << 16
 
 
 def common(a: bytes, b: bytes, h: int) -> int:
@@ -252,24 +252,47 @@ def extended(group: list, length: int, wanted) -> Iterator[tuple[int, int, int,
         own = found.setdefault(a[:2], {})
         own[right] = max(own.get(right, 0), left)
 
-    for i, (s, _, own) in enumerate(group):
-        for k, a in enumerate(own):
-            if a[2] > 1 and len(a[3]) + len(s) >= length:
-                note(a, len(s), len(a[3]))
-            for b in own[:k]:
-                left = common_end(a[3], b[3])
-                if left + len(s) >= length:
-                    note(a, len(s), left)
-                    note(b, len(s), left)
-        right = len(s)
-        for _, before, others in group[i + 1 :]:
-            right = min(right, before)
-            for a in own:
-                for b in others:
-                    left = common_end(a[3], b[3])
-                    if left + right >= length:
-                        note(a, right, left)
-                        note(b, right, left)
+    entries = [e for c in group for e in c[2]]
+    order = sorted(range(len(entries)), key=lambda i: entries[i][3][::-1])
+    by_rank = [entries[i] for i in order]
+    rank = {i: k for k, i in enumerate(order)}
+
+    def compare(x: int, y: int, right: int) -> None:
+        a, b = by_rank[x], by_rank[y]
+        left = common_end(a[3], b[3])
+        if left + right >= length:
+            note(a, right, left)
+            note(b, right, left)
+
+    held, at = [], 0  # ranks of each block of classes, in order
+    for s, _, own in group:
+        ranks = sorted(rank[i] for i in range(at, at + len(own)))
+        at += len(own)
+        for e in own:
+            if e[2] > 1 and len(e[3]) + len(s) >= length:
+                note(e, len(s), len(e[3]))
+        for x, y in zip(ranks, ranks[1:], strict=False):
+            compare(x, y, len(s))
+        held.append(ranks)
+    block = list(range(len(group)))
+
+    def find(k: int) -> int:
+        while block[k] != k:
+            block[k] = block[block[k]]
+            k = block[k]
+        return k
+
+    for k in sorted(range(1, len(group)), key=lambda k: -group[k][1]):
+        small, large = sorted((find(k - 1), find(k)), key=lambda j: len(held[j]))
+        others, right = held[large], group[k][1]
+        for x in held[small]:
+            j = bisect_left(others, x)
+            if j:
+                compare(others[j - 1], x, right)
+            if j < len(others):
+                compare(x, others[j], right)
+        held[large] = sorted(others + held[small])
+        held[small], block[small] = [], large
     for (run, entry), own in found.items():
         best = -1
         for right in sorted(own, reverse=True):
@@ -284,7 +307,10 @@ def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
     total = parts.agg(F.sum(F.octet_length("block"))).first()[0] or 0
     heads = sorted(bytes(r.head) for r in parts.select("head").orderBy(F.xxhash64("head"), "run").limit(HEADS).collect())
     p = max(1, min(len(heads), ceil(total / PART_BYTES)))
-    cuts = sorted({heads[k * len(heads) // p] for k in range(1, p)})
+    cuts = [heads[k * len(heads) // p] for k in range(1, p)]
+    # between groups, but within those that are larger than a range
+    starts = [c[:seed] for c in cuts]
+    cuts = sorted({c if starts.count(c[:seed]) > 1 else c[:seed] for c in cuts})
 
     def route(before: pa.Array, after: pa.Array) -> pa.Array:
         return pa.array([list(range(bisect_right(cuts, a) if a is not None else 0, (bisect_right(cuts, b) if b is not None else len(cuts)) + 1)) for a, b in zip(before.to_pylist(), after.to_pylist(), strict=True)], pa.list_(pa.int32()))
