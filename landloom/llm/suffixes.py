@@ -38,7 +38,7 @@ from landloom.llm.common import BYTE_VALUES, annotate, blocks, covered, forget,
 from landloom.llm.substrings import only
 
 LENGTH, SEED = 200, 64
-RUN_BYTES, BLOCK_ENTRIES, PART_BYTES, HEADS = 24 << 20, 256, 8 << 20, 4096
+RUN_BYTES, BLOCK_ENTRIES, PART_BYTES, HEADS = 24 << 20, 256, 4 << 20, 4096
 GROUP = 1 << 16
 
 
@@ -60,14 +60,16 @@ def common_end(a: bytes, b: bytes) -> int:
 
 
 def pack(entries: list[tuple[int, bytes, int, bytes]]) -> bytes:
-    """A block of (common prefix with the entry before, suffix, number, left context); the first suffix is whole."""
+    """A block of (common prefix with the entry before, suffix, number, left context), compressed; the first suffix is whole."""
     n = len(entries)
     numbers = np.array([(e[0], len(e[1]), min(e[2], 2), len(e[3])) for e in entries], np.int32)
     rest = [e[1] if not k else e[1][e[0] :] for k, e in enumerate(entries)]
-    return struct.pack("<i", n) + numbers.tobytes() + b"".join(rest) + b"".join(e[3] for e in entries)
+    raw = struct.pack("<i", n) + numbers.tobytes() + b"".join(rest) + b"".join(e[3] for e in entries)
+    return struct.pack("<i", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unpack(blob: bytes) -> list[tuple[int, bytes, int, bytes]]:
+    blob = pa.decompress(blob[4:], struct.unpack_from("<i", blob)[0], codec="zstd", asbytes=True)
     (n,) = struct.unpack_from("<i", blob)
     numbers = np.frombuffer(blob, np.int32, n * 4, 4).reshape(n, 4).tolist()
     at, out, last = 4 + n * 16, [], b""
