@@ -1,7 +1,8 @@
 """Embedding near-dedup by iterative quantisation and multi-index Hamming tables.
 
-A rotation is learnt on a bounded sample so that the signs of the rotated vectors are balanced codes that keep angles. Codes
-are cut into tables of about log2(n) bits. A vector stands in the bucket of its part of the code in every table, and probes the
+A rotation is learnt on a bounded sample so that the signs of the rotated vectors are balanced codes that keep angles; random
+hyperplanes give the bits that it is short of. Codes are cut into tables, as many as it takes for two vectors at the threshold
+to meet with a chance of RECALL, whatever the number of vectors. A vector stands in the bucket of its part of the code in every table, and probes the
 buckets whose part differs in one bit; pairs a bit apart meet once, in the bucket of the smaller part. All that meet are
 reranked by the cosine of the original vectors in double precision, each pair in the first table in which it meets.
 
@@ -20,6 +21,32 @@ from pyspark.sql import functions as F
 from landloom.llm.common import components, forget, save, table
 
 SAMPLE = 20_000
+#: The chance that two vectors meet whose cosine is just the threshold; closer ones meet with more.
+RECALL = 0.99
+#: Least number of tables and of bits of one. A table has more bits where a bucket would hold more than FULL vectors.
+TABLES, LENGTH, FULL = 4, 16, 64
+
+
+def layout(n: int, least: float, recall: float = RECALL) -> tuple[int, int]:
+    """(tables, bits of each) for n vectors. A bit differs with chance angle / pi; vectors meet in a table if at most one does."""
+    length = max(LENGTH, math.ceil(math.log2(max(1, n) / FULL)))
+    far = math.acos(max(-1.0, min(1.0, least))) / math.pi
+    meet = (1 - far) ** length + length * far * (1 - far) ** (length - 1)
+    return (TABLES if meet >= recall else max(TABLES, math.ceil(math.log1p(-recall) / math.log1p(-meet)))), length
+
+
+def hyperplanes(x: np.ndarray, bits: int, tables: int, length: int) -> np.ndarray:
+    """A matrix whose product's signs are the bits of all tables, those of one table side by side.
+
+    The first tables are of the learnt rotation, the others of random ones. A learnt one that leaves out directions may part
+    vectors that are close, so its tables come on top."""
+    dim = x.shape[1]
+    own = min(bits, dim) // length
+    held = [learn_rotation(x, min(bits, dim))[:, : own * length]] if own else []
+    missing = (tables if dim > bits else max(0, tables - own)) * length
+    r = np.random.default_rng(2)
+    turns = [np.linalg.qr(r.normal(size=(dim, dim)))[0] for _ in range(math.ceil(missing / dim))]
+    return np.concatenate([*held, *([np.concatenate(turns, 1)[:, :missing]] if missing else [])], 1)
 
 
 def learn_rotation(x: np.ndarray, bits: int, rounds: int = 40) -> np.ndarray:
@@ -109,7 +136,8 @@ def reranked(rows: DataFrame, dim: int, least: float, block: int) -> DataFrame:
 def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.95, bits: int = 64, sample: int = SAMPLE, block: int = 2000) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row.
 
-    Vectors are linked when their cosine is least or more and the index brings them together; none below least is linked.
+    Vectors are linked when their cosine is least or more and the index brings them together, with a chance of RECALL at
+    least; none below least is linked. bits: of the learnt rotation.
     sample: the most vectors the rotation is learnt on, chosen by hash. Vectors that are null, empty, zero or hold null or
     non-finite components link with nothing; those of different lengths don't link either. Rows that repeat an id are one
     vector of several forms: its links are added up, those among its own rows left out; rows of a null id link with nothing.
@@ -124,10 +152,9 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         n = own.count()
         x = np.array([r.v for r in own.orderBy("h", "id").limit(sample).select("v").collect()], np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        b = min(bits, dim)
-        rotation = learn_rotation(x, b)
-        tables = max(1, round(b / min(24, max(8, math.log2(max(2, n))))))
-        parts = [np.arange(k, b, tables) for k in range(tables)]
+        tables, length = layout(n, least)
+        rotation = hyperplanes(x, bits, tables, length)
+        parts = list(np.arange(rotation.shape[1]).reshape(-1, length))
         one = reranked(dealt(own.select("id", "n", "v"), dim, rotation, parts), dim, least, block)
         found = one if found is None else found.unionByName(one)
     if found is None:

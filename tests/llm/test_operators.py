@@ -199,6 +199,37 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def close_pairs(n, dim, r):
+    """2 n vectors; those at k and n + k have a cosine of 0.951 to 0.97, all others are far apart."""
+    a, b = r.normal(size=(2, n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= a * (a * b).sum(1, keepdims=True)
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = np.linspace(0.951, 0.97, n)[:, None]
+    return np.concatenate([a, c * a + np.sqrt(1 - c * c) * b])
+
+
+@pytest.mark.parametrize("n", [1_000, 51_282, 400_000, 50_000_000])
+@pytest.mark.parametrize("dim", [24, 64, 100])
+def test_close_vectors_meet_whatever_the_number(n, dim):
+    x = close_pairs(3000, dim, np.random.default_rng(n + dim))
+    tables, length = embeddings.layout(n, 0.95)
+    assert tables >= 4 and length >= 16
+    bit = (x @ embeddings.hyperplanes(x, 64, tables, length) >= 0).reshape(len(x), -1, length)
+    assert ((bit[:3000] != bit[3000:]).sum(2) <= 1).any(1).mean() > 0.98
+
+
+@pytest.mark.parametrize("n", [400_000, 50_000_000])
+def test_embeddings_in_the_layout_of_a_large_table(spark, n, monkeypatch):
+    of = embeddings.layout
+    monkeypatch.setattr(embeddings, "layout", lambda _, least: of(n, least))
+    x = close_pairs(400, 64, np.random.default_rng(n))
+    got = {q.vec_id: q.n_links for q in embeddings.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert sum(got.values()) >= 0.97 * near.sum() and all(got[i] <= k for i, k in enumerate(near.sum(1)))
+
+
 def test_embeddings_of_few_vectors(spark):
     got = embeddings.near_duplicates(spark.createDataFrame([(2, [1.0, 0.0]), (1, [1.0, 0.01]), (3, [0.0, 1.0]), (4, [1.0])], "vec_id long, embedding array<double>")).collect()
     assert sorted(map(tuple, got)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
