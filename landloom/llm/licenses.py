@@ -1,7 +1,7 @@
 """License scans: ordered signature rules behind a keyword filter.
 
-A rule is a regular expression over lower-cased text with a label, a priority, a confidence and the keywords that a text must
-hold for the rule to be tried. Rules are made from license families times phrase templates. Detections are resolved in
+A rule is a regular expression over lower-cased text with a label, a priority, a confidence and the keywords of which a text
+must hold some for the rule to be tried. Those are read off the expression, so that no text with a match lacks them. Rules are made from license families times phrase templates. Detections are resolved in
 order of priority: one whose interval lies within a kept detection's interval is suppressed.
 
 A map over whole texts: nothing is shuffled."""
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from re import _parser as parser
 
 import numpy as np
 import pyarrow as pa
@@ -21,31 +22,31 @@ from landloom.llm.common import LOWER, NOT_ALNUM, annotate, table, utf8, word_bo
 # fixed values: phrases and their labels
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label, name as a pattern, keyword
+#: label, name as a pattern
 FAMILIES = [
-    ("mit", r"(?:the\s+)?mit", "mit"), ("expat", "expat", "expat"), ("x11", "x11", "x11"), ("isc", "isc", "isc"), ("zlib", "zlib", "zlib"), ("libpng", "libpng", "libpng"),
-    ("apache-1.1", r"apache(?:\s+software)?(?:\s+licen[sc]e)?,?\s*(?:version\s*|v)?1\.1", "apache"), ("apache-2", r"apache(?:\s+licen[sc]e)?[\s,-]*(?:version\s*|v)?2(?:\.0)?", "apache"),
-    ("bsd-2-clause", r"(?:2-clause|simplified|freebsd)\s+bsd|bsd[\s-]2[\s-]clause", "bsd"), ("bsd-3-clause", r"(?:3-clause|new|modified|revised)\s+bsd|bsd[\s-]3[\s-]clause", "bsd"), ("bsd-4-clause", r"(?:4-clause|original)\s+bsd|bsd[\s-]4[\s-]clause", "bsd"), ("0bsd", "0bsd", "0bsd"), ("bsd", "bsd", "bsd"),
-    ("mpl-1.1", r"(?:mozilla\s+public\s+licen[sc]e|mpl)[\s,-]*(?:version\s*|v)?1\.1", "m"), ("mpl-2.0", r"(?:mozilla\s+public\s+licen[sc]e|mpl)[\s,-]*(?:version\s*|v)?2(?:\.0)?", "m"),
-    ("epl-1.0", r"(?:eclipse\s+public\s+licen[sc]e|epl)[\s,-]*(?:version\s*|v)?1(?:\.0)?", "e"), ("epl-2.0", r"(?:eclipse\s+public\s+licen[sc]e|epl)[\s,-]*(?:version\s*|v)?2(?:\.0)?", "e"),
-    ("cddl-1.0", r"(?:common\s+development\s+and\s+distribution\s+licen[sc]e|cddl)", "d"), ("artistic-2.0", r"artistic\s+licen[sc]e[\s,-]*2(?:\.0)?", "artistic"), ("artistic-1.0", r"artistic", "artistic"),
-    ("bsl-1.0", r"boost\s+software\s+licen[sc]e|boost", "boost"), ("eupl-1.2", r"eupl(?:[\s-]*(?:version\s*|v)?1\.2)?|european\s+union\s+public\s+licen[sc]e", "eu"), ("odbl-1.0", r"odbl|open\s+database\s+licen[sc]e", "d"), ("odc-by-1.0", r"odc[\s-]by|open\s+data\s+commons\s+attribution", "od"), ("pddl-1.0", r"pddl|public\s+domain\s+dedication\s+and\s+licen[sc]e", "pd"),
-    ("ofl-1.1", r"(?:sil\s+)?open\s+font\s+licen[sc]e|ofl", "o"), ("postgresql", "postgresql", "postgresql"), ("python-2.0", r"python(?:\s+software\s+foundation)?", "python"), ("openssl", "openssl", "openssl"), ("ms-pl", r"ms[\s-]pl|microsoft\s+public", "m"), ("ms-rl", r"ms[\s-]rl|microsoft\s+reciprocal", "m"),
-    ("unlicense", "unlicense", "unlicense"), ("wtfpl", r"wtfpl", "wtfpl"), ("vim", "vim", "vim"), ("afl-3.0", r"academic\s+free\s+licen[sc]e|afl", "a"), ("osl-3.0", r"open\s+software\s+licen[sc]e|osl", "o"), ("ncsa", r"ncsa|university\s+of\s+illinois", "n"), ("upl-1.0", r"universal\s+permissive|upl", "u"), ("zpl-2.1", r"zope\s+public|zpl", "z"), ("cecill-2.1", r"cecill", "cecill"), ("lppl-1.3c", r"lppl|latex\s+project\s+public", "l"), ("ruby", "ruby", "ruby"), ("php-3.01", "php", "php"), ("w3c", "w3c", "w3c"), ("ogl-3.0", r"open\s+government\s+licen[sc]e(?:\s+v?3(?:\.0)?)?", "open government"),
-    ("cc0-1.0", r"cc0(?:[\s-]1\.0)?|creative\s+commons\s+zero", "c"),
-    *[(f"{short}-{v}", rf"(?:{long}|{short})[\s,-]*(?:version\s*|v)?{v[0]}(?:\.{v[2]})?", short[-3:] if short != "gpl" else "g") for short, long, vs in (("gpl", r"gnu\s+general\s+public\s+licen[sc]e", ("2.0", "3.0")), ("lgpl", r"gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2.1", "3.0")), ("agpl", r"gnu\s+affero\s+general\s+public\s+licen[sc]e", ("3.0",)), ("gfdl", r"gnu\s+free\s+documentation\s+licen[sc]e", ("1.2", "1.3"))) for v in vs],
-    *[(f"cc-by{'-' * bool(x)}{x}-{v}.0", rf"(?:cc|creative\s+commons)[\s-]+by{''.join(rf'[\s-]+{y}' for y in x.split('-') if y)}[\s,-]+(?:version\s*|v)?{v}(?:\.0)?", "by") for x in ("", "sa", "nd", "nc", "nc-sa", "nc-nd") for v in (2, 3, 4)],
+    ("mit", r"(?:the\s+)?mit"), ("expat", "expat"), ("x11", "x11"), ("isc", "isc"), ("zlib", "zlib"), ("libpng", "libpng"),
+    ("apache-1.1", r"apache(?:\s+software)?(?:\s+licen[sc]e)?,?\s*(?:version\s*|v)?1\.1"), ("apache-2", r"apache(?:\s+licen[sc]e)?[\s,-]*(?:version\s*|v)?2(?:\.0)?"),
+    ("bsd-2-clause", r"(?:2-clause|simplified|freebsd)\s+bsd|bsd[\s-]2[\s-]clause"), ("bsd-3-clause", r"(?:3-clause|new|modified|revised)\s+bsd|bsd[\s-]3[\s-]clause"), ("bsd-4-clause", r"(?:4-clause|original)\s+bsd|bsd[\s-]4[\s-]clause"), ("0bsd", "0bsd"), ("bsd", "bsd"),
+    ("mpl-1.1", r"(?:mozilla\s+public\s+licen[sc]e|mpl)[\s,-]*(?:version\s*|v)?1\.1"), ("mpl-2.0", r"(?:mozilla\s+public\s+licen[sc]e|mpl)[\s,-]*(?:version\s*|v)?2(?:\.0)?"),
+    ("epl-1.0", r"(?:eclipse\s+public\s+licen[sc]e|epl)[\s,-]*(?:version\s*|v)?1(?:\.0)?"), ("epl-2.0", r"(?:eclipse\s+public\s+licen[sc]e|epl)[\s,-]*(?:version\s*|v)?2(?:\.0)?"),
+    ("cddl-1.0", r"(?:common\s+development\s+and\s+distribution\s+licen[sc]e|cddl)"), ("artistic-2.0", r"artistic\s+licen[sc]e[\s,-]*2(?:\.0)?"), ("artistic-1.0", r"artistic"),
+    ("bsl-1.0", r"boost\s+software\s+licen[sc]e|boost"), ("eupl-1.2", r"eupl(?:[\s-]*(?:version\s*|v)?1\.2)?|european\s+union\s+public\s+licen[sc]e"), ("odbl-1.0", r"odbl|open\s+database\s+licen[sc]e"), ("odc-by-1.0", r"odc[\s-]by|open\s+data\s+commons\s+attribution"), ("pddl-1.0", r"pddl|public\s+domain\s+dedication\s+and\s+licen[sc]e"),
+    ("ofl-1.1", r"(?:sil\s+)?open\s+font\s+licen[sc]e|ofl"), ("postgresql", "postgresql"), ("python-2.0", r"python(?:\s+software\s+foundation)?"), ("openssl", "openssl"), ("ms-pl", r"ms[\s-]pl|microsoft\s+public"), ("ms-rl", r"ms[\s-]rl|microsoft\s+reciprocal"),
+    ("unlicense", "unlicense"), ("wtfpl", r"wtfpl"), ("vim", "vim"), ("afl-3.0", r"academic\s+free\s+licen[sc]e|afl"), ("osl-3.0", r"open\s+software\s+licen[sc]e|osl"), ("ncsa", r"ncsa|university\s+of\s+illinois"), ("upl-1.0", r"universal\s+permissive|upl"), ("zpl-2.1", r"zope\s+public|zpl"), ("cecill-2.1", r"cecill"), ("lppl-1.3c", r"lppl|latex\s+project\s+public"), ("ruby", "ruby"), ("php-3.01", "php"), ("w3c", "w3c"), ("ogl-3.0", r"open\s+government\s+licen[sc]e(?:\s+v?3(?:\.0)?)?"),
+    ("cc0-1.0", r"cc0(?:[\s-]1\.0)?|creative\s+commons\s+zero"),
+    *[(f"{short}-{v}", rf"(?:{long}|{short})[\s,-]*(?:version\s*|v)?{v[0]}(?:\.{v[2]})?") for short, long, vs in (("gpl", r"gnu\s+general\s+public\s+licen[sc]e", ("2.0", "3.0")), ("lgpl", r"gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2.1", "3.0")), ("agpl", r"gnu\s+affero\s+general\s+public\s+licen[sc]e", ("3.0",)), ("gfdl", r"gnu\s+free\s+documentation\s+licen[sc]e", ("1.2", "1.3"))) for v in vs],
+    *[(f"cc-by{'-' * bool(x)}{x}-{v}.0", rf"(?:cc|creative\s+commons)[\s-]+by{''.join(rf'[\s-]+{y}' for y in x.split('-') if y)}[\s,-]+(?:version\s*|v)?{v}(?:\.0)?") for x in ("", "sa", "nd", "nc", "nc-sa", "nc-nd") for v in (2, 3, 4)],
 ]
 
-#: template, priority, confidence, keyword
+#: template, priority, confidence
 TEMPLATES = [
-    (r"spdx-license-identifier:\s*(?:{n})", 90, 1.0, "spdx"),
-    (r"(?:licen[sc]ed|released|distributed|available|provided|published)\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{n})(?:\s+licen[sc]e)?", 60, 1.0, "under"),
-    (r"licen[sc]e\s*[:=]\s*(?:{n})", 55, 0.9, "licen"),
-    (r"under\s+(?:the\s+)?(?:{n})\s+licen[sc]e", 50, 0.95, "under"),
-    (r"(?:{n})\s+licen[sc]e", 30, 0.7, "licen"),
-    (r"see\s+(?:the\s+)?(?:{n})\s+(?:licen[sc]e|terms)", 20, 0.6, "see"),
-    (r"copyright[^\n]{{0,80}}\b(?:{n})\b", 10, 0.5, "copyright"),
+    (r"spdx-license-identifier:\s*(?:{n})", 90, 1.0),
+    (r"(?:licen[sc]ed|released|distributed|available|provided|published)\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{n})(?:\s+licen[sc]e)?", 60, 1.0),
+    (r"licen[sc]e\s*[:=]\s*(?:{n})", 55, 0.9),
+    (r"under\s+(?:the\s+)?(?:{n})\s+licen[sc]e", 50, 0.95),
+    (r"(?:{n})\s+licen[sc]e", 30, 0.7),
+    (r"see\s+(?:the\s+)?(?:{n})\s+(?:licen[sc]e|terms)", 20, 0.6),
+    (r"copyright[^\n]{{0,80}}\b(?:{n})\b", 10, 0.5),
 ]
 
 
@@ -55,33 +56,63 @@ class Rule:
     pattern: re.Pattern
     priority: int
     confidence: float
-    keywords: tuple[bytes, ...]
+    #: a text with a match holds one word of each set
+    keywords: tuple[frozenset[bytes], ...]
+
+
+def words_needed(parsed) -> list[frozenset[bytes]]:
+    """Sets of literals of two bytes or more, of each of which one stands in whatever the parsed expression matches."""
+    out, run = [], []
+
+    def end():
+        if len(run) > 1:
+            out.append(frozenset([bytes(run)]))
+        run.clear()
+
+    for op, arg in parsed:
+        if op is parser.LITERAL:
+            run.append(arg)
+            continue
+        end()
+        if op is parser.SUBPATTERN:
+            out += words_needed(arg[3])
+        elif op is parser.BRANCH:
+            each = [max(words_needed(x), key=lambda w: min(map(len, w)), default=None) for x in arg[1]]
+            if None not in each:
+                out.append(frozenset().union(*each))
+        elif op is parser.MAX_REPEAT and arg[0] > 0:
+            out += words_needed(arg[2])
+    end()
+    return out
+
+
+def make_rule(label: str, pattern: str, priority: int, confidence: float) -> Rule:
+    return Rule(label, re.compile(pattern.encode()), priority, confidence, tuple(dict.fromkeys(words_needed(parser.parse(pattern.encode())))))
 
 
 def make_rules() -> list[Rule]:
     """In order of priority, then as listed."""
-    out = [Rule(label, re.compile((r"(?<![0-9a-z])" + t.format(n=name) + r"(?![0-9a-z])").encode()), priority, confidence, (word.encode(), key.encode())) for t, priority, confidence, word in TEMPLATES for label, name, key in FAMILIES]
-    out += [Rule("proprietary", re.compile(rb"all\s+rights\s+reserved"), 15, 0.6, (b"rights",)), Rule("public-domain", re.compile(rb"(?:dedicated\s+to|in)\s+the\s+public\s+domain"), 40, 0.8, (b"public",))]
+    out = [make_rule(label, r"(?<![0-9a-z])" + t.format(n=name) + r"(?![0-9a-z])", priority, confidence) for t, priority, confidence in TEMPLATES for label, name in FAMILIES]
+    out += [make_rule("proprietary", r"all\s+rights\s+reserved", 15, 0.6), make_rule("public-domain", r"(?:dedicated\s+to|in)\s+the\s+public\s+domain", 40, 0.8)]
     return sorted(out, key=lambda r: -r.priority)
 
 
 WORD = rb"0-9a-z\x80-\xff"
 #: The first word is found as a literal; that no word character stands before it is checked afterwards.
 PHRASES = [(re.compile((rb"[^" + WORD + rb"]+").join(p.encode().split()) + rb"(?![" + WORD + rb"])"), p.split()[-1].encode(), label) for p, label in BASE.items()]
-GATES = (b"licen", b"spdx", b"copyright", b"public domain", b"rights reserved", b"under ")
 
 
 def detect(low: bytes, rules: list[Rule]) -> list[tuple[int, int, str, float]]:
     """(start, end, label, confidence) in bytes, of what is left after suppression."""
     kept: list[tuple[int, int, str, float]] = []
-    if not any(g in low for g in GATES[:5]) and not (GATES[5] in low and (b"cc" in low or b"license" in low)):
-        return kept
-    has: dict[bytes, bool] = {}
+    has: dict[frozenset[bytes], bool] = {}
     for rule in rules:
         for k in rule.keywords:
             if k not in has:
-                has[k] = k in low
-        if all(has[k] for k in rule.keywords):
+                has[k] = any(w in low for w in k)
+            if not has[k]:
+                break
+        else:
             for m in rule.pattern.finditer(low):
                 if not any(a <= m.start() and m.end() <= b for a, b, _, _ in kept):
                     kept.append((m.start(), m.end(), rule.label, rule.confidence))

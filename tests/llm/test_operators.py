@@ -245,6 +245,67 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def examples(parsed):
+    """Strings that the parsed expression matches: each alternative, optional parts left out, white space as a line break."""
+    from re import _parser as p
+
+    out = [b""]
+    for op, arg in parsed:
+        more = [b""]
+        if op is p.LITERAL:
+            more = [bytes([arg])]
+        elif op is p.SUBPATTERN:
+            more = examples(arg[3])
+        elif op is p.BRANCH:
+            more = [x for own in arg[1] for x in examples(own)]
+        elif op is p.MAX_REPEAT and arg[0]:
+            more = examples(arg[2])
+        elif op is p.IN:
+            more = [bytes([v]) if k is p.LITERAL else b"\n" for k, v in arg]
+        elif op is p.AT:
+            more = [b" "]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_license_filter_loses_no_alternative():
+    from dataclasses import replace
+    from re import _parser as p
+
+    rules = licenses.make_rules()
+    every = [replace(r, keywords=()) for r in rules]
+    assert len(rules) == len(licenses.TEMPLATES) * len(licenses.FAMILIES) + 2 and all(r.keywords for r in rules)
+    for rule in rules:
+        some = examples(p.parse(rule.pattern.pattern))
+        for text in some[:: max(1, len(some) // 200)]:
+            assert rule.pattern.search(text)
+            assert all(any(w in text for w in k) for k in rule.keywords)
+    for rule in rules[::7]:
+        text = examples(p.parse(rule.pattern.pattern))[-1]
+        assert licenses.detect(text, rules) == licenses.detect(text, every) != []
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("released under the GPL v3", "gpl-3.0"),
+        ("distributed under MPL 2.0", "mpl-2.0"),
+        ("see the MIT terms", "mit"),
+        ("it is in the public\ndomain", "public-domain"),
+        ("all rights\nreserved", "proprietary"),
+        ("available under\nzlib", "zlib"),
+        ("licensed under the GNU Lesser General Public License version 2.1", "lgpl-2.1"),
+        ("licensed under the GNU Affero General Public License version 3", "agpl-3.0"),
+        ("licensed under the GNU Free Documentation License 1.3", "gfdl-1.3"),
+        ("published under Open Data Commons Attribution", "odc-by-1.0"),
+        ("published under the Public Domain Dedication and Licence", "pddl-1.0"),
+        ("published under the open  government licence", "ogl-3.0"),
+    ],
+)
+def test_licenses_in_other_words(text, label):
+    assert label in [x[2] for x in licenses.detect(text.lower().encode(), licenses.make_rules())]
+
+
 def test_contained_detections_of_lower_priority_are_suppressed():
     rules = licenses.make_rules()
     found = licenses.detect(b"licensed under the apache license, version 2.0", rules)
