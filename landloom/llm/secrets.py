@@ -4,9 +4,10 @@ Labelled credentials of each kind are turned into strings of character classes.
 probabilistic automaton: states in breadth-first order are merged with an earlier state when the frequencies of ending and of
 each next symbol, and those of the states they lead to, differ by no more than Hoeffding's bound allows. Every other
 token that could be a credential is then scored by its log-likelihood under the best automaton against a background of
-ordinary candidates, per symbol; a token as typical as all but a few labelled credentials is added.
+ordinary candidates (a chain of pairs of symbols), per symbol; a token as typical as all but a few labelled credentials is added.
 
-One map over whole texts finds spans and candidates; the automata come from at most sample credentials a kind (a documented
+Two maps over whole texts: one finds labelled credentials and a sample of the background, the other finds spans and scores all
+candidates. The automata come from at most sample credentials a kind (a documented
 bound of the classifier, chosen by hash) and are a few states each."""
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
+from heapq import nsmallest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +31,9 @@ ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile("AKIA[A-Z0-9]{16,}")  # runs of fewer have no later start that is long enough
 HEX = re.compile("[0-9a-f]{24,}")
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-CANDIDATE = re.compile("[A-Za-z0-9+/_=-]{16,}")
+#: runs of the characters and of the least length of labelled credentials; their pieces between full stops and equals signs
+CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{6,}")
+PIECE = re.compile("[A-Za-z0-9+/_-]{6,}")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int, str]]:
@@ -44,18 +49,24 @@ def base_spans(text: str) -> list[tuple[int, str, int, str]]:
 
 
 def candidates(text: str, taken: list[tuple[int, str, int, str]]) -> list[tuple[int, int, str]]:
-    """Tokens that could be credentials: 16 characters or more with a digit and a letter, outside the spans given."""
+    """Tokens that could be credentials, outside the spans given: each run, then what is left of it without
+    full stops and equals signs around, then its pieces."""
     out = []
     for m in CANDIDATE.finditer(text):
-        x = m[0]
-        if any(c.isdigit() for c in x) and any(c.isalpha() for c in x) and not any(a < m.end() and m.start() < b for a, _, b, _ in taken):
-            out.append((m.start(), m.end(), x))
+        own = [m.span()]
+        if "." in m[0] or "=" in m[0]:
+            core = m.start() + len(m[0]) - len(m[0].lstrip(".=")), m.end() - len(m[0]) + len(m[0].rstrip(".="))
+            own = list(dict.fromkeys([*own, *([core] if core[1] - core[0] >= 6 else []), *[x.span() for x in PIECE.finditer(text, *m.span())]]))
+        out += [(x, y, text[x:y]) for x, y in own if not any(a < y and x < b for a, _, b, _ in taken)]
     return out
 
 
+SYMBOLS = str.maketrans({**{c: "0" for c in "0123456789"}, **{c: "f" if c <= "f" else "z" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: "Z" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}})
+
+
 def classes(token: str) -> str:
     """A token as symbols: digit, a-f, other lower-case, upper-case; other characters stand for themselves."""
-    return "".join("0" if c.isdigit() else "f" if "a" <= c <= "f" else "z" if c.islower() else "Z" if c.isupper() else c for c in token[:64])
+    return token.translate(SYMBOLS)
 
 
 def infer(words: list[str], alpha: float = 0.05, least: int = 10) -> list[tuple[float, dict[str, tuple[float, int]]]]:
@@ -82,9 +93,9 @@ def infer(words: list[str], alpha: float = 0.05, least: int = 10) -> list[tuple[
         return bool(n and m) and abs(x / n - y / m) > bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
 
     def compatible(p: int, q: int) -> bool:
-        stack = [(p, q, 0)]
+        stack = [(p, q)]
         while stack:
-            a, b, depth = stack.pop()
+            a, b = stack.pop()
             if min(counts[a], counts[b]) < least:
                 continue
             if differ(ends[a], counts[a], ends[b], counts[b]):
@@ -93,8 +104,8 @@ def infer(words: list[str], alpha: float = 0.05, least: int = 10) -> list[tuple[
                 x, y = tree[a].get(c), tree[b].get(c)
                 if differ(counts[x] if x is not None else 0, counts[a], counts[y] if y is not None else 0, counts[b]):
                     return False
-                if x is not None and y is not None and x != y and depth < 40:
-                    stack.append((x, y, depth + 1))
+                if x is not None and y is not None and x != y:
+                    stack.append((x, y))
         return True
 
     def fold(p: int, q: int) -> None:
@@ -151,11 +162,19 @@ def likelihood(automaton, w: str) -> float:
     return out + math.log(automaton[at][0])
 
 
+def chain(words: list[str], backed: float = 5.0) -> dict[str, float]:
+    """Log-probabilities of pairs of neighbouring symbols, the start and the end of a word (a blank) among them: the second
+    given the first, smoothed by how common it is."""
+    single = Counter("0fzZ+/_=-. ") + Counter(c for w in words for c in w + " ")
+    total = sum(single.values())
+    pairs = Counter(x + y for w in words for x, y in zip(" " + w, w + " ", strict=True))
+    before = Counter(c for w in words for c in " " + w)
+    return {x + y: math.log((pairs[x + y] + backed * n / total) / (before[x] + backed)) for x in single for y, n in single.items()}
+
+
 def learn(positives: dict[str, list[str]], others: list[str], quantile: float = 0.1):
-    """(kind, automaton, threshold) of each kind with enough examples, and log-probabilities of the background's symbols."""
-    seen = Counter(c for w in others for c in classes(w)) + Counter("0fzZ+/_=-.")
-    total = sum(seen.values())
-    background = {c: math.log(n / total) for c, n in seen.items()}
+    """(kind, automaton, threshold) of each kind with enough examples, and the background's log-probabilities."""
+    background = chain([classes(w) for w in others])
     out = []
     for kind, tokens in sorted(positives.items()):
         words = sorted(classes(x) for x in tokens)
@@ -168,7 +187,7 @@ def learn(positives: dict[str, list[str]], others: list[str], quantile: float =
 
 def odds(automaton, background: dict[str, float], w: str) -> float:
     """Log-likelihood ratio against the background, per symbol."""
-    return (likelihood(automaton, w) - sum(background.get(c, -8.0) for c in w)) / (len(w) + 1)
+    return (likelihood(automaton, w) - sum(background.get(x + y, -8.0) for x, y in zip(" " + w, w + " ", strict=True))) / (len(w) + 1)
 
 
 def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
@@ -179,37 +198,56 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
     patterns' spans are all. Other columns ride along in row; an empty table gives an empty result."""
     spans = "array<struct<start:long,kind:string,end:long,token:string>>"
 
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64()), ("token", pa.string())]))
+    least_hash = lambda x: (zlib.crc32(x.encode()), x)
+
+    def labelled(column: pa.Array) -> dict:
+        """Spans of the fixed patterns; with a block's first text, the sample of its candidates, as spans too."""
+        out, others = [], set()
+        for t in column.to_pylist():
+            own = base_spans(t or "")
+            out.append([{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own])
+            others.update(x for _, _, x in candidates(t or "", own))
+        if out:
+            out[0] += [{"start": 0, "kind": "format", "end": 0, "token": x} for x in nsmallest(sample, others, key=least_hash)]
+        return {"base": pa.array(out, kind)}
+
+    tokens = save(annotate(docs.select(text), text, f"base {spans}", labelled).select(F.explode("base").alias("z")).select("z.kind", "z.token").distinct())
+    by = {"format": F.crc32(F.col("token").cast("binary"))}
+    bounded = {k: [r.token for r in tokens.where(F.col("kind") == k).orderBy(by.get(k, F.xxhash64("token")), "token").limit(sample).collect()] for k in (*KINDS, "format")}
+    forget(tokens)
+    others = bounded.pop("format")
+    automata, background = learn(bounded, others)
+    known: dict[str, bool] = {}
+
+    def typical(token: str) -> bool:
+        w = classes(token)
+        if len(w) > 64:
+            return any(odds(a, background, w) >= least for _, a, least in automata)
+        if w not in known:
+            if len(known) >= 1 << 17:
+                known.clear()
+            known[w] = any(odds(a, background, w) >= least for _, a, least in automata)
+        return known[w]
+
     def make(column: pa.Array) -> dict:
-        out: dict[str, list] = {"base": [], "more": []}
+        out: dict[str, list] = {"base": [], "added": []}
         for t in column.to_pylist():
             own = base_spans(t or "")
             out["base"].append([{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own])
-            out["more"].append([{"start": a, "kind": "format", "end": b, "token": x} for a, b, x in candidates(t or "", own)])
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64()), ("token", pa.string())]))
+            more, upto = [], 0
+            for a, b, x in candidates(t or "", own) if automata else []:
+                if b > upto and typical(x):  # a piece of an added run is none of its own
+                    more.append({"start": a, "kind": "format", "end": b, "token": x})
+                    upto = b
+            out["added"].append(more)
         return {c: pa.array(v, kind) for c, v in out.items()}
 
     rest = [c for c in docs.columns if c != text]
-    found = save(annotate(docs, text, f"base {spans}, more {spans}", make).select(F.struct(*[F.col("row").getField(c).alias(c) for c in rest]).alias("row"), "base", "more"))
-    tokens = found.select(F.explode(F.concat("base", "more")).alias("z")).select("z.kind", "z.token").distinct()
-    bounded = {k: [r.token for r in tokens.where(F.col("kind") == k).orderBy(F.xxhash64("token"), "token").limit(sample).collect()] for k in (*KINDS, "format")}
-    others = bounded.pop("format")
-    automata, background = learn(bounded, others)
-
-    def typical(column: pa.Array) -> pa.Array:
-        flags = []
-        for own in column.to_pylist():
-            words = [classes(z["token"]) for z in own]
-            flags.append([any(odds(a, background, w) >= least for _, a, least in automata) for w in words])
-        return pa.array(flags, pa.list_(pa.bool_()))
-
-    typical_udf = F.arrow_udf(typical, "array<boolean>")
+    scored = annotate(docs, text, f"base {spans}, added {spans}", make).select(F.struct(*[F.col("row").getField(c).alias(c) for c in rest]).alias("row"), "base", "added")
     order = {k: i for i, k in enumerate((*KINDS, "format"))}
     rank = lambda z: F.struct(z["start"].alias("start"), F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), z["kind"]).alias("rank"), z["kind"].alias("kind"), z["end"].alias("end"))
-    scored = found.withColumn("flags", F.when(F.size("more") > 0, typical_udf("more")))
-    added = F.transform(F.filter(F.arrays_zip(F.col("more").alias("z"), F.col("flags").alias("f")), lambda x: x["f"]), lambda x: x["z"])
-    return scored.select("row", "base", F.when(F.size("more") > 0, added).otherwise(F.slice("more", 1, 0)).alias("added")).select(
-        "row", F.sort_array(F.transform("base", rank)).alias("base"), F.sort_array(F.transform(F.concat("base", "added"), rank)).alias("spans")
-    )
+    return scored.select("row", F.sort_array(F.transform("base", rank)).alias("base"), F.sort_array(F.transform(F.concat("base", "added"), rank)).alias("spans"))
 
 
 def joined(column):

@@ -327,6 +327,28 @@ def test_secrets(spark):
     assert secrets.find(frame(spark, [])).count() == 0
 
 
+def test_secrets_are_scored_whole_and_of_any_labelled_form(spark):
+    r = random.Random(12)
+    short = lambda: "".join(r.choices("0123456789", k=4)) + "." + "".join(r.choices("0123456789", k=6))
+    hexes = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(60)]
+    words = ["".join(r.choices("eastrnoidlu", k=r.randint(4, 11))) for _ in range(3000)]
+    texts = [f"{' '.join(r.choices(words, k=20))} token: {short()} {h}" for h in hexes]
+    texts += [f"an {short()} b", f"It is {short()}.", "zz-" + "z-" * 40 + "z", f"{hexes[0].upper()[:20]}{'+/zq-_' * 40}", " ".join(words[:300]), hexes[1][:12] + "/" * 3000]
+    got = {x.doc_id: x.spans for x in secrets.find(frame(spark, list(enumerate(texts)))).select("row.doc_id", "spans").collect()}
+    assert [(s.kind, s.start, s.end) for s in got[60]] == [("format", 3, 14)]
+    assert any(s.kind == "format" and s.start == 6 and s.end >= 17 for s in got[61])
+    assert [s for k in (62, 63, 64, 65) for s in got[k]] == []
+    assert not any(s.kind == "format" for k in range(60) for s in got[k])
+
+
+def test_automata_compare_states_to_the_full_depth():
+    body = "0f" * 40
+    words = [a + body + b * 8 for a, b in (("f", "Z"), ("0", "z")) for _ in range(300)]
+    a = secrets.infer(words)
+    assert secrets.likelihood(a, "f" + body + "Z" * 8) > secrets.likelihood(a, "f" + body + "z" * 8) + 4
+    assert len(secrets.classes("a" * 500)) == 500
+
+
 def test_automata_tell_formats_apart():
     r = random.Random(6)
     hexes = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(200)]
