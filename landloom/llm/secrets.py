@@ -15,15 +15,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-import zlib
 from collections import Counter
-from heapq import nsmallest
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import annotate, forget, save, table
+from landloom.llm.common import BYTE_VALUES, annotate, forget, prefixes, save, signed, spans, table, utf8, word_bounds
 
 # fixed values: the kinds and their patterns
 KINDS = ("assign", "access", "hex")
@@ -31,8 +31,10 @@ ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile("AKIA[A-Z0-9]{16,}")  # runs of fewer have no later start that is long enough
 HEX = re.compile("[0-9a-f]{24,}")
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: runs of the characters and of the least length of labelled credentials; their pieces between full stops and equals signs
-CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{6,}")
+#: Of labelled credentials: the characters (runs of them are candidates) and the least length.
+CREDENTIAL = re.compile("[A-Za-z0-9+/_.=-]")
+LEAST = 6
+#: Pieces of a run between its full stops and equals signs.
 PIECE = re.compile("[A-Za-z0-9+/_-]{6,}")
 
 
@@ -48,25 +50,56 @@ def base_spans(text: str) -> list[tuple[int, str, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[1])))
 
 
-def candidates(text: str, taken: list[tuple[int, str, int, str]]) -> list[tuple[int, int, str]]:
-    """Tokens that could be credentials, outside the spans given: each run, then what is left of it without
-    full stops and equals signs around, then its pieces."""
-    out = []
-    for m in CANDIDATE.finditer(text):
-        own = [m.span()]
-        if "." in m[0] or "=" in m[0]:
-            core = m.start() + len(m[0]) - len(m[0].lstrip(".=")), m.end() - len(m[0]) + len(m[0].rstrip(".="))
-            own = list(dict.fromkeys([*own, *([core] if core[1] - core[0] >= 6 else []), *[x.span() for x in PIECE.finditer(text, *m.span())]]))
-        out += [(x, y, text[x:y]) for x, y in own if not any(a < y and x < b for a, _, b, _ in taken)]
-    return out
-
-
-SYMBOLS = str.maketrans({**{c: "0" for c in "0123456789"}, **{c: "f" if c <= "f" else "z" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: "Z" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}})
+SYMBOLS = {**{c: "0" for c in "0123456789"}, **{c: "f" if c <= "f" else "z" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: "Z" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}}
+SYMBOL_OF_BYTE = np.array([ord(SYMBOLS.get(chr(b), chr(b))) for b in range(256)], np.uint8)
+GAP = np.array([not CREDENTIAL.match(chr(b)) for b in range(256)])
 
 
 def classes(token: str) -> str:
     """A token as symbols: digit, a-f, other lower-case, upper-case; other characters stand for themselves."""
-    return token.translate(SYMBOLS)
+    return token.translate(str.maketrans(SYMBOLS))
+
+
+def parts_of(run: str) -> list[tuple[int, int]]:
+    """What of a run could be a credential: all of it, then what is left without full stops and equals signs around, then its
+    pieces between those. Symbols do as well as characters."""
+    own = [(0, len(run))]
+    if "." in run or "=" in run:
+        core = len(run) - len(run.lstrip(".=")), len(run.rstrip(".="))
+        own += [core] * (core[1] - core[0] >= LEAST) + [m.span() for m in PIECE.finditer(run)]
+    return list(dict.fromkeys(own))
+
+
+@dataclass
+class Runs:
+    """All runs of a column's bytes that are long enough to be candidates, in order."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    text: np.ndarray  # which text each is in
+    at: np.ndarray  # code points of its text before it
+
+    @classmethod
+    def of(cls, column: pa.Array) -> Runs:
+        data, offsets = utf8(column)
+        starts, ends, _ = word_bounds(data, offsets, GAP)
+        long = ends - starts >= LEAST
+        starts, ends = starts[long], ends[long]
+        text = np.searchsorted(offsets, starts, "right") - 1
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        return cls(data, starts, ends, text, points[starts] - points[offsets[text]])
+
+    def distinct(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, first place, number of each run's) of the distinct runs of data, which is bytes or symbols."""
+        return np.unique(spans(prefixes(BYTE_VALUES[data]), self.starts, self.ends), return_index=True, return_inverse=True)
+
+    def read(self, data: np.ndarray, i: int) -> str:
+        return data[self.starts[i] : self.ends[i]].tobytes().decode("ascii")
+
+
+def free(start: int, end: int, taken: list[tuple[int, str, int, str]]) -> bool:
+    return not any(a < end and start < b for a, _, b, _ in taken)
 
 
 def infer(words: list[str], alpha: float = 0.05, least: int = 10) -> list[tuple[float, dict[str, tuple[float, int]]]]:
@@ -74,7 +107,8 @@ def infer(words: list[str], alpha: float = 0.05, least: int = 10) -> list[tuple[
 
     States seen fewer than least times carry too little evidence to tell apart and are merged with the first state kept.
     Probabilities are counted over words once the states stand, half a count added to each."""
-    ends, counts, tree = [0], [0], [{}]
+    ends, counts, depth, tree = [0], [0], [0], [{}]
+    place = {0: 0}  # of each kept state
     for w in words:
         at = 0
         counts[0] += 1
@@ -84,6 +118,7 @@ def infer(words: list[str], alpha: float = 0.05, least: int = 10) -> list[tuple[
                 tree.append({})
                 ends.append(0)
                 counts.append(0)
+                depth.append(depth[at] + 1)
             at = tree[at][c]
             counts[at] += 1
         ends[at] += 1
@@ -122,23 +157,20 @@ def infer(words: list[str], alpha: float = 0.05, least: int = 10) -> list[tuple[
                     tree[a][c] = y
 
     kept = [0]
-    queue = [(0, c) for c in sorted(tree[0])]
-    while queue:
-        p, c = queue.pop(0)
-        q = tree[p].get(c)
-        if q is None or q in kept:
-            continue
+    while True:
+        # the states next to kept ones, which may have gained symbols by a fold; those nearest to the start come first
+        loose = [(depth[t], t, p, c) for p in kept for c, t in tree[p].items() if t not in place]
+        if not loose:
+            break
+        _, q, p, c = min(loose)
         same = next((r for r in kept if compatible(r, q)), None)
         if same is None:
+            place[q] = len(kept)
             kept.append(q)
-            queue += [(q, x) for x in sorted(tree[q])]
         else:
             tree[p][c] = same
-            before = set(tree[same])
             fold(same, q)
-            queue += [(same, x) for x in sorted(set(tree[same]) - before)]
-    index = {s: i for i, s in enumerate(kept)}
-    moves = [{c: index.get(t, 0) for c, t in tree[s].items()} for s in kept]
+    moves = [{c: place[t] for c, t in tree[s].items()} for s in kept]
     seen = [Counter() for _ in kept]
     for w in words:
         at = 0
@@ -196,55 +228,61 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
 
     Null and empty texts have none. Where no kind has 20 labelled credentials there is nothing to infer, and the fixed
     patterns' spans are all. Other columns ride along in row; an empty table gives an empty result."""
-    spans = "array<struct<start:long,kind:string,end:long,token:string>>"
-
+    fields = "array<struct<start:long,kind:string,end:long,token:string>>"
     kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64()), ("token", pa.string())]))
-    least_hash = lambda x: (zlib.crc32(x.encode()), x)
 
     def labelled(column: pa.Array) -> dict:
-        """Spans of the fixed patterns; with a block's first text, the sample of its candidates, as spans too."""
-        out, others = [], set()
-        for t in column.to_pylist():
-            own = base_spans(t or "")
-            out.append([{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own])
-            others.update(x for _, _, x in candidates(t or "", own))
+        """Spans of the fixed patterns; with a block's first text, the runs of least hash outside them, whose start is the hash."""
+        base = [base_spans(t or "") for t in column.to_pylist()]
+        out = [[{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own] for own in base]
+        runs, others = Runs.of(column), []
+        hashes, first, which = runs.distinct(runs.data)
+        clear = np.ones(len(runs.text), bool)
+        for i in np.flatnonzero(np.isin(runs.text, [k for k, own in enumerate(base) if own])).tolist():
+            clear[i] = free(int(runs.at[i]), int(runs.at[i] + runs.ends[i] - runs.starts[i]), base[runs.text[i]])
+        for k in np.flatnonzero(np.bincount(which, clear, len(hashes)) > 0)[:sample].tolist():
+            others.append({"start": int(signed(hashes[k : k + 1])[0]), "kind": "format", "end": 0, "token": runs.read(runs.data, first[k])})
         if out:
-            out[0] += [{"start": 0, "kind": "format", "end": 0, "token": x} for x in nsmallest(sample, others, key=least_hash)]
+            out[0] += others
         return {"base": pa.array(out, kind)}
 
-    tokens = save(annotate(docs.select(text), text, f"base {spans}", labelled).select(F.explode("base").alias("z")).select("z.kind", "z.token").distinct())
-    by = {"format": F.crc32(F.col("token").cast("binary"))}
-    bounded = {k: [r.token for r in tokens.where(F.col("kind") == k).orderBy(by.get(k, F.xxhash64("token")), "token").limit(sample).collect()] for k in (*KINDS, "format")}
+    found = annotate(docs.select(text), text, f"base {fields}", labelled).select(F.explode("base").alias("z"))
+    tokens = save(found.select("z.kind", "z.token", F.when(F.col("z.kind") == "format", F.col("z.start")).otherwise(F.xxhash64("z.token")).alias("h")).distinct())
+    # hashes are in unsigned order
+    order = [F.col("h") < 0, F.col("h"), F.col("token")]
+    bounded = {k: [r.token for r in tokens.where(F.col("kind") == k).orderBy(*order).limit(sample).collect()] for k in (*KINDS, "format")}
     forget(tokens)
-    others = bounded.pop("format")
+    others = [x[a:b] for x in bounded.pop("format") for a, b in parts_of(x)]
     automata, background = learn(bounded, others)
-    known: dict[str, bool] = {}
-
-    def typical(token: str) -> bool:
-        w = classes(token)
-        if len(w) > 64:
-            return any(odds(a, background, w) >= least for _, a, least in automata)
-        if w not in known:
-            if len(known) >= 1 << 17:
-                known.clear()
-            known[w] = any(odds(a, background, w) >= least for _, a, least in automata)
-        return known[w]
+    known: dict[str, list[tuple[int, int]]] = {}
+
+    def typical(run: str) -> list[tuple[int, int]]:
+        """The parts of a run of symbols that are typical; runs of the same symbols are alike."""
+        if run in known:
+            return known[run]
+        good = [(a, b) for a, b in parts_of(run) if any(odds(m, background, run[a:b]) >= least for _, m, least in automata)]
+        if len(run) <= 64 and len(known) < 1 << 17:
+            known[run] = good
+        return good
 
     def make(column: pa.Array) -> dict:
-        out: dict[str, list] = {"base": [], "added": []}
-        for t in column.to_pylist():
-            own = base_spans(t or "")
-            out["base"].append([{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own])
-            more, upto = [], 0
-            for a, b, x in candidates(t or "", own) if automata else []:
-                if b > upto and typical(x):  # a piece of an added run is none of its own
-                    more.append({"start": a, "kind": "format", "end": b, "token": x})
-                    upto = b
-            out["added"].append(more)
-        return {c: pa.array(v, kind) for c, v in out.items()}
+        base = [base_spans(t or "") for t in column.to_pylist()]
+        added: list[list[dict]] = [[] for _ in base]
+        if automata:
+            runs = Runs.of(column)
+            symbols = SYMBOL_OF_BYTE[runs.data]
+            _, first, which = runs.distinct(symbols)
+            good = [typical(runs.read(symbols, i)) for i in first.tolist()]
+            for i in np.flatnonzero(np.array([bool(g) for g in good], bool)[which]).tolist():
+                at, upto, whole = int(runs.at[i]), 0, runs.read(runs.data, i)
+                for a, b in good[which[i]]:
+                    if b > upto and free(at + a, at + b, base[runs.text[i]]):  # a piece of an added run is none of its own
+                        added[runs.text[i]].append({"start": at + a, "kind": "format", "end": at + b, "token": whole[a:b]})
+                        upto = b
+        return {"base": pa.array([[{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own] for own in base], kind), "added": pa.array(added, kind)}
 
     rest = [c for c in docs.columns if c != text]
-    scored = annotate(docs, text, f"base {spans}, added {spans}", make).select(F.struct(*[F.col("row").getField(c).alias(c) for c in rest]).alias("row"), "base", "added")
+    scored = annotate(docs, text, f"base {fields}, added {fields}", make).select(F.struct(*[F.col("row").getField(c).alias(c) for c in rest]).alias("row"), "base", "added")
     order = {k: i for i, k in enumerate((*KINDS, "format"))}
     rank = lambda z: F.struct(z["start"].alias("start"), F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), z["kind"]).alias("rank"), z["kind"].alias("kind"), z["end"].alias("end"))
     return scored.select("row", F.sort_array(F.transform("base", rank)).alias("base"), F.sort_array(F.transform(F.concat("base", "added"), rank)).alias("spans"))

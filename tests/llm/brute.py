@@ -90,3 +90,12 @@ def repeated_bytes(rows, length=200):
         spans = sum(1 for j in range(len(b)) if gone[j] and (not j or not gone[j - 1]))
         out.append((i, len(b), sum(gone), spans, bytes(x for j, x in enumerate(b) if not gone[j])))
     return out
+
+
+def secrets(text):
+    """(kind, start, end) of the fixed patterns, by start, then kind."""
+    either = lambda w: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
+    names = "|".join(either(w) for w in ("password", "passwd", "secret", "token", "api")).replace(either("api"), either("api") + "_?" + either("key"))
+    kinds = {"assign": (f"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), "access": ("(AKIA[A-Z0-9]+)", 1, 20), "hex": ("([0-9a-f]+)", 1, 24)}
+    found = [(m.start(), k, kind, m.end()) for k, (kind, (p, g, n)) in enumerate(kinds.items()) for m in re.finditer(p, text or "") if len(m[g]) >= n]
+    return [(kind, a, b) for a, _, kind, b in sorted(found)]

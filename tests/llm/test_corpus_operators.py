@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -341,6 +342,45 @@ def test_secrets_are_scored_whole_and_of_any_labelled_form(spark):
     assert not any(s.kind == "format" for k in range(60) for s in got[k])
 
 
+def test_secrets_of_the_fixed_patterns_equal_brute_force(spark):
+    r = random.Random(3)
+    bits = ["password", "PassWD", "tokens", "Api_Key", "APIKEY", "secret", " ", " = ", ":", "=", '"', "'", "AKIA", "ABCDEFGH23456789", "0123456789abcdef", "deadbeef", "xyz", ".", "-", "é", "漢", "ſecret", "toKen", "\n"]
+    texts = ["".join(r.choices(bits, k=r.randint(0, 40))) for _ in range(400)] + [None, "", "AKIA" * 30, "a" * 100_000]
+    out = secrets.find(frame(spark, list(enumerate(texts)))).select("row.doc_id", "base", "spans").collect()
+    assert len(out) == len(texts)
+    for x in out:
+        assert [(s.kind, s.start, s.end) for s in x.base] == brute.secrets(texts[x.doc_id])
+        assert {tuple(s) for s in x.base} <= {tuple(s) for s in x.spans}
+        assert all(s.kind != "format" or not any(b.start < s.end and s.start < b.end for b in x.base) for s in x.spans)
+
+
+@pytest.mark.parametrize("seed", range(100))
+def test_automata_of_mixed_formats_hold_every_word(seed):
+    """Every word has a path, probabilities add up to one, and they are those counted along the paths."""
+    r = random.Random(seed)
+    forms = ["0123456789abcdef", "ABCDEFGHIJ0123456789", "abcxyz0123-", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN0123456789+/_.=-"]
+    words = sorted(secrets.classes("".join(r.choices(forms[r.randrange(4)], k=r.randint(6, 60)))) for _ in range(512))
+    automaton = secrets.infer(words)
+    seen = [{} for _ in automaton]
+    for w in words:
+        at = 0
+        for c in (*w, ""):
+            seen[at][c] = seen[at].get(c, 0) + 1
+            at = automaton[at][1][c][1] if c else at
+    for own, (end, steps) in zip(seen, automaton, strict=True):
+        total = sum(own.values()) + 0.5 * (len(steps) + 1)
+        assert end == pytest.approx((own.get("", 0) + 0.5) / total) and set(own) <= {"", *steps}
+        assert all(p == pytest.approx((own.get(c, 0) + 0.5) / total) for c, (p, _) in steps.items())
+        assert end + sum(p for p, _ in steps.values()) == pytest.approx(1)
+
+
+def test_candidates_are_runs_then_cores_then_pieces():
+    runs = secrets.Runs.of(pa.array(["é abc.defghi=", None, "漢short ==abcdef", "abcdefgh"]))
+    got = [(int(t), int(at), runs.read(runs.data, i)) for i, (t, at) in enumerate(zip(runs.text, runs.at, strict=True))]
+    assert got == [(0, 2, "abc.defghi="), (2, 7, "==abcdef"), (3, 0, "abcdefgh")]
+    assert secrets.parts_of("abc.defghi=") == [(0, 11), (0, 10), (4, 10)] and secrets.parts_of("==abcdef") == [(0, 8), (2, 8)]
+
+
 def test_automata_compare_states_to_the_full_depth():
     body = "0f" * 40
     words = [a + body + b * 8 for a, b in (("f", "Z"), ("0", "z")) for _ in range(300)]
