@@ -1,17 +1,18 @@
 """Embedding near-dedup by iterative quantisation and multi-index Hamming tables.
 
-A rotation is learnt on a bounded sample so that the signs of the rotated vectors are balanced codes that keep angles; random
-hyperplanes give the bits that it is short of. Codes are cut into tables, as many as it takes for two vectors at the threshold
-to meet with a chance of RECALL, whatever the number of vectors. A vector stands in the bucket of its part of the code in every table, and probes the
-buckets whose part differs in one bit; pairs a bit apart meet once, in the bucket of the smaller part. All that meet are
-reranked by the cosine of the original vectors in double precision, each pair in the first table in which it meets.
+Rotations are learnt on a bounded sample so that the signs of the rotated vectors are balanced codes that keep angles. Codes
+are cut into tables, as many as it takes for two vectors at the threshold to agree in all bits of at least one of them with a
+chance of RECALL, whatever the number of vectors. Vectors of one bucket of a table are candidates, and candidates are reranked
+by the cosine of the original vectors in double precision, each pair in the first table in which it meets.
 
-Pairs never leave a task: a task returns, per vector, how many others it links with and the smallest id it is connected with
-there. A bucket with very many vectors is dealt over blocks and pairs of blocks. Equal vectors are one from the start."""
+Codes are dealt to tables first, without vectors; vectors then follow to the buckets that hold several. Pairs never leave a
+task: a task returns, per vector, how many others it links with and the smallest id it is connected with there. A bucket with
+very many vectors is dealt over blocks and pairs of blocks. Equal vectors are one from the start."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,104 +24,119 @@ from landloom.llm.common import components, forget, save, table
 SAMPLE = 20_000
 #: The chance that two vectors meet whose cosine is just the threshold; closer ones meet with more.
 RECALL = 0.99
-#: Least number of tables and of bits of one. A table has more bits where a bucket would hold more than FULL vectors.
-TABLES, LENGTH, FULL = 4, 16, 64
+#: Least bits of a table. It has more where a bucket would hold more than FULL vectors.
+LENGTH, FULL = 16, 64
+#: So many buckets of more than a block are broadcast at most (some 30 MB); beyond, a shuffled join marks them.
+MAX_HOT = 1 << 20
 
 
 def layout(n: int, least: float, recall: float = RECALL) -> tuple[int, int]:
-    """(tables, bits of each) for n vectors. A bit differs with chance angle / pi; vectors meet in a table if at most one does."""
-    length = max(LENGTH, math.ceil(math.log2(max(1, n) / FULL)))
-    far = math.acos(max(-1.0, min(1.0, least))) / math.pi
-    meet = (1 - far) ** length + length * far * (1 - far) ** (length - 1)
-    return (TABLES if meet >= recall else max(TABLES, math.ceil(math.log1p(-recall) / math.log1p(-meet)))), length
-
-
-def hyperplanes(x: np.ndarray, bits: int, tables: int, length: int) -> np.ndarray:
-    """A matrix whose product's signs are the bits of all tables, those of one table side by side.
-
-    The first tables are of the learnt rotation, the others of random ones. A learnt one that leaves out directions may part
-    vectors that are close, so its tables come on top."""
-    dim = x.shape[1]
-    own = min(bits, dim) // length
-    held = [learn_rotation(x, min(bits, dim))[:, : own * length]] if own else []
-    missing = (tables if dim > bits else max(0, tables - own)) * length
-    r = np.random.default_rng(2)
-    turns = [np.linalg.qr(r.normal(size=(dim, dim)))[0] for _ in range(math.ceil(missing / dim))]
-    return np.concatenate([*held, *([np.concatenate(turns, 1)[:, :missing]] if missing else [])], 1)
-
-
-def learn_rotation(x: np.ndarray, bits: int, rounds: int = 40) -> np.ndarray:
-    """A matrix whose product's signs are the codes: principal directions, rotated to lie close to the corners of a cube."""
-    values, vectors = np.linalg.eigh(x.T @ x)
-    project = vectors[:, np.argsort(-values)[:bits]]
-    v = x @ project
-    turn = np.linalg.qr(np.random.default_rng(1).normal(size=(bits, bits)))[0]
+    """(tables, bits of each) for n vectors. A bit differs with chance angle / pi; vectors meet in a table if none does."""
+    length = min(31, max(LENGTH, math.ceil(math.log2(max(1, n) / FULL))))
+    meet = (1 - math.acos(max(-1.0, min(1.0, least))) / math.pi) ** length
+    return (1 if meet >= recall else math.ceil(math.log1p(-recall) / math.log1p(-meet))), length
+
+
+def hyperplanes(x: np.ndarray, tables: int, length: int) -> np.ndarray:
+    """A matrix whose product's signs are the bits of all tables, those of one table side by side: rotations learnt from
+    different starts, as many as have the columns wanted."""
+    turns = [learn_rotation(x, k + 1) for k in range(math.ceil(tables * length / x.shape[1]))]
+    return np.concatenate(turns, 1)[:, : tables * length]
+
+
+def learn_rotation(x: np.ndarray, start: int, rounds: int = 40) -> np.ndarray:
+    """A rotation that brings the vectors x close to the corners of a cube, from a random start."""
+    turn = np.linalg.qr(np.random.default_rng(start).normal(size=(x.shape[1], x.shape[1])))[0]
     for _ in range(rounds):
-        u, _, w = np.linalg.svd(np.where(v @ turn >= 0, 1.0, -1.0).T @ v)
+        u, _, w = np.linalg.svd(np.where(x @ turn >= 0, 1.0, -1.0).T @ x)
         turn = (u @ w).T
-    return project @ turn
+    return turn
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length one; scaled first, so that neither very large nor very small components overflow when squared."""
+    x = x / np.abs(x).max(1, keepdims=True) if len(x) else x
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-    return x / np.linalg.norm(x / np.abs(x).max(1, keepdims=True), axis=1, keepdims=True) / np.abs(x).max(1, keepdims=True) if len(x) else x
+    return unit(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim))
 
 
-def dealt(vectors: DataFrame, dim: int, rotation: np.ndarray, parts: list[np.ndarray]) -> DataFrame:
-    """(tbl, part, probe, id, n, codes, v): a row for each bucket in which a vector stands or probes."""
+def encode(vectors: DataFrame, dim: int, rotation: np.ndarray, length: int) -> DataFrame:
+    """(cid, codes): the part of the code in each table."""
+    powers = np.int64(1) << np.arange(length, dtype=np.int64)
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 b = batch.slice(at, 2000)
-                bit = matrix(b.column("v"), dim) @ rotation >= 0
-                codes = np.stack([bit[:, p] @ (np.int64(1) << np.arange(len(p), dtype=np.int64)) for p in parts], 1)
-                row, tbl, part, probe = [], [], [], []
-                for t, p in enumerate(parts):
-                    for k in range(-1, len(p)):
-                        own = np.arange(len(codes)) if k < 0 else np.flatnonzero(bit[:, p[k]])
-                        row.append(own)
-                        tbl.append(np.full(len(own), t))
-                        part.append(codes[own, t] - (0 if k < 0 else 1 << k))
-                        probe.append(np.full(len(own), k >= 0))
-                row = np.concatenate(row)
-                every = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, len(parts), dtype=np.int32), pa.array(codes.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tbl)), pa.array(np.concatenate(part)), pa.array(np.concatenate(probe)), *[c.take(pa.array(row)) for c in (b.column("id"), b.column("n"), every, b.column("v"))]], ["tbl", "part", "probe", "id", "n", "codes", "v"])
-
-    return vectors.mapInArrow(run, "tbl long, part long, probe boolean, id long, n long, codes array<long>, v array<float>" if dict(vectors.dtypes)["v"] == "array<float>" else "tbl long, part long, probe boolean, id long, n long, codes array<long>, v array<double>")
-
-
-def reranked(rows: DataFrame, dim: int, least: float, block: int) -> DataFrame:
-    """(id, links, root) per vector and task: linked vectors counted, and the smallest id connected there."""
-    sizes = rows.groupBy("tbl", "part").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nb"), F.count_if(~F.col("probe")).alias("members"), F.count("*").alias("size")).where("members > 0 AND size > 1").drop("size", "members")
-    at = rows.join(sizes, ["tbl", "part"]).withColumn("at", F.pmod(F.xxhash64(F.lit(3), "id"), "nb").cast("int"))
-    at = at.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")).withColumn("lo", F.least("at", "other")).withColumn("hi", F.greatest("at", "other")).drop("other", "nb")
-
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
+                bits = (matrix(b.column("v"), dim) @ rotation >= 0).reshape(b.num_rows, -1, length)
+                codes = (bits @ powers).astype(np.int32)
+                cuts = np.arange(0, codes.size + 1, codes.shape[1], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([b.column("cid"), pa.ListArray.from_arrays(cuts, pa.array(codes.ravel()))], ["cid", "codes"])
+
+    return vectors.select("cid", "v").mapInArrow(run, "cid long, codes array<int>")
+
+
+def dealt(codes: DataFrame, block: int) -> DataFrame:
+    """(cid, tbl, part, at, lo, hi) for each bucket of two vectors or more: a row for each pair of blocks that a vector is in."""
+    each = codes.select("cid", F.posexplode("codes").alias("tbl", "part"))
+    sizes = save(each.groupBy("tbl", "part").agg(F.count("*").alias("size")).where("size > 1"))
+    hot = sizes.where(F.col("size") > block)
+    few = hot.count()
+    if few:  # no join by bucket meets a bucket of more than a block, unless those are too many to be broadcast
+        hot = F.broadcast(hot) if few <= MAX_HOT else hot
+        cold = each.join(hot.select("tbl", "part"), ["tbl", "part"], "left_anti").join(sizes, ["tbl", "part"])
+        each = cold.unionByName(each.join(hot, ["tbl", "part"]))
+    else:
+        each = each.join(sizes, ["tbl", "part"])
+    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
+    at = each.select("cid", "tbl", "part", blocks.alias("nb")).withColumn("at", F.pmod(F.xxhash64(F.lit(3), "cid"), "nb").cast("int"))
+    at = at.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
+    return at.select("cid", "tbl", "part", "at", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"))
+
+
+def candidates(cuts: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of rows of one group, i < j, from both blocks where it has two; cuts: where groups begin, and the end.
+    A portion holds most pairs or those of one row."""
+    last = np.repeat(cuts[1:], np.diff(cuts))
+    number = last - np.arange(len(last)) - 1
+    upto = np.cumsum(number)
+    start = 0
+    while start < len(number):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))
+        n = number[start:end]
+        i = np.repeat(np.arange(start, end), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        ok = (lo[i] == hi[i]) | (at[i] != at[j])
+        yield i[ok], j[ok]
+        start = end
+
+
+def reranked(rows: DataFrame, dim: int, least: float) -> DataFrame:
+    """(id, links, root) per vector and bucket: linked vectors counted, and the smallest id connected there."""
+    keys = ["tbl", "part", "lo", "hi"]
+
+    def links_of(group: pa.Table) -> pa.RecordBatch:
         x = matrix(group.column("v"), dim)
-        ids, n, at, probe = (group.column(c).to_numpy() for c in ("id", "n", "at", "probe"))
+        ids, n, at, tbl, lo, hi = (group.column(c).to_numpy() for c in ("id", "n", "at", "tbl", "lo", "hi"))
         codes = group.column("codes").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        lo, hi, tbl = (group.column(c)[0].as_py() for c in ("lo", "hi", "tbl"))
-        links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        left, right = np.flatnonzero(at == lo), np.flatnonzero(at == hi)
-        pairs = []
-        for k in range(0, len(left), 500):
-            i, j = np.nonzero(x[left[k : k + 500]] @ x[right].T >= least)
-            i, j = left[k : k + 500][i], right[j]
-            ok = ~(probe[i] & probe[j]) & ((i < j) if lo == hi else np.ones(len(i), bool))
+        changed = np.zeros(len(ids), bool)
+        for c in keys:
+            own = group.column(c).to_numpy()
+            changed[1:] |= own[1:] != own[:-1]
+        links, pairs = np.zeros(len(ids), np.int64), []
+        for i, j in candidates(np.concatenate([[0], np.flatnonzero(changed), [len(ids)]]), at, lo, hi):
+            ok = np.flatnonzero((np.einsum("ij,ij->i", x[i], x[j]) >= least) & (ids[i] != ids[j]))
+            ok = ok[(codes[i[ok]] == codes[j[ok]]).argmax(1) == tbl[i[ok]]]  # else met before
             i, j = i[ok], j[ok]
-            for t in range(tbl):  # met before
-                far = codes[i, t] ^ codes[j, t]
-                ok = (far & (far - 1)) != 0
-                i, j = i[ok], j[ok]
             links += np.bincount(i, n[j], len(ids)).astype(np.int64) + np.bincount(j, n[i], len(ids)).astype(np.int64)
             pairs.append((i, j))
         i, j = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.int64) for k in (0, 1))
-        order = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
-        label = order.copy()
+        label = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
         while True:
             before = label.copy()
             np.minimum.at(label, i, before[j])
@@ -128,34 +144,48 @@ def reranked(rows: DataFrame, dim: int, least: float, block: int) -> DataFrame:
             if (label == before).all():
                 break
         some = np.flatnonzero(links)
-        return pa.table({"id": ids[some], "links": links[some], "root": np.sort(ids)[label[some]]})
-
-    return at.groupBy("tbl", "part", "lo", "hi").applyInArrow(run, "id long, links long, root long")
-
+        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(np.sort(ids)[label[some]])], ["id", "links", "root"])
 
-def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.95, bits: int = 64, sample: int = SAMPLE, block: int = 2000) -> DataFrame:
+    def run(batches):
+        held: list[pa.RecordBatch] = []  # rows of the last group so far
+        held_key = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in keys)
+            other = np.flatnonzero(np.logical_or.reduce([batch.column(c).to_numpy() != v for c, v in zip(keys, last, strict=True)]))
+            at = int(other[-1]) + 1 if len(other) else 0
+            if at or (held and held_key != last):
+                yield links_of(pa.Table.from_batches([*held, *([batch.slice(0, at)] if at else [])]))
+                held = []
+            held.append(batch.slice(at))
+            held_key = last
+        if held:
+            yield links_of(pa.Table.from_batches(held))
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "id long, links long, root long")
+
+
+def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.95, sample: int = SAMPLE, block: int = 2000) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row.
 
     Vectors are linked when their cosine is least or more and the index brings them together, with a chance of RECALL at
-    least; none below least is linked. bits: of the learnt rotation.
-    sample: the most vectors the rotation is learnt on, chosen by hash. Vectors that are null, empty, zero or hold null or
-    non-finite components link with nothing; those of different lengths don't link either. Rows that repeat an id are one
-    vector of several forms: its links are added up, those among its own rows left out; rows of a null id link with nothing.
+    least; none below least is linked. sample: the most vectors the rotations are learnt on, chosen by hash. Vectors that are
+    null, empty, zero or hold null or non-finite components link with nothing; those of different lengths don't link either.
+    Rows that repeat an id are one vector of several forms, whose links are added up; rows of a null id link with nothing.
     An empty table gives an empty result; other columns are ignored."""
     raw = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).alias("v"))
     fine = F.forall("v", lambda z: F.coalesce(~F.isnan(z) & (F.abs(z) < float("inf")), F.lit(False))) & F.exists("v", lambda z: z != 0)
     good = raw.where(F.col("id").isNotNull() & F.coalesce(fine, F.lit(False))).withColumn("h", F.xxhash64("v"))
-    classes = save(good.groupBy("h", "v").agg(F.min("id").alias("id"), F.countDistinct("id").alias("n")))
+    classes = save(good.groupBy("h", "v").agg(F.min("id").alias("id"), F.countDistinct("id").alias("n")).withColumn("cid", F.monotonically_increasing_id()))
     found = None
     for (dim,) in classes.select(F.size("v")).distinct().collect():
         own = classes.where(F.size("v") == dim)
-        n = own.count()
-        x = np.array([r.v for r in own.orderBy("h", "id").limit(sample).select("v").collect()], np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        tables, length = layout(n, least)
-        rotation = hyperplanes(x, bits, tables, length)
-        parts = list(np.arange(rotation.shape[1]).reshape(-1, length))
-        one = reranked(dealt(own.select("id", "n", "v"), dim, rotation, parts), dim, least, block)
+        tables, length = layout(own.count(), least)
+        x = unit(np.array([r.v for r in own.orderBy("h", "cid").limit(sample).select("v").collect()], np.float64))
+        codes = save(encode(own, dim, hyperplanes(x, tables, length), length))
+        at = dealt(codes, block).join(own.join(codes, "cid").select("cid", "id", "n", "codes", "v"), "cid").drop("cid")
+        one = reranked(at, dim, least)
         found = one if found is None else found.unionByName(one)
     if found is None:
         return rows.select(vec_id, F.lit(0).cast("long").alias("n_links"), F.col(vec_id).cast("long").alias("component_id"), F.lit(True).alias("kept"))

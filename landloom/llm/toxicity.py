@@ -3,12 +3,15 @@
 Training counts in how many labelled documents of either class each token stands, and scores tokens by log-odds with an
 informative Dirichlet prior (the corpus frequency of the token). A document is then scanned once, in linear time, for all
 maximal segments whose summed scores are positive; tokens without a score cost a little, so a segment ends where nothing
-supports it. The best segment of n tokens of clean text follows an extreme-value law with parameters lambda and K, which
-are fitted to clean labelled documents; lambda * S - ln(K * n) is then comparable between short and long documents, and a
-logistic curve fitted on labelled documents turns it into a score.
+supports it. The best segment of n tokens of clean text follows an extreme-value law with parameters lambda and K, so
+x = lambda * S - ln(K * n) is comparable between short and long documents. All segments of a document are aggregated by sum
+statistics: how unlikely it is that clean text has its r best segments together, for the r that is least likely. A logistic
+curve turns that into a score.
 
-Counting and scoring are map-side sums and maps; the model is at most max_tokens token scores (a documented bound of the
-classifier, 16 bytes each). Labels of documents whose crc32(doc_id as text) mod 5 is 0 are never read."""
+Law and curve are fitted crosswise: on labelled documents scanned with tokens learnt from the other half of them.
+
+Counting and scoring are map-side sums and maps; the model holds the tokens of at most max_labels documents that tell the
+classes apart. Labels of documents whose crc32(doc_id as text) mod 5 is 0 are never read."""
 
 from __future__ import annotations
 
@@ -37,6 +40,7 @@ class Model:
     rate: float = 1.0  # lambda
     log_k: float = 0.0
     usual: float = 0.0  # mean logarithm of a clean text's tokens
+    significant: float = 3.0  # the least x of a passage that is reported: once in 20 clean texts
     slope: float = 1.0
     offset: float = 0.0  # of the logistic curve
 
@@ -59,9 +63,12 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
+COUNTS = "token long, clean0 double, toxic0 double, clean1 double, toxic1 double"
+
+
 def _counts(batches):
-    """The weight of clean and toxic documents in which each token stands, summed over the partition."""
-    keys, sums = np.zeros(0, np.uint64), np.zeros((0, 2))
+    """The weight of clean and toxic documents of either half in which each token stands, summed over the partition."""
+    keys, sums = np.zeros(0, np.uint64), np.zeros((0, 4))
     kept: list = []
 
     def merge():
@@ -73,23 +80,26 @@ def _counts(batches):
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
         keys, sums, kept = k[first], np.add.reduceat(n, first) if len(first) else n, []
 
+    def rows():
+        return pa.RecordBatch.from_arrays([pa.array(signed(keys)), *[pa.array(np.ascontiguousarray(sums[:, c])) for c in range(4)]], [x.split()[0] for x in COUNTS.split(", ")])
+
     for part in blocks(batches, "text"):
         words, first = features(part.column("text"))
-        toxic, weight = (part.column(c).to_numpy(zero_copy_only=False) for c in ("toxic", "weight"))
-        for y in (False, True):
-            own = [(np.unique(words[a:b]), w) for a, b, t, w in zip(first[:-1], first[1:], toxic > 0, weight, strict=True) if t == y]
+        toxic, weight, half = (part.column(c).to_numpy(zero_copy_only=False) for c in ("toxic", "weight", "half"))
+        for column in range(4):
+            own = [(np.unique(words[a:b]), w) for a, b, t, w, h in zip(first[:-1], first[1:], toxic > 0, weight, half, strict=True) if 2 * h + t == column]
             if own:
                 k, inverse = np.unique(np.concatenate([x for x, _ in own]), return_inverse=True)
-                n = np.bincount(inverse, np.repeat([w for _, w in own], [len(x) for x, _ in own]), len(k))
-                k, n = k[k > 0], n[k > 0]
-                kept.append((k, np.stack([n * (not y), n * y], 1)))
+                n = np.zeros((len(k), 4))
+                n[:, column] = np.bincount(inverse, np.repeat([w for _, w in own], [len(x) for x, _ in own]), len(k))
+                kept.append((k[k > 0], n[k > 0]))
         if sum(len(x[0]) for x in kept) > 1 << 18:
             merge()
         if len(keys) > 1 << 19:
-            yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(np.ascontiguousarray(sums[:, 0])), pa.array(np.ascontiguousarray(sums[:, 1]))], ["token", "clean", "toxic"])
+            yield rows()
             keys, sums = keys[:0], sums[:0]
     merge()
-    yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(np.ascontiguousarray(sums[:, 0])), pa.array(np.ascontiguousarray(sums[:, 1]))], ["token", "clean", "toxic"])
+    yield rows()
 
 
 def least_shingle(column: pa.Array) -> pa.Array:
@@ -120,8 +130,8 @@ def segments(sums: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, float]]
     return [(a, b, high - low) for low, high, a, b in found]
 
 
-def scan(column: pa.Array, model: Model) -> dict[str, list]:
-    """A token's score is that of its most telling form. Best score, number of tokens, number of significant segments (E < 0.05) and the best segment of each text."""
+def passages(column: pa.Array, model: Model) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
+    """(number of tokens, all maximal segments) of each text. A token's score is that of its most telling form."""
     words, first = features(column)
     scores = np.full(len(words), -model.drift)
     if len(model.tokens):
@@ -131,20 +141,47 @@ def scan(column: pa.Array, model: Model) -> dict[str, list]:
     sums = np.concatenate([[0.0], np.cumsum(scores)])
     positive = np.flatnonzero(scores > 0)
     cuts = np.searchsorted(positive, first)
-    n = np.diff(first)
-    out: dict[str, list] = {"n": n.tolist(), "best": [], "n_segments": [], "best_start": [], "best_end": []}
-    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-        own = segments(sums, positive[a:b]) if b > a else []
+    found = [segments(sums, positive[a:b]) if b > a else [] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return np.diff(first), [[(a - int(at), b - int(at), s) for a, b, s in own] for own, at in zip(found, first, strict=False)]
+
+
+def standard(model: Model, n: int, score: float) -> float:
+    """x = lambda * S - ln(K * n)."""
+    return model.rate * score - model.log_k - math.log(max(1, n))
+
+
+def together(model: Model, n: int, scores: list[float]) -> float:
+    """How unlikely the segments of n tokens are in clean text: the largest, over r, of minus the logarithm of the chance that
+    the x of the r best add up to what they do, e^-t t^(r-1) / (r! (r-1)!), times 2^r for the choice of r.
+
+    A text without any segment counts as of the usual length at least: that it is short doesn't make it suspect."""
+    if not scores:
+        return -model.log_k - max(math.log(max(1, n)), model.usual) - math.log(2)
+    x = sorted((standard(model, n, s) for s in scores), reverse=True)
+    best, total = x[0] - math.log(2), x[0]
+    for r, y in enumerate(x[1:], 2):
+        if y <= 0:
+            break
+        total += y
+        if total > r * (r - 1):  # where the law holds
+            best = max(best, total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r) - r * math.log(2))
+    return best
+
+
+def scan(column: pa.Array, model: Model) -> dict:
+    """FIELDS of each text: number of tokens, best segment, all significant ones, and all together."""
+    n, found = passages(column, model)
+    out: dict[str, list] = {"n": n.tolist(), "best": [], "value": [], "best_start": [], "best_end": [], "segments": []}
+    for k, own in zip(n.tolist(), found, strict=True):
         top = max(own, key=lambda x: x[2], default=(0, 0, 0.0))
-        limit = (model.log_k + math.log(max(1, n[k])) - math.log(0.05)) / model.rate
-        out["best"].append(top[2])
-        out["n_segments"].append(sum(x[2] >= limit for x in own))
-        out["best_start"].append(top[0] - int(first[k]) if own else 0)
-        out["best_end"].append(top[1] - int(first[k]) if own else 0)
-    return out
+        for c, v in zip(("best_start", "best_end", "best"), top, strict=True):
+            out[c].append(v)
+        out["value"].append(together(model, k, [s for *_, s in own]))
+        out["segments"].append([{"start": a, "end": b, "x": x} for a, b, s in own if (x := standard(model, k, s)) >= model.significant])
+    return out | {"segments": pa.array(out["segments"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("x", pa.float64())])))}
 
 
-FIELDS = "n long, best double, n_segments long, best_start long, best_end long"
+FIELDS = "n long, best double, value double, best_start long, best_end long, segments array<struct<start:long,end:long,x:double>>"
 
 
 def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float]:
@@ -164,67 +201,89 @@ def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float]:
     return slope, w[0] - slope * mean
 
 
-def standard(model: Model):
-    """lambda * S - ln(K * n) as a column. A text without any segment counts as of the usual length at least: that it is short
-    doesn't make it suspect."""
-    n = F.log(F.greatest(F.col("n"), F.lit(1)).cast("double"))
-    return F.lit(model.rate) * F.col("best") - F.lit(model.log_k) - F.when(F.col("best") > 0, n).otherwise(F.greatest(n, F.lit(model.usual)))
-
-
-def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, max_tokens: int = 1 << 16, prior: float = 500.0, drift: float = 0.1, least_z: float = 2.5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: float = 500.0, drift: float = 0.1, least_z: float = 2.5) -> Model:
     """Learn from labels(doc_id, toxic) of documents that are not held out: from max_labels of them at most, chosen by hash
     (two megabytes, which are broadcast, so that no text is shuffled).
 
     Rows without an id, a label or a text don't count; where an id has several labels, the largest holds. Without documents
     of both classes there is nothing to learn, and every score is 0. Documents alike share one document's weight, so that a
-    text copied a thousand times doesn't make each of its words telling."""
+    text copied a thousand times doesn't make each of its words telling; they are in the same half."""
     own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
-    train = docs.select("doc_id", "text").where("text IS NOT NULL").where(~held_out(F.col("doc_id"))).join(F.broadcast(own), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
-    train = save(train.withColumn("alike", F.arrow_udf(least_shingle, "long")("text")))
-    groups = train.where("alike IS NOT NULL").groupBy("alike").agg((1 / F.count("*")).alias("weight")).where("weight < 1")
-    train, plain = train.join(F.broadcast(groups), "alike", "left").select("text", "toxic", F.coalesce("weight", F.lit(1.0)).alias("weight")), train
-    counts = save(train.mapInArrow(_counts, "token long, clean double, toxic double").groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    clean, toxic = counts.agg(F.sum("clean"), F.sum("toxic")).first()
-    model = Model(np.zeros(0, np.uint64), np.zeros(0), drift)
-    if clean and toxic:
-        a = F.lit(0.5) + prior * (F.col("clean") + F.col("toxic")) / F.lit(float(clean + toxic))
-        t, c = F.col("toxic") + a, F.col("clean") + a
-        odds = F.log(t / (F.lit(toxic + prior) - t)) - F.log(c / (F.lit(clean + prior) - c))
-        best = counts.select("token", odds.alias("s"), (odds / F.sqrt(1 / t + 1 / c)).alias("z")).where(F.abs("z") >= least_z).orderBy(F.abs("z").desc(), "token").limit(max_tokens).toPandas()
-        tokens = best["token"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(tokens)
-        model.tokens, model.scores = tokens[order], best["s"].to_numpy(float)[order]
-        scored = save(annotate(train, "text", FIELDS, lambda column: scan(column, model)).select("row.toxic", "row.weight", "n", "best"))
-        ln = F.log(F.greatest(F.col("n"), F.lit(1)).cast("double"))
-        m = scored.where("toxic = 0").agg(F.avg("best").alias("s"), F.avg(ln).alias("l"), F.var_pop("best").alias("vs"), F.var_pop(ln).alias("vl"), F.covar_pop("best", ln).alias("c")).first()
-        # the variance of lambda * S - ln n is to be that of the extreme-value law, pi^2 / 6; its mean gives K
-        if m.vs and m.vs > 1e-9:
-            root = m.c * m.c - m.vs * (m.vl - math.pi**2 / 6)
-            model.rate = min(5.0, max(0.05, (m.c + math.sqrt(max(0.0, root))) / m.vs))
-        model.usual = m.l or 0.0
-        model.log_k = model.rate * (m.s or 0.0) - (m.l or 0.0) - EULER
-        at = F.least(F.greatest(F.floor((standard(model) - LOW) / BIN), F.lit(0)), F.lit(BINS - 1))
-        weigh = lambda y: F.sum(F.when(y, F.col("weight")).otherwise(0.0))
-        bins = scored.groupBy(at.alias("bin")).agg(weigh(F.col("toxic") <= 0).alias("clean"), weigh(F.col("toxic") > 0).alias("toxic")).orderBy("bin").collect()
+    train = docs.select("doc_id", "text").where("text IS NOT NULL").where(~held_out(F.col("doc_id"))).join(F.broadcast(own), "doc_id")
+    plain = save(train.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).withColumn("alike", F.arrow_udf(least_shingle, "long")("text")))
+    groups = save(plain.where("alike IS NOT NULL").groupBy("alike").agg((1 / F.count("*")).alias("weight")).where("weight < 1"))
+    half = F.pmod(F.xxhash64(F.coalesce("alike", "doc_id")), F.lit(2)).cast("int")
+    train = plain.join(F.broadcast(groups) if groups.count() <= max_labels else groups, "alike", "left").select("text", "toxic", half.alias("half"), F.coalesce("weight", F.lit(1.0)).alias("weight"))
+    counts = save(train.mapInArrow(_counts, COUNTS).groupBy("token").agg(*[F.sum(x.split()[0]).alias(x.split()[0]) for x in COUNTS.split(", ")[1:]]))
+
+    def learn(clean, toxic) -> Model:
+        """Token scores from columns of counts."""
+        model = Model(np.zeros(0, np.uint64), np.zeros(0), drift)
+        all_clean, all_toxic = counts.agg(F.sum(clean), F.sum(toxic)).first()
+        if all_clean and all_toxic:
+            a = F.lit(0.5) + prior * (clean + toxic) / F.lit(float(all_clean + all_toxic))
+            t, c = toxic + a, clean + a
+            odds = F.log(t / (F.lit(all_toxic + prior) - t)) - F.log(c / (F.lit(all_clean + prior) - c))
+            telling = counts.select("token", odds.alias("s"), (odds / F.sqrt(1 / t + 1 / c)).alias("z"), (clean + toxic).alias("n")).where((F.abs("z") >= least_z) & (F.col("n") > 0)).select("token", "s").toPandas()
+            tokens = telling["token"].to_numpy(np.int64).view(np.uint64)
+            order = np.argsort(tokens)
+            model.tokens, model.scores = tokens[order], telling["s"].to_numpy(float)[order]
+        return model
+
+    column = {x: F.col(x) for x in ("clean0", "toxic0", "clean1", "toxic1")}
+    model = learn(column["clean0"] + column["clean1"], column["toxic0"] + column["toxic1"])
+    if len(model.tokens):
+        others = [learn(column["clean1"], column["toxic1"]), learn(column["clean0"], column["toxic0"])]
+        others = [x if len(x.tokens) else model for x in others]
+
+        def crosswise(batches):
+            for part in blocks(batches, "text"):
+                both = [passages(part.column("text"), x) for x in others]
+                which = part.column("half").to_pylist()
+                n, scores = zip(*[(int(both[h][0][k]), [s for *_, s in both[h][1][k]]) for k, h in enumerate(which)], strict=True)
+                yield pa.RecordBatch.from_arrays([part.column("toxic"), part.column("weight"), pa.array(n, pa.int64()), pa.array(scores, pa.list_(pa.float64()))], ["toxic", "weight", "n", "scores"])
+
+        scored = save(train.mapInArrow(crosswise, "toxic int, weight double, n long, scores array<double>"))
+        ln, best, w = F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")), F.coalesce(F.array_max("scores"), F.lit(0.0)), F.col("weight")
+        mean = lambda x: F.sum(w * x) / F.sum(w)
+        m = scored.where("toxic <= 0").agg(mean(best).alias("s"), mean(ln).alias("l"), mean(best * best).alias("ss"), mean(ln * ln).alias("ll"), mean(best * ln).alias("sl")).first()
+        if m.s is not None:
+            # the variance of lambda * S - ln n is to be that of the extreme-value law, pi^2 / 6; its mean gives K
+            vs, vl, c = m.ss - m.s * m.s, m.ll - m.l * m.l, m.sl - m.s * m.l
+            if vs > 1e-9:
+                model.rate = min(5.0, max(0.05, (c + math.sqrt(max(0.0, c * c - vs * (vl - math.pi**2 / 6)))) / vs))
+            model.usual = m.l
+            model.log_k = model.rate * m.s - m.l - EULER
+
+        def binned(batches):
+            for batch in batches:
+                x = np.array([together(model, n, s) for n, s in zip(batch.column("n").to_pylist(), batch.column("scores").to_pylist(), strict=True)], float)
+                at = np.clip(np.floor((x - LOW) / BIN), 0, BINS - 1).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(at), batch.column("toxic"), batch.column("weight")], ["bin", "toxic", "weight"])
+
+        weigh = lambda y: F.sum(F.when(y, w).otherwise(0.0))
+        bins = scored.mapInArrow(binned, "bin long, toxic int, weight double").groupBy("bin").agg(weigh(F.col("toxic") <= 0).alias("clean"), weigh(F.col("toxic") > 0).alias("toxic")).orderBy("bin").collect()
         model.slope, model.offset = curve([(LOW + BIN * (b.bin + 0.5), b.clean, b.toxic) for b in bins])
         forget(scored)
-    forget(plain, counts)
+    forget(plain, groups, counts)
     return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(row, n, best, n_segments, best_start, best_end, score): every row with its passage (in tokens) and score.
+    """(row, n, best, value, best_start, best_end, segments, score): every row with its best and its significant passages (in
+    tokens, with x), all of them together as value, and its score.
 
     Null and empty texts have no passage and get the score of one; equal texts get equal scores, however long. An empty
     table gives an empty result; other columns ride along in row."""
     out = annotate(docs, "text", FIELDS, lambda column: scan(column, model))
     if not len(model.tokens):
         return out.withColumn("score", F.lit(0.0))
-    return out.withColumn("score", 1 / (1 + F.exp(-F.lit(float(model.slope)) * standard(model) - F.lit(float(model.offset)))))
+    return out.withColumn("score", 1 / (1 + F.exp(-F.lit(float(model.slope)) * F.col("value") - F.lit(float(model.offset)))))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents whose score is below threshold."""
+    """The documents whose score is below threshold. Null, empty and short texts without a passage stay; without labels of both
+    classes, and so for empty tables, everything stays. Rows that repeat an id are judged one by one."""
     return score(docs, fit(docs, labels)).where(F.col("score") < threshold).select(*unpack(docs, docs.columns))
 
 
@@ -232,5 +291,5 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     return out.select(
-        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("n").alias("n_words"), "n_segments", "best_start", "best_end"
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("n").alias("n_words"), F.size("segments").cast("long").alias("n_segments"), "best_start", "best_end", "segments"
     )

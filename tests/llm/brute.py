@@ -99,3 +99,22 @@ def secrets(text):
     kinds = {"assign": (f"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), "access": ("(AKIA[A-Z0-9]+)", 1, 20), "hex": ("([0-9a-f]+)", 1, 24)}
     found = [(m.start(), k, kind, m.end()) for k, (kind, (p, g, n)) in enumerate(kinds.items()) for m in re.finditer(p, text or "") if len(m[g]) >= n]
     return [(kind, a, b) for a, _, kind, b in sorted(found)]
+
+
+def contaminated(rows, items, window=20, percent=80):
+    """(doc_id, item_id) pairs, by comparing along every diagonal."""
+    tokens = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOW))
+    out = set()
+    for i, text in rows:
+        for k, item in items:
+            d, b = tokens(text), tokens(item)
+            if i is None or k is None or len(b) < 5:
+                continue
+            w = min(window, len(b))
+            for shift in range(w - len(b), len(d) - w + 1):
+                lo, hi = max(0, shift), min(len(d), shift + len(b))
+                same = [x == y for x, y in zip(d[lo:hi], b[lo - shift : hi - shift], strict=True)]
+                if any(100 * sum(same[j : j + w]) >= percent * w for j in range(len(same) - w + 1)):
+                    out.add((i, k))
+                    break
+    return out

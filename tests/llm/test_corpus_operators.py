@@ -216,8 +216,8 @@ def test_close_vectors_meet_whatever_the_number(n, dim):
     x = close_pairs(3000, dim, np.random.default_rng(n + dim))
     tables, length = embeddings.layout(n, 0.95)
     assert tables >= 4 and length >= 16
-    bit = (x @ embeddings.hyperplanes(x, 64, tables, length) >= 0).reshape(len(x), -1, length)
-    assert ((bit[:3000] != bit[3000:]).sum(2) <= 1).any(1).mean() > 0.98
+    bit = (x @ embeddings.hyperplanes(x, tables, length) >= 0).reshape(len(x), -1, length)
+    assert (bit[:3000] == bit[3000:]).all(2).any(1).mean() > 0.98
 
 
 @pytest.mark.parametrize("n", [400_000, 50_000_000])
@@ -231,6 +231,29 @@ def test_embeddings_in_the_layout_of_a_large_table(spark, n, monkeypatch):
     assert sum(got.values()) >= 0.97 * near.sum() and all(got[i] <= k for i, k in enumerate(near.sum(1)))
 
 
+@pytest.mark.parametrize("scale", [1e-170, 1e170])
+def test_embeddings_of_extreme_lengths(spark, scale):
+    rows = [(1, [3.0, 4.0, 0.0]), (2, [3.0 * scale, 4.0 * scale, 0.0]), (3, [0.0, scale, -scale]), (4, [0.0, -1.0, 1.0])]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
+
+
+def test_embeddings_that_all_fall_into_one_bucket(spark):
+    """A bucket of many blocks: every pair is compared once."""
+    r = np.random.default_rng(9)
+    x = np.ones(8) + r.normal(size=(150, 8)) * 0.02
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=16).collect()
+    assert len(got) == 150 and all(g.n_links == 149 and g.component_id == 0 for g in got)
+
+
+def test_candidate_pairs():
+    at, lo, hi = np.array([0, 0, 0, 1, 0, 1, 0]), np.array([0, 0, 0, 0, 0, 0, 2]), np.array([0, 0, 1, 1, 1, 1, 2])
+    for most in (1, 2, 100):
+        pairs = [(int(a), int(b)) for i, j in embeddings.candidates(np.array([0, 2, 6, 7]), at, lo, hi, most) for a, b in zip(i, j, strict=True)]
+        assert pairs == [(0, 1), (2, 3), (2, 5), (3, 4), (4, 5)]
+
+
 def test_embeddings_of_few_vectors(spark):
     got = embeddings.near_duplicates(spark.createDataFrame([(2, [1.0, 0.0]), (1, [1.0, 0.01]), (3, [0.0, 1.0]), (4, [1.0])], "vec_id long, embedding array<double>")).collect()
     assert sorted(map(tuple, got)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
@@ -415,6 +438,39 @@ def test_decontamination(spark, rows):
     assert sorted(x.doc_id for x in decontam.drop_contaminated(frame(spark, clean[:3] + dirty[:1]), spark.createDataFrame(items, "item_id long, text string")).collect()) == sorted(i for i, _ in clean[:3])
 
 
+@pytest.mark.parametrize("n", range(5, 24))
+def test_masks_find_every_placing_of_substitutions(n):
+    """Of n tokens of an item (20 of a longer one), for every choice of the tokens that may be substituted."""
+    from itertools import combinations
+
+    w = min(n, decontam.WINDOW)
+    own = decontam.MASKS[max(k for k in decontam.MASKS if k <= n)]
+    held = [sum(1 << (at + j) for j, x in enumerate(m) if x == "1") for m in own for at in range(w - len(m) + 1)]
+    for wrong in combinations(range(w), w - -(-w * decontam.PERCENT // 100)):
+        gone = sum(1 << x for x in wrong)
+        assert any(not gone & h for h in held)
+
+
+@pytest.mark.parametrize("max_filter", [0, 1 << 21])
+def test_decontamination_equals_brute_force(spark, max_filter):
+    r = random.Random(21)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [(k, " ".join(r.choices(vocabulary, k=n))) for k, n in enumerate([*range(3, 26), 40, 60])] + [(90, None), (91, ""), (None, "v1 " * 9)]
+    rows = []
+    for i in range(300):
+        words = r.choices(vocabulary, k=r.randint(0, 60))
+        own = r.choice(items[:25])[1].split()
+        a = r.randrange(len(own))
+        part = own if r.random() < 0.6 else own[a : a + r.randint(4, 30)]
+        wrong = r.sample(range(len(part)), min(len(part), r.randint(0, 1 + len(part) // 4)))
+        at = r.randint(0, len(words))
+        rows.append((i, " ".join([*words[:at], *["other" if j in wrong else w.upper() for j, w in enumerate(part)], *words[at:]])))
+    rows += [(400, None), (401, ""), (None, items[20][1])]
+    found = decontam.contamination(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_filter=max_filter).collect()
+    want = brute.contaminated(rows, items)
+    assert len(want) > 100 and {(x.doc_id, x.item_id) for x in found} == want and len(found) == len(want)
+
+
 def labelled(n=600):
     r = random.Random(8)
     plain, bad = [f"w{i}" for i in range(300)], ["vile", "nasty", "awful"]
@@ -437,7 +493,8 @@ def test_toxicity(spark):
     y = spark.createDataFrame([*labels, (3, 1, 0), (None, 1, 1), (7, 1, None), (8888, 0, 1)], "doc_id long, quality int, toxic int")
     docs = frame(spark, rows + edge)
     model = toxicity.fit(docs, y)
-    out = toxicity.score(docs, model).select("row.doc_id", "score", "n_segments", "best_start", "best_end").collect()
+    out = toxicity.score(docs, model).select("row.doc_id", "score", "segments", "best_start", "best_end").collect()
+    assert any(len(r.segments) > 0 for r in out) and all(r.best_start <= r.best_end for r in out)
     got = {r.doc_id: r.score for r in out}
     held = [i for i in truth if __import__("zlib").crc32(str(i).encode()) % 5 == 0]
     assert len(out) == len(rows) + len(edge) and all(0 <= r.score <= 1 for r in out)
