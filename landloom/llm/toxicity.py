@@ -8,7 +8,8 @@ x = lambda * S - ln(K * n) is comparable between short and long documents. All s
 statistics: how unlikely it is that clean text has its r best segments together, for the r that is least likely. A logistic
 curve turns that into a score.
 
-Law and curve are fitted crosswise: on labelled documents scanned with tokens learnt from the other half of them.
+Law and curve are fitted crosswise: on labelled documents scanned with tokens learnt from the other half of them. So is how
+certain a token's score must be to count at all: of several limits, that with the least log-loss.
 
 Counting and scoring are map-side sums and maps; the model holds the tokens of at most max_labels documents that tell the
 classes apart. Labels of documents whose crc32(doc_id as text) mod 5 is 0 are never read."""
@@ -16,16 +17,19 @@ classes apart. Labels of documents whose crc32(doc_id as text) mod 5 is 0 are ne
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.llm.common import BYTE_VALUES, LOWER, NOT_ALNUM, annotate, blocks, forget, mixed, prefixes, save, signed, spans, table, unpack, utf8, windows, word_bounds, word_table
 
 FOLDS = 5
+#: A token must be at least so certain (z) to count; which of these is chosen crosswise.
+LIMITS = (2.5, 3.0, 3.5, 4.0, 4.5, 5.0)
 #: A token counts as itself and, so that inflected and compound forms count too, as its first so many bytes.
 STEMS = (6, 7, 8, 9)
 EULER = 0.5772156649015329
@@ -36,6 +40,7 @@ BIN, LOW, BINS = 0.25, -20.0, 400
 class Model:
     tokens: np.ndarray  # sorted hashes
     scores: np.ndarray
+    certain: np.ndarray  # |z| of the scores
     drift: float = 0.1
     rate: float = 1.0  # lambda
     log_k: float = 0.0
@@ -130,19 +135,27 @@ def segments(sums: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, float]]
     return [(a, b, high - low) for low, high, a, b in found]
 
 
-def passages(column: pa.Array, model: Model) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
-    """(number of tokens, all maximal segments) of each text. A token's score is that of its most telling form."""
+def passages(column: pa.Array, model: Model, limits: tuple[float, ...] = (0.0,)) -> tuple[np.ndarray, list[list[list[tuple[int, int, float]]]]]:
+    """(number of tokens of each text, and per limit all maximal segments of each). A token's score is that of its most telling
+    form; tokens whose scores are less certain than the limit (z) count as without one."""
     words, first = features(column)
-    scores = np.full(len(words), -model.drift)
+    each, z = np.zeros(len(words)), np.zeros(len(words))
     if len(model.tokens):
         at = np.minimum(np.searchsorted(model.tokens, words), len(model.tokens) - 1)
-        each = np.where(model.tokens[at] == words, model.scores[at], 0.0)
-        scores += each[np.arange(len(each)), np.abs(each).argmax(1)]
-    sums = np.concatenate([[0.0], np.cumsum(scores)])
-    positive = np.flatnonzero(scores > 0)
-    cuts = np.searchsorted(positive, first)
-    found = [segments(sums, positive[a:b]) if b > a else [] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return np.diff(first), [[(a - int(at), b - int(at), s) for a, b, s in own] for own, at in zip(found, first, strict=False)]
+        known = model.tokens[at] == words
+        each, z = np.where(known, model.scores[at], 0.0), np.where(known, model.certain[at], 0.0)
+    found = []
+    for limit in limits:
+        scores = np.full(len(words), -model.drift)
+        if len(model.tokens):
+            own = np.where(z >= limit, each, 0.0)
+            scores += own[np.arange(len(own)), np.abs(own).argmax(1)]
+        sums = np.concatenate([[0.0], np.cumsum(scores)])
+        positive = np.flatnonzero(scores > 0)
+        cuts = np.searchsorted(positive, first)
+        some = [segments(sums, positive[a:b]) if b > a else [] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        found.append([[(a - int(at), b - int(at), s) for a, b, s in own] for own, at in zip(some, first, strict=False)])
+    return np.diff(first), found
 
 
 def standard(model: Model, n: int, score: float) -> float:
@@ -170,7 +183,7 @@ def together(model: Model, n: int, scores: list[float]) -> float:
 
 def scan(column: pa.Array, model: Model) -> dict:
     """FIELDS of each text: number of tokens, best segment, all significant ones, and all together."""
-    n, found = passages(column, model)
+    n, (found,) = passages(column, model)
     out: dict[str, list] = {"n": n.tolist(), "best": [], "value": [], "best_start": [], "best_end": [], "segments": []}
     for k, own in zip(n.tolist(), found, strict=True):
         top = max(own, key=lambda x: x[2], default=(0, 0, 0.0))
@@ -184,8 +197,9 @@ def scan(column: pa.Array, model: Model) -> dict:
 FIELDS = "n long, best double, value double, best_start long, best_end long, segments array<struct<start:long,end:long,x:double>>"
 
 
-def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float]:
-    """Slope (0 or more) and offset of a logistic curve over (value, clean, toxic) counts, by Newton steps with a weak prior."""
+def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float, float]:
+    """Slope (0 or more) and offset of a logistic curve over (value, clean, toxic) counts, by Newton steps with a weak prior, and
+    the logarithm of how unlikely the labels are by it."""
     x, clean, toxic = (np.array(v, float) for v in zip(*bins, strict=True))
     mean, spread = np.average(x, weights=clean + toxic), max(1e-3, np.sqrt(np.cov(x, aweights=clean + toxic)) if len(x) > 1 else 1.0)
     z = np.stack([np.ones_like(x), (x - mean) / spread], 1)
@@ -198,10 +212,20 @@ def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float]:
         if np.abs(step).max() < 1e-8:
             break
     slope = max(0.0, w[1] / spread)
-    return slope, w[0] - slope * mean
+    offset = w[0] - slope * mean
+    loss = clean * np.logaddexp(0, slope * x + offset) + toxic * np.logaddexp(0, -slope * x - offset)
+    return slope, offset, float(loss.sum())
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: float = 500.0, drift: float = 0.1, least_z: float = 2.5) -> Model:
+def law(m) -> dict[str, float]:
+    """lambda, ln K and the usual length from means of the best segment s, the logarithm l of the length, and their products: the
+    variance of lambda * s - l is to be that of the extreme-value law, pi^2 / 6; its mean gives K."""
+    vs, vl, c = m.ss - m.s * m.s, m.ll - m.l * m.l, m.sl - m.s * m.l
+    rate = min(5.0, max(0.05, (c + math.sqrt(max(0.0, c * c - vs * (vl - math.pi**2 / 6)))) / vs)) if vs > 1e-9 else 1.0
+    return {"rate": rate, "usual": m.l, "log_k": rate * m.s - m.l - EULER}
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: float = 500.0, drift: float = 0.1) -> Model:
     """Learn from labels(doc_id, toxic) of documents that are not held out: from max_labels of them at most, chosen by hash
     (two megabytes, which are broadcast, so that no text is shuffled).
 
@@ -218,52 +242,51 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: fl
 
     def learn(clean, toxic) -> Model:
         """Token scores from columns of counts."""
-        model = Model(np.zeros(0, np.uint64), np.zeros(0), drift)
+        model = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), drift)
         all_clean, all_toxic = counts.agg(F.sum(clean), F.sum(toxic)).first()
         if all_clean and all_toxic:
             a = F.lit(0.5) + prior * (clean + toxic) / F.lit(float(all_clean + all_toxic))
             t, c = toxic + a, clean + a
             odds = F.log(t / (F.lit(all_toxic + prior) - t)) - F.log(c / (F.lit(all_clean + prior) - c))
-            telling = counts.select("token", odds.alias("s"), (odds / F.sqrt(1 / t + 1 / c)).alias("z"), (clean + toxic).alias("n")).where((F.abs("z") >= least_z) & (F.col("n") > 0)).select("token", "s").toPandas()
+            telling = counts.select("token", odds.alias("s"), F.abs(odds / F.sqrt(1 / t + 1 / c)).alias("z"), (clean + toxic).alias("n")).where((F.col("z") >= LIMITS[0]) & (F.col("n") > 0)).select("token", "s", "z").toPandas()
             tokens = telling["token"].to_numpy(np.int64).view(np.uint64)
             order = np.argsort(tokens)
-            model.tokens, model.scores = tokens[order], telling["s"].to_numpy(float)[order]
+            model.tokens, model.scores, model.certain = tokens[order], telling["s"].to_numpy(float)[order], telling["z"].to_numpy(float)[order]
         return model
 
     column = {x: F.col(x) for x in ("clean0", "toxic0", "clean1", "toxic1")}
     model = learn(column["clean0"] + column["clean1"], column["toxic0"] + column["toxic1"])
     if len(model.tokens):
         others = [learn(column["clean1"], column["toxic1"]), learn(column["clean0"], column["toxic0"])]
-        others = [x if len(x.tokens) else model for x in others]
 
         def crosswise(batches):
             for part in blocks(batches, "text"):
-                both = [passages(part.column("text"), x) for x in others]
-                which = part.column("half").to_pylist()
-                n, scores = zip(*[(int(both[h][0][k]), [s for *_, s in both[h][1][k]]) for k, h in enumerate(which)], strict=True)
-                yield pa.RecordBatch.from_arrays([part.column("toxic"), part.column("weight"), pa.array(n, pa.int64()), pa.array(scores, pa.list_(pa.float64()))], ["toxic", "weight", "n", "scores"])
-
-        scored = save(train.mapInArrow(crosswise, "toxic int, weight double, n long, scores array<double>"))
+                for h, other in enumerate(others):
+                    own = part.filter(pc.equal(part.column("half"), h))
+                    n, found = passages(own.column("text"), other, LIMITS)
+                    for k, some in enumerate(found):
+                        scores = pa.array([[s for *_, s in x] for x in some], pa.list_(pa.float64()))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k, np.int32)), own.column("toxic"), own.column("weight"), pa.array(n), scores], ["k", "toxic", "weight", "n", "scores"])
+
+        scored = save(train.mapInArrow(crosswise, "k int, toxic int, weight double, n long, scores array<double>"))
         ln, best, w = F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")), F.coalesce(F.array_max("scores"), F.lit(0.0)), F.col("weight")
         mean = lambda x: F.sum(w * x) / F.sum(w)
-        m = scored.where("toxic <= 0").agg(mean(best).alias("s"), mean(ln).alias("l"), mean(best * best).alias("ss"), mean(ln * ln).alias("ll"), mean(best * ln).alias("sl")).first()
-        if m.s is not None:
-            # the variance of lambda * S - ln n is to be that of the extreme-value law, pi^2 / 6; its mean gives K
-            vs, vl, c = m.ss - m.s * m.s, m.ll - m.l * m.l, m.sl - m.s * m.l
-            if vs > 1e-9:
-                model.rate = min(5.0, max(0.05, (c + math.sqrt(max(0.0, c * c - vs * (vl - math.pi**2 / 6)))) / vs))
-            model.usual = m.l
-            model.log_k = model.rate * m.s - m.l - EULER
+        moments = scored.where("toxic <= 0").groupBy("k").agg(mean(best).alias("s"), mean(ln).alias("l"), mean(best * best).alias("ss"), mean(ln * ln).alias("ll"), mean(best * ln).alias("sl")).collect()
+        laws = {m.k: replace(model, **law(m)) for m in moments}
 
         def binned(batches):
             for batch in batches:
-                x = np.array([together(model, n, s) for n, s in zip(batch.column("n").to_pylist(), batch.column("scores").to_pylist(), strict=True)], float)
+                ks = batch.column("k").to_pylist()
+                x = np.array([together(laws.get(k, model), n, s) for k, n, s in zip(ks, batch.column("n").to_pylist(), batch.column("scores").to_pylist(), strict=True)], float)
                 at = np.clip(np.floor((x - LOW) / BIN), 0, BINS - 1).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(at), batch.column("toxic"), batch.column("weight")], ["bin", "toxic", "weight"])
+                yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(at), batch.column("toxic"), batch.column("weight")], ["k", "bin", "toxic", "weight"])
 
         weigh = lambda y: F.sum(F.when(y, w).otherwise(0.0))
-        bins = scored.mapInArrow(binned, "bin long, toxic int, weight double").groupBy("bin").agg(weigh(F.col("toxic") <= 0).alias("clean"), weigh(F.col("toxic") > 0).alias("toxic")).orderBy("bin").collect()
-        model.slope, model.offset = curve([(LOW + BIN * (b.bin + 0.5), b.clean, b.toxic) for b in bins])
+        bins = scored.mapInArrow(binned, "k int, bin long, toxic int, weight double").groupBy("k", "bin").agg(weigh(F.col("toxic") <= 0).alias("clean"), weigh(F.col("toxic") > 0).alias("toxic")).orderBy("k", "bin").collect()
+        curves = {k: curve([(LOW + BIN * (b.bin + 0.5), b.clean, b.toxic) for b in bins if b.k == k]) for k in sorted({b.k for b in bins})}
+        k = min(curves, key=lambda k: (curves[k][2], -k))
+        sure = model.certain >= LIMITS[k]
+        model = replace(laws.get(k, model), tokens=model.tokens[sure], scores=model.scores[sure], certain=model.certain[sure], slope=curves[k][0], offset=curves[k][1])
         forget(scored)
     forget(plain, groups, counts)
     return model
