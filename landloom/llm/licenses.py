@@ -1,8 +1,9 @@
 """License scans: ordered signature rules behind a keyword filter.
 
 A rule is a regular expression over lower-cased text with a label, a priority, a confidence and the keywords of which a text
-must hold some for the rule to be tried. Those are read off the expression, so that no text with a match lacks them. Rules are made from license families times phrase templates. Detections are resolved in
-order of priority: one whose interval lies within a kept detection's interval is suppressed.
+must hold some for the rule to be tried. The rules are written by hand (license_rules): tags, sentences of the licenses' own
+texts, grants, addresses and names. Keywords are read off the expression, so that no text with a match lacks them. Detections
+are resolved in order of priority: one whose interval lies within a kept detection's interval is suppressed.
 
 A map over whole texts: nothing is shuffled."""
 
@@ -18,38 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.llm.common import LOWER, NOT_ALNUM, annotate, table, utf8, word_bounds
+from landloom.llm.license_rules import SECTIONS
+
+#: What a blank in a rule stands for.
+GAP = r"(?:[^0-9a-z\x80-\xff]+)"
 
 # fixed values: phrases and their labels
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label, name as a pattern
-FAMILIES = [
-    ("mit", r"(?:the\s+)?mit"), ("expat", "expat"), ("x11", "x11"), ("isc", "isc"), ("zlib", "zlib"), ("libpng", "libpng"),
-    ("apache-1.1", r"apache(?:\s+software)?(?:\s+licen[sc]e)?,?\s*(?:version\s*|v)?1\.1"), ("apache-2", r"apache(?:\s+licen[sc]e)?[\s,-]*(?:version\s*|v)?2(?:\.0)?"),
-    ("bsd-2-clause", r"(?:2-clause|simplified|freebsd)\s+bsd|bsd[\s-]2[\s-]clause"), ("bsd-3-clause", r"(?:3-clause|new|modified|revised)\s+bsd|bsd[\s-]3[\s-]clause"), ("bsd-4-clause", r"(?:4-clause|original)\s+bsd|bsd[\s-]4[\s-]clause"), ("0bsd", "0bsd"), ("bsd", "bsd"),
-    ("mpl-1.1", r"(?:mozilla\s+public\s+licen[sc]e|mpl)[\s,-]*(?:version\s*|v)?1\.1"), ("mpl-2.0", r"(?:mozilla\s+public\s+licen[sc]e|mpl)[\s,-]*(?:version\s*|v)?2(?:\.0)?"),
-    ("epl-1.0", r"(?:eclipse\s+public\s+licen[sc]e|epl)[\s,-]*(?:version\s*|v)?1(?:\.0)?"), ("epl-2.0", r"(?:eclipse\s+public\s+licen[sc]e|epl)[\s,-]*(?:version\s*|v)?2(?:\.0)?"),
-    ("cddl-1.0", r"(?:common\s+development\s+and\s+distribution\s+licen[sc]e|cddl)"), ("artistic-2.0", r"artistic\s+licen[sc]e[\s,-]*2(?:\.0)?"), ("artistic-1.0", r"artistic"),
-    ("bsl-1.0", r"boost\s+software\s+licen[sc]e|boost"), ("eupl-1.2", r"eupl(?:[\s-]*(?:version\s*|v)?1\.2)?|european\s+union\s+public\s+licen[sc]e"), ("odbl-1.0", r"odbl|open\s+database\s+licen[sc]e"), ("odc-by-1.0", r"odc[\s-]by|open\s+data\s+commons\s+attribution"), ("pddl-1.0", r"pddl|public\s+domain\s+dedication\s+and\s+licen[sc]e"),
-    ("ofl-1.1", r"(?:sil\s+)?open\s+font\s+licen[sc]e|ofl"), ("postgresql", "postgresql"), ("python-2.0", r"python(?:\s+software\s+foundation)?"), ("openssl", "openssl"), ("ms-pl", r"ms[\s-]pl|microsoft\s+public"), ("ms-rl", r"ms[\s-]rl|microsoft\s+reciprocal"),
-    ("unlicense", "unlicense"), ("wtfpl", r"wtfpl"), ("vim", "vim"), ("afl-3.0", r"academic\s+free\s+licen[sc]e|afl"), ("osl-3.0", r"open\s+software\s+licen[sc]e|osl"), ("ncsa", r"ncsa|university\s+of\s+illinois"), ("upl-1.0", r"universal\s+permissive|upl"), ("zpl-2.1", r"zope\s+public|zpl"), ("cecill-2.1", r"cecill"), ("lppl-1.3c", r"lppl|latex\s+project\s+public"), ("ruby", "ruby"), ("php-3.01", "php"), ("w3c", "w3c"), ("ogl-3.0", r"open\s+government\s+licen[sc]e(?:\s+v?3(?:\.0)?)?"),
-    ("cc0-1.0", r"cc0(?:[\s-]1\.0)?|creative\s+commons\s+zero"),
-    *[(f"{short}-{v}", rf"(?:{long}|{short})[\s,-]*(?:version\s*|v)?{v[0]}(?:\.{v[2]})?") for short, long, vs in (("gpl", r"gnu\s+general\s+public\s+licen[sc]e", ("2.0", "3.0")), ("lgpl", r"gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2.1", "3.0")), ("agpl", r"gnu\s+affero\s+general\s+public\s+licen[sc]e", ("3.0",)), ("gfdl", r"gnu\s+free\s+documentation\s+licen[sc]e", ("1.2", "1.3"))) for v in vs],
-    *[(f"cc-by{'-' * bool(x)}{x}-{v}.0", rf"(?:cc|creative\s+commons)[\s-]+by{''.join(rf'[\s-]+{y}' for y in x.split('-') if y)}[\s,-]+(?:version\s*|v)?{v}(?:\.0)?") for x in ("", "sa", "nd", "nc", "nc-sa", "nc-nd") for v in (2, 3, 4)],
-]
-
-#: template, priority, confidence
-TEMPLATES = [
-    (r"spdx-license-identifier:\s*(?:{n})", 90, 1.0),
-    (r"(?:licen[sc]ed|released|distributed|available|provided|published)\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{n})(?:\s+licen[sc]e)?", 60, 1.0),
-    (r"licen[sc]e\s*[:=]\s*(?:{n})", 55, 0.9),
-    (r"under\s+(?:the\s+)?(?:{n})\s+licen[sc]e", 50, 0.95),
-    (r"(?:{n})\s+licen[sc]e", 30, 0.7),
-    (r"see\s+(?:the\s+)?(?:{n})\s+(?:licen[sc]e|terms)", 20, 0.6),
-    (r"copyright[^\n]{{0,80}}\b(?:{n})\b", 10, 0.5),
-]
-
-
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -92,8 +69,11 @@ def make_rule(label: str, pattern: str, priority: int, confidence: float) -> Rul
 
 def make_rules() -> list[Rule]:
     """In order of priority, then as listed."""
-    out = [make_rule(label, r"(?<![0-9a-z])" + t.format(n=name) + r"(?![0-9a-z])", priority, confidence) for t, priority, confidence in TEMPLATES for label, name in FAMILIES]
-    out += [make_rule("proprietary", r"all\s+rights\s+reserved", 15, 0.6), make_rule("public-domain", r"(?:dedicated\s+to|in)\s+the\s+public\s+domain", 40, 0.8)]
+    out = []
+    for priority, confidence, lines in SECTIONS:
+        for line in lines.strip().split("\n"):
+            label, pattern = line.split(None, 1)
+            out.append(make_rule(label, rf"(?<![0-9a-z])(?:{pattern.replace(' ', GAP)})(?![0-9a-z])", priority, confidence))
     return sorted(out, key=lambda r: -r.priority)
 
 

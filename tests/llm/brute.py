@@ -118,3 +118,12 @@ def contaminated(rows, items, window=20, percent=80):
                     out.add((i, k))
                     break
     return out
+
+
+def license_phrases(text):
+    """(words, places, first, last, labels) of the fixed phrases."""
+    w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOW))
+    phrases = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+    found = [(j, label) for p, label in phrases.items() for j in range(len(w)) if w[j : j + len(p.split())] == p.split()]
+    at = [j for j, _ in found]
+    return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({label for _, label in found}))
