@@ -253,6 +253,56 @@ def ascii_lower(c):
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER_ASCII, LOWER_ASCII))
 
 
+# ------------------------------------------------------------------------------------------------- hot keys
+
+
+#: A key is hot if more than one in PARTS of the rows have it, and more than LEAST. So at most PARTS keys are, whatever the
+#: number of rows, and they may be broadcast.
+PARTS, LEAST = 4096, 1000
+
+
+def hot_keys(counts: DataFrame, n: str = "n") -> tuple[DataFrame | None, int]:
+    """(hot keys or None, limit) of counts: a row per key with the number n of rows that have it. counts is read twice."""
+    total, most = counts.agg(F.sum(n), F.max(n)).first()
+    limit = max(LEAST, (total or 0) // PARTS)
+    return (counts.where(F.col(n) > limit) if (most or 0) > limit else None), limit
+
+
+def look_up(rows: DataFrame, counts: DataFrame, on: list[str], by: list[str], n: str = "n") -> DataFrame:
+    """Inner join of rows with counts, which has a row per key and the number n of rows that have it; on[0] is a long.
+
+    Rows of hot keys get theirs from a broadcast, and are dealt by a hash of the columns by where the others are joined, instead
+    of meeting in one task."""
+    hot, limit = hot_keys(counts, n)
+    if hot is None:
+        return rows.join(counts, on)
+    rest = [c for c in counts.columns if c not in on]
+    own = F.struct(*rest)
+    keyed = rows.join(F.broadcast(hot.select(*on, own.alias("_hot"))), on, "left")
+    keyed = keyed.withColumn("_key", F.when(F.col("_hot").isNull(), F.col(on[0])).otherwise(F.xxhash64(*by)))
+    cold = counts.where(F.col(n) <= limit).select(F.col(on[0]).alias("_cold_key"), *[F.col(c).alias(f"_cold_{c}") for c in on[1:]], own.alias("_cold"))
+    same = (F.col("_key") == F.col("_cold_key")) & F.col("_hot").isNull()
+    for c in on[1:]:
+        same = same & (F.col(c) == F.col(f"_cold_{c}"))
+    found = F.coalesce("_hot", "_cold").alias("_found")
+    joined = keyed.join(cold, same, "left").select(*rows.columns, found).where("_found IS NOT NULL")
+    return joined.select(*rows.columns, *[F.col("_found").getField(c).alias(c) for c in rest])
+
+
+def even_join(left: DataFrame, right: DataFrame, on: str, by: list[str], counts: DataFrame, n: str = "n") -> DataFrame:
+    """Inner join of left with right, which has a row or a few per key; counts: the number n of left's rows per key.
+
+    Left's rows of a hot key are dealt over shares by a hash of the columns by, and right's are repeated for each share; there
+    are at most 2 * PARTS shares of hot keys."""
+    hot, limit = hot_keys(counts, n)
+    if hot is None:
+        return left.join(right, on)
+    shares = F.broadcast(hot.select(on, F.ceil(F.col(n) / F.lit(limit)).cast("int").alias("_shares")))
+    one = left.join(shares, on, "left").withColumn("_share", F.coalesce(F.pmod(F.xxhash64(*by), "_shares").cast("int"), F.lit(0))).drop("_shares")
+    other = right.join(shares, on, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))).drop("_shares")
+    return one.join(other, [on, "_share"]).drop("_share")
+
+
 # ------------------------------------------------------------------------------------------------- components
 
 
@@ -260,23 +310,30 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b) pairs of ids; component: the smallest id reachable.
 
     Alternates large-star and small-star steps: each links a node's neighbours to its least one, the first those that are
-    larger, the second those that are smaller. A step is one aggregation by node and one join, so a node with very many
-    neighbours is no single task's group. Steps are saved and report whether they changed anything; a graph of stars is
-    recognised in one round."""
+    larger, the second those that are smaller. A step is one aggregation by node and one join, by look_up() where there are
+    many edges, so a node with very many neighbours is no single task's group. Steps are saved and report whether they changed
+    anything; a graph of stars is recognised in one round."""
     few = 4 * edges.sparkSession.sparkContext.defaultParallelism  # ids only: tasks beyond four a core are overhead
     plain = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     now = save(plain.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).coalesce(few))
+    many = now.count() > 1 << 16
+
+    def joined(rows: DataFrame, counts: DataFrame, on: str, by: str) -> DataFrame:
+        return look_up(rows, save(counts), [on], [by]).drop("n") if many else rows.join(counts.drop("n"), on)
+
     while True:
-        least = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
         seen = Observation()
-        large = save(now.join(least.select(F.col("a").alias("b"), "m"), "b").observe(seen, F.count_if(F.col("m") < F.col("b")).alias("n")).select("a", F.col("m").alias("b")).coalesce(few))
+        large = joined(now, least.withColumnRenamed("a", "b"), "b", "a").observe(seen, F.count_if(F.col("m") < F.col("b")).alias("n"))
+        large = save(large.select("a", F.col("m").alias("b")).coalesce(few))
         more = Observation()
-        small = save(large.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("last")).observe(more, F.count_if(F.col("b") < F.col("last")).alias("n")).coalesce(few))
+        small = save(large.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("last"), F.count("*").alias("n")).observe(more, F.count_if(F.col("b") < F.col("last")).alias("n")).coalesce(few))
         changed, several = (seen.get["n"] or 0) + (more.get["n"] or 0), more.get["n"]
         forget(now)
         now = small.select("a", "b")
         if several:
-            now = save(now.unionByName(large.join(small.where("b < last").select("a", F.col("b").alias("m")), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))))
+            others = joined(large, small.where("b < last").select("a", F.col("b").alias("m"), "n"), "a", "b").where("b > m")
+            now = save(now.unionByName(others.select(F.col("b").alias("a"), F.col("m").alias("b"))))
             forget(small)
         else:
             now._saved_at = small._saved_at

@@ -1,15 +1,15 @@
 """Line dedup: explode normalised lines, hash, count distinct documents per hash, drop lines over the threshold,
 reassemble by position. Built-in functions only.
 
-Only hashes are shuffled for counting. A hash that every third document holds is summed before the shuffle and joined back
-as one row, so no task gathers a line's documents. A document's text moves once, to meet the list of its dropped lines."""
+Only hashes are shuffled for counting. A hash that every third document holds is summed before the shuffle and broadcast to
+its lines, so no task gathers a line's documents. A document's text moves once, to meet the list of its dropped lines."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import ascii_lower, table
+from landloom.llm.common import ascii_lower, look_up, save, table
 
 #: Stripped from both ends of a line before it is compared.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -34,10 +34,11 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     hashed = keyed.select("_id", "_same", "_at", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(77), "_key", F.char_length("_key")).alias("_h2"))
     by = hashed.groupBy("_h1", "_h2")
     if min_docs == 2:
-        held = by.agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first < _last")
+        held = by.agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.count("*").alias("n")).where("_first < _last")
     else:
-        held = by.agg(F.min("_id").alias("_first"), F.countDistinct("_id").alias("_n")).where(F.col("_n") >= min_docs)
-    gone = hashed.join(held.select("_h1", "_h2", "_first"), ["_h1", "_h2"]).where(~F.col("_id").eqNullSafe(F.col("_first")))
+        held = by.agg(F.min("_id").alias("_first"), F.countDistinct("_id").alias("_docs"), F.count("*").alias("n")).where(F.col("_docs") >= min_docs)
+    held = save(held.select("_h1", "_h2", "_first", "n"))
+    gone = look_up(hashed, held, ["_h1", "_h2"], ["_id", "_at"]).where(~F.col("_id").eqNullSafe(F.col("_first")))
     gone = gone.groupBy(F.col("_id").alias("_in"), F.col("_same").alias("_as")).agg(F.collect_set("_at").alias("_gone"))
     whole = rows.select("row", "_id", "_same", F.split("_text", "\n", -1).alias("_lines"))
     joined = whole.join(gone, F.col("_id").eqNullSafe(F.col("_in")) & (F.col("_same") == F.col("_as")), "left")

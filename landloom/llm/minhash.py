@@ -9,9 +9,11 @@ Links are then confirmed on full sets, and groups are connected components of co
 
 1. Equal sets are one class from the start.
 2. In each bucket of a key all members are compared with the least one only: as many pairs as members.
-3. What is left open are buckets of three or more whose members those links don't connect. Their members, each once, are
-   gathered by connected component of those buckets, dealt over blocks of at most about block members and pairs of blocks,
-   and compared inside the tasks; only links between what isn't connected yet come out.
+3. What is left open are buckets of three or more whose members those links don't connect. While one of them has more than a
+   block of members, those outside the least one's component are compared with the least of them, as in 2.
+4. The members of buckets that are still open, each once, are gathered by connected component of those buckets. They are dealt
+   over blocks, and pairs of blocks are compared inside the tasks, but for blocks of the largest component of confirmed links,
+   which need not meet each other; only links between what isn't connected yet come out.
 
 So no bucket's pairs are ever written, and a bucket of any size is spread over many tasks. Signatures and keys grow with the
 number of documents, sets are made only for documents that share a key with another and come near it in size."""
@@ -27,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import annotate, blocks, components, forget, inside, mixed, prefixes, save, signed, spans, table, unpack, windows, word_table
+from landloom.llm.common import annotate, blocks, components, even_join, forget, inside, look_up, mixed, prefixes, save, signed, spans, table, unpack, windows, word_table
 
+#: Comparing with one more member of each open bucket goes on while one in so many pairs is a link.
+SOME = 20
 MULTIPLIERS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
 
@@ -120,25 +124,42 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough."""
+    """Those of the pairs (a, b), saved, whose full sets are similar enough. One a may have very many b."""
 
     def run(batches):
         for part in blocks(batches, "sa"):
             keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(part.column("sa").to_pylist(), part.column("sb").to_pylist(), strict=True)]
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    held = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    held = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    held = even_join(held, sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a", ["b"], pairs.groupBy("a").agg(F.count("*").alias("n")))
     return held.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def in_blocks(members: DataFrame, m: int, errors: int, percent: int, block: int) -> DataFrame:
-    """(a, b): links between members(cluster, id, component, sig, shingles) of a cluster, enough to connect what links connect.
+def open_buckets(several: DataFrame, part: DataFrame) -> DataFrame:
+    """(key, id, component, head): members of the buckets several(key, id, p) whose members are in more than one component of
+    part(node, component); head: the component of the bucket's least member p. Saved."""
+    at = several.join(part.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    head = F.max(F.when(F.col("id") == F.col("p"), F.col("component"))).alias("head")
+    loose = save(at.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), head, F.count("*").alias("n")).where("least < most").select("key", "head", "n"))
+    out = save(look_up(at.select("key", "id", "component"), loose, ["key"], ["id"]).select("key", "id", "component", "head"))
+    forget(loose)
+    return out
+
+
+def second_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, links), saved: in each open bucket, the members outside the head's component are compared with the least of them."""
+    others = members.where("component <> head")
+    reps = save(others.groupBy("key").agg(F.min("id").alias("rep"), F.min_by("component", "id").alias("own"), F.count("*").alias("n")).where("n > 1"))
+    pairs = look_up(others.select("key", "id", "component"), reps, ["key"], ["id"]).where("component <> own")
+    pairs = save(pairs.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct())
+    forget(reps)
+    return pairs, save(confirm(pairs, sets, percent))
+
 
-    The members of a cluster are dealt over blocks; each pair of blocks is one group of at most about 2 * block rows."""
-    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nb"))
-    at = members.join(sizes, "cluster").withColumn("at", F.pmod(F.xxhash64(F.lit(5), "id"), "nb").cast("int"))
-    dealt = at.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
-    dealt = dealt.select(F.xxhash64("cluster", F.least("at", "other"), F.greatest("at", "other")).alias("deal"), F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"), "cluster", "at", "id", "component", "sig", "shingles")
+def in_blocks(members: DataFrame, m: int, errors: int, percent: int, block: int) -> DataFrame:
+    """(a, b): links between members(lo, hi, deal, at, id, component, sig, shingles) of two blocks (or one) of a cluster, enough
+    to connect what links connect."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -160,7 +181,23 @@ def in_blocks(members: DataFrame, m: int, errors: int, percent: int, block: int)
                     label[label == label[j]] = label[i]
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    return dealt.groupBy("deal", "cluster", "lo", "hi").applyInArrow(run, "a long, b long")
+    return members.groupBy("deal", "lo", "hi").applyInArrow(run, "a long, b long")
+
+
+def block_pairs(members: DataFrame, block: int) -> DataFrame:
+    """(deal, lo, hi, at, id, component) of members(cluster, id, component): a row for each pair of blocks that a member is in.
+
+    The members of a cluster's largest component are not compared with each other, so only blocks of the others meet all."""
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("large"), F.max("n").alias("inner"), F.sum("n").alias("n"))
+    number = lambda x: F.ceil(x / F.lit(block)).cast("int")
+    sizes = save(sizes.where("n > inner").select("cluster", "large", number(F.col("inner")).alias("nl"), number(F.col("n") - F.col("inner")).alias("no"), "n"))
+    at = look_up(members, sizes, ["cluster"], ["id"])
+    own, slot = F.col("component") == F.col("large"), F.xxhash64(F.lit(5), "id")
+    at = at.withColumn("at", F.when(own, F.pmod(slot, "nl")).otherwise(F.col("nl") + F.pmod(slot, "no")).cast("int"))
+    at = at.select("*", F.explode(F.sequence(F.when(own, F.col("nl")).otherwise(0), F.col("nl") + F.col("no") - 1)).alias("other"))
+    lo, hi = F.least("at", "other"), F.greatest("at", "other")
+    return at.select(F.xxhash64("cluster", lo, hi).alias("deal"), lo.alias("lo"), hi.alias("hi"), "at", "id", "component")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 85, m: int = 40, tail: float = 1e-5, block: int = 1000) -> DataFrame:
@@ -177,28 +214,43 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     same = ["n_shingles", "h1", "h2"]
     classes = save(rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("id"), F.first("sig").alias("sig")))
     keys = index_keys(classes, m, errors)
-    held = keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("n")).where("n > 1")
-    buckets = save(keys.join(held, "key").where("id <> p OR n > 2"))
-    star = buckets.where("id <> p").select(F.col("p").alias("a"), F.col("id").alias("b")).distinct()
-    star = star.join(classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na")), "a").join(classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb")), "b")
-    star = save(star.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
-    several = buckets.where("n > 2").select("id").unionByName(star.select(F.col("a").alias("id"))).unionByName(star.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(several, "id", "left_semi")
+    held = save(keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("n")).where("n > 1"))
+    buckets = save(look_up(keys, held, ["key"], ["id"]).where("id <> p OR n > 2"))
+    star = save(buckets.where("id <> p").select(F.col("p").alias("a"), F.col("id").alias("b")).distinct())
+    degree = star.groupBy("a").agg(F.count("*").alias("n"))
+    near = even_join(star, classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na")), "a", ["b"], degree).join(classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb")), "b")
+    near = save(near.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
+    several = buckets.where("n > 2").select("key", "id", "p")
+    wanted = several.select("id").unionByName(near.select(F.col("a").alias("id"))).unionByName(near.select(F.col("b").alias("id"))).distinct()
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
     sets = save(annotate(texts, "text", "shingles binary", lambda c: {"shingles": pa.array([x.tobytes() for x in shingle_sets(c, shingle)], pa.binary())}).select("row.id", "shingles").where(F.octet_length("shingles") > 0))
-    links = save(confirm(star, sets, percent))
+    links = save(confirm(near, sets, percent))
     part = save(components(links))
-
-    open_ = buckets.where("n > 2").join(part.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    loose = open_.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
-    open_ = open_.join(loose, "key")
-    heads = open_.where("id = p").select("key", F.col("component").alias("head"))
-    open_ = save(open_.join(heads, "key").select("id", "component", "head").distinct())
-    clusters = save(components(open_.select(F.col("component").alias("a"), F.col("head").alias("b")).distinct()))
-    members = open_.select("id", "component").distinct().join(clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster")), "component")
-    members = members.join(classes.groupBy("id").agg(F.first("sig").alias("sig")), "id").join(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "id")
-    more = save(in_blocks(members, m, errors, percent, block))
+    forget(held, star, near, links)
+
+    open_ = open_buckets(several, part)
+    while True:  # as long as buckets of more than a block are open and a comparison with one member links at least some
+        if (open_.groupBy("key").count().agg(F.max("count")).first()[0] or 0) <= block:
+            break
+        pairs, links = second_links(open_, sets, percent)
+        compared, found = pairs.count(), links.count()
+        if found:
+            before = part
+            part = save(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)))
+            forget(before, open_)
+            open_ = open_buckets(several, part)
+        forget(pairs, links)
+        if found * SOME < compared or not found:
+            break
+    edges = open_.select(F.col("component").alias("a"), F.col("head").alias("b")).distinct()
+    members = save(open_.select("id", "component").distinct())
+    clusters = components(edges).select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    clusters = save(clusters.join(members.groupBy("component").agg(F.count("*").alias("n")), "component"))
+    dealt = block_pairs(look_up(members, clusters, ["component"], ["id"]).drop("n"), block)
+    full = classes.groupBy("id").agg(F.first("sig").alias("sig")).join(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "id")
+    more = save(in_blocks(dealt.join(full, "id"), m, errors, percent, block))
     whole = save(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))) if not more.isEmpty() else part
-    forget(buckets, star, sets, links, open_, clusters, more)
+    forget(buckets, sets, open_, members, clusters, more)
 
     known = classes.select(*[F.col(c).alias("_" + c) for c in same], F.col("id").alias("_rep"))
     out = rows.drop("sig").join(known, (F.col("n_shingles") == F.col("_n_shingles")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & F.col("id").isNotNull(), "left")

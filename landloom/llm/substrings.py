@@ -7,7 +7,8 @@ kept at their full extent. A run whose anchor the leader has but which the leade
 document; such runs are themselves joined, whole, as seeds as long as the threshold, on the smallest id. Partners of such a
 run have the same anchor and leader and are in the same position, so none is missed.
 
-A passage that every third document holds costs one leader and a row per document. The pair step shuffles the texts of
+A passage that every third document holds costs one leader and a row per document, dealt over as many tasks as those rows
+need. The pair step shuffles the texts of
 documents that share an anchor, and the last step all texts, once."""
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import annotate, blocks, covered, forget, inside, mixed, prefixes, runs, save, signed, table, windows, winnow, word_table
+from landloom.llm.common import annotate, blocks, covered, even_join, forget, inside, look_up, mixed, prefixes, runs, save, signed, table, windows, winnow, word_table
 
 #: So many ids of 8 bytes are broadcast at most, to filter texts before they are shuffled; beyond, the join shuffles them.
 MAX_IDS = 1 << 20
@@ -76,9 +77,10 @@ def repeated_spans(docs: DataFrame, length: int = 50, seed: int = 20) -> DataFra
 
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     each = annotate(docs, "text", "h array<long>", seeds).select(F.col("row.doc_id").alias("doc_id"), F.explode("h").alias("h"))
-    leaders = each.groupBy("h").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last").drop("last")
-    hits = each.join(leaders, "h").where("doc_id > leader").groupBy("doc_id", "leader").agg(F.collect_set("h").alias("h"))
+    leaders = save(each.groupBy("h").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("leader < last").drop("last"))
+    hits = look_up(each, leaders, ["h"], ["doc_id"]).where("doc_id > leader").groupBy("doc_id", "leader").agg(F.collect_set("h").alias("h"))
     hits = save(hits)
+    followers = hits.groupBy("leader").agg(F.count("*").alias("n"))
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("same"))
     xs, ys = save(hits.select("doc_id").distinct()), save(hits.select(F.col("leader").alias("doc_id")).distinct())
     left = only(hashed, xs, "doc_id").join(hits, "doc_id")
@@ -100,13 +102,13 @@ def repeated_spans(docs: DataFrame, length: int = 50, seed: int = 20) -> DataFra
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("same"), *[pa.array(c, pa.list_(pa.int64())) for c in columns]], ["doc_id", "same", "a", "b", "h1", "h2", "at"])
 
-    found = save(left.join(right, "leader").select("doc_id", "same", "text", "leading", "h").mapInArrow(pair, "doc_id long, same long, a array<long>, b array<long>, h1 array<long>, h2 array<long>, at array<long>"))
+    found = save(even_join(left, right, "leader", ["doc_id"], followers).select("doc_id", "same", "text", "leading", "h").mapInArrow(pair, "doc_id long, same long, a array<long>, b array<long>, h1 array<long>, h2 array<long>, at array<long>"))
     rest = found.select("doc_id", "same", F.explode(F.arrays_zip("h1", "h2", "at")).alias("z")).select("doc_id", "same", "z.*")
-    firsts = rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader < last").drop("last")
-    more = rest.join(firsts, ["h1", "h2"]).where("doc_id > leader").select("doc_id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span"))
+    firsts = save(rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("leader < last").drop("last"))
+    more = look_up(rest, firsts, ["h1", "h2"], ["doc_id", "at"]).where("doc_id > leader").select("doc_id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span"))
     plain = found.select("doc_id", "same", F.explode(F.arrays_zip(F.col("a").alias("start"), F.col("b").alias("end"))).alias("span"))
     out = save(plain.unionByName(more).groupBy("doc_id", "same").agg(F.collect_set("span").alias("spans")))
-    forget(hits, xs, ys, found)
+    forget(leaders, hits, xs, ys, found, firsts)
     return out
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from landloom.llm.common import BYTE_VALUES, annotate, blocks, covered, forget, inside, mixed, prefixes, runs, save, signed, table, tidy, utf8, windows, winnow
+from landloom.llm.common import BYTE_VALUES, annotate, blocks, covered, forget, inside, look_up, mixed, prefixes, runs, save, signed, table, tidy, utf8, windows, winnow
 from landloom.llm.substrings import only
 
 LENGTH, SEED = 200, 64
@@ -348,11 +348,12 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
 
     spark = docs.sparkSession
     each = save(annotate(docs, "text", "h array<long>, at array<int>", anchors).select("row.id", "row.same", "h", "at"))
-    often = each.select(F.explode("h").alias("h")).groupBy("h").count().where("count > 1").select("h")
-    spots = each.select("id", "same", F.explode(F.arrays_zip("h", "at")).alias("z")).select("id", "same", "z.h", "z.at").join(often, "h").groupBy("id", "same").agg(F.collect_set("at").alias("ats"))
+    often = save(each.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    spots = each.select("id", "same", F.explode(F.arrays_zip("h", "at")).alias("z")).select("id", "same", "z.h", "z.at")
+    spots = look_up(spots, often, ["h"], ["id", "at"]).groupBy("id", "same").agg(F.collect_set("at").alias("ats"))
     spots = save(spots)
     ids = save(spots.select("id").distinct())
-    forget(each)
+    forget(each, often)
     tidy(spark)
     texts = only(docs, ids, "id")
     table_of_runs = save(make_runs(texts.join(spots, ["id", "same"]), length, seed))

@@ -46,7 +46,13 @@ def rows():
     return corpus()
 
 
-def test_line_dedup(spark, rows):
+@pytest.fixture(params=[common.LEAST, 2], ids=["plain", "hot"])
+def least_hot(request, monkeypatch):
+    """With hot keys from three rows on, their joins take the ways of keys that hold a third of all rows."""
+    monkeypatch.setattr(common, "LEAST", request.param)
+
+
+def test_line_dedup(spark, rows, least_hot):
     rows = [*rows, (None, "A line that MANY documents share"), (5, rows[5][1])]
     got = lines.line_dedup(frame(spark, rows)).select("row.doc_id", "n_lines", "n_dropped", "kept").collect()
     assert sorted(map(tuple, got), key=str) == sorted(brute.line_dedup(rows), key=str)
@@ -76,7 +82,7 @@ def test_mixing_caps_and_reshares(spark):
     assert got["a"] == 30 and got["c"] == 0 and got[None] == 300 and abs(got["b"] - 780) < 1e-9
 
 
-def test_near_duplicates(spark, rows):
+def test_near_duplicates(spark, rows, least_hot):
     rows = [*rows, (5, rows[5][1])]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(spark, [*rows, (None, rows[0][1])]), block=7).collect()}
     assert got.pop(None)[1] is None and got == brute.near_duplicates(rows)
@@ -103,7 +109,36 @@ def test_components(spark):
     assert got == want
 
 
-def test_substrings(spark, rows):
+def test_hot_keys_join_as_others(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(r.choice([1, 1, 1, 2, 3, r.randrange(50)]), r.randrange(2), i) for i in range(400)] + [(None, 0, 500), (7777, 1, 501)]
+    left = spark.createDataFrame(rows, "k long, k2 int, i long")
+    counts = left.groupBy("k", "k2").agg(F.count("*").alias("n"), F.min("i").alias("first")).where("n > 1")
+    one = left.groupBy("k").agg(F.count("*").alias("n"))
+    want = sorted(map(tuple, left.join(counts, ["k", "k2"]).collect()))
+    pairs = left.select(F.col("k"), F.col("i").alias("j")).where("j < 60")
+    both = sorted(map(tuple, left.join(pairs, "k").collect()))
+    for least in (1000, 3):
+        monkeypatch.setattr(common, "LEAST", least)
+        assert sorted(map(tuple, common.look_up(left, counts, ["k", "k2"], ["i"]).collect())) == want
+        assert sorted(map(tuple, common.even_join(left, pairs, "k", ["i"], one).collect())) == both
+
+
+def test_groups_that_the_least_member_does_not_connect(spark):
+    """Chains of near-copies, each like its neighbours only: links beyond the first member's, in one bucket or several."""
+    r = random.Random(31)
+    words, rows = [f"w{i}" for i in range(5000)], []
+    for chain in range(3):
+        w = r.sample(words, 300)
+        for i in range(25):
+            rows.append((r.randrange(10**6) * 3 + chain, " ".join(w)))
+            for _ in range(3):
+                w[r.randrange(len(w))] = f"x{r.random()}"
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in minhash.near_duplicates(frame(spark, rows), block=4).collect()}
+    assert got == brute.near_duplicates(rows)
+
+
+def test_substrings(spark, rows, least_hot):
     rows = [*rows, (None, rows[60][1]), (5, rows[5][1])]
     got = substrings.remove_repeats(frame(spark, rows)).select("row.doc_id", "n_words", "n_removed", "kept").collect()
     assert sorted(map(tuple, got), key=str) == sorted(brute.substrings(rows), key=str)
@@ -120,6 +155,7 @@ def test_windows_of_another_document_than_the_leader(spark):
 
 @pytest.mark.parametrize("part_bytes", [None, 3000])
 def test_repeated_bytes(spark, rows, part_bytes, monkeypatch):
+    monkeypatch.setattr(common, "LEAST", 2 if part_bytes else common.LEAST)
     if part_bytes:  # small ranges, which cut groups
         monkeypatch.setattr(suffixes, "PART_BYTES", part_bytes)
         monkeypatch.setattr(suffixes, "BLOCK_ENTRIES", 5)
