@@ -13,6 +13,10 @@ from landloom.plans.schema import LOADED, enforce
 STANDARD = ("dataset", "end_date", "entity", "entry_date", "geometry", "json", "name", "organisation_entity", "point", "prefix", "quality", "reference", "start_date", "typology")
 
 
+#: A list of so many datasets at most is broadcast.
+MAX_DATASETS = 100_000
+
+
 def pick(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order; list enough columns that ties are equal in what matters."""
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")
@@ -58,6 +62,12 @@ def join_organisation(df: DataFrame, organisation: DataFrame) -> DataFrame:
     return df.drop("organisation_entity").join(own, "organisation", "left")
 
 
+def join_typology(df: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Add the typology of the dataset from dimension(dataset, typology); of several the least, null where there is none."""
+    own = dimension.groupBy("dataset").agg(F.min("typology").alias("typology"))
+    return df.drop("typology").join(F.broadcast(own) if own.limit(MAX_DATASETS + 1).count() <= MAX_DATASETS else own, "dataset", "left")
+
+
 def transform_fact_resource(eav: DataFrame, dataset: str, loaded=None) -> DataFrame:
     return enforce(C.with_constants(eav, dataset=dataset, **({LOADED: F.lit(loaded).cast("timestamp")} if loaded else {})), "fact_resource", (LOADED,))
 
@@ -66,13 +76,17 @@ def transform_fact(eav: DataFrame, dataset: str, loaded=None) -> DataFrame:
     return enforce(C.with_constants(first_facts(eav), dataset=dataset, **({LOADED: F.lit(loaded).cast("timestamp")} if loaded else {})), "fact", (LOADED,))
 
 
-def transform_entity(eav: DataFrame, dataset: str, organisation: DataFrame, typology: str | None = None, fields: list[str] | None = None, loaded=None) -> DataFrame:
+def transform_entity(eav: DataFrame, dataset: str, organisation: DataFrame, typology: str | DataFrame | None = None, fields: list[str] | None = None, loaded=None) -> DataFrame:
     """Wide entities: current values pivoted, quality from the highest priority, the owner's entity, what has no column of
-    its own as JSON, dates and geometry checked, and a point for each geometry."""
+    its own as JSON, dates and geometry checked, and a point for each geometry. typology: the value for all, or a table to look it
+    up in (see join_typology())."""
     wide = C.snake_case(pivot(latest_values(eav), fields))
     has_priority = "priority" in eav.columns
     wide = C.with_constants(wide, dataset=dataset, quality=C.quality_of("max_priority") if has_priority else F.lit(""))
-    wide = wide if "typology" in wide.columns and typology is None else wide.withColumn("typology", F.lit(typology))
+    if isinstance(typology, DataFrame):
+        wide = join_typology(wide, typology)
+    elif typology is not None or "typology" not in wide.columns:
+        wide = wide.withColumn("typology", F.lit(typology))
     wide = join_organisation(wide.drop("max_priority"), organisation)
     rest = [c for c in wide.columns if c not in STANDARD and c != "organisation"]
     for c in ("geometry", "end_date", "entry_date", "start_date", "name", "point", "prefix", "reference"):

@@ -29,7 +29,8 @@ def seeder_side(owned: DataFrame, lookup: DataFrame, designated: DataFrame, acti
 
     Local authorities count only if they seeded for more than one owner."""
     some = owned.where(F.col("quality") == "some").select("dataset", "entity", F.col("organisation").alias("owner"))
-    seeded = some.join(lookup.select("entity", "organisation"), "entity").join(active_organisations.select("organisation"), "organisation", "left_semi")
+    now = lookup.select("entity", "organisation").join(active_organisations.select("organisation"), "organisation", "left_semi")
+    seeded = some.join(now, "entity")
     for others in (some.select("dataset", F.col("owner").alias("organisation")).distinct(), designated.select(*KEY).distinct()):
         seeded = seeded.join(others, KEY, "left_anti")
     by = seeded.groupBy(*KEY).agg(F.countDistinct("owner").alias("owners"), F.countDistinct("entity").alias("seeder_entity_count"))

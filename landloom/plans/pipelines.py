@@ -11,7 +11,7 @@ from landloom.operators import history, joins, quality, stats, tasks
 from landloom.sources import readers, sinks
 
 
-def load_entities(spark: SparkSession, transformed: str, dataset: str, organisation: DataFrame, withdrawn: DataFrame | None, output: str, typology: str | None = None, loaded=None, publish: str | None = None, database: dict | None = None) -> dict[str, int]:
+def load_entities(spark: SparkSession, transformed: str, dataset: str, organisation: DataFrame, withdrawn: DataFrame | None, output: str, typology: str | DataFrame | None = None, loaded=None, publish: str | None = None, database: dict | None = None) -> dict[str, int]:
     """Collected values of a dataset to fact_resource, fact and entity tables, and published files. Returns row counts of what
     was read and of rows without a resource, which are left out."""
     eav = C.snake_case(readers.parquet(spark, transformed))
@@ -45,10 +45,10 @@ def load_table(spark: SparkSession, name: str, source: str, dataset: str, output
     sinks.replace_partition(make(df, dataset), f"{output}/{name}", dataset)
 
 
-def load_old_entities(spark: SparkSession, pattern: str, spec: DataFrame, output: str, loaded=None, database: dict | None = None) -> DataFrame:
-    """Redirects of all collections, tagged by folder, to one table."""
+def load_old_entities(spark: SparkSession, pattern: str, spec: DataFrame, output: str, width: int = 1 << 16, loaded=None, database: dict | None = None) -> DataFrame:
+    """Redirects of all collections, tagged by folder, to one table. width: about the usual length of a dataset's range."""
     columns = ["old_entity", "status", "entity", "notes", "end_date", "entry_date", "start_date"]
-    out = joins.transform_old_entity(readers.tagged(spark, pattern, columns), spec, loaded=loaded)
+    out = joins.transform_old_entity(readers.tagged(spark, pattern, columns), spec, width, loaded)
     sinks.overwrite(out, f"{output}/old_entity")
     stored = spark.read.parquet(f"{output}/old_entity")
     if database:
@@ -98,15 +98,19 @@ def provision_quality(spark: SparkSession, base: str, organisation: DataFrame, d
     return out
 
 
-def cadastral_study(spark: SparkSession, archives: str, work: str) -> tuple[DataFrame, DataFrame]:
-    """(volume per archive, records per archive) of zipped cadastral XML: members are unpacked by executors into text files of
-    one feature document each, read back as features and flattened to Parquet."""
-    members = readers.archive_members(spark, archives)
-    members.select("archive", "member", "size").write.mode("overwrite").parquet(f"{work}/members")
-    members.where("text IS NOT NULL").select("archive", F.regexp_replace("text", r"[\r\n]+", " ").alias("text")).write.mode("overwrite").partitionBy("archive").text(f"{work}/xml")
-    features = readers.xml_features(spark, f"{work}/xml")
-    flat = nested.flatten_features(features).withColumnRenamed("archive", "council_name")
+def cadastral_study(spark: SparkSession, archives: str | DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
+    """(volume per archive, records per archive) of zipped cadastral XML, at paths that match a pattern or in archives(path,
+    content): executors unpack members and write their features as documents of their own, which name the archive; those are read
+    back and flattened to Parquet."""
+    members = readers.archive_members(spark, archives) if isinstance(archives, str) else readers.members_of(archives)
+    members.write.mode("overwrite").parquet(f"{work}/members")
+    members = spark.read.parquet(f"{work}/members")
+    features = readers.features_of(members.select(F.col("archive").alias("council_name"), "text"))
+    name = F.replace(F.replace("council_name", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    opening = F.regexp_extract("feature", "^<[^>]*>", 0)
+    rest = F.substring("feature", F.length(opening) + 1, F.length("feature"))
+    sinks.write_xml(features.select(F.concat(opening, F.lit("<council_name>"), name, F.lit("</council_name>"), rest).alias("value")), f"{work}/xml")
+    flat = nested.flatten_features(readers.xml_features(spark, f"{work}/xml"))
     flat.write.mode("overwrite").parquet(f"{work}/features")
-    stored = spark.read.parquet(f"{work}/features")
-    volume = stats.archive_volume(spark.read.parquet(f"{work}/members"))
-    return volume, stats.records_per_group(stored, "council_name")
+    volume = stats.archive_volume(members.select("archive", "member", "size"))
+    return volume, stats.records_per_group(spark.read.parquet(f"{work}/features"), "council_name")

@@ -94,6 +94,21 @@ def migrate(spark: SparkSession, schema: str | StructType, path: str, allow_dest
     return done
 
 
-def migrate_all(spark: SparkSession, tables: dict[str, str], **options) -> dict[str, Difference]:
-    """migrate() each {schema name: path}; what is left to do destructively shows in a later diff()."""
-    return {name: migrate(spark, name, path, **options) for name, path in tables.items()}
+def migrate_all(spark: SparkSession, tables: list[tuple[str | StructType, str]], **options) -> dict[str, tuple[Difference, Difference]]:
+    """migrate() each (schema or its name, path); by path: (what was done, what is still to be done, which is destructive)."""
+    out = {}
+    for name, path in tables:
+        done = migrate(spark, name, path, **options)
+        out[path] = done, diff(spark, name, path, options.get("fmt", "parquet"))
+    return out
+
+
+def report(spark: SparkSession, found: dict[str, tuple[Difference, Difference]]) -> DataFrame:
+    """(path, state, action, column, before, after): a row for each change that migrate_all() made or left."""
+    rows = []
+    for path, both in found.items():
+        for state, d in zip(("done", "pending"), both, strict=True):
+            rows += [(path, state, "add", c, None, t) for c, t in d.added.items()]
+            rows += [(path, state, "drop", c, t, None) for c, t in d.removed.items()]
+            rows += [(path, state, "cast", c, a, b) for c, (a, b) in d.changed.items()]
+    return spark.createDataFrame(rows, "path string, state string, action string, column string, before string, after string")

@@ -18,6 +18,10 @@ from landloom.sources import readers, sinks
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 DAY = "2024-01-01"
 
+#: The centroid of a shape of _shapes() in SQL.
+CENTROID = """CASE WHEN c_custkey % 3 = 0 THEN 'POINT (' || rtrim(rtrim(((c_custkey * 7 + 29) / 7)::DECIMAL(18, 6)::VARCHAR, '0'), '.') || ' ' || (c_nationkey + 2) || ')'
+ELSE 'POINT (' || (c_custkey + 4) || ' ' || (c_nationkey + 2) || ')' END"""
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -37,8 +41,12 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def folder(spark: SparkSession) -> str:
-    """A fresh folder in the shared place of the cluster, or a local one where there is none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    """A fresh folder in the shared place of the cluster, or a local one where Spark runs in one process."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        base = "file://" + tempfile.gettempdir()
     return f"{base.rstrip('/')}/landloom-{uuid.uuid4().hex}"
 
 
@@ -82,12 +90,28 @@ def fact_first(spark, sf_dir):
     return history.first_facts(rows).select("fact", C.as_long("priority").alias("priority"), C.as_long("entry_number").alias("entry_number"), "entry_date", F.round("l_quantity", 2).alias("value"))
 
 
-@query(f"""WITH {EAV}, latest AS (SELECT * FROM eav QUALIFY row_number() OVER (PARTITION BY entity, field ORDER BY entry_date DESC, priority DESC, event_id DESC) = 1)
-SELECT 'activity' AS dataset, entity, CASE max(priority) WHEN 1 THEN 'some' WHEN 2 THEN 'authoritative' ELSE '' END AS quality, 'event' AS typology, NULL::BIGINT AS organisation_entity,
-{" || ".join(f"count(CASE WHEN field = '{e}' THEN 1 END)::VARCHAR" for e in EVENT_TYPES)} AS fields, NULL::VARCHAR AS point FROM latest GROUP BY entity""")
+def wide_eav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """eav() with two more fields for each customer: organisation (a nation) and geometry (see _shapes; a line for some)."""
+    base, shapes = eav(spark, sf_dir), _shapes(spark, sf_dir)
+    nation = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    more = shapes.join(nation, "c_nationkey").select("c_custkey", F.explode(F.array(
+        F.struct(F.lit("organisation").alias("field"), F.col("n_name").alias("value")),
+        F.struct(F.lit("geometry").alias("field"), F.when(F.col("c_custkey") % 7 == 0, "LINESTRING (0 0, 1 1)").otherwise(F.col("geometry")).alias("value")),
+    )).alias("z"))
+    constants = {"entry_date": F.lit(DAY), "entry_number": F.lit("1"), "priority": F.lit("0"), "resource": F.lit("r")}
+    return base.unionByName(more.select(F.col("c_custkey").alias("entity"), "z.*").withColumns(constants))
+
+
+WIDE = f"""{EAV}, latest AS (SELECT * FROM eav QUALIFY row_number() OVER (PARTITION BY entity, field ORDER BY entry_date DESC, priority DESC, event_id DESC) = 1),
+own AS (SELECT entity, max(priority) AS p, {", ".join(f"count(CASE WHEN field = '{e}' THEN 1 END) AS {e}" for e in EVENT_TYPES)} FROM latest GROUP BY entity),
+wide AS (SELECT coalesce(entity, c_custkey) AS entity, p, c_custkey, c_nationkey, {", ".join(f"coalesce({e}, 0) AS {e}" for e in EVENT_TYPES)} FROM own FULL JOIN customer ON c_custkey = entity)"""
+
+
+@query(f"""WITH {WIDE} SELECT 'activity' AS dataset, entity, CASE p WHEN 1 THEN 'some' WHEN 2 THEN 'authoritative' ELSE '' END AS quality, 'event' AS typology, c_nationkey::BIGINT AS organisation_entity,
+{" || ".join(f"{e}::VARCHAR" for e in EVENT_TYPES)} AS fields, CASE WHEN c_custkey % 7 > 0 THEN {{CENTROID}} END AS point FROM wide""".replace("{CENTROID}", CENTROID))
 def entity_table(spark, sf_dir):
     org = t(spark, sf_dir, "nation").select(F.col("n_name").alias("organisation"), F.col("n_nationkey").cast("long").alias("entity"))
-    out = history.transform_entity(eav(spark, sf_dir), "activity", org, "event", fields=EVENT_TYPES)
+    out = history.transform_entity(wide_eav(spark, sf_dir), "activity", org, "event", fields=[*EVENT_TYPES, "organisation", "geometry"])
     held = F.from_json("json", "map<string,string>")
     return out.select("dataset", "entity", "quality", "typology", "organisation_entity", F.concat(*[F.when(held[e].isNotNull(), "1").otherwise("0") for e in EVENT_TYPES]).alias("fields"), "point")
 
@@ -314,39 +338,71 @@ def geojson_flatten(spark, sf_dir):
     return nested.flatten_geojson(t(spark, sf_dir, "events").select("event_id", made.alias("geojson"))).select("event_id", "type", "longitude", "latitude", F.col("properties")["name"].alias("name"))
 
 
+def _ring(*points) -> F.Column:
+    """Text of a ring of pairs of columns."""
+    return F.concat(F.lit("("), *[z for i, (x, y) in enumerate(points) for z in ([F.lit(", ")] if i else []) + [x.cast("string"), F.lit(" "), y.cast("string")]], F.lit(")"))
+
+
+def _box(x, y, w: int, h: int) -> F.Column:
+    return _ring((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))
+
+
 def _shapes(spark, sf_dir) -> DataFrame:
-    """A rectangle per customer, from (c_custkey, c_nationkey), 4 wide and 2 high; every third has a square hole."""
+    """A rectangle per customer, from (c_custkey, c_nationkey), 8 wide and 4 high; every third has a square hole."""
     x, y = F.col("c_custkey"), F.col("c_nationkey").cast("long")
-    ring = lambda a, b, w, h: F.concat(F.lit("("), *[z for i, (p, q) in enumerate([(a, b), (a + w, b), (a + w, b + h), (a, b + h), (a, b)]) for z in ([F.lit(", ")] if i else []) + [p.cast("string"), F.lit(" "), q.cast("string")]], F.lit(")"))
-    one = F.concat(F.lit("MULTIPOLYGON (("), ring(x, y, F.lit(4), F.lit(2)), F.when(x % 3 == 0, F.concat(F.lit(", "), ring(x + 1, y, F.lit(1), F.lit(1)))).otherwise(""), F.lit("))"))
+    hole = F.when(x % 3 == 0, F.concat(F.lit(", "), _box(x + 2, y + 1, 2, 2))).otherwise("")
+    one = F.concat(F.lit("MULTIPOLYGON (("), _box(x, y, 8, 4), hole, F.lit("))"))
     return t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", one.alias("geometry"), F.when(x % 5 == 0, F.concat(F.lit("POINT ("), x.cast("string"), F.lit(" 1)"))).alias("point"))
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'POINT (' || c_custkey || ' 1)' WHEN c_custkey % 3 = 0 THEN
-'POINT (' || rtrim(rtrim(((c_custkey * 7 + 14.5) / 7)::DECIMAL(18, 6)::VARCHAR, '0'), '.') || ' ' || rtrim(rtrim(((c_nationkey * 7 + 7.5) / 7)::DECIMAL(18, 6)::VARCHAR, '0'), '.') || ')'
-ELSE 'POINT (' || (c_custkey + 2) || ' ' || (c_nationkey + 1) || ')' END AS point FROM customer""")
+@query(f"""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'POINT (' || c_custkey || ' 1)' ELSE {CENTROID} END AS point FROM customer""")
 def centroid(spark, sf_dir):
     return G.with_centroid(_shapes(spark, sf_dir)).select("c_custkey", "point")
 
 
-@query("""SELECT c_custkey, '{"type":"Polygon","coordinates":[[' || '[' || c_custkey || '.0,' || c_nationkey || '.0],[' || (c_custkey + 4) || '.0,' || c_nationkey || '.0],[' || (c_custkey + 4) || '.0,' || (c_nationkey + 2) || '.0],[' || c_custkey || '.0,' || (c_nationkey + 2) || '.0],[' || c_custkey || '.0,' || c_nationkey || '.0]]' ||
-CASE WHEN c_custkey % 3 = 0 THEN ',[[' || (c_custkey + 1) || '.0,' || c_nationkey || '.0],[' || (c_custkey + 2) || '.0,' || c_nationkey || '.0],[' || (c_custkey + 2) || '.0,' || (c_nationkey + 1) || '.0],[' || (c_custkey + 1) || '.0,' || (c_nationkey + 1) || '.0],[' || (c_custkey + 1) || '.0,' || c_nationkey || '.0]]' ELSE '' END || ']}' AS geojson,
-'SRID=4326;POINT (' || c_custkey || ' 1)' AS tagged FROM customer WHERE c_custkey % 5 = 0""")
+def _json_box(x: str, y: str, w: int, h: int) -> str:
+    """A ring of _box() as GeoJSON, in SQL."""
+    at = lambda c, k: f"({c} + {k}) || '.0'"
+    return "'[' || " + " || ',' || ".join(f"'[' || {at(x, p)} || ',' || {at(y, q)} || ']'" for p, q in ((0, 0), (w, 0), (w, h), (0, h), (0, 0))) + " || ']'"
+
+
+#: The GeoJSON of a shape of _shapes() in SQL.
+GEOJSON = f"""'{{"type":"Polygon","coordinates":[' || {_json_box("c_custkey", "c_nationkey", 8, 4)} || CASE WHEN c_custkey % 3 = 0 THEN ',' || {_json_box("(c_custkey + 2)", "(c_nationkey + 1)", 2, 2)} ELSE '' END || ']}}'"""
+
+
+@query(f"""SELECT c_custkey, {GEOJSON} AS geojson, CASE WHEN c_custkey % 5 = 0 THEN 'SRID=4326;POINT (' || c_custkey || ' 1)' END AS tagged FROM customer""")
 def geojson(spark, sf_dir):
-    return _shapes(spark, sf_dir).where("c_custkey % 5 = 0").select("c_custkey", G.geojson(G.resolve()).alias("geojson"), G.with_srid("point").alias("tagged"))
+    return _shapes(spark, sf_dir).select("c_custkey", G.geojson(G.resolve()).alias("geojson"), G.with_srid("point").alias("tagged"))
 
 
-@query("""SELECT c_custkey, true AS valid, CASE WHEN c_custkey % 3 = 0 THEN 10 ELSE 5 END AS vertices, c_nationkey + 1 AS inner_y FROM customer WHERE c_custkey % 3 > 0""")
+@query("""SELECT c_custkey, c_custkey % 7 > 0 AS valid, CASE WHEN c_custkey % 7 = 0 THEN 4 WHEN c_custkey % 3 = 0 THEN 10 ELSE 5 END AS vertices,
+CASE WHEN c_custkey % 7 > 0 THEN 'POINT (' || (c_custkey + CASE WHEN c_custkey % 3 = 0 THEN 6 ELSE 4 END) || ' ' || (c_nationkey + 2) || ')' END AS point FROM customer""")
 def geometry_checks(spark, sf_dir):
-    rows = G.with_inner_point(_shapes(spark, sf_dir).where("c_custkey % 3 > 0").withColumn("point", F.lit("")))
-    return rows.select("c_custkey", G.is_valid("geometry").alias("valid"), G.vertices("geometry").alias("vertices"), F.regexp_extract("point", r" (\d+)\)", 1).cast("int").alias("inner_y"))
+    x, y = F.col("c_custkey"), F.col("c_nationkey").cast("long")
+    flat = F.concat(F.lit("POLYGON ("), _ring((x, y), (x + 1, y + 1), (x + 2, y + 2), (x, y)), F.lit(")"))
+    rows = _shapes(spark, sf_dir).withColumns({"point": F.lit(""), "geometry": F.when(x % 7 == 0, flat).otherwise(F.col("geometry"))})
+    return G.with_inner_point(rows).select("c_custkey", G.is_valid("geometry").alias("valid"), G.vertices("geometry").alias("vertices"), "point")
 
 
-@query("""SELECT c_custkey, 2 AS fragments FROM customer WHERE c_custkey % 3 > 0""")
+def _strips(spark, sf_dir) -> DataFrame:
+    """A strip for each customer, of 100 to 399 points along its lower side, 5 high; every third with a hole around its middle."""
+    x, n = F.col("c_custkey"), 100 + F.col("c_custkey") % 300
+    low = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.concat((x + i).cast("string"), F.lit(" 0"))), ", ")
+    right = (x + n - 1).cast("string")
+    outer = F.concat(F.lit("("), low, F.lit(", "), right, F.lit(" 5, "), x.cast("string"), F.lit(" 5, "), x.cast("string"), F.lit(" 0)"))
+    middle = x + F.floor(n / 2).cast("long") - 1
+    hole = F.when(x % 3 == 0, F.concat(F.lit(", "), _box(middle, F.lit(1), 2, 2))).otherwise("")
+    return t(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("MULTIPOLYGON (("), outer, hole, F.lit("))")).alias("geometry"))
+
+
+@query("""SELECT c_custkey, (CASE WHEN 100 + c_custkey % 300 + CASE WHEN c_custkey % 3 = 0 THEN 9 ELSE 4 END > 256 THEN 2 ELSE 1 END)::BIGINT AS fragments, true AS small,
+(99 + c_custkey % 300) * 5 - CASE WHEN c_custkey % 3 = 0 THEN 4 ELSE 0 END AS area FROM customer""")
 def subdivide(spark, sf_dir):
-    rows = _shapes(spark, sf_dir).where("c_custkey % 3 > 0")
-    dense = rows.withColumn("geometry", F.concat(F.lit("MULTIPOLYGON ((("), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(299)), lambda i: F.concat((F.col("c_custkey") + i / 10).cast("string"), F.lit(" 0"))), ", "), F.lit(", "), F.concat((F.col("c_custkey") + 30).cast("string"), F.lit(" 5, ")), F.concat(text("c_custkey"), F.lit(" 5, ")), F.concat(text("c_custkey"), F.lit(" 0)))"))))
-    return G.subdivided(dense).groupBy("c_custkey").agg(F.count("*").cast("int").alias("fragments"))
+    rows = _strips(spark, sf_dir)
+    own = lambda r, k: F.abs(G.ring_area(r)) * F.when(k == 0, 1.0).otherwise(-1.0)
+    area = lambda g: F.aggregate(F.flatten(F.transform(G.polygons(g), lambda p: F.transform(p, own))), F.lit(0.0), lambda s, a: s + a)
+    cut = G.subdivided(rows).groupBy("c_custkey").agg(F.count("*").alias("fragments"), (F.max(G.vertices("geometry")) <= 256).alias("small"), F.sum(area(F.col("geometry"))).alias("area"))
+    return cut.withColumn("area", F.round("area").cast("long"))
 
 
 @query("""SELECT o_orderkey AS entity, try_strptime(CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END, '%Y-%m-%d')::DATE AS entry_date,
@@ -389,12 +445,11 @@ def csv_by_name(spark, sf_dir):
     return readers.csv_by_name(spark, readers.discover(spark, f"{at}/*/*.csv"), ["entity", "organisation_entity", "quality"])
 
 
-@query("""SELECT n_nationkey::VARCHAR AS old_entity, n_name AS notes, 'c' || n_regionkey::VARCHAR AS collection FROM nation""")
+@query("""SELECT c_custkey::VARCHAR AS old_entity, c_name AS notes, c_mktsegment AS collection FROM customer""")
 def tagged_scan(spark, sf_dir):
     at = folder(spark)
-    for k in range(5):
-        own = t(spark, sf_dir, "nation").where(F.col("n_regionkey") == k).select(F.col("n_nationkey").alias("old-entity"), F.col("n_name").alias("notes"))
-        sinks.single_file(own, f"{at}/c{k}/old-entity.csv")
+    rows = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("old-entity"), F.col("c_name").alias("notes"), "c_mktsegment")
+    sinks.file_per_value(rows, at, "c_mktsegment", "{}/old-entity.csv")
     return readers.tagged(spark, f"{at}/*/old-entity.csv", ["old_entity", "notes"])
 
 
@@ -416,50 +471,64 @@ def schema_migrate(spark, sf_dir):
     return spark.read.parquet(at)
 
 
+def database(spark) -> str:
+    """URL of a database for a query's tables: that of spark.landloom.jdbc.url, which all executors must reach, or one in memory
+    where Spark runs in one process."""
+    url = spark.conf.get("spark.landloom.jdbc.url", None)
+    if not url and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.landloom.jdbc.url names no database that all executors reach")
+    return url or f"jdbc:derby:memory:landloom{uuid.uuid4().hex[:8]};create=true"
+
+
 @query("""SELECT c_custkey AS "C_CUSTKEY", CASE WHEN c_mktsegment = 'BUILDING' THEN upper(c_name) ELSE c_name END AS "C_NAME", c_mktsegment AS "DATASET" FROM customer""")
 def jdbc_swap(spark, sf_dir):
-    url = f"jdbc:derby:memory:landloom{uuid.uuid4().hex[:8]};create=true"
+    url, name = database(spark), f"TARGET{uuid.uuid4().hex[:8]}".upper()
     rows = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("C_CUSTKEY"), F.col("c_name").alias("C_NAME"), F.col("c_mktsegment").alias("DATASET"))
-    rows.coalesce(1).write.option("createTableColumnTypes", "C_NAME VARCHAR(64), DATASET VARCHAR(32)").jdbc(url, "TARGET")
-    sinks.jdbc_swap(rows.where("DATASET = 'BUILDING'").withColumn("C_NAME", F.upper("C_NAME")), url, "TARGET", "BUILDING", checked=True)
-    return spark.read.jdbc(url, "TARGET")
+    types = "C_NAME VARCHAR(64), DATASET VARCHAR(32)"
+    rows.write.option("createTableColumnTypes", types).jdbc(url, name)
+    sinks.jdbc_swap(rows.where("DATASET = 'BUILDING'").withColumn("C_NAME", F.upper("C_NAME")), url, name, "BUILDING", checked=True, types=types)
+    return spark.read.jdbc(url, name)
+
+
+XML = "http://www.opengis.net/gml"  # fixed value
+
+
+def _feature(row: str, label: str, lang: str):
+    """An XML feature, as a line of text."""
+    inner = F.concat(F.lit("<id>"), text(row), F.lit('</id><LABEL lang="'), text(lang), F.lit('">'), F.col(label), F.lit("</LABEL>"))
+    return F.concat(F.lit("<gml:featureMember>"), inner, F.lit("</gml:featureMember>"))
 
 
-@query("""SELECT n_nationkey::VARCHAR AS id, n_name AS "LABEL", n_regionkey::VARCHAR AS "LABEL_lang" FROM nation""")
+@query("""SELECT c_custkey::VARCHAR AS id, c_name AS "LABEL", c_nationkey::VARCHAR AS "LABEL_lang" FROM customer""")
 def xml_features(spark, sf_dir):
     at = folder(spark)
-    body = F.concat(F.lit("<gml:featureMember><id>"), text("n_nationkey"), F.lit('</id><LABEL lang="'), text("n_regionkey"), F.lit('">'), F.col("n_name"), F.lit("</LABEL></gml:featureMember>"))
-    rows = t(spark, sf_dir, "nation").select(body.alias("value"))
-    doc = rows.agg(F.concat(F.lit('<c xmlns:gml="http://www.opengis.net/gml">'), F.array_join(F.collect_list("value"), ""), F.lit("</c>")).alias("value"))
-    doc.coalesce(1).write.text(at)
+    rows = t(spark, sf_dir, "customer").repartition(4).select(_feature("c_custkey", "c_name", "c_nationkey").alias("value"))
+    sinks.write_xml(rows, at, namespaces=f' xmlns:gml="{XML}"')
     return nested.flatten_features(readers.xml_features(spark, at)).select("id", "LABEL", "LABEL_lang")
 
 
-@query("""SELECT 'n' || n_regionkey::VARCHAR AS archive, count(*) AS members, sum(strlen(n_name))::BIGINT AS bytes FROM nation GROUP BY 1""")
-def archive_volume(spark, sf_dir):
+def _zipped(spark, sf_dir) -> DataFrame:
+    """(path, content): zip archives of customers' XML, some for each nation, each of about 1000 members, packed by executors."""
     import io
     import zipfile
 
-    at = folder(spark)
-
     def pack(key, pdf):
         import pandas as pd
 
         held = io.BytesIO()
         with zipfile.ZipFile(held, "w") as z:
-            for i, name in zip(pdf["n_nationkey"], pdf["n_name"], strict=True):
-                z.writestr(f"{i}.gml", name)
-        return pd.DataFrame({"region": [int(key[0])], "content": [held.getvalue()]})
-
-    packed = t(spark, sf_dir, "nation").groupBy("n_regionkey").applyInPandas(pack, "region int, content binary")
-    packed.write.parquet(f"{at}/packed")
-    jvm = spark.sparkContext._jvm
-    for r in spark.read.parquet(f"{at}/packed").toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(f"{at}/zip/n{r.region}.zip")
-        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
-        out.write(bytearray(r.content))
-        out.close()
-    return stats.archive_volume(readers.archive_members(spark, f"{at}/zip/*.zip")).select("archive", "members", "bytes")
+            for i, doc in zip(pdf["c_custkey"], pdf["doc"], strict=True):
+                z.writestr(f"{i}.gml", f'<c xmlns:gml="{XML}">\n{doc}\n</c>')
+        return pd.DataFrame({"path": [f"zip/n{key[0]}-{key[1]}.zip"], "content": [held.getvalue()]})
+
+    rows = t(spark, sf_dir, "customer")
+    share = F.floor(F.col("c_custkey") / 25_000).cast("long").alias("share")
+    return rows.select("c_nationkey", share, "c_custkey", _feature("c_custkey", "c_name", "c_nationkey").alias("doc")).groupBy("c_nationkey", "share").applyInPandas(pack, "path string, content binary")
+
+
+@query("""SELECT 'n' || c_nationkey || '-' || (c_custkey // 25000) AS archive, count(*) AS members, sum(strlen(c_name) + strlen(c_custkey::VARCHAR) + strlen(c_nationkey::VARCHAR) + 119)::BIGINT AS bytes FROM customer GROUP BY 1""")
+def archive_volume(spark, sf_dir):
+    return stats.archive_volume(readers.members_of(_zipped(spark, sf_dir))).select("archive", "members", "bytes")
 
 
 @query("""SELECT c_custkey, json_object('c_custkey', c_custkey::VARCHAR, 'c_name', c_name, 'since', '')::VARCHAR AS value FROM customer""")

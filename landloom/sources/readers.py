@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv as delimited
 import io
 import zipfile
 
@@ -35,13 +36,30 @@ def csv_inferred(spark: SparkSession, path: str, header: bool = True, **options)
     return spark.read.csv(path, header=header, inferSchema=True, **options)
 
 
+def header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The column names in the first line of a delimited file, or of the first file of a folder; nothing else is read."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(at).isDirectory():
+        inside = sorted((s.getPath() for s in fs.listStatus(at) if s.isFile() and not s.getPath().getName().startswith(("_", "."))), key=str)
+        if not inside:
+            return ()
+        at = inside[0]
+    stream = fs.open(at)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(x.strip() for x in next(delimited.reader([(line or "").lstrip("\ufeff")]), []))
+
+
 def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header. Only first lines are read, by the executors."""
-    if not files:
-        return {}
-    lines = spark.read.option("wholetext", "false").text(files).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"), "value").where("b = 0")
-    heads = lines.groupBy("f").agg(F.min_by("value", "i").alias("h")).groupBy("h").agg(F.sort_array(F.collect_list("f")).alias("fs")).collect()
-    return {tuple(x.strip().strip('"') for x in (r.h or "").lstrip("﻿").split(",")): list(r.fs) for r in sorted(heads, key=lambda r: r.fs[0])}
+    """Files grouped by their header, in order of the first file of each."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for f in sorted(files):
+        found.setdefault(header(spark, f), []).append(f)
+    return found
 
 
 def csv_by_name(spark: SparkSession, files: list[str], columns: list[str], source: dict | None = None, missing: bool = False) -> DataFrame:
@@ -63,14 +81,19 @@ def csv_by_name(spark: SparkSession, files: list[str], columns: list[str], sourc
     return union_by_name(*frames)
 
 
+def _named(part):
+    """A part of a path as it is on disk: _metadata.file_path is a URI."""
+    return F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+
+
 def stem(path):
     """The name of a file without folder and extension."""
-    return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
+    return _named(F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1))
 
 
 def folder(path, up: int = 1):
     """The name of the folder a file is in, or of one further up."""
-    return F.regexp_extract(path, r"([^/]+)(?:/[^/]+){%d}$" % up, 1)
+    return _named(F.regexp_extract(path, r"([^/]+)(?:/[^/]+){%d}$" % up, 1))
 
 
 def entity_quality(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -98,7 +121,8 @@ def table_or_empty(spark: SparkSession, path: str, columns: list[str], fmt: str
 
 
 def xml_features(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Features of cadastral XML: featureMember elements, else member elements, without namespaces."""
+    """Features of cadastral XML: featureMember elements, else member elements, without namespaces. A file is one document: what
+    follows the end of its root element is not read (see features_of() for documents in a column)."""
     for tag in ("featureMember", "member"):
         df = spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", "true").option("attributePrefix", "_attr_").load(path)
         if df.columns:
@@ -106,8 +130,24 @@ def xml_features(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df
 
 
+def features_of(documents: DataFrame, text: str = "text") -> DataFrame:
+    """A row per feature (as in xml_features()) of each row's XML document, as feature: its text without namespaces."""
+    tag = r"(?:[\w.-]+:)?(?:featureMember|member)"
+    found = F.regexp_extract_all(text, F.lit(rf"(?s)(<{tag}\b[^>]*>.*?</{tag}\s*>)"), F.lit(1))
+    rows = documents.select(*[c for c in documents.columns if c != text], F.explode(found).alias("feature"))
+    plain = F.regexp_replace("feature", r"\sxmlns(?::[\w.-]+)?\s*=\s*(?:\"[^\"]*\"|'[^']*')", "")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"(</?)[\w.-]+:", "$1"), r"(\s)[\w.-]+:([\w.-]+\s*=\s*[\"'])", "$1$2")
+    return rows.withColumn("feature", plain)
+
+
 def archive_members(spark: SparkSession, pattern: str, suffix: str = ".gml", text: bool = True) -> DataFrame:
-    """(archive, member, size, text) of zip archives' members; executors unzip, a member at a time. text: also their contents."""
+    """members_of() the zip archives that match a pattern."""
+    return members_of(spark.read.format("binaryFile").load(pattern), suffix, text)
+
+
+def members_of(archives: DataFrame, suffix: str = ".gml", text: bool = True) -> DataFrame:
+    """(archive, member, size, text) of the members of zip archives(path, content); executors unzip, a member at a time. text:
+    also their contents."""
 
     def run(frames):
         for pdf in frames:
@@ -118,4 +158,4 @@ def archive_members(spark: SparkSession, pattern: str, suffix: str = ".gml", tex
                         if m.filename.lower().endswith(suffix):
                             yield pd.DataFrame({"archive": [name], "member": [f"{name}_{m.filename.rsplit('/', 1)[-1]}"], "size": [m.file_size], "text": [z.read(m).decode("utf-8", "replace") if text else None]})
 
-    return spark.read.format("binaryFile").load(pattern).select("path", "content").mapInPandas(run, "archive string, member string, size long, text string")
+    return archives.select("path", "content").mapInPandas(run, "archive string, member string, size long, text string")

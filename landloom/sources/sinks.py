@@ -4,10 +4,13 @@ File operations go through Hadoop's file system, so any store that Spark reaches
 
 from __future__ import annotations
 
+import time
 import uuid
 from math import ceil
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.functions import geometry as G
@@ -54,12 +57,20 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None
 
 
 def swap(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> None:
-    """Replace the table at path by df, which may read it: written beside it, then renamed."""
-    spark, beside = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    """Replace the table at path by df, which may read it: written beside it, then renamed. The old table is moved aside first and
+    deleted last, so that one of the two is there whenever this stops."""
+    spark, beside, aside = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}", f"{path.rstrip('/')}-old-{uuid.uuid4().hex}"
     df.write.format(fmt).partitionBy(*partition_by).save(beside)
     fs, at, path_of = _fs(spark, path)
-    fs.delete(at, True)
-    fs.rename(path_of(beside), at)
+    had = fs.exists(at)
+    if had and not fs.rename(at, path_of(aside)):
+        raise OSError(f"{path} could not be moved aside; the new table is at {beside}")
+    if not fs.rename(path_of(beside), at):
+        if had:
+            fs.rename(path_of(aside), at)
+        raise OSError(f"{beside} could not be renamed to {path}")
+    if had:
+        fs.delete(path_of(aside), True)
 
 
 def single_file(df: DataFrame, path: str, fmt: str = "csv", **options) -> None:
@@ -74,6 +85,21 @@ def single_file(df: DataFrame, path: str, fmt: str = "csv", **options) -> None:
     fs.delete(path_of(beside), True)
 
 
+def file_per_value(df: DataFrame, path: str, key: str, name: str = "{}.csv", fmt: str = "csv") -> None:
+    """One file for each value of key, named after it; a value's rows are written by one task, all values in one job."""
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    df.repartition(key).write.format(fmt).options(**({"header": "true"} if fmt == "csv" else {})).partitionBy(key).save(beside)
+    fs, at, path_of = _fs(spark, path)
+    for folder in fs.globStatus(path_of(f"{beside}/{key}=*")):
+        value = unquote(folder.getPath().getName().split("=", 1)[1])
+        part = next(s.getPath() for s in fs.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-"))
+        target = path_of(f"{path}/{name.format(value)}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        fs.rename(part, target)
+    fs.delete(path_of(beside), True)
+
+
 def _text(df: DataFrame, columns: list[str]) -> list:
     """Columns as JSON members: dates in ISO form, nulls as blanks."""
     return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]
@@ -97,16 +123,38 @@ def write_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").text(path)
 
 
-def publish_json(df: DataFrame, path: str) -> None:
-    """One small {"entities":[...]} document."""
-    rows = json_rows(df).agg(F.concat(F.lit('{"entities":['), F.array_join(F.sort_array(F.collect_list("value")), ","), F.lit("]}")).alias("value"))
-    single_file(rows, path, "text")
+def write_xml(rows: DataFrame, path: str, root: str = "c", namespaces: str = "") -> None:
+    """rows(value) of XML elements as documents, one for each file, written by the executors."""
+
+    def wrapped(frames):
+        yield pd.DataFrame({"value": [f"<{root}{namespaces}>"]})
+        yield from frames
+        yield pd.DataFrame({"value": [f"</{root}>"]})
+
+    write_lines(rows.select(F.regexp_replace("value", r"[\r\n]+", " ").alias("value")).mapInPandas(wrapped, "value string"), path)
+
+
+#: So many rows at most become one document; more are written as lines.
+MAX_ENVELOPE = 100_000
+
 
+def _publish(rows: DataFrame, path: str, begin: str, end: str, most: int) -> str:
+    """value of all rows between begin and end in one file, or as lines in a folder beside it. Returns where."""
+    if rows.limit(most + 1).count() > most:
+        write_lines(rows, f"{path}l")
+        return f"{path}l"
+    single_file(rows.agg(F.concat(F.lit(begin), F.array_join(F.sort_array(F.collect_list("value")), ","), F.lit(end)).alias("value")), path, "text")
+    return path
 
-def publish_geojson(df: DataFrame, path: str, name: str) -> None:
-    """One small FeatureCollection; for large tables write_lines(feature_rows(df)) is newline-delimited GeoJSON."""
-    rows = feature_rows(df).agg(F.concat(F.lit(f'{{"type":"FeatureCollection","name":"{name}","features":['), F.array_join(F.sort_array(F.collect_list("value")), ","), F.lit("]}")).alias("value"))
-    single_file(rows, path, "text")
+
+def publish_json(df: DataFrame, path: str, most: int = MAX_ENVELOPE) -> str:
+    """One {"entities":[...]} document; beyond most rows, JSON lines in a folder at path + "l". Returns where."""
+    return _publish(json_rows(df), path, '{"entities":[', "]}", most)
+
+
+def publish_geojson(df: DataFrame, path: str, name: str, most: int = MAX_ENVELOPE) -> str:
+    """One FeatureCollection; beyond most rows, newline-delimited features in a folder at path + "l". Returns where."""
+    return _publish(feature_rows(df), path, f'{{"type":"FeatureCollection","name":"{name}","features":[', "]}", most)
 
 
 def sizing(rows: int, most: int = 20) -> tuple[int, int]:
@@ -136,26 +184,46 @@ def report(df: DataFrame, path: str) -> None:
     held.unpersist()
 
 
-def jdbc_swap(df: DataFrame, url: str, target: str, dataset: str | None = None, column: str = "dataset", checked: bool = False, properties: dict[str, str] | None = None, partitions: int | None = None) -> int:
+#: What a failure's text holds that may pass by itself.
+TRANSIENT = ("connection", "timeout", "timed out", "deadlock", "too many clients")
+
+
+def jdbc_swap(df: DataFrame, url: str, target: str, dataset: str | None = None, column: str = "dataset", checked: bool = False, properties: dict[str, str] | None = None, rows: int | None = None, types: str | None = None, tries: int = 3) -> int:
     """Append df to a staging table in parallel, then replace the rows of dataset (or all) in one transaction. Returns rows.
 
-    Columns go by position, so df is put into the target's order. checked: refuse an empty copy, and roll back if the rows
-    inserted are not those staged."""
-    spark, properties = df.sparkSession, properties or {}
-    n = df.count()
-    if checked and not n:
-        raise ValueError(f"nothing to write to {target}")
-    staging, (tasks, batch) = f"{target}_staging_{uuid.uuid4().hex[:8]}", sizing(n)
+    df is computed once. rows: how many are expected, for sizing(); types: column types of the staging table, as DDL. Columns go by
+    position, so df is put into the target's order. checked: refuse an empty copy, and roll back if the rows inserted are not
+    those staged. Failures that may pass are tried again; the staging table is dropped in any case."""
+    for k in range(tries):
+        try:
+            return _jdbc_swap(df, url, target, dataset, column, checked, properties or {}, rows, types)
+        except Exception as e:
+            if k + 1 == tries or not any(x in str(e).lower() for x in TRANSIENT):
+                raise
+            time.sleep(2**k)
+    raise ValueError("tries must be 1 or more")
+
+
+def _jdbc_swap(df, url, target, dataset, column, checked, properties, rows, types) -> int:
+    spark, staging = df.sparkSession, f"{target}_staging_{uuid.uuid4().hex[:8]}"
+    tasks, batch = sizing(rows) if rows is not None else (20, 3000)
     names = spark.read.jdbc(url, target, properties=properties).columns
     have = {c.lower(): c for c in df.columns}
-    ordered = df.select(*[F.col(have[c.lower()]).alias(c) for c in names])
-    ordered.repartition(partitions or tasks).write.option("batchsize", batch).jdbc(url, staging, mode="append", properties=properties)
+    seen = Observation()
+    ordered = df.select(*[F.col(have[c.lower()]).alias(c) for c in names]).observe(seen, F.count("*").alias("n"))
+    ordered = ordered.repartition(tasks) if rows is not None else ordered.coalesce(tasks)
     jvm = spark.sparkContext._jvm
     info = jvm.java.util.Properties()
     for k, v in properties.items():
         info.setProperty(k, v)
-    link = jvm.java.sql.DriverManager.getConnection(url, info)
+    link = None
     try:
+        out = ordered.write.option("batchsize", batch)
+        (out.option("createTableColumnTypes", types) if types else out).jdbc(url, staging, mode="append", properties=properties)
+        n = seen.get["n"]
+        if checked and not n:
+            raise ValueError(f"nothing to write to {target}")
+        link = jvm.java.sql.DriverManager.getConnection(url, info)
         link.setAutoCommit(False)
         if dataset is None:
             link.createStatement().executeUpdate(f"DELETE FROM {target}")
@@ -165,32 +233,46 @@ def jdbc_swap(df: DataFrame, url: str, target: str, dataset: str | None = None,
             gone.executeUpdate()
         moved = link.createStatement().executeUpdate(f"INSERT INTO {target} SELECT * FROM {staging}")
         if checked and moved != n:
-            link.rollback()
             raise ValueError(f"{moved} of {n} rows were inserted into {target}")
-        link.createStatement().executeUpdate(f"DROP TABLE {staging}")
         link.commit()
+        return n
     except Exception:
-        link.rollback()
+        if link:
+            link.rollback()
         raise
     finally:
+        link = link or jvm.java.sql.DriverManager.getConnection(url, info)
+        link.setAutoCommit(True)
+        if link.getMetaData().getTables(None, None, staging.upper(), None).next() or link.getMetaData().getTables(None, None, staging, None).next():
+            link.createStatement().executeUpdate(f"DROP TABLE {staging}")
         link.close()
-    return n
 
 
-def jdbc_subdivided(df: DataFrame, url: str, target: str, dataset: str, **options) -> int:
+def jdbc_subdivided(df: DataFrame, url: str, target: str, dataset: str, geometry: str = "geometry", **options) -> int:
     """jdbc_swap() of geometry fragments of at most 256 vertices."""
-    return jdbc_swap(G.subdivided(df), url, target, dataset, **options)
+    return jdbc_swap(G.subdivided(df, geometry=geometry), url, target, dataset, **options)
 
 
 def compact(spark: SparkSession, paths: list[str], target_bytes: int = 128 << 20, fmt: str = "parquet") -> dict[str, str]:
-    """Rewrite each table with files of about target_bytes; a failure is reported and the others go on."""
+    """Rewrite each table with files of about target_bytes; a failure is reported and the others go on.
+
+    A partitioned table is rebalanced by its partition column, so that a large partition is written by several tasks and a small
+    one by one; tables of one partition level are meant."""
     out = {}
     for path in paths:
         try:
-            by = [n.split("=")[0] for n, _ in listing(spark, path) if "=" in n]
-            size = sum(b for _, b in listing(spark, path))
+            by = next((n.split("=")[0] for n, _ in listing(spark, path) if "=" in n), None)
             df = spark.read.format(fmt).load(path)
-            swap(df.repartition(max(1, ceil(size / target_bytes)), *by[:1]), path, tuple(dict.fromkeys(by)), fmt)
+            if by is None:
+                swap(df.repartition(max(1, ceil(sum(b for _, b in listing(spark, path)) / target_bytes))), path, (), fmt)
+            else:
+                setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+                before = spark.conf.get(setting)
+                spark.conf.set(setting, str(target_bytes))
+                try:
+                    swap(df.hint("rebalance", by), path, (by,), fmt)
+                finally:
+                    spark.conf.set(setting, before)
             out[path] = "compacted"
         except Exception as e:  # noqa: BLE001
             out[path] = f"failed: {type(e).__name__}"

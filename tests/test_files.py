@@ -6,6 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from landloom.functions import nested
 from landloom.plans import pipelines
 from landloom.plans import schema as S
 from landloom.sources import readers, sinks
@@ -83,6 +84,77 @@ def test_published_files(spark, tmp_path):
     assert len([f for f in os.listdir(f"{tmp_path}/split") if f.endswith(".csv")]) >= 3
 
 
+def test_large_results_are_published_as_lines(spark, tmp_path):
+    df = spark.createDataFrame([(str(i), "POINT (1 2)", None) for i in range(5)], "entity string, point string, geometry string")
+    assert sinks.publish_json(df, f"{tmp_path}/out.json", most=4) == f"{tmp_path}/out.jsonl"
+    assert sinks.publish_geojson(df, f"{tmp_path}/out.geojson", "d", most=4) == f"{tmp_path}/out.geojsonl"
+    assert spark.read.text(f"{tmp_path}/out.jsonl").count() == spark.read.text(f"{tmp_path}/out.geojsonl").count() == 5
+
+
+def test_a_file_for_each_value(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"k#{i % 3}+ä") for i in range(9)], "a int, k string")
+    sinks.file_per_value(df, f"{tmp_path}/out", "k", "{}/own.csv")
+    got = readers.tagged(spark, f"{tmp_path}/out/*/own.csv", ["a"])
+    assert sorted((int(r.a), r.collection) for r in got.collect()) == [(i, f"k#{i % 3}+ä") for i in range(9)]
+
+
+def test_quoted_headers_and_folders(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/in/d.csv")
+    for name, head in (("a.csv", '"x, y",b'), ("d.csv/part-0.csv", "b,other")):
+        open(f"{tmp_path}/in/{name}", "w").write(f"{head}\n1,2\n")
+    open(f"{tmp_path}/in/d.csv/_SUCCESS", "w").close()
+    got = readers.csv_by_name(spark, readers.discover(spark, f"{tmp_path}/in/*.csv"), ["b"])
+    assert sorted(r.b for r in got.collect()) == ["1", "2"] and readers.header(spark, f"{tmp_path}/in/a.csv") == ("x, y", "b")
+
+
+def test_a_swap_that_fails_leaves_the_old_table(spark, tmp_path):
+    at = f"{tmp_path}/t"
+    spark.range(3).write.parquet(at)
+    sinks.swap(spark.read.parquet(at).where("id > 0"), at)
+    assert spark.read.parquet(at).count() == 2 and os.listdir(tmp_path) == ["t"]
+    with pytest.raises(Exception, match="boom"):
+        sinks.swap(spark.read.parquet(at).selectExpr("CAST(raise_error('boom') AS BIGINT) AS id"), at)
+    assert spark.read.parquet(at).count() == 2
+
+
+def test_compaction_of_partitions(spark, tmp_path):
+    at = f"{tmp_path}/t"
+    spark.range(1000).selectExpr("id", "id % 3 AS k").repartition(6).write.partitionBy("k").parquet(at)
+    assert sinks.compact(spark, [at]) == {at: "compacted"}
+    assert spark.read.parquet(at).count() == 1000 and all(len([f for f in os.listdir(f"{at}/k={k}") if f.endswith(".parquet")]) == 1 for k in range(3))
+
+
+def test_features_of_documents_keep_their_own_names(spark, tmp_path):
+    doc = """<?xml version="1.0"?><w:c xmlns:w="u" xmlns:g="v"><w:member><g:id k:l="1">5</g:id><note>a:b &amp; c</note></w:member>
+<w:member><g:id>6</g:id></w:member></w:c>"""
+    docs = spark.createDataFrame([("x", doc), ("y", None), ("z", "<c/>")], "council string, text string")
+    rows = readers.features_of(docs)
+    assert [(r.council, r.feature) for r in rows.collect()] == [("x", '<member><id l="1">5</id><note>a:b &amp; c</note></member>'), ("x", "<member><id>6</id></member>")]
+    sinks.write_xml(rows.select(F.col("feature").alias("value")), f"{tmp_path}/xml")
+    flat = nested.flatten_features(readers.xml_features(spark, f"{tmp_path}/xml"))
+    assert sorted(map(str, (r.asDict() for r in flat.collect()))) == sorted(map(str, [{"id": "5", "id_l": "1", "note": "a:b & c"}, {"id": "6", "id_l": None, "note": None}]))
+
+
+def test_relational_copy_is_tried_again_and_leaves_no_staging_table(spark, tmp_path, monkeypatch):
+    url, left = f"jdbc:derby:{tmp_path}/db2;create=true", ["connection reset"]
+    df = spark.createDataFrame([(1,), (2,)], "V long")
+    df.write.jdbc(url, "T")
+    own = sinks._jdbc_swap
+
+    def flaky(*args):
+        if left:
+            raise RuntimeError(left.pop())
+        return own(*args)
+
+    monkeypatch.setattr(sinks, "_jdbc_swap", flaky)
+    monkeypatch.setattr(sinks.time, "sleep", lambda s: None)
+    assert sinks.jdbc_swap(df, url, "T") == 2 and not left
+    with pytest.raises(Exception, match="boom"):
+        sinks.jdbc_swap(df.selectExpr("CAST(raise_error('boom') AS BIGINT) AS V"), url, "T")
+    held = spark.read.jdbc(url, "(SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T') t")
+    assert [r[0] for r in held.collect()] == ["T"]
+
+
 def test_relational_copy(spark, tmp_path):
     url = f"jdbc:derby:{tmp_path}/db;create=true"
     df = spark.createDataFrame([("a", 1), ("b", 2)], "DATASET string, VALUE_ long")

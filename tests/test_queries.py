@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from landloom.queries import ORACLE_SQL, QUERIES
+from landloom.job_queries import ORACLE_SQL, QUERIES
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
