@@ -6,7 +6,6 @@ a document longer than a block gets a block of its own.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,12 +53,6 @@ def forget(*frames: DataFrame) -> None:
         at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def tidy(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

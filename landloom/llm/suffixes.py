@@ -2,23 +2,27 @@
 
 A byte goes when a string of length bytes around it also starts anywhere else. Every such string selects, by winnowing, an
 anchor (the place of its least hash of seed bytes) that equal strings share at the same offset, so it is enough to sort the
-suffixes that start at anchors whose hash occurs more than once, each to length bytes.
+suffixes that start at anchors whose hash occurs more than once, each to length bytes. A suffix's key is the suffix, an end
+mark, and what stands before it, backwards: so equal suffixes are sorted by how much they share to the left.
 
-1. Tasks sort their suffixes into runs. Suffixes of a run that are equal, with equal left context, are one entry with their
-   number. Runs are front-coded (common prefix with the entry before, then the rest) in blocks.
-2. Blocks are exchanged by ranges of suffixes; a block goes to each range that it, or a neighbour of its entries, lies in.
+1. Tasks sort their keys into runs. Equal keys of a run are one entry with their number. Runs are front-coded (common prefix
+   with the entry before, then the rest) in blocks.
+2. Blocks are exchanged by ranges of keys, as many as their number asks for; a block that crosses a border is cut there.
 3. Each range is merged by a loser tree whose entries remember their common prefix with the last winner: the longer one wins
    unseen, and only on a tie are bytes compared, from where the known prefix ends. The front coding supplies what the next
    entry of a run has in common with the one before, so known prefixes are never compared again. The common prefixes of
    neighbours come out of the tree by themselves.
-4. Entries that begin with the same seed bytes come out together. In a group of at most GROUP entries each is extended both
-   ways: classes of equal suffixes are joined in order of falling common prefix, the smaller to the larger, and an entry is
-   compared with its neighbours in the order of left contexts, which share most with it: n log n comparisons. Of a larger group, or one that a range's border cuts, neighbours tell how far each suffix repeats (r), and how far beyond the class of
-   its equals (r2). A class with common left context repeats as a whole; where only some of it agree to the left, at the edges
-   of repeats, the strings concerned are compared by 96-bit hashes. Which strings these are depends on the strings alone, so
-   equal ones are all there or all absent.
-
-A passage that every third document holds is one entry per run, so no range is filled by copies."""
+4. Entries that begin with the same seed bytes come out together. Borders lie between such groups, but for groups that are
+   larger than a range. Each entry of a group of at most GROUP is extended both ways: classes of equal suffixes are joined in
+   order of falling common prefix, the smaller to the larger, and an entry is compared with its neighbours in the order of left
+   contexts, which share most with it: n log n comparisons.
+5. In a larger group, or one that borders cut, an entry's neighbours tell how far it is repeated to the left by equal suffixes
+   (c), and how many bytes the nearest other suffix shares (r2); at a border, the neighbours are the last and first entries of
+   the ranges beside it. So all is known but for strings of which at most r2 bytes lie to the right of the anchor; these alone
+   are compared by 128-bit hashes. Which they are depends on the strings alone, so equal ones are all there or all absent.
+
+A task holds a range of some 16,000 entries, whatever their keys have in common; the driver holds a key for each range. A passage
+that every third document holds is one entry per run, and its beginnings, which differ to the left, are cut into ranges."""
 
 from __future__ import annotations
 
@@ -30,16 +34,18 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from landloom.llm.common import BYTE_VALUES, annotate, blocks, covered, forget, inside, look_up, mixed, prefixes, runs, save, signed, table, tidy, utf8, windows, winnow
+from landloom.llm.common import BYTE_VALUES, annotate, blocks, covered, forget, inside, look_up, mixed, prefixes, runs, save, signed, table, utf8, windows, winnow
 from landloom.llm.substrings import only
 
 LENGTH, SEED = 200, 64
-RUN_BYTES, BLOCK_ENTRIES, PART_BYTES, HEADS = 24 << 20, 256, 4 << 20, 4096
+RUN_BYTES, BLOCK_ENTRIES, RANGE_BLOCKS = 24 << 20, 256, 64
 GROUP = 1 << 16
+#: Ends a suffix in its key; no byte of UTF-8.
+END = b"\xff"
 
 
 def common(a: bytes, b: bytes, h: int) -> int:
@@ -51,102 +57,109 @@ def common(a: bytes, b: bytes, h: int) -> int:
     return n - ((int.from_bytes(x, "big") ^ int.from_bytes(y, "big")).bit_length() + 7) // 8
 
 
-def common_end(a: bytes, b: bytes) -> int:
-    """Length of the common suffix."""
-    return common(a[::-1], b[::-1], 0)
+def key_of(data: bytes, at: int, length: int, reach: int) -> bytes:
+    return data[at : at + length] + END + data[max(0, at - reach) : at][::-1]
+
+
+def shared(a: bytes | None, b: bytes | None) -> tuple[int, int]:
+    """(bytes that the suffixes of two keys have in common, bytes to the left if they are equal, else -1)."""
+    if a is None or b is None:
+        return 0, -1
+    n, size = common(a, b, 0), a.index(END)
+    return (size, n - size - 1) if n > size else (min(n, size, b.index(END)), -1)
 
 
 # ------------------------------------------------------------------------------------------------- runs and blocks
 
 
-def pack(entries: list[tuple[int, bytes, int, bytes]]) -> bytes:
-    """A block of (common prefix with the entry before, suffix, number, left context), compressed; the first suffix is whole."""
-    n = len(entries)
-    numbers = np.array([(e[0], len(e[1]), min(e[2], 2), len(e[3])) for e in entries], np.int32)
-    rest = [e[1] if not k else e[1][e[0] :] for k, e in enumerate(entries)]
-    raw = struct.pack("<i", n) + numbers.tobytes() + b"".join(rest) + b"".join(e[3] for e in entries)
+def pack(entries: list[tuple[int, bytes, int]]) -> bytes:
+    """A block of (common prefix with the entry before, key, number), compressed; the first key is whole."""
+    numbers = np.array([(e[0], len(e[1]), min(e[2], 2)) for e in entries], np.int32)
+    raw = struct.pack("<i", len(entries)) + numbers.tobytes() + b"".join(e[1] if not k else e[1][e[0] :] for k, e in enumerate(entries))
     return struct.pack("<i", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def unpack(blob: bytes) -> list[tuple[int, bytes, int, bytes]]:
+def unpack(blob: bytes) -> list[tuple[int, bytes, int]]:
     blob = pa.decompress(blob[4:], struct.unpack_from("<i", blob)[0], codec="zstd", asbytes=True)
     (n,) = struct.unpack_from("<i", blob)
-    numbers = np.frombuffer(blob, np.int32, n * 4, 4).reshape(n, 4).tolist()
-    at, out, last = 4 + n * 16, [], b""
-    for k, (lcp, size, _, _) in enumerate(numbers):
-        shared = lcp if k else 0
-        last = last[:shared] + blob[at : at + size - shared]
-        at += size - shared
-        out.append(last)
-    lefts = []
-    for *_, size in numbers:
-        lefts.append(blob[at : at + size])
-        at += size
-    return [(x[0], s, x[2], left) for x, s, left in zip(numbers, out, lefts, strict=True)]
-
-
-def sorted_run(suffixes: list[bytes], lefts: list[bytes]) -> tuple[list[int], list[tuple[int, bytes, int, bytes]]]:
-    """(entry of each suffix, entries in order)."""
-    of, entries = [0] * len(suffixes), []
+    at, out, last = 4 + n * 12, [], b""
+    for k, (lcp, size, number) in enumerate(np.frombuffer(blob, np.int32, n * 3, 4).reshape(n, 3).tolist()):
+        known = lcp if k else 0
+        last = last[:known] + blob[at : at + size - known]
+        at += size - known
+        out.append((lcp, last, number))
+    return out
+
+
+def sorted_run(keys: list[bytes]) -> tuple[list[int], list[tuple[int, bytes, int]]]:
+    """(entry of each key, entries in order)."""
+    of, entries = [0] * len(keys), []
     last = None
-    for i in sorted(range(len(suffixes)), key=lambda i: (suffixes[i], lefts[i])):
-        s, left = suffixes[i], lefts[i]
-        if s == last and left == entries[-1][3]:
-            entries[-1] = (*entries[-1][:2], entries[-1][2] + 1, left)
+    for i in sorted(range(len(keys)), key=keys.__getitem__):
+        if keys[i] == last:
+            entries[-1] = (*entries[-1][:2], entries[-1][2] + 1)
         else:
-            entries.append((common(last, s, 0) if last is not None else 0, s, 1, left))
-            last = s
+            entries.append((common(last, keys[i], 0) if last is not None else 0, keys[i], 1))
+            last = keys[i]
         of[i] = len(entries) - 1
     return of, entries
 
 
-RUN_SCHEMA = "run long, entry long, id long, same long, at long, before binary, head binary, after binary, block binary"
+RUN_SCHEMA = "run long, entry long, id long, same long, at long, head binary, tail binary, block binary"
 
 
 def make_runs(spots: DataFrame, length: int, seed: int) -> DataFrame:
-    """Two kinds of rows of spots(id, same, text, ats): members (run, entry, id, same, at) and blocks (run, entry, before, head,
-    after, block), where entry is the first one's number and before and after are the suffixes next to the block."""
-    reach = length - seed
+    """Two kinds of rows of spots(id, same, text, ats): members (run, entry, id, same, at) and blocks (run, entry, head, tail, block),
+    where entry is the first one's number, and head and tail are the first and last keys."""
+    names = [x.split()[0] for x in RUN_SCHEMA.split(", ")]
 
-    def rows_of(run: int, keys: list[tuple[int, int, int]], suffixes: list[bytes], lefts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        of, entries = sorted_run(suffixes, lefts)
-        ids, same, at = zip(*keys, strict=True)
+    def rows_of(run: int, spot: list[tuple[int, int, int]], keys: list[bytes]) -> Iterator[pa.RecordBatch]:
+        of, entries = sorted_run(keys)
         n = len(of)
         empty = pa.nulls(n, pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([run] * n), pa.array(of, pa.int64()), pa.array(ids, pa.int64()), pa.array(same, pa.int64()), pa.array(at, pa.int64()), empty, empty, empty, empty], [x.split()[0] for x in RUN_SCHEMA.split(", ")])
+        yield pa.RecordBatch.from_arrays([pa.array([run] * n), pa.array(of, pa.int64()), *[pa.array(c, pa.int64()) for c in zip(*spot, strict=True)], empty, empty, empty], names)
         starts = range(0, len(entries), BLOCK_ENTRIES)
         for many in (starts[k : k + 64] for k in range(0, len(starts), 64)):
             none = pa.nulls(len(many), pa.int64())
-            before = pa.array([entries[k - 1][1] if k else None for k in many], pa.binary())
-            after = pa.array([entries[k + BLOCK_ENTRIES][1] if k + BLOCK_ENTRIES < len(entries) else None for k in many], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([run] * len(many)), pa.array(list(many), pa.int64()), none, none, none, before, pa.array([entries[k][1] for k in many], pa.binary()), after, pa.array([pack(entries[k : k + BLOCK_ENTRIES]) for k in many], pa.binary())], [x.split()[0] for x in RUN_SCHEMA.split(", ")])
+            cut = [entries[k : k + BLOCK_ENTRIES] for k in many]
+            made = [pa.array(x, pa.binary()) for x in ([c[0][1] for c in cut], [c[-1][1] for c in cut], [pack(c) for c in cut])]
+            yield pa.RecordBatch.from_arrays([pa.array([run] * len(many)), pa.array(list(many), pa.int64()), none, none, none, *made], names)
 
     def run(batches):
         number, held = TaskContext.get().partitionId() << 20, 0
-        keys, suffixes, lefts = [], [], []
+        spot, keys = [], []
         for part in blocks(batches, "text"):
             for i, s, text, ats in zip(*[part.column(c).to_pylist() for c in ("id", "same", "text", "ats")], strict=True):
                 data = text.encode()
-                for a in ats:
-                    keys.append((i, s, a))
-                    suffixes.append(data[a : a + length])
-                    lefts.append(data[max(0, a - reach) : a])
-                held += len(ats) * (length + reach)
+                spot += [(i, s, a) for a in ats]
+                keys += [key_of(data, a, length, length - seed) for a in ats]
+                held += len(ats) * (2 * length - seed)
                 if held > RUN_BYTES:
-                    yield from rows_of(number, keys, suffixes, lefts)
+                    yield from rows_of(number, spot, keys)
                     number, held = number + 1, 0
-                    keys, suffixes, lefts = [], [], []
+                    spot, keys = [], []
         if keys:
-            yield from rows_of(number, keys, suffixes, lefts)
+            yield from rows_of(number, spot, keys)
 
     return spots.select("id", "same", "text", "ats").mapInArrow(run, RUN_SCHEMA)
 
 
+def cut_block(blob: bytes, entry: int, low: int, high: int, cuts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+    """(range, first entry, block): a block that reaches from range low to range high, cut at the borders between."""
+    entries = unpack(blob)
+    keys, start = [e[1] for e in entries], 0
+    for k in range(low, high + 1):
+        end = bisect_left(keys, cuts[k]) if k < high else len(keys)
+        if end > start:
+            yield k, entry + start, pack(entries[start:end])
+        start = end
+
+
 # ------------------------------------------------------------------------------------------------- merging
 
 
 class LoserTree:
-    """Merges sorted runs of (common prefix with the entry before, suffix, ...) into (common prefix, run, entry), in order."""
+    """Merges sorted runs of (common prefix with the entry before, key, ...) into (common prefix, run, entry), in order."""
 
     def __init__(self, sources: list[Iterator[tuple]]):
         self.sources = sources
@@ -196,58 +209,65 @@ class LoserTree:
             self.winner = k
 
 
-def merge_part(runs_of: dict[int, list[tuple[int, bytes]]], low: bytes | None, high: bytes | None, length: int, seed: int) -> Iterator[tuple[int, int, int, int, int, int, int]]:
-    """(run, entry, size, number, c, r, r2) of the entries with low <= suffix < high; runs_of: blocks of each run in order.
+#: Of an extended group: a row for each way in which an entry repeats, c bytes before its anchor and size from there on. Of others:
+#: its suffix, c (-1: no equal suffix) and r2. low, high: which border of the range cuts its class off from others (r2) or
+#: itself from its neighbour (2).
+FOUND = "part int, run long, entry long, size int, c int, r2 int, low int, high int, first binary, last binary, after binary, before binary"
+
 
-    Of an extended group: a row for each way in which an entry repeats, c bytes before its anchor and size from there on, with
-    number 2, r and r2 0. Of others: number of equal suffixes, c that they share on the left, r and r2 as above."""
+def merge_part(runs_of: dict[int, list[tuple[int, bytes]]], low: bytes | None, high: bytes | None, length: int, seed: int, most: int) -> Iterator[tuple]:
+    """Rows (run, entry, size, c, r2, low, high) of the entries of a range (see FOUND), then one of its first and last keys and of
+    the suffixes after the first's and before the last's equals (None: there are none). runs_of: blocks of each run in order;
+    most: the largest group that is extended."""
 
     def source(run: int) -> Iterator[tuple]:
-        """Entries from the last one below low to the first one from high on."""
-        before = None
         for first, blob in runs_of[run]:
             for k, e in enumerate(unpack(blob)):
-                entry = (*e, run, first + k)
-                if low is not None and e[1] < low:
-                    before = (0, *entry[1:])
-                    continue
-                if before is not None:
-                    yield before
-                    before = None
-                yield entry
-                if high is not None and e[1] >= high:
-                    return
-        if before is not None:
-            yield before
-
-    def wanted(s: bytes) -> bool:
-        return (low is None or s >= low) and (high is None or s < high)
-
-    # a class: suffix, common prefix with the class before, [(run, entry, number, left context)]
-    group: list[tuple[bytes, int, list[tuple[int, int, int, bytes]]]] = []
-    for known, _, (_, s, n, left, run, entry) in LoserTree([source(k) for k in runs_of]):
-        if group and known == len(s) == len(group[-1][0]):
-            group[-1][2].append((run, entry, n, left))
-            continue
+                yield (*e, run, first + k)
+
+    def cut(border: bytes | None, key: bytes) -> bool:
+        return border is not None and len(border) > seed and border[:seed] == key[:seed]
+
+    first, last, before, after = None, None, None, None
+    group: list[tuple[int, bytes, int, int, int]] = []  # common prefix with the entry before, key, number, run, entry
+    for known, _, (_, key, n, run, entry) in LoserTree([source(k) for k in runs_of]):
+        if first is None:
+            first = key
+        elif known <= key.index(END):  # another suffix than the last one
+            before = last[: last.index(END)]
+            after = after or key[: key.index(END)]
+        last = key
         if group and known < seed:
-            yield from extended(group, length, wanted)
+            yield from group_rows(group, cut(low, group[0][1]), False, length, most)
             group = []
-        group.append((s, known if group else 0, [(run, entry, n, left)]))
+        group.append((known if group else 0, key, n, run, entry))
     if group:
-        yield from extended(group, length, wanted)
-
-
-def extended(group: list, length: int, wanted) -> Iterator[tuple[int, int, int, int, int, int, int]]:
-    """Rows of merge_part() for one group; see there."""
-    if sum(len(c[2]) for c in group) > GROUP or not all(wanted(c[0]) for c in group):
-        for k, (s, before, own) in enumerate(group):
-            if wanted(s):
-                beyond = max(before, group[k + 1][1] if k + 1 < len(group) else 0)
-                number = sum(x[2] for x in own)
-                c = min(common_end(own[0][3], x[3]) for x in own)
-                for run, entry, *_ in own:
-                    yield run, entry, len(s), number, c, max(beyond, len(s) if number > 1 else 0), beyond
+        # of the first group, the lower border was seen to before unless it is also the last
+        yield from group_rows(group, cut(low, group[0][1]) and group[0][1] == first, cut(high, group[0][1]), length, most)
+    yield first, last, after, before
+
+
+def group_rows(group: list, low: bool, high: bool, length: int, most: int) -> Iterator[tuple]:
+    """Rows of merge_part() for one group; low, high: a border of the range cuts it."""
+    classes: list[tuple[bytes, int, list[tuple[int, int, int, bytes, int]]]] = []
+    for known, key, n, run, entry in group:
+        size = key.index(END)
+        if not classes or known <= size:
+            classes.append((key[:size], min(known, size), []))
+        classes[-1][2].append((run, entry, n, key[size + 1 :], known - size - 1))
+    if len(group) <= most and not low and not high:
+        yield from ((*x, 0, 0, 0) for x in extended(classes, length))
         return
+    for k, (s, before, own) in enumerate(classes):
+        r2 = max(before, classes[k + 1][1] if k + 1 < len(classes) else 0)
+        edge = low and k == 0, high and k == len(classes) - 1
+        for j, (run, entry, n, left, known) in enumerate(own):
+            c = max(len(left) if n > 1 else -1, known if j else -1, own[j + 1][4] if j + 1 < len(own) else -1)
+            yield run, entry, len(s), c, r2, edge[0] * (1 + (j == 0)), edge[1] * (1 + (j == len(own) - 1))
+
+
+def extended(group: list, length: int) -> Iterator[tuple[int, int, int, int]]:
+    """(run, entry, size, c) for each way in which an entry repeats, of a group of classes as in group_rows()."""
     found: dict[tuple[int, int], dict[int, int]] = {}
 
     def note(a, right: int, left: int) -> None:
@@ -255,13 +275,13 @@ def extended(group: list, length: int, wanted) -> Iterator[tuple[int, int, int,
         own[right] = max(own.get(right, 0), left)
 
     entries = [e for c in group for e in c[2]]
-    order = sorted(range(len(entries)), key=lambda i: entries[i][3][::-1])
+    order = sorted(range(len(entries)), key=lambda i: entries[i][3])
     by_rank = [entries[i] for i in order]
     rank = {i: k for k, i in enumerate(order)}
 
     def compare(x: int, y: int, right: int) -> None:
         a, b = by_rank[x], by_rank[y]
-        left = common_end(a[3], b[3])
+        left = common(a[3], b[3], 0)
         if left + right >= length:
             note(a, right, left)
             note(b, right, left)
@@ -300,22 +320,31 @@ def extended(group: list, length: int, wanted) -> Iterator[tuple[int, int, int,
         for right in sorted(own, reverse=True):
             if own[right] > best:  # else a longer one covers as much to the left
                 best = own[right]
-                yield run, entry, right, 2, best, 0, 0
+                yield run, entry, right, best
 
 
 def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
-    """Rows of merge_part() for all entries that repeat for seed bytes or more."""
+    """(run, entry, size, c, r2) of all entries, as in FOUND, with what lies beyond the borders of their ranges."""
     parts = table_of_runs.where("block IS NOT NULL")
-    total = parts.agg(F.sum(F.octet_length("block"))).first()[0] or 0
-    heads = sorted(bytes(r.head) for r in parts.select("head").orderBy(F.xxhash64("head"), "run").limit(HEADS).collect())
-    p = max(1, min(len(heads), ceil(total / PART_BYTES)))
-    cuts = [heads[k * len(heads) // p] for k in range(1, p)]
+    wanted = max(1, ceil(parts.count() / RANGE_BLOCKS))
+    heads = sorted(bytes(r.head) for r in parts.select("head").orderBy(F.xxhash64("head"), "run").limit(4 * wanted).collect())
+    cuts = [heads[k * len(heads) // wanted] for k in range(1, wanted)] if heads else []
     # between groups, but within those that are larger than a range
     starts = [c[:seed] for c in cuts]
-    cuts = sorted({c if starts.count(c[:seed]) > 1 else c[:seed] for c in cuts})
+    several = {a for a, b in zip(starts, starts[1:], strict=False) if a == b}
+    cuts = sorted({c if c[:seed] in several else c[:seed] for c in cuts})
+
+    def deal(batches):
+        for batch in batches:
+            rows = []
+            for run, entry, head, tail, blob in zip(*[batch.column(c).to_pylist() for c in ("run", "entry", "head", "tail", "block")], strict=True):
+                low, high = bisect_right(cuts, head), bisect_right(cuts, tail)
+                rows += [(k, run, e, b) for k, e, b in ([(low, entry, blob)] if low == high else cut_block(blob, entry, low, high, cuts))]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["part", "run", "entry", "block"])
 
-    def route(before: pa.Array, after: pa.Array) -> pa.Array:
-        return pa.array([list(range(bisect_right(cuts, a) if a is not None else 0, (bisect_right(cuts, b) if b is not None else len(cuts)) + 1)) for a, b in zip(before.to_pylist(), after.to_pylist(), strict=True)], pa.list_(pa.int32()))
+    most = GROUP
+    schema = pa.schema([(x.split()[0], {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]]) for x in FOUND.split(", ")])
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("run", "ascending"), ("entry", "ascending")])
@@ -323,12 +352,50 @@ def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
         by: dict[int, list[tuple[int, bytes]]] = {}
         for r, e, b in zip(*[group.column(c).to_pylist() for c in ("run", "entry", "block")], strict=True):
             by.setdefault(r, []).append((e, b))
-        rows = [x for x in merge_part(by, cuts[k - 1] if k else None, cuts[k] if k < len(cuts) else None, length, seed) if x[5] >= seed or not x[5]]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        return pa.table([pa.array(c, pa.int64()) for c in columns], ["run", "entry", "size", "number", "c", "r", "r2"])
+        *rows, ends = merge_part(by, cuts[k - 1] if k else None, cuts[k] if k < len(cuts) else None, length, seed, most)
+        rows = [(k, *x, None, None, None, None) for x in rows if x[3] >= 0 or x[4] >= seed or x[5] or x[6]]
+        rows.append((k, None, None, None, None, None, None, None, *ends))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    dealt = parts.select("run", "entry", "head", "tail", "block").mapInArrow(deal, "part int, run long, entry long, block binary")
+    found = save(dealt.groupBy("part").applyInArrow(run, FOUND))
+    rows = found.where("run IS NOT NULL").select("part", "run", "entry", "size", "c", "r2", "low", "high")
+    if several:
+        rows = rows.where("low = 0 AND high = 0").unionByName(beyond_borders(rows.where("low > 0 OR high > 0"), found.where("run IS NULL")))
+    return rows.where((F.col("c") >= 0) | (F.col("r2") >= seed)).select("run", "entry", "size", "c", "r2")
+
+
+def beyond_borders(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """rows with c and r2 as they are with the neighbours beyond a border: for each range, the nearest key on either side, and the
+    nearest suffix that differs from the one at the border. ends has one row per range, in order by a window over those alone."""
+    order = Window.orderBy("part")
+    near = ends.select("part", "first", "last", "after", "before").withColumns({"prev": F.lag("last").over(order), "next": F.lead("first").over(order)})
+    same = F.arrow_udf(lambda a, b: pa.array([shared(x, y)[1] >= 0 for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.bool_()), "boolean")
+    near = near.withColumns({"joins_prev": same("first", "prev"), "joins_next": same("last", "next")})
+    # the suffix before (after) the class at a range's end, null where it comes from the range before (after)
+    near = near.withColumns({
+        "b": F.when(F.col("before").isNotNull(), F.col("before")).when(~F.col("joins_prev"), F.coalesce("prev", F.lit(b""))),
+        "a": F.when(F.col("after").isNotNull(), F.col("after")).when(~F.col("joins_next"), F.coalesce("next", F.lit(b""))),
+    })
+    earlier, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    near = near.withColumns({"lower": F.last("b", ignorenulls=True).over(earlier), "upper": F.first("a", ignorenulls=True).over(later)})
+    near = near.select("part", "first", "last", "prev", "next", F.when(F.col("joins_prev"), F.col("lower")).otherwise(F.col("prev")).alias("lower"), F.when(F.col("joins_next"), F.col("upper")).otherwise(F.col("next")).alias("upper"))
+
+    def compared(batches):
+        for batch in batches:
+            out = []
+            for part, first, last, prev, following, lower, upper in zip(*[batch.column(c).to_pylist() for c in batch.schema.names], strict=True):
+                mark = lambda x: x if x is None or END in x else x + END
+                out.append((part, shared(first, prev)[1], shared(last, following)[1], shared(first, mark(lower))[0], shared(last, mark(upper))[0]))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in columns], ["part", "c1", "c2", "r1", "r3"])
 
-    dealt = parts.select(F.explode(F.arrow_udf(route, "array<int>")("before", "after")).alias("part"), "run", "entry", "block")
-    return dealt.groupBy("part").applyInArrow(run, "run long, entry long, size long, number long, c long, r long, r2 long")
+    facts = near.mapInArrow(compared, "part int, c1 int, c2 int, r1 int, r3 int")
+    at = lambda test, c: F.when(test, F.col(c)).otherwise(-1)
+    out = rows.join(facts, "part")
+    c = F.greatest("c", at(F.col("low") == 2, "c1"), at(F.col("high") == 2, "c2"))
+    r2 = F.greatest("r2", at(F.col("low") > 0, "r1"), at(F.col("high") > 0, "r3"))
+    return out.withColumns({"c": c.cast("int"), "r2": r2.cast("int")}).select("part", "run", "entry", "size", "c", "r2", "low", "high")
 
 
 # ------------------------------------------------------------------------------------------------- the operator
@@ -346,42 +413,30 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
         own = at - offsets[np.searchsorted(offsets, at, "right") - 1]
         return {"h": pa.ListArray.from_arrays(cuts, pa.array(signed(grams[at]))), "at": pa.ListArray.from_arrays(cuts, pa.array(own.astype(np.int32)))}
 
-    spark = docs.sparkSession
     each = save(annotate(docs, "text", "h array<long>, at array<int>", anchors).select("row.id", "row.same", "h", "at"))
     often = save(each.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     spots = each.select("id", "same", F.explode(F.arrays_zip("h", "at")).alias("z")).select("id", "same", "z.h", "z.at")
-    spots = look_up(spots, often, ["h"], ["id", "at"]).groupBy("id", "same").agg(F.collect_set("at").alias("ats"))
-    spots = save(spots)
+    spots = save(look_up(spots, often, ["h"], ["id", "at"]).groupBy("id", "same").agg(F.collect_set("at").alias("ats")))
     ids = save(spots.select("id").distinct())
-    forget(each, often)
-    tidy(spark)
-    texts = only(docs, ids, "id")
-    table_of_runs = save(make_runs(texts.join(spots, ["id", "same"]), length, seed))
-    tidy(spark)
+    table_of_runs = save(make_runs(only(docs, ids, "id").join(spots, ["id", "same"]), length, seed))
+    forget(each, often, ids)
     found = save(merged(table_of_runs, length, seed))
-    tidy(spark)
-    members = table_of_runs.where("block IS NULL").select("run", "entry", "id", "same", "at")
-    reach = members.join(found, ["run", "entry"]).groupBy("id", "same").agg(F.collect_set(F.struct("at", "size", "number", "c", "r", "r2")).alias("z"))
+    reach = table_of_runs.where("block IS NULL").select("run", "entry", "id", "same", "at").join(found, ["run", "entry"])
+    plain = reach.where(F.col("c") + F.col("size") >= length).select("id", "same", F.struct((F.col("at") - F.col("c")).cast("int").alias("start"), (F.col("at") + F.col("size")).cast("int").alias("end")).alias("span"))
+    open_ = save(reach.where(F.col("r2") >= seed).groupBy("id", "same").agg(F.collect_set(F.struct("at", "r2")).alias("z")))
 
-    def edges(batches):
-        w = length - seed + 1
+    def strings(batches):
+        """The hashes of the strings that other suffixes may hold."""
         for part in blocks(batches, "text"):
             rows: list = []
             for text, z in zip(part.column("text").to_pylist(), part.column("z"), strict=True):
                 data = np.frombuffer(text.encode(), np.uint8)
-                z = z.values
-                at, size, number, c, r, r2 = (z.field(k).to_numpy() for k in range(6))
+                at, r2 = (z.values.field(k).to_numpy() for k in range(2))
                 order = np.argsort(at)
-                at, size, number, c, r, r2 = (v[order] for v in (at, size, number, c, r, r2))
-                whole = (number > 1) & (c + size >= length)
-                starts, ends = at[whole] - c[whole], at[whole] + size[whole]
-                if not (r > 0).any():
-                    rows.append((starts.tolist(), ends.tolist(), [], [], []))
-                    continue
-                at, size, number, c, r, r2 = (v[r > 0] for v in (at, size, number, c, r, r2))
+                at, r2 = at[order], r2[order]
                 sums = prefixes(BYTE_VALUES[data])
                 grams = windows(sums, seed)
-                least, chosen = winnow(grams, w, np.ones(len(data) - length + 1, bool))
+                least, chosen = winnow(grams, length - seed + 1, np.ones(len(data) - length + 1, bool))
                 s = np.arange(len(least))
                 k = np.searchsorted(chosen, s)
                 while True:  # the first anchor of each string that has its least hash
@@ -391,23 +446,24 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
                     k += off
                 x = chosen[k]
                 j = np.minimum(np.searchsorted(at, x), len(at) - 1)
-                p = x - s
-                safe = (number[j] > 1) & (p <= c[j]) & (length - p <= size[j]) & (length - p > r2[j])
-                ask = np.flatnonzero((at[j] == x) & (length - p <= r[j]) & ~safe)
+                ask = np.flatnonzero((at[j] == x) & (length - (x - s) <= r2[j]))
                 h1, h2 = windows(sums, length)[ask], windows(prefixes(mixed(BYTE_VALUES[data] + np.uint64(1))), length)[ask]
-                rows.append((starts.tolist(), ends.tolist(), signed(h1).tolist(), (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist(), ask.tolist()))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("same"), *[pa.array(v, pa.list_(pa.int64() if k == 2 else pa.int32())) for k, v in enumerate(columns)]], ["id", "same", "a", "b", "h1", "h2", "at"])
-
-    held = save(only(docs, ids, "id").join(reach, ["id", "same"]).select("id", "same", "text", "z").mapInArrow(edges, "id long, same long, a array<int>, b array<int>, h1 array<long>, h2 array<int>, at array<int>"))
-    tidy(spark)
-    asked = held.select("id", "same", F.explode(F.arrays_zip("h1", "h2", "at")).alias("z")).select("id", "same", "z.*")
-    twice = asked.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    some = asked.join(twice, ["h1", "h2"]).select("id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span"))
-    plain = held.select("id", "same", F.explode(F.arrays_zip(F.col("a").alias("start"), F.col("b").alias("end"))).alias("span"))
-    out = save(plain.unionByName(some).groupBy("id", "same").agg(F.collect_set("span").alias("spans")))
-    forget(spots, ids, table_of_runs, found, held)
-    tidy(spark)
+                rows.append((signed(h1).tolist(), signed(h2).tolist(), ask.tolist()))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
+            kinds = pa.int64(), pa.int64(), pa.int32()
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("same"), *[pa.array(v, pa.list_(t)) for v, t in zip(columns, kinds, strict=True)]], ["id", "same", "h1", "h2", "at"])
+
+    some = save(open_.select("id").distinct())
+    if some.isEmpty():
+        out = save(plain.groupBy("id", "same").agg(F.collect_set("span").alias("spans")))
+        forget(spots, table_of_runs, found, open_, some)
+        return out
+    held = only(docs, some, "id").join(open_, ["id", "same"]).select("id", "same", "text", "z").mapInArrow(strings, "id long, same long, h1 array<long>, h2 array<long>, at array<int>")
+    asked = save(held.select("id", "same", F.explode(F.arrays_zip("h1", "h2", "at")).alias("z")).select("id", "same", "z.*"))
+    twice = save(asked.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1"))
+    more = look_up(asked, twice, ["h1", "h2"], ["id", "at"]).select("id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span"))
+    out = save(plain.unionByName(more).groupBy("id", "same").agg(F.collect_set("span").alias("spans")))
+    forget(spots, table_of_runs, found, open_, some, asked, twice)
     return out
 
 

@@ -153,43 +153,55 @@ def test_windows_of_another_document_than_the_leader(spark):
     assert sorted(map(tuple, got)) == sorted(brute.substrings(rows))
 
 
-@pytest.mark.parametrize("part_bytes", [None, 3000])
-def test_repeated_bytes(spark, rows, part_bytes, monkeypatch):
-    monkeypatch.setattr(common, "LEAST", 2 if part_bytes else common.LEAST)
-    if part_bytes:  # small ranges, which cut groups
-        monkeypatch.setattr(suffixes, "PART_BYTES", part_bytes)
-        monkeypatch.setattr(suffixes, "BLOCK_ENTRIES", 5)
-    rows = [*rows, (None, rows[60][1]), (5, rows[5][1])]
+@pytest.mark.parametrize("way", ["plain", "many ranges", "large groups"])
+def test_repeated_bytes(spark, rows, way, monkeypatch):
+    if way != "plain":
+        monkeypatch.setattr(common, "LEAST", 2)
+    if way == "many ranges":  # which cut groups, and classes of equal suffixes
+        monkeypatch.setattr(suffixes, "RANGE_BLOCKS", 1)
+        monkeypatch.setattr(suffixes, "BLOCK_ENTRIES", 4)
+    if way == "large groups":
+        monkeypatch.setattr(suffixes, "GROUP", 3)
+    r = random.Random(6)
+    noise = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    passage = noise(700)
+    rows = [*rows, (None, rows[60][1]), (5, rows[5][1]), *[(700 + i, noise(r.randint(100, 300)) + passage[r.randrange(60) :] + noise(r.randint(0, 300))) for i in range(25)]]
     got = suffixes.remove_repeats(frame(spark, rows)).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
     assert sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got), key=str) == sorted(brute.repeated_bytes(rows), key=str)
-    if not part_bytes:
+    if way == "plain":
         assert suffixes.remove_repeats(frame(spark, rows[:0])).count() == 0
 
 
-@pytest.mark.parametrize("cuts", [[], [b"ab", b"abab"], [b"aaaaa", b"b"]])
+@pytest.mark.parametrize("cuts", [[], [b"ab\xff", b"abab"], [b"aaaaa", b"b"], [b"abab\xffb", b"ababab", b"abababab\xffa", b"babb"]])
 @pytest.mark.parametrize("most", [0, 3, 256])
-def test_merged_parts_find_all_repeats(cuts, most, monkeypatch):
+def test_merged_parts_find_all_repeats(cuts, most):
     """Over a small alphabet, strings of 8 and seeds of 3: what is not found at once stands at an anchor that is asked later."""
-    monkeypatch.setattr(suffixes, "GROUP", most)
     r = random.Random(11)
     length, seed = 8, 3
     texts = ["".join(r.choices("ab", k=r.randint(0, 30))).encode() for _ in range(30)]
     places = [(d, a) for d, t in enumerate(texts) for a in range(len(t) - seed + 1)]
-    runs, members = {}, {}
+    parts, members = {}, {}
     for k in range(3):
         own = places[k::3]
-        of, entries = suffixes.sorted_run([texts[d][a : a + length] for d, a in own], [texts[d][max(0, a - 5) : a] for d, a in own])
-        runs[k] = [(i, suffixes.pack(entries[i : i + 4])) for i in range(0, len(entries), 4)]
+        of, entries = suffixes.sorted_run([suffixes.key_of(texts[d], a, length, length - seed) for d, a in own])
+        for i in range(0, len(entries), 4):
+            for part, e, block in suffixes.cut_block(suffixes.pack(entries[i : i + 4]), i, 0, len(cuts), cuts):
+                parts.setdefault(part, {}).setdefault(k, []).append((e, block))
         for p, e in zip(own, of, strict=True):
             members.setdefault((k, e), []).append(p)
     edges = [None, *cuts, None]
     got, loose = set(), set()
-    for low, high in zip(edges, edges[1:], strict=False):
-        for run, entry, size, number, c, reach, _ in suffixes.merge_part(runs, low, high, length, seed):
+    for part, runs in sorted(parts.items()):
+        *found, ends = suffixes.merge_part(runs, edges[part], edges[part + 1], length, seed, most)
+        keys = sorted(e[1] for own in runs.values() for _, b in own for e in suffixes.unpack(b))
+        assert (ends[0], ends[1]) == (keys[0], keys[-1]) and all((edges[part] or b"") <= x and x < (edges[part + 1] or b"\xff") for x in keys)
+        known = [k.split(b"\xff")[0] for k in keys]
+        assert ends[2] == next((x for x in known if x != known[0]), None) and ends[3] == next((x for x in known[::-1] if x != known[-1]), None)
+        for run, entry, size, c, r2, low, high in found:
             for d, a in members[run, entry]:
-                if not reach:
+                if c + size >= length:
                     got.update((d, i) for i in range(a - c, a + size))
-                else:
+                if r2 >= seed or low or high:
                     loose.add((d, a))
     seen = {}
     for d, t in enumerate(texts):
@@ -214,8 +226,10 @@ def test_loser_tree_merges_and_knows_prefixes():
 
 
 def test_blocks_round_trip():
-    entries = [(0, b"abc", 1, b"left"), (3, b"abcd", 2, b""), (1, b"ax", 1, b"\xff")]
+    entries = [(0, b"abcd\xffleft", 2), (3, b"abc\xff", 1), (1, b"ax\xffb", 1)]
     assert suffixes.unpack(suffixes.pack(entries)) == entries
+    cuts = [b"", b"", b"abce", b"ad"]
+    assert [(k, e, suffixes.unpack(b)) for k, e, b in suffixes.cut_block(suffixes.pack(entries), 10, 2, 4, cuts)] == [(2, 10, entries[:1]), (3, 11, entries[1:2]), (4, 12, entries[2:])]
 
 
 def test_embeddings(spark):
