@@ -33,38 +33,38 @@ class Rule:
     pattern: re.Pattern
     priority: int
     confidence: float
-    #: a text with a match holds one word of each set
+    #: a text with a match holds all words of one of these sets
     keywords: tuple[frozenset[bytes], ...]
 
 
-def words_needed(parsed) -> list[frozenset[bytes]]:
-    """Sets of literals of two bytes or more, of each of which one stands in whatever the parsed expression matches."""
-    out, run = [], []
-
-    def end():
-        if len(run) > 1:
-            out.append(frozenset([bytes(run)]))
-        run.clear()
-
+def forms(parsed) -> set[bytes]:
+    """What the parsed expression matches, a blank for what separates words and a zero byte for characters that may be several;
+    of repetitions, the least number."""
+    out = {b""}
     for op, arg in parsed:
+        more = {b""}
         if op is parser.LITERAL:
-            run.append(arg)
-            continue
-        end()
-        if op is parser.SUBPATTERN:
-            out += words_needed(arg[3])
+            more = {b" " if NOT_ALNUM[arg] else bytes([arg])}
+        elif op is parser.IN:
+            more = {b" "} if arg[0][0] is parser.NEGATE else {bytes([x]) for _, x in arg} if all(k is parser.LITERAL for k, _ in arg) else {b"\0"}
+        elif op is parser.SUBPATTERN:
+            more = forms(arg[3])
         elif op is parser.BRANCH:
-            each = [max(words_needed(x), key=lambda w: min(map(len, w)), default=None) for x in arg[1]]
-            if None not in each:
-                out.append(frozenset().union(*each))
-        elif op is parser.MAX_REPEAT and arg[0] > 0:
-            out += words_needed(arg[2])
-    end()
+            more = set().union(*[forms(x) for x in arg[1]])
+        elif op is parser.MAX_REPEAT:
+            more = forms(arg[2]) | ({b""} if not arg[0] else set())
+        out = {x + y for x in out for y in more}
     return out
 
 
+def words_needed(parsed) -> tuple[frozenset[bytes], ...]:
+    """Sets of words, of one of which all stand in whatever the parsed expression matches as whole words."""
+    found = {frozenset(w for w in x.split() if b"\0" not in w) for x in forms(parsed)}
+    return tuple(sorted((x for x in found if not any(y < x for y in found)), key=sorted))
+
+
 def make_rule(label: str, pattern: str, priority: int, confidence: float) -> Rule:
-    return Rule(label, re.compile(pattern.encode()), priority, confidence, tuple(dict.fromkeys(words_needed(parser.parse(pattern.encode())))))
+    return Rule(label, re.compile(pattern.encode()), priority, confidence, words_needed(parser.parse(pattern.encode())))
 
 
 def make_rules() -> list[Rule]:
@@ -73,29 +73,33 @@ def make_rules() -> list[Rule]:
     for priority, confidence, lines in SECTIONS:
         for line in lines.strip().split("\n"):
             label, pattern = line.split(None, 1)
-            out.append(make_rule(label, rf"(?<![0-9a-z])(?:{pattern.replace(' ', GAP)})(?![0-9a-z])", priority, confidence))
+            out.append(make_rule(label, rf"(?<![0-9a-z\x80-\xff])(?:{pattern.replace(' ', GAP)})(?![0-9a-z\x80-\xff])", priority, confidence))
     return sorted(out, key=lambda r: -r.priority)
 
 
 WORD = rb"0-9a-z\x80-\xff"
+ANY_WORD = re.compile(rb"[" + WORD + rb"]+")
 #: The first word is found as a literal; that no word character stands before it is checked afterwards.
 PHRASES = [(re.compile((rb"[^" + WORD + rb"]+").join(p.encode().split()) + rb"(?![" + WORD + rb"])"), p.split()[-1].encode(), label) for p, label in BASE.items()]
 
 
-def detect(low: bytes, rules: list[Rule]) -> list[tuple[int, int, str, float]]:
-    """(start, end, label, confidence) in bytes, of what is left after suppression."""
+def prefilter(rules: list[Rule]) -> dict[bytes, list[tuple[int, frozenset[bytes]]]]:
+    """By the longest word of each set of keywords: the rules, by number, and the sets."""
+    by: dict[bytes, list[tuple[int, frozenset[bytes]]]] = {}
+    for k, rule in enumerate(rules):
+        for words in rule.keywords:
+            by.setdefault(max(words, key=lambda w: (len(w), w)), []).append((k, words))
+    return by
+
+
+def detect(low: bytes, rules: list[Rule], by: dict[bytes, list[tuple[int, frozenset[bytes]]]]) -> list[tuple[int, int, str, float]]:
+    """(start, end, label, confidence) in bytes, of what is left after suppression. by: prefilter(rules)."""
+    words = set(ANY_WORD.findall(low))
     kept: list[tuple[int, int, str, float]] = []
-    has: dict[frozenset[bytes], bool] = {}
-    for rule in rules:
-        for k in rule.keywords:
-            if k not in has:
-                has[k] = any(w in low for w in k)
-            if not has[k]:
-                break
-        else:
-            for m in rule.pattern.finditer(low):
-                if not any(a <= m.start() and m.end() <= b for a, b, _, _ in kept):
-                    kept.append((m.start(), m.end(), rule.label, rule.confidence))
+    for k in sorted({k for w in by.keys() & words for k, own in by[w] if own <= words}):
+        for m in rules[k].pattern.finditer(low):
+            if not any(a <= m.start() and m.end() <= b for a, b, _, _ in kept):
+                kept.append((m.start(), m.end(), rules[k].label, rules[k].confidence))
     return kept
 
 
@@ -108,10 +112,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     n_base: places where a phrase of BASE stands as consecutive words; first_word and last_word: the smallest and largest
     word at which one begins, else null. labels: those of BASE and of the rules. score: the highest confidence, 0 without any.
     Null and empty texts have no words and no labels. Other columns ride along in row; an empty table gives an empty result."""
-    rules: list[Rule] = []
+    ready: list = []
 
     def make(column: pa.Array) -> dict:
-        rules.extend([] if rules else make_rules())
+        if not ready:  # once in a worker
+            rules = make_rules()
+            ready.extend([rules, prefilter(rules)])
         data, offsets = utf8(column)
         data = LOWER[data]
         starts, _, first = word_bounds(data, offsets, NOT_ALNUM)
@@ -125,7 +131,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
                         if not m.start() or NOT_ALNUM[low[m.start() - 1]]:
                             places.append(int(np.searchsorted(starts, a + m.start()) - first[k]))
                             base.add(label)
-            found = detect(low, rules)
+            found = detect(low, *ready)
             out["n_words"].append(int(first[k + 1] - first[k]))
             out["n_base"].append(len(places))
             out["first_word"].append(min(places, default=None))
