@@ -24,12 +24,15 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; one of its own only where that is unset."""
+    """The folder in spark.checkpoint.dir, which all executors share; one of its own only where that is unset and Spark runs in one
+    process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="landloom-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

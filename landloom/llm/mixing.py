@@ -47,10 +47,11 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     size: words of a document (null or empty text: 0). A source's share of whole repetitions is the same for all its
     documents; the rest goes to those that come first by md5(seed:doc_id), as far as the middle of a document lies before the
     cut, so a source misses its target by half a document at most and a document is taken at most max_epochs times. Reruns
-    agree. A null source is a source of its own; rows with equal or null ids are told apart by size only, and rows alike in
-    all are interchangeable. A source without words has target 0 and its documents 0 or whole copies of nothing. An empty
+    agree. A null source is a source of its own; rows of a null id are ordered by a hash of their text, rows of equal ids are told
+    apart by size only, and rows alike in all are interchangeable. A source without words has target 0 and its documents 0 or whole copies of nothing. An empty
     table gives an empty result; other columns are ignored."""
-    mark = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
+    # rows without an id are spread by their texts, so that they don't share one place in the order
+    mark = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.xxhash64(text).cast("string")))))
     sized = save(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), mark.alias("mark")))
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs)
     goal = save(goal.select("*", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("whole")))

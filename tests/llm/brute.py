@@ -127,3 +127,19 @@ def license_phrases(text):
     found = [(j, label) for p, label in phrases.items() for j in range(len(w)) if w[j : j + len(p.split())] == p.split()]
     at = [j for j, _ in found]
     return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({label for _, label in found}))
+
+
+def targets(sizes, weights=(5, 2, 1), times=3):
+    """Words of each source that a mix of as many words as there are takes: what is above the cap is shared anew, until none is."""
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    out, free, left = {}, set(order), sum(sizes.values())
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if weight[s] * level >= times * sizes[s]}
+        if not full:
+            return out | {s: weight[s] * level for s in free}
+        out |= {s: times * sizes[s] for s in full}
+        free -= full
+        left -= sum(times * sizes[s] for s in full)
+    return out
