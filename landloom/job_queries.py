@@ -409,6 +409,17 @@ def old_entity_job(spark, sf_dir):
     return pipelines.load_old_entities(spark, f"{at}/*/old-entity.csv", spec, f"{at}-out", width=50).select("old_entity", "status", "entity", "collection", "dataset")
 
 
+@query(Q.TASK_SQL)
+def task_job(spark, sf_dir):
+    """The task table from files of two collections: one holds logs and sources, the other issues."""
+    at = Q.folder(spark)
+    x = Q._task_inputs(spark, sf_dir)
+    csv(C.kebab_case(x["log"]), f"{at}/a-collection/collection/log.csv")
+    csv(C.kebab_case(x["source"]), f"{at}/a-collection/collection/source.csv")
+    csv(C.kebab_case(x["issues"]), f"{at}/b-collection/issue/own/all.csv")
+    return pipelines.generate_tasks(spark, at, x["types"], f"{at}-out", DAY)
+
+
 @query("""SELECT 'n' || c_nationkey || '-' || (c_custkey // 25000) AS council_name, count(*) AS records FROM customer GROUP BY 1""")
 def cadastral_study(spark, sf_dir):
     """Archives unpacked by executors, their features flattened to Parquet and counted."""

@@ -223,20 +223,31 @@ def log_tasks(spark, sf_dir):
     return tasks.log_tasks(log, DAY)
 
 
-@query(f"""WITH cur AS (SELECT user_id, event_id FROM events WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d') DESC, 'r' || event_id::VARCHAR) = 1),
+TASK_SQL = f"""WITH cur AS (SELECT user_id, event_id FROM events WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d') DESC, 'r' || event_id::VARCHAR) = 1),
 src AS (SELECT c_custkey, c_mktsegment, 'o' || c_nationkey::VARCHAR AS org FROM customer),
 l AS (SELECT DISTINCT coalesce(c_mktsegment, '') AS dataset, coalesce(org, '') AS organisation, user_id::VARCHAR AS endpoint, NULL::VARCHAR AS resource, json_object('status', 500, 'exception', '')::VARCHAR AS details FROM events LEFT JOIN src ON c_custkey = user_id WHERE event_type = 'error'),
 i AS (SELECT event_type AS dataset, coalesce(org, '') AS organisation, cur.user_id::VARCHAR AS endpoint, 'r' || cur.event_id::VARCHAR AS resource, json_object('issue_type', 'invalid', 'count', count(*)::INT, 'field', 'f')::VARCHAR AS details
   FROM events e JOIN cur ON cur.event_id = e.event_id LEFT JOIN src ON c_custkey = cur.user_id GROUP BY 1, 2, 3, 4)
 SELECT dataset, organisation, endpoint, resource, details, 'error' AS severity, 'external' AS responsibility, 'log' AS task_source, '{DAY}' AS entry_date, {_reference("dataset", "organisation", "endpoint", "coalesce(resource, '')", "'log'", "details")} AS reference FROM l
-UNION ALL SELECT dataset, organisation, endpoint, resource, details, 'error', 'external', 'issue', '{DAY}', {_reference("dataset", "organisation", "endpoint", "resource", "'issue'", "details")} FROM i""")
-def task_table(spark, sf_dir):
+UNION ALL SELECT dataset, organisation, endpoint, resource, details, 'error', 'external', 'issue', '{DAY}', {_reference("dataset", "organisation", "endpoint", "resource", "'issue'", "details")} FROM i"""
+
+
+def _task_inputs(spark, sf_dir) -> dict[str, DataFrame]:
+    """Logs, sources and issues of an endpoint per user, and what the issue types mean."""
     e = t(spark, sf_dir, "events")
-    log = e.select(text("user_id").alias("endpoint"), F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.concat(F.lit("r"), text("event_id"))).alias("resource"), F.date_format("ts", "yyyy-MM-dd").alias("entry_date"), F.when(F.col("event_type") == "error", "500").when(F.col("event_type") == "purchase", "200").alias("status"), F.lit(None).cast("string").alias("exception"))
+    resource = F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.concat(F.lit("r"), text("event_id")))
+    status = F.when(F.col("event_type") == "error", "500").when(F.col("event_type") == "purchase", "200")
+    log = e.select(text("user_id").alias("endpoint"), resource.alias("resource"), F.date_format("ts", "yyyy-MM-dd").alias("entry_date"), status.alias("status"), F.lit(None).cast("string").alias("exception"))
     source = t(spark, sf_dir, "customer").select(text("c_custkey").alias("endpoint"), F.col("c_mktsegment").alias("pipelines"), F.concat(F.lit("o"), text("c_nationkey")).alias("organisation"), F.lit("").alias("end_date"))
     issues = e.select(F.concat(F.lit("r"), text("event_id")).alias("resource"), F.col("event_type").alias("dataset"), F.lit("f").alias("field"), F.lit("invalid").alias("issue_type"))
     types = e.select(F.lit("invalid").alias("issue_type"), F.lit("error").alias("severity"), F.lit("external").alias("responsibility")).distinct()
-    return tasks.all_tasks(log, source, issues, types, DAY)
+    return {"log": log, "source": source, "issues": issues, "types": types}
+
+
+@query(TASK_SQL)
+def task_table(spark, sf_dir):
+    x = _task_inputs(spark, sf_dir)
+    return tasks.all_tasks(x["log"], x["source"], x["issues"], x["types"], DAY)
 
 
 # ------------------------------------------------------------------------------------------------- quality
