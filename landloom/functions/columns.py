@@ -50,7 +50,9 @@ def known_geometry(c) -> Column:
 
 def reference_of(*columns) -> Column:
     """A stable key: the first 16 hex digits of the SHA-256 of the columns, null counting as blank."""
-    return F.substring(F.sha2(F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in columns]), 256), 1, 16)
+    return F.substring(
+        F.sha2(F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in columns]), 256), 1, 16
+    )
 
 
 def listed(c, separator: str = ";") -> Column:

@@ -24,7 +24,14 @@ def flatten_geojson(df: DataFrame, column: str = "geojson") -> DataFrame:
     rest = [c for c in df.columns if c != column]
     df = df.withColumn("_parsed", F.from_json(column, GEOJSON))
     at = F.col("_parsed.coordinates")
-    return df.select(*rest, "_parsed.type", "_parsed.coordinates", F.get(at, 0).alias("longitude"), F.get(at, 1).alias("latitude"), "_parsed.properties")
+    return df.select(
+        *rest,
+        "_parsed.type",
+        "_parsed.coordinates",
+        F.get(at, 0).alias("longitude"),
+        F.get(at, 1).alias("latitude"),
+        "_parsed.properties",
+    )
 
 
 def flatten_features(df: DataFrame, name: str | None = None, value=None, attribute: str = "_attr_") -> DataFrame:

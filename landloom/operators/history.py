@@ -10,7 +10,22 @@ from landloom.functions import geometry as G
 from landloom.plans.schema import LOADED, enforce
 
 #: Columns of a wide entity that have a place of their own; all others go into json.
-STANDARD = ("dataset", "end_date", "entity", "entry_date", "geometry", "json", "name", "organisation_entity", "point", "prefix", "quality", "reference", "start_date", "typology")
+STANDARD = (
+    "dataset",
+    "end_date",
+    "entity",
+    "entry_date",
+    "geometry",
+    "json",
+    "name",
+    "organisation_entity",
+    "point",
+    "prefix",
+    "quality",
+    "reference",
+    "start_date",
+    "typology",
+)
 
 
 #: A list of so many datasets at most is broadcast.
@@ -19,7 +34,9 @@ MAX_DATASETS = 100_000
 
 def pick(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order; list enough columns that ties are equal in what matters."""
-    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")
+    return df.withColumn(
+        "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ).where("_rank = 1").drop("_rank")
 
 
 def _numeric(c: str, descending: bool) -> list[Column]:
@@ -30,19 +47,30 @@ def _numeric(c: str, descending: bool) -> list[Column]:
 
 def latest_values(eav: DataFrame) -> DataFrame:
     """The current row of each (entity, field): latest entry_date, then highest priority if there is one, then entry_number."""
-    order = [F.col("entry_date").desc_nulls_last(), *(_numeric("priority", True) if "priority" in eav.columns else []), *_numeric("entry_number", True), F.col("value").asc_nulls_last()]
+    order = [
+        F.col("entry_date").desc_nulls_last(),
+        *(_numeric("priority", True) if "priority" in eav.columns else []),
+        *_numeric("entry_number", True),
+        F.col("value").asc_nulls_last(),
+    ]
     return pick(eav, ["entity", "field"], order)
 
 
 def first_facts(eav: DataFrame) -> DataFrame:
     """The first row of each fact: lowest priority, earliest entry_date, lowest entry_number."""
-    return pick(eav, ["fact"], [*_numeric("priority", False), F.col("entry_date").asc_nulls_first(), *_numeric("entry_number", False)])
+    return pick(
+        eav,
+        ["fact"],
+        [*_numeric("priority", False), F.col("entry_date").asc_nulls_first(), *_numeric("entry_number", False)],
+    )
 
 
 def current_resources(log: DataFrame) -> DataFrame:
     """(endpoint, resource): what each endpoint served last with success; of one date, the first by name."""
     good = log.where((F.col("status") == "200") & ~C.is_blank("resource"))
-    return pick(good, ["endpoint"], [F.col("entry_date").desc_nulls_last(), F.col("resource")]).select("endpoint", "resource")
+    return pick(
+        good, ["endpoint"], [F.col("entry_date").desc_nulls_last(), F.col("resource")]
+    ).select("endpoint", "resource")
 
 
 def pivot(eav: DataFrame, fields: list[str] | None = None) -> DataFrame:
@@ -52,7 +80,9 @@ def pivot(eav: DataFrame, fields: list[str] | None = None) -> DataFrame:
     if fields is None:
         fields = [r.field for r in eav.select("field").where("field IS NOT NULL").distinct().orderBy("field").collect()]
     best = F.max(C.as_long("priority")) if "priority" in eav.columns else F.lit(None).cast("bigint")
-    return eav.groupBy("entity").agg(best.alias("max_priority"), *[F.min(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
+    return eav.groupBy("entity").agg(
+        best.alias("max_priority"), *[F.min(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields]
+    )
 
 
 def join_organisation(df: DataFrame, organisation: DataFrame) -> DataFrame:
@@ -65,18 +95,37 @@ def join_organisation(df: DataFrame, organisation: DataFrame) -> DataFrame:
 def join_typology(df: DataFrame, dimension: DataFrame) -> DataFrame:
     """Add the typology of the dataset from dimension(dataset, typology); of several the least, null where there is none."""
     own = dimension.groupBy("dataset").agg(F.min("typology").alias("typology"))
-    return df.drop("typology").join(F.broadcast(own) if own.limit(MAX_DATASETS + 1).count() <= MAX_DATASETS else own, "dataset", "left")
+    return df.drop("typology").join(
+        F.broadcast(own) if own.limit(MAX_DATASETS + 1).count() <= MAX_DATASETS else own, "dataset", "left"
+    )
 
 
 def transform_fact_resource(eav: DataFrame, dataset: str, loaded=None) -> DataFrame:
-    return enforce(C.with_constants(eav, dataset=dataset, **({LOADED: F.lit(loaded).cast("timestamp")} if loaded else {})), "fact_resource", (LOADED,))
+    return enforce(
+        C.with_constants(eav, dataset=dataset, **({LOADED: F.lit(loaded).cast("timestamp")} if loaded else {})),
+        "fact_resource",
+        (LOADED,),
+    )
 
 
 def transform_fact(eav: DataFrame, dataset: str, loaded=None) -> DataFrame:
-    return enforce(C.with_constants(first_facts(eav), dataset=dataset, **({LOADED: F.lit(loaded).cast("timestamp")} if loaded else {})), "fact", (LOADED,))
-
-
-def transform_entity(eav: DataFrame, dataset: str, organisation: DataFrame, typology: str | DataFrame | None = None, fields: list[str] | None = None, loaded=None) -> DataFrame:
+    return enforce(
+        C.with_constants(
+            first_facts(eav), dataset=dataset, **({LOADED: F.lit(loaded).cast("timestamp")} if loaded else {})
+        ),
+        "fact",
+        (LOADED,),
+    )
+
+
+def transform_entity(
+    eav: DataFrame,
+    dataset: str,
+    organisation: DataFrame,
+    typology: str | DataFrame | None = None,
+    fields: list[str] | None = None,
+    loaded=None,
+) -> DataFrame:
     """Wide entities: current values pivoted, quality from the highest priority, the owner's entity, what has no column of
     its own as JSON, dates and geometry checked, and a point for each geometry. typology: the value for all, or a table to look it
     up in (see join_typology())."""
@@ -93,7 +142,14 @@ def transform_entity(eav: DataFrame, dataset: str, organisation: DataFrame, typo
         if c not in wide.columns:
             wide = wide.withColumn(c, F.lit(None).cast("string"))
     dated = {c: C.as_date(c) for c in ("end_date", "entry_date", "start_date")}
-    out = wide.withColumns({"json": C.pack_json(rest), "geometry": C.known_geometry("geometry"), "point": C.known_geometry("point"), **dated})
+    out = wide.withColumns(
+        {
+            "json": C.pack_json(rest),
+            "geometry": C.known_geometry("geometry"),
+            "point": C.known_geometry("point"),
+            **dated,
+        }
+    )
     if loaded:
         out = out.withColumn(LOADED, F.lit(loaded).cast("timestamp"))
     return G.with_centroid(enforce(out, "entity", (LOADED,)))

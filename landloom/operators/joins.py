@@ -33,7 +33,13 @@ def backfill(df: DataFrame, lookup: DataFrame, on: str, column: str) -> DataFram
     own = lookup.select(F.col(on).alias("_key"), F.col(column).alias("_found")).distinct()
     blank = C.is_blank(column)
     joined = df.join(own, blank & (F.col(on) == F.col("_key")), "left")
-    return joined.select(*[F.when(blank, F.coalesce("_found", F.lit(""))).otherwise(F.col(column)).alias(c) if c == column else c for c in df.columns])
+    return joined.select(
+        *[
+            F.when(blank, F.coalesce("_found", F.lit(""))).otherwise(F.col(column)).alias(c)
+            if c == column
+            else c for c in df.columns
+        ]
+    )
 
 
 def range_join(df: DataFrame, ranges: DataFrame, key: str, low: str, high: str, width: int | None = None) -> DataFrame:
@@ -46,7 +52,9 @@ def range_join(df: DataFrame, ranges: DataFrame, key: str, low: str, high: str,
     if width is None:
         return df.join(ranges, within)
     bucket = lambda c: F.floor(c / F.lit(width)).cast("bigint")
-    listed = ranges.where(F.col(low) <= F.col(high)).withColumn("_bucket", F.explode(F.sequence(bucket(F.col(low)), bucket(F.col(high)))))
+    listed = ranges.where(F.col(low) <= F.col(high)).withColumn(
+        "_bucket", F.explode(F.sequence(bucket(F.col(low)), bucket(F.col(high))))
+    )
     return df.withColumn("_bucket", bucket(F.col(key))).join(listed, "_bucket").where(within).drop("_bucket")
 
 
@@ -54,9 +62,18 @@ def transform_old_entity(old: DataFrame, spec: DataFrame, width: int | None = No
     """Redirects of the dataset in whose range the old entity lies: its collection must be the dataset's, and the target, if
     there is one, must lie in the same range."""
     old = C.snake_case(old).withColumns({"old_entity": C.as_long("old_entity"), "entity": C.as_long("entity")})
-    own = spec.select(C.as_long("entity_minimum").alias("_low"), C.as_long("entity_maximum").alias("_high"), F.col("dataset"), F.col("collection").alias("_collection"))
+    own = spec.select(
+        C.as_long("entity_minimum").alias("_low"),
+        C.as_long("entity_maximum").alias("_high"),
+        F.col("dataset"),
+        F.col("collection").alias("_collection"),
+    )
     found = range_join(old.drop("dataset"), own, "old_entity", "_low", "_high", width)
-    found = found.where((F.col("collection") == F.col("_collection")) & (F.col("entity").isNull() | F.col("entity").between(F.col("_low"), F.col("_high"))))
+    found = found.where(
+        (F.col("collection") == F.col("_collection")) & (
+            F.col("entity").isNull() | F.col("entity").between(F.col("_low"), F.col("_high"))
+        )
+    )
     if loaded:
         found = found.withColumn(LOADED, F.lit(loaded).cast("timestamp"))
     return enforce(found, "old_entity", (LOADED,))

@@ -16,7 +16,15 @@ def summary(counts: DataFrame, group: str, value: str = "records") -> DataFrame:
     """One row: total, mean, largest and smallest with their groups (of ties, the first by name)."""
     top = F.min_by(group, F.struct(-F.col(value), F.col(group)))
     low = F.min_by(group, F.struct(value, group))
-    return counts.agg(F.count("*").alias("groups"), F.sum(value).alias("total"), F.avg(value).alias("mean"), F.max(value).alias("largest"), top.alias("largest_group"), F.min(value).alias("smallest"), low.alias("smallest_group"))
+    return counts.agg(
+        F.count("*").alias("groups"),
+        F.sum(value).alias("total"),
+        F.avg(value).alias("mean"),
+        F.max(value).alias("largest"),
+        top.alias("largest_group"),
+        F.min(value).alias("smallest"),
+        low.alias("smallest_group"),
+    )
 
 
 def distinct_per_group(df: DataFrame, group: str, value: str, approximate: bool = False) -> DataFrame:

@@ -44,7 +44,9 @@ def enforce(df: DataFrame, schema: str | StructType, keep: tuple[str, ...] = ())
         nested = dict(df.dtypes)[f.name].startswith(("struct", "array", "map"))
         if nested and f.dataType.simpleString() == "string":
             return F.to_json(f.name).alias(f.name)
-        return (F.col(f.name) if df.schema[f.name].dataType == f.dataType else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+        return (
+            F.col(f.name) if df.schema[f.name].dataType == f.dataType else F.col(f.name).try_cast(f.dataType)
+        ).alias(f.name)
 
     return df.select(*[shaped(f) for f in schema], *[k for k in keep if k in have and k not in schema.names])
 
@@ -76,7 +78,11 @@ def diff(spark: SparkSession, schema: str | StructType, path: str, fmt: str = "p
         return Difference()
     want = {f.name: f.dataType.simpleString() for f in schema}
     have = {f.name: f.dataType.simpleString() for f in spark.read.format(fmt).load(path).schema if f.name != LOADED}
-    return Difference({k: v for k, v in want.items() if k not in have}, {k: v for k, v in have.items() if k not in want}, {k: (have[k], want[k]) for k in want if k in have and have[k] != want[k]})
+    return Difference(
+        {k: v for k, v in want.items() if k not in have},
+        {k: v for k, v in have.items() if k not in want},
+        {k: (have[k], want[k]) for k in want if k in have and have[k] != want[k]},
+    )
 
 
 def migrate(spark: SparkSession, schema: str | StructType, path: str, allow_destructive: bool = False, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> Difference:
@@ -94,7 +100,9 @@ def migrate(spark: SparkSession, schema: str | StructType, path: str, allow_dest
     return done
 
 
-def migrate_all(spark: SparkSession, tables: list[tuple[str | StructType, str]], **options) -> dict[str, tuple[Difference, Difference]]:
+def migrate_all(
+    spark: SparkSession, tables: list[tuple[str | StructType, str]], **options
+) -> dict[str, tuple[Difference, Difference]]:
     """migrate() each (schema or its name, path); by path: (what was done, what is still to be done, which is destructive)."""
     out = {}
     for name, path in tables:
@@ -111,4 +119,6 @@ def report(spark: SparkSession, found: dict[str, tuple[Difference, Difference]])
             rows += [(path, state, "add", c, None, t) for c, t in d.added.items()]
             rows += [(path, state, "drop", c, t, None) for c, t in d.removed.items()]
             rows += [(path, state, "cast", c, a, b) for c, (a, b) in d.changed.items()]
-    return spark.createDataFrame(rows, "path string, state string, action string, column string, before string, after string")
+    return spark.createDataFrame(
+        rows, "path string, state string, action string, column string, before string, after string"
+    )

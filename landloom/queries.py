@@ -72,7 +72,13 @@ EAV = """eav AS (SELECT user_id AS entity, event_type AS field, round(value, 4)
 QUALIFY row_number() OVER (PARTITION BY entity, field ORDER BY entry_date DESC, priority DESC, event_id DESC) = 1""")
 def eav_latest(spark, sf_dir):
     out = history.latest_values(eav(spark, sf_dir))
-    return out.select("entity", "field", F.col("value").cast("double").alias("value"), "entry_date", C.as_long("entry_number").alias("entry_number"))
+    return out.select(
+        "entity",
+        "field",
+        F.col("value").cast("double").alias("value"),
+        "entry_date",
+        C.as_long("entry_number").alias("entry_number"),
+    )
 
 
 @query(f"""WITH {EAV}, latest AS (SELECT * FROM eav QUALIFY row_number() OVER (PARTITION BY entity, field ORDER BY entry_date DESC, priority DESC, event_id DESC) = 1)
@@ -80,14 +86,31 @@ SELECT entity, {", ".join(f"max(CASE WHEN field = '{e}' THEN v END) AS {e}" for
 CASE max(priority) WHEN 1 THEN 'some' WHEN 2 THEN 'authoritative' ELSE '' END AS quality FROM latest GROUP BY entity""")
 def eav_latest_pivot(spark, sf_dir):
     out = history.pivot(history.latest_values(eav(spark, sf_dir)), EVENT_TYPES)
-    return out.select("entity", *[F.col(e).cast("double").alias(e) for e in EVENT_TYPES], "max_priority", C.quality_of("max_priority").alias("quality"))
+    return out.select(
+        "entity",
+        *[F.col(e).cast("double").alias(e) for e in EVENT_TYPES],
+        "max_priority",
+        C.quality_of("max_priority").alias("quality"),
+    )
 
 
 @query("""SELECT l_partkey::VARCHAR AS fact, l_orderkey AS priority, l_linenumber AS entry_number, strftime(l_shipdate, '%Y-%m-%d') AS entry_date, round(l_quantity, 2) AS value FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_shipdate, l_linenumber) = 1""")
 def fact_first(spark, sf_dir):
-    rows = t(spark, sf_dir, "lineitem").select(text("l_partkey").alias("fact"), text("l_orderkey").alias("priority"), text("l_linenumber").alias("entry_number"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("entry_date"), "l_quantity")
-    return history.first_facts(rows).select("fact", C.as_long("priority").alias("priority"), C.as_long("entry_number").alias("entry_number"), "entry_date", F.round("l_quantity", 2).alias("value"))
+    rows = t(spark, sf_dir, "lineitem").select(
+        text("l_partkey").alias("fact"),
+        text("l_orderkey").alias("priority"),
+        text("l_linenumber").alias("entry_number"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("entry_date"),
+        "l_quantity",
+    )
+    return history.first_facts(rows).select(
+        "fact",
+        C.as_long("priority").alias("priority"),
+        C.as_long("entry_number").alias("entry_number"),
+        "entry_date",
+        F.round("l_quantity", 2).alias("value"),
+    )
 
 
 def wide_eav(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,36 +133,68 @@ wide AS (SELECT coalesce(entity, c_custkey) AS entity, p, c_custkey, c_nationkey
 @query(f"""WITH {WIDE} SELECT 'activity' AS dataset, entity, CASE p WHEN 1 THEN 'some' WHEN 2 THEN 'authoritative' ELSE '' END AS quality, 'event' AS typology, c_nationkey::BIGINT AS organisation_entity,
 {" || ".join(f"{e}::VARCHAR" for e in EVENT_TYPES)} AS fields, CASE WHEN c_custkey % 7 > 0 THEN {{CENTROID}} END AS point FROM wide""".replace("{CENTROID}", CENTROID))
 def entity_table(spark, sf_dir):
-    org = t(spark, sf_dir, "nation").select(F.col("n_name").alias("organisation"), F.col("n_nationkey").cast("long").alias("entity"))
-    out = history.transform_entity(wide_eav(spark, sf_dir), "activity", org, "event", fields=[*EVENT_TYPES, "organisation", "geometry"])
+    org = t(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("organisation"), F.col("n_nationkey").cast("long").alias("entity")
+    )
+    out = history.transform_entity(
+        wide_eav(spark, sf_dir), "activity", org, "event", fields=[*EVENT_TYPES, "organisation", "geometry"]
+    )
     held = F.from_json("json", "map<string,string>")
-    return out.select("dataset", "entity", "quality", "typology", "organisation_entity", F.concat(*[F.when(held[e].isNotNull(), "1").otherwise("0") for e in EVENT_TYPES]).alias("fields"), "point")
+    return out.select(
+        "dataset",
+        "entity",
+        "quality",
+        "typology",
+        "organisation_entity",
+        F.concat(*[F.when(held[e].isNotNull(), "1").otherwise("0") for e in EVENT_TYPES]).alias("fields"),
+        "point",
+    )
 
 
 @query("""WITH p AS (SELECT user_id, event_id, strftime(ts, '%Y-%m-%d') AS d FROM events WHERE event_type = 'purchase'),
 l AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY d DESC, 'r' || event_id::VARCHAR) = 1)
 SELECT 'r' || event_id::VARCHAR AS resource, coalesce(c_mktsegment, '') AS dataset, coalesce(c_name, '') AS organisation, user_id::VARCHAR AS endpoint FROM l LEFT JOIN customer ON c_custkey = user_id""")
 def current_resource(spark, sf_dir):
-    log = t(spark, sf_dir, "events").select(text("user_id").alias("endpoint"), F.concat(F.lit("r"), text("event_id")).alias("resource"), F.date_format("ts", "yyyy-MM-dd").alias("entry_date"), F.when(F.col("event_type") == "purchase", "200").otherwise("404").alias("status"))
-    attributes = t(spark, sf_dir, "customer").select(text("c_custkey").alias("endpoint"), F.col("c_mktsegment").alias("dataset"), F.col("c_name").alias("organisation"))
+    log = t(spark, sf_dir, "events").select(
+        text("user_id").alias("endpoint"),
+        F.concat(F.lit("r"), text("event_id")).alias("resource"),
+        F.date_format("ts", "yyyy-MM-dd").alias("entry_date"),
+        F.when(F.col("event_type") == "purchase", "200").otherwise("404").alias("status"),
+    )
+    attributes = t(spark, sf_dir, "customer").select(
+        text("c_custkey").alias("endpoint"),
+        F.col("c_mktsegment").alias("dataset"),
+        F.col("c_name").alias("organisation"),
+    )
     return tasks.active_resources(log, attributes)
 
 
 # ------------------------------------------------------------------------------------------------- joins
 
 
-@query("""SELECT c_custkey, coalesce(n_name, '') AS n_name, coalesce(r_name, '') AS r_name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 2 = 0 LEFT JOIN region ON r_regionkey = n_regionkey""")
+@query(
+    """SELECT c_custkey, coalesce(n_name, '') AS n_name, coalesce(r_name, '') AS r_name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 2 = 0 LEFT JOIN region ON r_regionkey = n_regionkey"""
+)
 def org_left_join(spark, sf_dir):
-    some = t(spark, sf_dir, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", F.col("n_regionkey").alias("r_regionkey"))
+    some = t(spark, sf_dir, "nation").where("n_nationkey % 2 = 0").select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_name", F.col("n_regionkey").alias("r_regionkey")
+    )
     out = joins.with_dimension(t(spark, sf_dir, "customer"), some, "c_nationkey", ("n_name",))
-    return joins.with_dimension(out, t(spark, sf_dir, "region"), "r_regionkey", ("r_name",)).select("c_custkey", "n_name", "r_name")
+    return joins.with_dimension(
+        out, t(spark, sf_dir, "region"), "r_regionkey", ("r_name",)
+    ).select("c_custkey", "n_name", "r_name")
 
 
 @query("""WITH w AS (SELECT DISTINCT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 AND quality = 0)
 SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.source = d.source)""")
 def withdrawn_filter(spark, sf_dir):
-    gone = t(spark, sf_dir, "documents").join(t(spark, sf_dir, "labels"), "doc_id").select(F.col("source").alias("old_resource"), F.when((F.col("toxic") == 1) & (F.col("quality") == 0), "410").otherwise("301").alias("status"))
-    return joins.drop_withdrawn(t(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("resource")), gone).select("doc_id", F.col("resource").alias("source"))
+    gone = t(spark, sf_dir, "documents").join(t(spark, sf_dir, "labels"), "doc_id").select(
+        F.col("source").alias("old_resource"),
+        F.when((F.col("toxic") == 1) & (F.col("quality") == 0), "410").otherwise("301").alias("status"),
+    )
+    return joins.drop_withdrawn(
+        t(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("resource")), gone
+    ).select("doc_id", F.col("resource").alias("source"))
 
 
 @query("""WITH lk AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal >= 9000),
@@ -148,11 +203,24 @@ SELECT c_custkey, s AS segment FROM b WHERE s <> '' UNION ALL SELECT c_custkey,
 def backfill(spark, sf_dir):
     cust = t(spark, sf_dir, "customer")
     lookup = cust.where("c_acctbal >= 9000").select("c_nationkey", F.col("c_mktsegment").alias("segment"))
-    return joins.backfill(cust.select("c_custkey", "c_nationkey", F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("segment")), lookup, "c_nationkey", "segment").select("c_custkey", "segment")
+    return joins.backfill(
+        cust.select(
+            "c_custkey",
+            "c_nationkey",
+            F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("segment"),
+        ),
+        lookup,
+        "c_nationkey",
+        "segment",
+    ).select("c_custkey", "segment")
 
 
 def _ranges(spark, sf_dir):
-    return t(spark, sf_dir, "supplier").select(F.concat(F.lit("d"), text("s_suppkey")).alias("dataset"), (F.col("s_suppkey") * 20).alias("low"), (F.col("s_suppkey") * 20 + 15).alias("high"))
+    return t(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("d"), text("s_suppkey")).alias("dataset"),
+        (F.col("s_suppkey") * 20).alias("low"),
+        (F.col("s_suppkey") * 20 + 15).alias("high"),
+    )
 
 
 RANGE_SQL = "SELECT p_partkey, 'd' || s_suppkey::VARCHAR AS dataset FROM part JOIN supplier ON p_partkey BETWEEN s_suppkey * 20 AND s_suppkey * 20 + 15"
@@ -160,38 +228,83 @@ RANGE_SQL = "SELECT p_partkey, 'd' || s_suppkey::VARCHAR AS dataset FROM part JO
 
 @query(RANGE_SQL)
 def range_join(spark, sf_dir):
-    return joins.range_join(t(spark, sf_dir, "part").select("p_partkey"), _ranges(spark, sf_dir), "p_partkey", "low", "high", width=16).select("p_partkey", "dataset")
+    return joins.range_join(
+        t(spark, sf_dir, "part").select("p_partkey"), _ranges(spark, sf_dir), "p_partkey", "low", "high", width=16
+    ).select("p_partkey", "dataset")
 
 
 @query("""SELECT p_partkey AS old_entity, 301 AS status, CASE WHEN p_partkey % 4 > 0 THEN p_partkey + p_size END AS entity, 'c' || (s_suppkey % 3)::VARCHAR AS collection, 'd' || s_suppkey::VARCHAR AS dataset
 FROM part JOIN supplier ON p_partkey BETWEEN s_suppkey * 20 AND s_suppkey * 20 + 15
 WHERE p_partkey % 3 = s_suppkey % 3 AND (p_partkey % 4 = 0 OR p_partkey + p_size BETWEEN s_suppkey * 20 AND s_suppkey * 20 + 15)""")
 def old_entity(spark, sf_dir):
-    old = t(spark, sf_dir, "part").select(text("p_partkey").alias("old-entity"), F.lit("301").alias("status"), F.when(F.col("p_partkey") % 4 > 0, (F.col("p_partkey") + F.col("p_size")).cast("string")).otherwise("").alias("entity"), F.concat(F.lit("c"), (F.col("p_partkey") % 3).cast("string")).alias("collection"))
-    spec = _ranges(spark, sf_dir).select("dataset", F.col("low").alias("entity_minimum"), F.col("high").alias("entity_maximum"), F.concat(F.lit("c"), (F.substring("dataset", 2, 9).cast("long") % 3).cast("string")).alias("collection"))
-    return joins.transform_old_entity(old, spec, width=16).select("old_entity", "status", "entity", "collection", "dataset")
-
-
-@query("""SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, 'customer' AS kind, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal, 'supplier', NULL FROM supplier""")
+    old = t(spark, sf_dir, "part").select(
+        text("p_partkey").alias("old-entity"),
+        F.lit("301").alias("status"),
+        F.when(
+            F.col("p_partkey") % 4 > 0, (F.col("p_partkey") + F.col("p_size")).cast("string")
+        ).otherwise("").alias("entity"),
+        F.concat(F.lit("c"), (F.col("p_partkey") % 3).cast("string")).alias("collection"),
+    )
+    spec = _ranges(spark, sf_dir).select(
+        "dataset",
+        F.col("low").alias("entity_minimum"),
+        F.col("high").alias("entity_maximum"),
+        F.concat(F.lit("c"), (F.substring("dataset", 2, 9).cast("long") % 3).cast("string")).alias("collection"),
+    )
+    return joins.transform_old_entity(old, spec, width=16).select(
+        "old_entity", "status", "entity", "collection", "dataset"
+    )
+
+
+@query(
+    """SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, 'customer' AS kind, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal, 'supplier', NULL FROM supplier"""
+)
 def union_by_name(spark, sf_dir):
-    c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.lit("customer").alias("kind"), F.col("c_mktsegment").alias("segment"))
-    s = t(spark, sf_dir, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("key"))
+    c = t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"),
+        F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("balance"),
+        F.lit("customer").alias("kind"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    s = t(spark, sf_dir, "supplier").select(
+        F.lit("supplier").alias("kind"),
+        F.col("s_acctbal").alias("balance"),
+        F.col("s_name").alias("name"),
+        F.col("s_suppkey").alias("key"),
+    )
     return joins.union_by_name(c, s, missing=True)
 
 
-@query("""SELECT DISTINCT c_nationkey AS key FROM customer UNION SELECT s_nationkey FROM supplier UNION SELECT n_nationkey FROM nation WHERE n_regionkey = 1""")
+@query(
+    """SELECT DISTINCT c_nationkey AS key FROM customer UNION SELECT s_nationkey FROM supplier UNION SELECT n_nationkey FROM nation WHERE n_regionkey = 1"""
+)
 def union_distinct_keys(spark, sf_dir):
-    return joins.union_by_name(t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("key")), t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("key")), t(spark, sf_dir, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("key"))).distinct()
+    return joins.union_by_name(
+        t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("key")),
+        t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("key")),
+        t(spark, sf_dir, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("key")),
+    ).distinct()
 
 
-@query("""SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
+@query(
+    """SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
+)
 def set_difference(spark, sf_dir):
-    return joins.difference(t(spark, sf_dir, "customer").select("c_custkey"), t(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    return joins.difference(
+        t(spark, sf_dir, "customer").select("c_custkey"),
+        t(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")),
+        "c_custkey",
+    )
 
 
-@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1""")
+@query(
+    """SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1"""
+)
 def keep_one_per_key(spark, sf_dir):
-    return joins.keep_one(t(spark, sf_dir, "orders"), ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")]).select("o_custkey", "o_orderkey", "o_totalprice")
+    return joins.keep_one(
+        t(spark, sf_dir, "orders"), ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")]
+    ).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
 # ------------------------------------------------------------------------------------------------- tasks
@@ -219,7 +332,14 @@ SELECT dataset, organisation, endpoint, resource, details, 'error' AS severity,
 {_reference("dataset", "organisation", "endpoint", "resource", "'log'", "details")} AS reference FROM d""")
 def log_tasks(spark, sf_dir):
     status = F.when(F.col("event_type") == "error", "500").when(F.col("event_type") == "signup", "404").otherwise("200")
-    log = t(spark, sf_dir, "events").select(F.concat(F.lit("d"), (F.col("user_id") % 11).cast("string")).alias("dataset"), F.concat(F.lit("o"), (F.col("user_id") % 3).cast("string")).alias("organisation"), text("user_id").alias("endpoint"), F.lit("").alias("resource"), status.alias("status"), F.lit(None).cast("string").alias("exception"))
+    log = t(spark, sf_dir, "events").select(
+        F.concat(F.lit("d"), (F.col("user_id") % 11).cast("string")).alias("dataset"),
+        F.concat(F.lit("o"), (F.col("user_id") % 3).cast("string")).alias("organisation"),
+        text("user_id").alias("endpoint"),
+        F.lit("").alias("resource"),
+        status.alias("status"),
+        F.lit(None).cast("string").alias("exception"),
+    )
     return tasks.log_tasks(log, DAY)
 
 
@@ -237,10 +357,30 @@ def _task_inputs(spark, sf_dir) -> dict[str, DataFrame]:
     e = t(spark, sf_dir, "events")
     resource = F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.concat(F.lit("r"), text("event_id")))
     status = F.when(F.col("event_type") == "error", "500").when(F.col("event_type") == "purchase", "200")
-    log = e.select(text("user_id").alias("endpoint"), resource.alias("resource"), F.date_format("ts", "yyyy-MM-dd").alias("entry_date"), status.alias("status"), F.lit(None).cast("string").alias("exception"))
-    source = t(spark, sf_dir, "customer").select(text("c_custkey").alias("endpoint"), F.col("c_mktsegment").alias("pipelines"), F.concat(F.lit("o"), text("c_nationkey")).alias("organisation"), F.lit("").alias("end_date"))
-    issues = e.select(F.concat(F.lit("r"), text("event_id")).alias("resource"), F.col("event_type").alias("dataset"), F.lit("f").alias("field"), F.lit("invalid").alias("issue_type"))
-    types = e.select(F.lit("invalid").alias("issue_type"), F.lit("error").alias("severity"), F.lit("external").alias("responsibility")).distinct()
+    log = e.select(
+        text("user_id").alias("endpoint"),
+        resource.alias("resource"),
+        F.date_format("ts", "yyyy-MM-dd").alias("entry_date"),
+        status.alias("status"),
+        F.lit(None).cast("string").alias("exception"),
+    )
+    source = t(spark, sf_dir, "customer").select(
+        text("c_custkey").alias("endpoint"),
+        F.col("c_mktsegment").alias("pipelines"),
+        F.concat(F.lit("o"), text("c_nationkey")).alias("organisation"),
+        F.lit("").alias("end_date"),
+    )
+    issues = e.select(
+        F.concat(F.lit("r"), text("event_id")).alias("resource"),
+        F.col("event_type").alias("dataset"),
+        F.lit("f").alias("field"),
+        F.lit("invalid").alias("issue_type"),
+    )
+    types = e.select(
+        F.lit("invalid").alias("issue_type"),
+        F.lit("error").alias("severity"),
+        F.lit("external").alias("responsibility"),
+    ).distinct()
     return {"log": log, "source": source, "issues": issues, "types": types}
 
 
@@ -256,9 +396,19 @@ def task_table(spark, sf_dir):
 def _owned(spark, sf_dir) -> DataFrame:
     """(dataset, entity, organisation, organisation_entity, quality): orders, owned by the customer's nation."""
     c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
-    n = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("organisation"))
-    q = F.when(F.col("o_orderpriority") == "1-URGENT", "authoritative").when(F.col("o_orderpriority") == "5-LOW", "").otherwise("some")
-    return t(spark, sf_dir, "orders").join(c, "o_custkey").join(n, "c_nationkey").select(F.col("c_mktsegment").alias("dataset"), F.col("o_orderkey").alias("entity"), "organisation", F.col("c_nationkey").alias("organisation_entity"), q.alias("quality"))
+    n = t(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("organisation")
+    )
+    q = F.when(
+        F.col("o_orderpriority") == "1-URGENT", "authoritative"
+    ).when(F.col("o_orderpriority") == "5-LOW", "").otherwise("some")
+    return t(spark, sf_dir, "orders").join(c, "o_custkey").join(n, "c_nationkey").select(
+        F.col("c_mktsegment").alias("dataset"),
+        F.col("o_orderkey").alias("entity"),
+        "organisation",
+        F.col("c_nationkey").alias("organisation_entity"),
+        q.alias("quality"),
+    )
 
 
 OWNED = """owned AS (SELECT c_mktsegment AS dataset, o_orderkey AS entity, n_name AS organisation, CASE o_orderpriority WHEN '1-URGENT' THEN 'authoritative' WHEN '5-LOW' THEN '' ELSE 'some' END AS quality
@@ -282,17 +432,41 @@ FROM ks k LEFT JOIN prov USING (dataset, organisation) LEFT JOIN own USING (data
 def _sides(spark, sf_dir) -> dict[str, DataFrame]:
     s = t(spark, sf_dir, "supplier")
     n = t(spark, sf_dir, "nation")
-    people = n.select(F.col("n_name").alias("organisation"), F.col("n_nationkey").cast("long").alias("organisation_entity"), F.lower("n_name").alias("organisation_name"), F.lit(True).alias("org_active"))
-    people = people.unionByName(s.select(F.col("s_name").alias("organisation"), (F.col("s_suppkey") + 1000).alias("organisation_entity"), F.lower("s_name").alias("organisation_name"), (F.col("s_acctbal") > 0).alias("org_active")))
-    lookup = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("entity"), F.col("l_suppkey").alias("s_suppkey")).join(s, "s_suppkey").select("entity", F.col("s_name").alias("organisation")).distinct()
-    designated = s.where("s_suppkey % 2 = 0").select(F.lit("BUILDING").alias("dataset"), F.col("s_name").alias("organisation"))
-    providers = t(spark, sf_dir, "customer").join(n.where("n_regionkey < 3"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_mktsegment").alias("dataset"), F.col("n_name").alias("organisation"), (F.col("n_regionkey") == 1).alias("has_active_resource")).distinct()
+    people = n.select(
+        F.col("n_name").alias("organisation"),
+        F.col("n_nationkey").cast("long").alias("organisation_entity"),
+        F.lower("n_name").alias("organisation_name"),
+        F.lit(True).alias("org_active"),
+    )
+    people = people.unionByName(
+        s.select(
+            F.col("s_name").alias("organisation"),
+            (F.col("s_suppkey") + 1000).alias("organisation_entity"),
+            F.lower("s_name").alias("organisation_name"),
+            (F.col("s_acctbal") > 0).alias("org_active"),
+        )
+    )
+    lookup = t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("entity"), F.col("l_suppkey").alias("s_suppkey")
+    ).join(s, "s_suppkey").select("entity", F.col("s_name").alias("organisation")).distinct()
+    designated = s.where("s_suppkey % 2 = 0").select(
+        F.lit("BUILDING").alias("dataset"), F.col("s_name").alias("organisation")
+    )
+    providers = t(spark, sf_dir, "customer").join(
+        n.where("n_regionkey < 3"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select(
+        F.col("c_mktsegment").alias("dataset"),
+        F.col("n_name").alias("organisation"),
+        (F.col("n_regionkey") == 1).alias("has_active_resource"),
+    ).distinct()
     return {"people": people, "lookup": lookup, "designated": designated, "providers": providers}
 
 
 def _provision(spark, sf_dir) -> DataFrame:
     x = _sides(spark, sf_dir)
-    return quality.provision_quality(x["providers"], x["people"], x["designated"], x["lookup"], _owned(spark, sf_dir).drop("organisation"))
+    return quality.provision_quality(
+        x["providers"], x["people"], x["designated"], x["lookup"], _owned(spark, sf_dir).drop("organisation")
+    )
 
 
 @query(f"WITH {OWNED} SELECT * FROM own")
@@ -323,17 +497,29 @@ def organisation_quality(spark, sf_dir):
     return quality.organisation_quality(_provision(spark, sf_dir))
 
 
-@query("""SELECT c_mktsegment || n_nationkey::VARCHAR AS dataset FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey IN (0, 1) AND c_acctbal >= 0 GROUP BY 1""")
+@query(
+    """SELECT c_mktsegment || n_nationkey::VARCHAR AS dataset FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey IN (0, 1) AND c_acctbal >= 0 GROUP BY 1"""
+)
 def live_datasets(spark, sf_dir):
-    env = F.when(F.col("n_regionkey") == 0, "production").when(F.col("n_regionkey") == 1, "staging").when(F.col("n_regionkey") == 2, "development").otherwise("")
-    rows = t(spark, sf_dir, "customer").join(t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat("c_mktsegment", text("n_nationkey")).alias("dataset"), env.alias("environment"), F.when(F.col("c_acctbal") < 0, "2020-01-01").otherwise("").alias("end_date"))
+    env = F.when(F.col("n_regionkey") == 0, "production").when(F.col("n_regionkey") == 1, "staging").when(
+        F.col("n_regionkey") == 2, "development"
+    ).otherwise("")
+    rows = t(spark, sf_dir, "customer").join(
+        t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select(
+        F.concat("c_mktsegment", text("n_nationkey")).alias("dataset"),
+        env.alias("environment"),
+        F.when(F.col("c_acctbal") < 0, "2020-01-01").otherwise("").alias("end_date"),
+    )
     return quality.live_datasets(rows, "staging")
 
 
 # ------------------------------------------------------------------------------------------------- JSON, geometry, schema, counts
 
 
-@query("""SELECT event_id, json_object('event_type', event_type, 'props', props, 'user_id', user_id)::VARCHAR AS json FROM events""")
+@query(
+    """SELECT event_id, json_object('event_type', event_type, 'props', props, 'user_id', user_id)::VARCHAR AS json FROM events"""
+)
 def json_pack(spark, sf_dir):
     return t(spark, sf_dir, "events").select("event_id", C.pack_json(["user_id", "event_type", "props"]).alias("json"))
 
@@ -343,15 +529,35 @@ def json_flatten(spark, sf_dir):
     return nested.flatten_json(t(spark, sf_dir, "events").select("event_id", "props"), "props")
 
 
-@query("""SELECT event_id, 'Point' AS type, (user_id % 180)::DOUBLE AS longitude, (event_id % 90)::DOUBLE AS latitude, event_type AS name FROM events""")
+@query(
+    """SELECT event_id, 'Point' AS type, (user_id % 180)::DOUBLE AS longitude, (event_id % 90)::DOUBLE AS latitude, event_type AS name FROM events"""
+)
 def geojson_flatten(spark, sf_dir):
-    made = F.to_json(F.struct(F.lit("Point").alias("type"), F.array((F.col("user_id") % 180).cast("double"), (F.col("event_id") % 90).cast("double")).alias("coordinates"), F.struct(F.col("event_type").alias("name")).alias("properties")))
-    return nested.flatten_geojson(t(spark, sf_dir, "events").select("event_id", made.alias("geojson"))).select("event_id", "type", "longitude", "latitude", F.col("properties")["name"].alias("name"))
+    made = F.to_json(
+        F.struct(
+            F.lit("Point").alias("type"),
+            F.array(
+                (F.col("user_id") % 180).cast("double"), (F.col("event_id") % 90).cast("double")
+            ).alias("coordinates"),
+            F.struct(F.col("event_type").alias("name")).alias("properties"),
+        )
+    )
+    return nested.flatten_geojson(t(spark, sf_dir, "events").select("event_id", made.alias("geojson"))).select(
+        "event_id", "type", "longitude", "latitude", F.col("properties")["name"].alias("name")
+    )
 
 
 def _ring(*points) -> F.Column:
     """Text of a ring of pairs of columns."""
-    return F.concat(F.lit("("), *[z for i, (x, y) in enumerate(points) for z in ([F.lit(", ")] if i else []) + [x.cast("string"), F.lit(" "), y.cast("string")]], F.lit(")"))
+    return F.concat(
+        F.lit("("),
+        *[
+            z
+            for i, (x, y) in enumerate(points)
+            for z in ([F.lit(", ")] if i else []) + [x.cast("string"), F.lit(" "), y.cast("string")]
+        ],
+        F.lit(")"),
+    )
 
 
 def _box(x, y, w: int, h: int) -> F.Column:
@@ -363,10 +569,19 @@ def _shapes(spark, sf_dir) -> DataFrame:
     x, y = F.col("c_custkey"), F.col("c_nationkey").cast("long")
     hole = F.when(x % 3 == 0, F.concat(F.lit(", "), _box(x + 2, y + 1, 2, 2))).otherwise("")
     one = F.concat(F.lit("MULTIPOLYGON (("), _box(x, y, 8, 4), hole, F.lit("))"))
-    return t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", one.alias("geometry"), F.when(x % 5 == 0, F.concat(F.lit("POINT ("), x.cast("string"), F.lit(" 1)"))).alias("point"))
-
-
-@query(f"""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'POINT (' || c_custkey || ' 1)' ELSE {CENTROID} END AS point FROM customer""")
+    return t(spark, sf_dir, "customer").select(
+        "c_custkey",
+        "c_nationkey",
+        one.alias("geometry"),
+        F.when(x % 5 == 0, F.concat(F.lit("POINT ("), x.cast("string"), F.lit(" 1)"))).alias("point"),
+    )
+
+
+@query(
+    f"""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'POINT (' || c_custkey || ' 1)' ELSE {
+        CENTROID
+    } END AS point FROM customer"""
+)
 def centroid(spark, sf_dir):
     return G.with_centroid(_shapes(spark, sf_dir)).select("c_custkey", "point")
 
@@ -374,16 +589,24 @@ def centroid(spark, sf_dir):
 def _json_box(x: str, y: str, w: int, h: int) -> str:
     """A ring of _box() as GeoJSON, in SQL."""
     at = lambda c, k: f"({c} + {k}) || '.0'"
-    return "'[' || " + " || ',' || ".join(f"'[' || {at(x, p)} || ',' || {at(y, q)} || ']'" for p, q in ((0, 0), (w, 0), (w, h), (0, h), (0, 0))) + " || ']'"
+    return "'[' || " + " || ',' || ".join(
+        f"'[' || {at(x, p)} || ',' || {at(y, q)} || ']'" for p, q in ((0, 0), (w, 0), (w, h), (0, h), (0, 0))
+    ) + " || ']'"
 
 
 #: The GeoJSON of a shape of _shapes() in SQL.
 GEOJSON = f"""'{{"type":"Polygon","coordinates":[' || {_json_box("c_custkey", "c_nationkey", 8, 4)} || CASE WHEN c_custkey % 3 = 0 THEN ',' || {_json_box("(c_custkey + 2)", "(c_nationkey + 1)", 2, 2)} ELSE '' END || ']}}'"""
 
 
-@query(f"""SELECT c_custkey, {GEOJSON} AS geojson, CASE WHEN c_custkey % 5 = 0 THEN 'SRID=4326;POINT (' || c_custkey || ' 1)' END AS tagged FROM customer""")
+@query(
+    f"""SELECT c_custkey, {
+        GEOJSON
+    } AS geojson, CASE WHEN c_custkey % 5 = 0 THEN 'SRID=4326;POINT (' || c_custkey || ' 1)' END AS tagged FROM customer"""
+)
 def geojson(spark, sf_dir):
-    return _shapes(spark, sf_dir).select("c_custkey", G.geojson(G.resolve()).alias("geojson"), G.with_srid("point").alias("tagged"))
+    return _shapes(spark, sf_dir).select(
+        "c_custkey", G.geojson(G.resolve()).alias("geojson"), G.with_srid("point").alias("tagged")
+    )
 
 
 @query("""SELECT c_custkey, c_custkey % 7 > 0 AS valid, CASE WHEN c_custkey % 7 = 0 THEN 4 WHEN c_custkey % 3 = 0 THEN 10 ELSE 5 END AS vertices,
@@ -391,19 +614,38 @@ CASE WHEN c_custkey % 7 > 0 THEN 'POINT (' || (c_custkey + CASE WHEN c_custkey %
 def geometry_checks(spark, sf_dir):
     x, y = F.col("c_custkey"), F.col("c_nationkey").cast("long")
     flat = F.concat(F.lit("POLYGON ("), _ring((x, y), (x + 1, y + 1), (x + 2, y + 2), (x, y)), F.lit(")"))
-    rows = _shapes(spark, sf_dir).withColumns({"point": F.lit(""), "geometry": F.when(x % 7 == 0, flat).otherwise(F.col("geometry"))})
-    return G.with_inner_point(rows).select("c_custkey", G.is_valid("geometry").alias("valid"), G.vertices("geometry").alias("vertices"), "point")
+    rows = _shapes(spark, sf_dir).withColumns(
+        {"point": F.lit(""), "geometry": F.when(x % 7 == 0, flat).otherwise(F.col("geometry"))}
+    )
+    return G.with_inner_point(rows).select(
+        "c_custkey", G.is_valid("geometry").alias("valid"), G.vertices("geometry").alias("vertices"), "point"
+    )
 
 
 def _strips(spark, sf_dir) -> DataFrame:
     """A strip for each customer, of 100 to 399 points along its lower side, 5 high; every third with a hole around its middle."""
     x, n = F.col("c_custkey"), 100 + F.col("c_custkey") % 300
-    low = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.concat((x + i).cast("string"), F.lit(" 0"))), ", ")
+    low = F.array_join(
+        F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.concat((x + i).cast("string"), F.lit(" 0"))),
+        ", ",
+    )
     right = (x + n - 1).cast("string")
-    outer = F.concat(F.lit("("), low, F.lit(", "), right, F.lit(" 5, "), x.cast("string"), F.lit(" 5, "), x.cast("string"), F.lit(" 0)"))
+    outer = F.concat(
+        F.lit("("),
+        low,
+        F.lit(", "),
+        right,
+        F.lit(" 5, "),
+        x.cast("string"),
+        F.lit(" 5, "),
+        x.cast("string"),
+        F.lit(" 0)"),
+    )
     middle = x + F.floor(n / 2).cast("long") - 1
     hole = F.when(x % 3 == 0, F.concat(F.lit(", "), _box(middle, F.lit(1), 2, 2))).otherwise("")
-    return t(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("MULTIPOLYGON (("), outer, hole, F.lit("))")).alias("geometry"))
+    return t(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit("MULTIPOLYGON (("), outer, hole, F.lit("))")).alias("geometry")
+    )
 
 
 @query("""SELECT c_custkey, (CASE WHEN 100 + c_custkey % 300 + CASE WHEN c_custkey % 3 = 0 THEN 9 ELSE 4 END > 256 THEN 2 ELSE 1 END)::BIGINT AS fragments, true AS small,
@@ -411,16 +653,32 @@ def _strips(spark, sf_dir) -> DataFrame:
 def subdivide(spark, sf_dir):
     rows = _strips(spark, sf_dir)
     own = lambda r, k: F.abs(G.ring_area(r)) * F.when(k == 0, 1.0).otherwise(-1.0)
-    area = lambda g: F.aggregate(F.flatten(F.transform(G.polygons(g), lambda p: F.transform(p, own))), F.lit(0.0), lambda s, a: s + a)
-    cut = G.subdivided(rows).groupBy("c_custkey").agg(F.count("*").alias("fragments"), (F.max(G.vertices("geometry")) <= 256).alias("small"), F.sum(area(F.col("geometry"))).alias("area"))
+    area = lambda g: F.aggregate(
+        F.flatten(F.transform(G.polygons(g), lambda p: F.transform(p, own))), F.lit(0.0), lambda s, a: s + a
+    )
+    cut = G.subdivided(rows).groupBy("c_custkey").agg(
+        F.count("*").alias("fragments"),
+        (F.max(G.vertices("geometry")) <= 256).alias("small"),
+        F.sum(area(F.col("geometry"))).alias("area"),
+    )
     return cut.withColumn("area", F.round("area").cast("long"))
 
 
 @query("""SELECT o_orderkey AS entity, try_strptime(CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END, '%Y-%m-%d')::DATE AS entry_date,
 CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS organisation_entity, o_orderstatus AS quality, NULL::VARCHAR AS name FROM orders""")
 def schema_enforce(spark, sf_dir):
-    raw = t(spark, sf_dir, "orders").select(text("o_orderkey").alias("entity"), F.when(F.col("o_orderkey") % 7 == 0, "").when(F.col("o_orderkey") % 11 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("entry_date"), F.when(F.col("o_orderkey") % 5 == 0, "n/a").otherwise(text("o_custkey")).alias("organisation_entity"), F.col("o_orderstatus").alias("quality"), F.lit(1).alias("extra"))
-    return S.enforce(raw.withColumn("entry_date", C.as_date("entry_date")), "entity").select("entity", "entry_date", "organisation_entity", "quality", "name")
+    raw = t(spark, sf_dir, "orders").select(
+        text("o_orderkey").alias("entity"),
+        F.when(F.col("o_orderkey") % 7 == 0, "").when(F.col("o_orderkey") % 11 == 0, "soon").otherwise(
+            F.date_format("o_orderdate", "yyyy-MM-dd")
+        ).alias("entry_date"),
+        F.when(F.col("o_orderkey") % 5 == 0, "n/a").otherwise(text("o_custkey")).alias("organisation_entity"),
+        F.col("o_orderstatus").alias("quality"),
+        F.lit(1).alias("extra"),
+    )
+    return S.enforce(raw.withColumn("entry_date", C.as_date("entry_date")), "entity").select(
+        "entity", "entry_date", "organisation_entity", "quality", "name"
+    )
 
 
 @query("""WITH c AS (SELECT source, count(*) AS records FROM documents GROUP BY source)
@@ -434,37 +692,63 @@ def distinct_per_group(spark, sf_dir):
     return stats.distinct_per_group(t(spark, sf_dir, "documents"), "source", "lang")
 
 
-@query("""SELECT l_suppkey, count(*) AS records FROM lineitem GROUP BY l_suppkey ORDER BY records DESC, l_suppkey LIMIT 10""")
+@query(
+    """SELECT l_suppkey, count(*) AS records FROM lineitem GROUP BY l_suppkey ORDER BY records DESC, l_suppkey LIMIT 10"""
+)
 def top_groups(spark, sf_dir):
-    return stats.top(stats.records_per_group(t(spark, sf_dir, "lineitem"), "l_suppkey"), 10, F.col("records").desc(), F.col("l_suppkey"))
+    return stats.top(
+        stats.records_per_group(t(spark, sf_dir, "lineitem"), "l_suppkey"),
+        10,
+        F.col("records").desc(),
+        F.col("l_suppkey"),
+    )
 
 
 @query("""SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'de' AND text LIKE '%der%' AND n_chars > 500""")
 def study_filters(spark, sf_dir):
-    return t(spark, sf_dir, "documents").where((F.col("lang") == "de") & F.col("text").contains("der") & (F.col("n_chars") > 500)).select("doc_id", "lang", "n_chars")
+    return t(spark, sf_dir, "documents").where(
+        (F.col("lang") == "de") & F.col("text").contains("der") & (F.col("n_chars") > 500)
+    ).select("doc_id", "lang", "n_chars")
 
 
 # ------------------------------------------------------------------------------------------------- files, written from the tables
 
 
-@query("""SELECT s_suppkey::VARCHAR AS entity, s_nationkey::VARCHAR AS organisation_entity, s_name AS quality FROM supplier UNION ALL SELECT c_custkey::VARCHAR, c_nationkey::VARCHAR, c_mktsegment FROM customer""")
+@query(
+    """SELECT s_suppkey::VARCHAR AS entity, s_nationkey::VARCHAR AS organisation_entity, s_name AS quality FROM supplier UNION ALL SELECT c_custkey::VARCHAR, c_nationkey::VARCHAR, c_mktsegment FROM customer"""
+)
 def csv_by_name(spark, sf_dir):
     at = folder(spark)
-    t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("entity"), F.col("s_nationkey").alias("organisation-entity"), F.col("s_name").alias("quality")).write.option("header", "true").csv(f"{at}/a")
-    t(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("quality"), F.col("c_custkey").alias("entity"), F.lit("x").alias("extra"), F.col("c_nationkey").alias("organisation-entity")).write.option("header", "true").csv(f"{at}/b")
+    t(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("entity"),
+        F.col("s_nationkey").alias("organisation-entity"),
+        F.col("s_name").alias("quality"),
+    ).write.option("header", "true").csv(f"{at}/a")
+    t(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("quality"),
+        F.col("c_custkey").alias("entity"),
+        F.lit("x").alias("extra"),
+        F.col("c_nationkey").alias("organisation-entity"),
+    ).write.option("header", "true").csv(f"{at}/b")
     t(spark, sf_dir, "nation").select("n_name").write.option("header", "true").csv(f"{at}/c")
-    return readers.csv_by_name(spark, readers.discover(spark, f"{at}/*/*.csv"), ["entity", "organisation_entity", "quality"])
+    return readers.csv_by_name(
+        spark, readers.discover(spark, f"{at}/*/*.csv"), ["entity", "organisation_entity", "quality"]
+    )
 
 
 @query("""SELECT c_custkey::VARCHAR AS old_entity, c_name AS notes, c_mktsegment AS collection FROM customer""")
 def tagged_scan(spark, sf_dir):
     at = folder(spark)
-    rows = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("old-entity"), F.col("c_name").alias("notes"), "c_mktsegment")
+    rows = t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("old-entity"), F.col("c_name").alias("notes"), "c_mktsegment"
+    )
     sinks.file_per_value(rows, at, "c_mktsegment", "{}/old-entity.csv")
     return readers.tagged(spark, f"{at}/*/old-entity.csv", ["old_entity", "notes"])
 
 
-@query("""SELECT c_custkey, c_name || CASE WHEN c_mktsegment = 'BUILDING' THEN '!' ELSE '' END AS c_name, c_mktsegment AS dataset FROM customer""")
+@query(
+    """SELECT c_custkey, c_name || CASE WHEN c_mktsegment = 'BUILDING' THEN '!' ELSE '' END AS c_name, c_mktsegment AS dataset FROM customer"""
+)
 def partition_replace(spark, sf_dir):
     at = folder(spark)
     rows = t(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_mktsegment").alias("dataset"))
@@ -491,13 +775,24 @@ def database(spark) -> str:
     return url or f"jdbc:derby:memory:landloom{uuid.uuid4().hex[:8]};create=true"
 
 
-@query("""SELECT c_custkey AS "C_CUSTKEY", CASE WHEN c_mktsegment = 'BUILDING' THEN upper(c_name) ELSE c_name END AS "C_NAME", c_mktsegment AS "DATASET" FROM customer""")
+@query(
+    """SELECT c_custkey AS "C_CUSTKEY", CASE WHEN c_mktsegment = 'BUILDING' THEN upper(c_name) ELSE c_name END AS "C_NAME", c_mktsegment AS "DATASET" FROM customer"""
+)
 def jdbc_swap(spark, sf_dir):
     url, name = database(spark), f"TARGET{uuid.uuid4().hex[:8]}".upper()
-    rows = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("C_CUSTKEY"), F.col("c_name").alias("C_NAME"), F.col("c_mktsegment").alias("DATASET"))
+    rows = t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("C_CUSTKEY"), F.col("c_name").alias("C_NAME"), F.col("c_mktsegment").alias("DATASET")
+    )
     types = "C_NAME VARCHAR(64), DATASET VARCHAR(32)"
     rows.write.option("createTableColumnTypes", types).jdbc(url, name)
-    sinks.jdbc_swap(rows.where("DATASET = 'BUILDING'").withColumn("C_NAME", F.upper("C_NAME")), url, name, "BUILDING", checked=True, types=types)
+    sinks.jdbc_swap(
+        rows.where("DATASET = 'BUILDING'").withColumn("C_NAME", F.upper("C_NAME")),
+        url,
+        name,
+        "BUILDING",
+        checked=True,
+        types=types,
+    )
     return spark.read.jdbc(url, name)
 
 
@@ -506,14 +801,18 @@ XML = "http://www.opengis.net/gml"  # fixed value
 
 def _feature(row: str, label: str, lang: str):
     """An XML feature, as a line of text."""
-    inner = F.concat(F.lit("<id>"), text(row), F.lit('</id><LABEL lang="'), text(lang), F.lit('">'), F.col(label), F.lit("</LABEL>"))
+    inner = F.concat(
+        F.lit("<id>"), text(row), F.lit('</id><LABEL lang="'), text(lang), F.lit('">'), F.col(label), F.lit("</LABEL>")
+    )
     return F.concat(F.lit("<gml:featureMember>"), inner, F.lit("</gml:featureMember>"))
 
 
 @query("""SELECT c_custkey::VARCHAR AS id, c_name AS "LABEL", c_nationkey::VARCHAR AS "LABEL_lang" FROM customer""")
 def xml_features(spark, sf_dir):
     at = folder(spark)
-    rows = t(spark, sf_dir, "customer").repartition(4).select(_feature("c_custkey", "c_name", "c_nationkey").alias("value"))
+    rows = t(spark, sf_dir, "customer").repartition(4).select(
+        _feature("c_custkey", "c_name", "c_nationkey").alias("value")
+    )
     sinks.write_xml(rows, at, namespaces=f' xmlns:gml="{XML}"')
     return nested.flatten_features(readers.xml_features(spark, at)).select("id", "LABEL", "LABEL_lang")
 
@@ -534,16 +833,29 @@ def _zipped(spark, sf_dir) -> DataFrame:
 
     rows = t(spark, sf_dir, "customer")
     share = F.floor(F.col("c_custkey") / 25_000).cast("long").alias("share")
-    return rows.select("c_nationkey", share, "c_custkey", _feature("c_custkey", "c_name", "c_nationkey").alias("doc")).groupBy("c_nationkey", "share").applyInPandas(pack, "path string, content binary")
+    return rows.select(
+        "c_nationkey", share, "c_custkey", _feature("c_custkey", "c_name", "c_nationkey").alias("doc")
+    ).groupBy("c_nationkey", "share").applyInPandas(pack, "path string, content binary")
 
 
-@query("""SELECT 'n' || c_nationkey || '-' || (c_custkey // 25000) AS archive, count(*) AS members, sum(strlen(c_name) + strlen(c_custkey::VARCHAR) + strlen(c_nationkey::VARCHAR) + 119)::BIGINT AS bytes FROM customer GROUP BY 1""")
+@query(
+    """SELECT 'n' || c_nationkey || '-' || (c_custkey // 25000) AS archive, count(*) AS members, sum(strlen(c_name) + strlen(c_custkey::VARCHAR) + strlen(c_nationkey::VARCHAR) + 119)::BIGINT AS bytes FROM customer GROUP BY 1"""
+)
 def archive_volume(spark, sf_dir):
     return stats.archive_volume(readers.members_of(_zipped(spark, sf_dir))).select("archive", "members", "bytes")
 
 
-@query("""SELECT c_custkey, json_object('c_custkey', c_custkey::VARCHAR, 'c_name', c_name, 'since', '')::VARCHAR AS value FROM customer""")
+@query(
+    """SELECT c_custkey, json_object('c_custkey', c_custkey::VARCHAR, 'c_name', c_name, 'since', '')::VARCHAR AS value FROM customer"""
+)
 def json_lines(spark, sf_dir):
     at = folder(spark)
-    sinks.write_lines(sinks.json_rows(t(spark, sf_dir, "customer").select("c_custkey", "c_name", F.lit(None).cast("date").alias("since"))), at)
-    return spark.read.text(at).select(F.get_json_object("value", "$.c_custkey").cast("long").alias("c_custkey"), "value")
+    sinks.write_lines(
+        sinks.json_rows(
+            t(spark, sf_dir, "customer").select("c_custkey", "c_name", F.lit(None).cast("date").alias("since"))
+        ),
+        at,
+    )
+    return spark.read.text(at).select(
+        F.get_json_object("value", "$.c_custkey").cast("long").alias("c_custkey"), "value"
+    )

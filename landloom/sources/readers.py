@@ -42,7 +42,10 @@ def header(spark: SparkSession, path: str) -> tuple[str, ...]:
     at = jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.getFileStatus(at).isDirectory():
-        inside = sorted((s.getPath() for s in fs.listStatus(at) if s.isFile() and not s.getPath().getName().startswith(("_", "."))), key=str)
+        inside = sorted(
+            (s.getPath() for s in fs.listStatus(at) if s.isFile() and not s.getPath().getName().startswith(("_", "."))),
+            key=str,
+        )
         if not inside:
             return ()
         at = inside[0]
@@ -62,7 +65,9 @@ def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], l
     return found
 
 
-def csv_by_name(spark: SparkSession, files: list[str], columns: list[str], source: dict | None = None, missing: bool = False) -> DataFrame:
+def csv_by_name(
+    spark: SparkSession, files: list[str], columns: list[str], source: dict | None = None, missing: bool = False
+) -> DataFrame:
     """The columns (snake case) of all files that have them, each by its own header: one scan per distinct header.
 
     missing: also take files that lack some, as nulls. source: further columns from the file, as {name: function of its path}.
@@ -75,7 +80,9 @@ def csv_by_name(spark: SparkSession, files: list[str], columns: list[str], sourc
         schema = StructType([StructField(n, StringType()) for n in names])
         df = spark.read.schema(schema).option("header", "true").csv(own)
         picked = [F.col(c) if c in names else F.lit(None).cast("string").alias(c) for c in columns]
-        frames.append(df.select(*picked, *[f(F.col("_metadata.file_path")).alias(n) for n, f in (source or {}).items()]))
+        frames.append(
+            df.select(*picked, *[f(F.col("_metadata.file_path")).alias(n) for n, f in (source or {}).items()])
+        )
     if not frames:
         raise ValueError(f"none of {len(files)} files has the columns {columns}")
     return union_by_name(*frames)
@@ -124,7 +131,9 @@ def xml_features(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Features of cadastral XML: featureMember elements, else member elements, without namespaces. A file is one document: what
     follows the end of its root element is not read (see features_of() for documents in a column)."""
     for tag in ("featureMember", "member"):
-        df = spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", "true").option("attributePrefix", "_attr_").load(path)
+        df = spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", "true").option(
+            "attributePrefix", "_attr_"
+        ).load(path)
         if df.columns:
             return df
     return df
@@ -136,7 +145,9 @@ def features_of(documents: DataFrame, text: str = "text") -> DataFrame:
     found = F.regexp_extract_all(text, F.lit(rf"(?s)(<{tag}\b[^>]*>.*?</{tag}\s*>)"), F.lit(1))
     rows = documents.select(*[c for c in documents.columns if c != text], F.explode(found).alias("feature"))
     plain = F.regexp_replace("feature", r"\sxmlns(?::[\w.-]+)?\s*=\s*(?:\"[^\"]*\"|'[^']*')", "")
-    plain = F.regexp_replace(F.regexp_replace(plain, r"(</?)[\w.-]+:", "$1"), r"(\s)[\w.-]+:([\w.-]+\s*=\s*[\"'])", "$1$2")
+    plain = F.regexp_replace(
+        F.regexp_replace(plain, r"(</?)[\w.-]+:", "$1"), r"(\s)[\w.-]+:([\w.-]+\s*=\s*[\"'])", "$1$2"
+    )
     return rows.withColumn("feature", plain)
 
 
@@ -156,6 +167,13 @@ def members_of(archives: DataFrame, suffix: str = ".gml", text: bool = True) ->
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for m in z.infolist():
                         if m.filename.lower().endswith(suffix):
-                            yield pd.DataFrame({"archive": [name], "member": [f"{name}_{m.filename.rsplit('/', 1)[-1]}"], "size": [m.file_size], "text": [z.read(m).decode("utf-8", "replace") if text else None]})
+                            yield pd.DataFrame(
+                                {
+                                    "archive": [name],
+                                    "member": [f"{name}_{m.filename.rsplit('/', 1)[-1]}"],
+                                    "size": [m.file_size],
+                                    "text": [z.read(m).decode("utf-8", "replace") if text else None],
+                                }
+                            )
 
     return archives.select("path", "content").mapInPandas(run, "archive string, member string, size long, text string")

@@ -30,7 +30,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 def listing(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(name, bytes) of what lies directly in a folder, bytes summed over sub-folders."""
     fs, at, _ = _fs(spark, path)
-    return [(s.getPath().getName(), fs.getContentSummary(s.getPath()).getLength()) for s in fs.listStatus(at)] if fs.exists(at) else []
+    return [
+        (s.getPath().getName(), fs.getContentSummary(s.getPath()).getLength()) for s in fs.listStatus(at)
+    ] if fs.exists(at) else []
 
 
 def _shape(df: DataFrame) -> dict[str, str]:
@@ -49,7 +51,9 @@ def replace_partition(df: DataFrame, path: str, value: str, column: str = "datas
         there, here = _shape(spark.read.format(fmt).load(path)), _shape(df)
         if there.keys() != here.keys() or any(there[k] != here[k] for k in here if k != column):
             raise ValueError(f"schema of {path} differs: stored {there}, given {here}")
-    df.where(F.col(column) == value).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).save(path)
+    df.where(F.col(column) == value).write.format(fmt).mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(column).save(path)
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
@@ -59,7 +63,9 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None
 def swap(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> None:
     """Replace the table at path by df, which may read it: written beside it, then renamed. The old table is moved aside first and
     deleted last, so that one of the two is there whenever this stops."""
-    spark, beside, aside = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}", f"{path.rstrip('/')}-old-{uuid.uuid4().hex}"
+    spark, beside, aside = df.sparkSession, f"{
+        path.rstrip('/')
+    }-{uuid.uuid4().hex}", f"{path.rstrip('/')}-old-{uuid.uuid4().hex}"
     df.write.format(fmt).partitionBy(*partition_by).save(beside)
     fs, at, path_of = _fs(spark, path)
     had = fs.exists(at)
@@ -88,7 +94,9 @@ def single_file(df: DataFrame, path: str, fmt: str = "csv", **options) -> None:
 def file_per_value(df: DataFrame, path: str, key: str, name: str = "{}.csv", fmt: str = "csv") -> None:
     """One file for each value of key, named after it; a value's rows are written by one task, all values in one job."""
     spark, beside = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    df.repartition(key).write.format(fmt).options(**({"header": "true"} if fmt == "csv" else {})).partitionBy(key).save(beside)
+    df.repartition(key).write.format(fmt).options(
+        **({"header": "true"} if fmt == "csv" else {})
+    ).partitionBy(key).save(beside)
     fs, at, path_of = _fs(spark, path)
     for folder in fs.globStatus(path_of(f"{beside}/{key}=*")):
         value = unquote(folder.getPath().getName().split("=", 1)[1])
@@ -115,7 +123,15 @@ def feature_rows(df: DataFrame) -> DataFrame:
     rest = [c for c in df.columns if c not in ("geometry", "point")]
     shape = G.geojson(G.resolve("geometry", "point"))
     properties = F.to_json(F.struct(*_text(df, rest)))
-    return df.select(F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), F.coalesce(shape, F.lit("null")), F.lit("}")).alias("value"))
+    return df.select(
+        F.concat(
+            F.lit('{"type":"Feature","properties":'),
+            properties,
+            F.lit(',"geometry":'),
+            F.coalesce(shape, F.lit("null")),
+            F.lit("}"),
+        ).alias("value")
+    )
 
 
 def write_lines(rows: DataFrame, path: str) -> None:
@@ -131,7 +147,10 @@ def write_xml(rows: DataFrame, path: str, root: str = "c", namespaces: str = "")
         yield from frames
         yield pd.DataFrame({"value": [f"</{root}>"]})
 
-    write_lines(rows.select(F.regexp_replace("value", r"[\r\n]+", " ").alias("value")).mapInPandas(wrapped, "value string"), path)
+    write_lines(
+        rows.select(F.regexp_replace("value", r"[\r\n]+", " ").alias("value")).mapInPandas(wrapped, "value string"),
+        path,
+    )
 
 
 #: So many rows at most become one document; more are written as lines.
@@ -143,7 +162,13 @@ def _publish(rows: DataFrame, path: str, begin: str, end: str, most: int) -> str
     if rows.limit(most + 1).count() > most:
         write_lines(rows, f"{path}l")
         return f"{path}l"
-    single_file(rows.agg(F.concat(F.lit(begin), F.array_join(F.sort_array(F.collect_list("value")), ","), F.lit(end)).alias("value")), path, "text")
+    single_file(
+        rows.agg(
+            F.concat(F.lit(begin), F.array_join(F.sort_array(F.collect_list("value")), ","), F.lit(end)).alias("value")
+        ),
+        path,
+        "text",
+    )
     return path
 
 
@@ -168,7 +193,9 @@ def file_partitions(rows: int) -> int:
 
 def split_files(df: DataFrame, path: str, most: int = 500_000, fmt: str = "csv") -> None:
     """Files of at most so many records, 1000 at least."""
-    df.write.format(fmt).mode("overwrite").option("header", "true").option("maxRecordsPerFile", max(1000, most)).save(path)
+    df.write.format(fmt).mode("overwrite").option("header", "true").option(
+        "maxRecordsPerFile", max(1000, most)
+    ).save(path)
 
 
 def convert(spark: SparkSession, source: str, path: str, key: str, fmt: str = "csv") -> None:
@@ -188,7 +215,18 @@ def report(df: DataFrame, path: str) -> None:
 TRANSIENT = ("connection", "timeout", "timed out", "deadlock", "too many clients")
 
 
-def jdbc_swap(df: DataFrame, url: str, target: str, dataset: str | None = None, column: str = "dataset", checked: bool = False, properties: dict[str, str] | None = None, rows: int | None = None, types: str | None = None, tries: int = 3) -> int:
+def jdbc_swap(
+    df: DataFrame,
+    url: str,
+    target: str,
+    dataset: str | None = None,
+    column: str = "dataset",
+    checked: bool = False,
+    properties: dict[str, str] | None = None,
+    rows: int | None = None,
+    types: str | None = None,
+    tries: int = 3,
+) -> int:
     """Append df to a staging table in parallel, then replace the rows of dataset (or all) in one transaction. Returns rows.
 
     df is computed once. rows: how many are expected, for sizing(); types: column types of the staging table, as DDL. Columns go by
@@ -219,7 +257,9 @@ def _jdbc_swap(df, url, target, dataset, column, checked, properties, rows, type
     link = None
     try:
         out = ordered.write.option("batchsize", batch)
-        (out.option("createTableColumnTypes", types) if types else out).jdbc(url, staging, mode="append", properties=properties)
+        (
+            out.option("createTableColumnTypes", types) if types else out
+        ).jdbc(url, staging, mode="append", properties=properties)
         n = seen.get["n"]
         if checked and not n:
             raise ValueError(f"nothing to write to {target}")
@@ -243,7 +283,9 @@ def _jdbc_swap(df, url, target, dataset, column, checked, properties, rows, type
     finally:
         link = link or jvm.java.sql.DriverManager.getConnection(url, info)
         link.setAutoCommit(True)
-        if link.getMetaData().getTables(None, None, staging.upper(), None).next() or link.getMetaData().getTables(None, None, staging, None).next():
+        if link.getMetaData().getTables(
+            None, None, staging.upper(), None
+        ).next() or link.getMetaData().getTables(None, None, staging, None).next():
             link.createStatement().executeUpdate(f"DROP TABLE {staging}")
         link.close()
 
@@ -264,7 +306,9 @@ def compact(spark: SparkSession, paths: list[str], target_bytes: int = 128 << 20
             by = next((n.split("=")[0] for n, _ in listing(spark, path) if "=" in n), None)
             df = spark.read.format(fmt).load(path)
             if by is None:
-                swap(df.repartition(max(1, ceil(sum(b for _, b in listing(spark, path)) / target_bytes))), path, (), fmt)
+                swap(
+                    df.repartition(max(1, ceil(sum(b for _, b in listing(spark, path)) / target_bytes))), path, (), fmt
+                )
             else:
                 setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
                 before = spark.conf.get(setting)

@@ -28,7 +28,9 @@ def test_files_are_read_by_their_own_header(spark, tmp_path):
     put(f"{tmp_path}/c.csv", "entity\n3\n")
     files = readers.discover(spark, f"{tmp_path}/*.csv")
     assert rows(readers.csv_by_name(spark, files, ["entity", "quality"])) == [("1", "some"), ("2", "authoritative")]
-    assert rows(readers.csv_by_name(spark, files, ["entity"], {"dataset": readers.stem})) == [("1", "a"), ("2", "b"), ("3", "c")]
+    assert rows(
+        readers.csv_by_name(spark, files, ["entity"], {"dataset": readers.stem})
+    ) == [("1", "a"), ("2", "b"), ("3", "c")]
     with pytest.raises(ValueError):
         readers.csv_by_name(spark, files, ["nothing"])
 
@@ -63,20 +65,29 @@ def test_migrate_and_compact(spark, tmp_path):
     S.migrate(spark, want, at)
     assert spark.read.parquet(at).columns == ["id", "n", "gone", "added"]
     S.migrate(spark, want, at, allow_destructive=True)
-    assert spark.read.parquet(at).dtypes == [("id", "int"), ("n", "bigint"), ("added", "string")] and not S.diff(spark, want, at)
+    assert spark.read.parquet(at).dtypes == [
+        ("id", "int"), ("n", "bigint"), ("added", "string")
+    ] and not S.diff(spark, want, at)
     out = sinks.compact(spark, [f"{tmp_path}/missing", at])
-    assert out[at] == "compacted" and out[f"{tmp_path}/missing"].startswith("failed") and spark.read.parquet(at).count() == 1
+    assert out[at] == "compacted" and out[
+        f"{tmp_path}/missing"
+    ].startswith("failed") and spark.read.parquet(at).count() == 1
     assert not S.diff(spark, want, f"{tmp_path}/missing")
 
 
 def test_published_files(spark, tmp_path):
     import json
 
-    df = spark.createDataFrame([("1", "POLYGON ((0 0, 1 0, 1 1, 0 0))", None), ("2", None, "POINT (1 2)"), ("3", None, None)], "entity string, geometry string, point string")
+    df = spark.createDataFrame(
+        [("1", "POLYGON ((0 0, 1 0, 1 1, 0 0))", None), ("2", None, "POINT (1 2)"), ("3", None, None)],
+        "entity string, geometry string, point string",
+    )
     sinks.single_file(df, f"{tmp_path}/out.csv")
     assert open(f"{tmp_path}/out.csv").readline().strip() == "entity,geometry,point"
     sinks.publish_json(df, f"{tmp_path}/out.json")
-    assert json.load(open(f"{tmp_path}/out.json"))["entities"][1] == {"entity": "2", "geometry": "", "point": "POINT (1 2)"}
+    assert json.load(open(f"{tmp_path}/out.json"))["entities"][1] == {
+        "entity": "2", "geometry": "", "point": "POINT (1 2)"
+    }
     sinks.publish_geojson(df, f"{tmp_path}/out.geojson", "d")
     shapes = [f["geometry"] and f["geometry"]["type"] for f in json.load(open(f"{tmp_path}/out.geojson"))["features"]]
     assert shapes == ["Polygon", "Point", None]
@@ -85,7 +96,9 @@ def test_published_files(spark, tmp_path):
 
 
 def test_large_results_are_published_as_lines(spark, tmp_path):
-    df = spark.createDataFrame([(str(i), "POINT (1 2)", None) for i in range(5)], "entity string, point string, geometry string")
+    df = spark.createDataFrame(
+        [(str(i), "POINT (1 2)", None) for i in range(5)], "entity string, point string, geometry string"
+    )
     assert sinks.publish_json(df, f"{tmp_path}/out.json", most=4) == f"{tmp_path}/out.jsonl"
     assert sinks.publish_geojson(df, f"{tmp_path}/out.geojson", "d", most=4) == f"{tmp_path}/out.geojsonl"
     assert spark.read.text(f"{tmp_path}/out.jsonl").count() == spark.read.text(f"{tmp_path}/out.geojsonl").count() == 5
@@ -104,7 +117,9 @@ def test_quoted_headers_and_folders(spark, tmp_path):
         open(f"{tmp_path}/in/{name}", "w").write(f"{head}\n1,2\n")
     open(f"{tmp_path}/in/d.csv/_SUCCESS", "w").close()
     got = readers.csv_by_name(spark, readers.discover(spark, f"{tmp_path}/in/*.csv"), ["b"])
-    assert sorted(r.b for r in got.collect()) == ["1", "2"] and readers.header(spark, f"{tmp_path}/in/a.csv") == ("x, y", "b")
+    assert sorted(r.b for r in got.collect()) == ["1", "2"] and readers.header(
+        spark, f"{tmp_path}/in/a.csv"
+    ) == ("x, y", "b")
 
 
 def test_a_swap_that_fails_leaves_the_old_table(spark, tmp_path):
@@ -121,7 +136,9 @@ def test_compaction_of_partitions(spark, tmp_path):
     at = f"{tmp_path}/t"
     spark.range(1000).selectExpr("id", "id % 3 AS k").repartition(6).write.partitionBy("k").parquet(at)
     assert sinks.compact(spark, [at]) == {at: "compacted"}
-    assert spark.read.parquet(at).count() == 1000 and all(len([f for f in os.listdir(f"{at}/k={k}") if f.endswith(".parquet")]) == 1 for k in range(3))
+    assert spark.read.parquet(at).count() == 1000 and all(
+        len([f for f in os.listdir(f"{at}/k={k}") if f.endswith(".parquet")]) == 1 for k in range(3)
+    )
 
 
 def test_features_of_documents_keep_their_own_names(spark, tmp_path):
@@ -129,10 +146,14 @@ def test_features_of_documents_keep_their_own_names(spark, tmp_path):
 <w:member><g:id>6</g:id></w:member></w:c>"""
     docs = spark.createDataFrame([("x", doc), ("y", None), ("z", "<c/>")], "council string, text string")
     rows = readers.features_of(docs)
-    assert [(r.council, r.feature) for r in rows.collect()] == [("x", '<member><id l="1">5</id><note>a:b &amp; c</note></member>'), ("x", "<member><id>6</id></member>")]
+    assert [(r.council, r.feature) for r in rows.collect()] == [
+        ("x", '<member><id l="1">5</id><note>a:b &amp; c</note></member>'), ("x", "<member><id>6</id></member>")
+    ]
     sinks.write_xml(rows.select(F.col("feature").alias("value")), f"{tmp_path}/xml")
     flat = nested.flatten_features(readers.xml_features(spark, f"{tmp_path}/xml"))
-    assert sorted(map(str, (r.asDict() for r in flat.collect()))) == sorted(map(str, [{"id": "5", "id_l": "1", "note": "a:b & c"}, {"id": "6", "id_l": None, "note": None}]))
+    assert sorted(map(str, (r.asDict() for r in flat.collect()))) == sorted(
+        map(str, [{"id": "5", "id_l": "1", "note": "a:b & c"}, {"id": "6", "id_l": None, "note": None}])
+    )
 
 
 def test_relational_copy_is_tried_again_and_leaves_no_staging_table(spark, tmp_path, monkeypatch):
@@ -174,41 +195,70 @@ def test_sizing(rows_, want):
 
 def test_entity_job(spark, tmp_path):
     eav = "entity string, field string, value string, `entry-date` string, `entry-number` string, priority string, `end-date` string, `start-date` string, fact string, `reference-entity` string, resource string"
-    spark.createDataFrame([("1", "name", "A", "2024-01-01", "1", "2", "", "", "f1", "", "r1"), ("1", "name", "B", "2024-01-02", "1", "2", "", "", "f2", "", "gone"), ("1", "name", "C", "2024-01-02", "1", "2", "", "", "f3", "", "")], eav).write.parquet(f"{tmp_path}/in")
+    spark.createDataFrame(
+        [
+            ("1", "name", "A", "2024-01-01", "1", "2", "", "", "f1", "", "r1"),
+            ("1", "name", "B", "2024-01-02", "1", "2", "", "", "f2", "", "gone"),
+            ("1", "name", "C", "2024-01-02", "1", "2", "", "", "f3", "", ""),
+        ],
+        eav,
+    ).write.parquet(f"{tmp_path}/in")
     org = spark.createDataFrame([("o", 1)], "organisation string, entity long")
     withdrawn = spark.createDataFrame([("gone", "410")], "old_resource string, status string")
-    seen = pipelines.load_entities(spark, f"{tmp_path}/in", "d", org, withdrawn, f"{tmp_path}/out", publish=f"{tmp_path}/pub")
+    seen = pipelines.load_entities(
+        spark, f"{tmp_path}/in", "d", org, withdrawn, f"{tmp_path}/out", publish=f"{tmp_path}/pub"
+    )
     assert seen == {"rows": 2, "without_resource": 1}
     assert rows(spark.read.parquet(f"{tmp_path}/out/entity"), "name", "quality") == [("A", "authoritative")]
-    assert sorted(f for f in os.listdir(f"{tmp_path}/pub") if not f.endswith(".crc")) == ["d.csv", "d.geojson", "d.json", "d.parquet"]
+    assert sorted(
+        f for f in os.listdir(f"{tmp_path}/pub") if not f.endswith(".crc")
+    ) == ["d.csv", "d.geojson", "d.json", "d.parquet"]
 
 
 def test_issue_job(spark, tmp_path):
-    put(f"{tmp_path}/issue.csv", "entity,entry-number,field,issue-type,line-number,dataset,resource,value,message\n1,1,f,t,1,d,r,v,m\n2,1,f,t,1,d,,v,m\n")
+    put(
+        f"{tmp_path}/issue.csv",
+        "entity,entry-number,field,issue-type,line-number,dataset,resource,value,message\n1,1,f,t,1,d,r,v,m\n2,1,f,t,1,d,,v,m\n",
+    )
     pipelines.load_table(spark, "issue", f"{tmp_path}/issue.csv", "d", f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out/issue").count() == 1
 
 
 def test_task_job(spark, tmp_path):
     for c, n in (("a", "200"), ("b", "404")):
-        put(f"{tmp_path}/{c}-collection/collection/log.csv", f"endpoint,resource,status,entry-date,exception\ne{c},{'r' + c if n == '200' else ''},{n},2024-01-01,\n")
-        put(f"{tmp_path}/{c}-collection/collection/source.csv", f"endpoint,pipelines,organisation,end-date\ne{c},d1;d2,o,\n")
+        put(
+            f"{tmp_path}/{c}-collection/collection/log.csv",
+            f"endpoint,resource,status,entry-date,exception\ne{c},{'r' + c if n == '200' else ''},{n},2024-01-01,\n",
+        )
+        put(
+            f"{tmp_path}/{c}-collection/collection/source.csv",
+            f"endpoint,pipelines,organisation,end-date\ne{c},d1;d2,o,\n",
+        )
     put(f"{tmp_path}/a-collection/issue/d1/i.csv", "resource,dataset,field,issue-type\nra,d1,f,t\nra,d1,f,t\n")
-    types = spark.createDataFrame([("t", "error", "external")], "issue_type string, severity string, responsibility string")
+    types = spark.createDataFrame(
+        [("t", "error", "external")], "issue_type string, severity string, responsibility string"
+    )
     out = pipelines.generate_tasks(spark, str(tmp_path), types, f"{tmp_path}/out", "2024-01-01")
     assert rows(out, "task_source", "dataset") == [("issue", "d1"), ("log", "d1"), ("log", "d2")]
 
 
 def test_quality_job(spark, tmp_path):
-    put(f"{tmp_path}/a-collection/collection/source.csv", "endpoint,pipelines,organisation,end-date\ne1,d,o1,\ne2,gone,o1,\n")
+    put(
+        f"{tmp_path}/a-collection/collection/source.csv",
+        "endpoint,pipelines,organisation,end-date\ne1,d,o1,\ne2,gone,o1,\n",
+    )
     put(f"{tmp_path}/a-collection/collection/resource.csv", "resource,endpoints,end-date\nr,e1,\n")
     put(f"{tmp_path}/config/pipeline/a/lookup.csv", "entity,organisation\n1,o1\n")
     put(f"{tmp_path}/entity/d.csv", "entity,organisation-entity,quality\n1,7,authoritative\n")
     put(f"{tmp_path}/entity/skip.csv", "entity\n1\n")
-    org = spark.createDataFrame([("o1", 7, "One", "")], "organisation string, entity long, name string, end_date string")
+    org = spark.createDataFrame(
+        [("o1", 7, "One", "")], "organisation string, entity long, name string, end_date string"
+    )
     live = spark.createDataFrame([("d", "production", "")], "dataset string, environment string, end_date string")
     none = spark.createDataFrame([], "dataset string, organisation string")
-    out = pipelines.provision_quality(spark, str(tmp_path), org, none, live, readers.discover(spark, f"{tmp_path}/entity/*.csv"), f"{tmp_path}/out")
+    out = pipelines.provision_quality(
+        spark, str(tmp_path), org, none, live, readers.discover(spark, f"{tmp_path}/entity/*.csv"), f"{tmp_path}/out"
+    )
     (r,) = out["provision_quality"].collect()
     assert (r.dataset, r.quality, r.entity_count, r.has_active_resource) == ("d", "authoritative", 1, True)
     assert os.path.exists(f"{tmp_path}/out/dataset_quality.csv")
@@ -216,7 +266,10 @@ def test_quality_job(spark, tmp_path):
 
 def test_cadastral_study(spark, tmp_path):
     os.makedirs(f"{tmp_path}/zip")
-    doc = '<c xmlns:g="urn:x">' + "".join(f'<g:featureMember>\n<P gid="{i}"><LABEL>L{i}</LABEL><TAG>a</TAG><TAG>b</TAG></P></g:featureMember>' for i in range(3)) + "</c>"
+    doc = '<c xmlns:g="urn:x">' + "".join(
+        f'<g:featureMember>\n<P gid="{i}"><LABEL>L{i}</LABEL><TAG>a</TAG><TAG>b</TAG></P></g:featureMember>'
+        for i in range(3)
+    ) + "</c>"
     for name in ("leeds", "york"):
         with zipfile.ZipFile(f"{tmp_path}/zip/{name}.zip", "w") as z:
             z.writestr("x.gml", doc)

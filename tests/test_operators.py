@@ -21,20 +21,37 @@ EAV = "entity string, field string, value string, entry_date string, entry_numbe
 @pytest.fixture
 def transformed(spark):
     make = lambda f, v, n, p, r: ("1", f, v, "2024-01-01", n, p, "", "2024-01-01", f"f{n}", "", r)
-    return spark.createDataFrame([make("name", "A", "1", "2", "r1"), make("reference", "R", "2", "1", "r1"), make("organisation", "local-authority:ABC", "3", "1", "r1"), make("notes", "n", "4", "1", "r2"), make("geometry", "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))", "5", "1", "r2"), make("entry-date", "2024-02-03", "6", "1", "r2")], EAV)
+    return spark.createDataFrame(
+        [
+            make("name", "A", "1", "2", "r1"),
+            make("reference", "R", "2", "1", "r1"),
+            make("organisation", "local-authority:ABC", "3", "1", "r1"),
+            make("notes", "n", "4", "1", "r2"),
+            make("geometry", "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))", "5", "1", "r2"),
+            make("entry-date", "2024-02-03", "6", "1", "r2"),
+        ],
+        EAV,
+    )
 
 
 def test_transformed_to_three_tables(spark, transformed):
-    org = spark.createDataFrame([("local-authority:ABC", 100), ("local-authority:ABC", 200)], "organisation string, entity long")
+    org = spark.createDataFrame(
+        [("local-authority:ABC", 100), ("local-authority:ABC", 200)], "organisation string, entity long"
+    )
     assert history.transform_fact_resource(transformed, "d").count() == 6
     assert history.transform_fact(transformed, "d").count() == 6
     (e,) = history.transform_entity(transformed, "d", org, "geography").collect()
-    assert (e.dataset, e.entity, e.name, e.organisation_entity, e.quality, e.point, e.entry_date, e.typology) == ("d", 1, "A", 100, "authoritative", "POINT (0.5 0.5)", datetime.date(2024, 2, 3), "geography")
+    assert (
+        e.dataset, e.entity, e.name, e.organisation_entity, e.quality, e.point, e.entry_date, e.typology
+    ) == ("d", 1, "A", 100, "authoritative", "POINT (0.5 0.5)", datetime.date(2024, 2, 3), "geography")
     assert e.json == '{"notes":"n"}'
 
 
 def test_entry_numbers_sort_as_numbers(spark):
-    eav = spark.createDataFrame([("1", "name", "old", "2024-01-01", "2"), ("1", "name", "new", "2024-01-01", "10")], "entity string, field string, value string, entry_date string, entry_number string")
+    eav = spark.createDataFrame(
+        [("1", "name", "old", "2024-01-01", "2"), ("1", "name", "new", "2024-01-01", "10")],
+        "entity string, field string, value string, entry_date string, entry_number string",
+    )
     assert rows(history.latest_values(eav), "value") == [("new",)]
 
 
@@ -44,7 +61,10 @@ def test_quality_label(spark, priority, label):
 
 
 def test_no_priority_column_and_no_organisation_column(spark):
-    eav = spark.createDataFrame([("1", "point", "POINT (1 2)", "2024-01-01", "1"), ("1", None, "x", "2024-01-01", "2")], "entity string, field string, value string, entry_date string, entry_number string")
+    eav = spark.createDataFrame(
+        [("1", "point", "POINT (1 2)", "2024-01-01", "1"), ("1", None, "x", "2024-01-01", "2")],
+        "entity string, field string, value string, entry_date string, entry_number string",
+    )
     (e,) = history.transform_entity(eav, "d", spark.createDataFrame([], "organisation string, entity long")).collect()
     assert (e.quality, e.point, e.geometry, e.json) == ("", "POINT (1 2)", None, "{}")
 
@@ -52,82 +72,176 @@ def test_no_priority_column_and_no_organisation_column(spark):
 def test_withdrawn_resources(spark):
     old = spark.createDataFrame([("a", "410"), ("b", "301"), (None, "410")], "old_resource string, status string")
     df = spark.createDataFrame([("a",), ("b",), (None,)], "resource string")
-    assert joins.drop_withdrawn(df, old).select(F.coalesce("resource", F.lit("-"))).collect() == [("b",), ("-",)] or rows(joins.drop_withdrawn(df, old).fillna("-")) == [("-",), ("b",)]
+    assert joins.drop_withdrawn(df, old).select(
+        F.coalesce("resource", F.lit("-"))
+    ).collect() == [("b",), ("-",)] or rows(
+        joins.drop_withdrawn(df, old).fillna("-")
+    ) == [("-",), ("b",)]
 
 
 def test_backfill(spark):
     df = spark.createDataFrame([("e1", ""), ("e2", "kept"), ("e3", None)], "endpoint string, dataset string")
     lookup = spark.createDataFrame([("e1", "a"), ("e1", "b"), ("e2", "z")], "endpoint string, dataset string")
-    assert rows(joins.backfill(df, lookup, "endpoint", "dataset")) == [("e1", "a"), ("e1", "b"), ("e2", "kept"), ("e3", "")]
+    assert rows(joins.backfill(df, lookup, "endpoint", "dataset")) == [
+        ("e1", "a"), ("e1", "b"), ("e2", "kept"), ("e3", "")
+    ]
 
 
 @pytest.mark.parametrize("width", [None, 1000, 7])
 def test_old_entity(spark, width):
-    spec = spark.createDataFrame([("a", "c1", 4000, 4999), ("b", "c2", 11000, 11999)], "dataset string, collection string, entity_minimum long, entity_maximum long")
-    old = spark.createDataFrame([("4001", "301", "4002", "c1"), ("9", "301", "4002", "c1"), ("4003", "301", "4002", "c2"), ("4004", "301", "11001", "c1"), ("4005", "410", "", "c1"), ("x", "301", "4002", "c1")], ["old-entity", "status", "entity", "collection"])
-    assert rows(joins.transform_old_entity(old, spec, width).fillna({"entity": -1}), "old_entity", "entity", "dataset") == [(4001, 4002, "a"), (4005, -1, "a")]
+    spec = spark.createDataFrame(
+        [("a", "c1", 4000, 4999), ("b", "c2", 11000, 11999)],
+        "dataset string, collection string, entity_minimum long, entity_maximum long",
+    )
+    old = spark.createDataFrame(
+        [
+            ("4001", "301", "4002", "c1"),
+            ("9", "301", "4002", "c1"),
+            ("4003", "301", "4002", "c2"),
+            ("4004", "301", "11001", "c1"),
+            ("4005", "410", "", "c1"),
+            ("x", "301", "4002", "c1"),
+        ],
+        ["old-entity", "status", "entity", "collection"],
+    )
+    assert rows(
+        joins.transform_old_entity(old, spec, width).fillna({"entity": -1}), "old_entity", "entity", "dataset"
+    ) == [(4001, 4002, "a"), (4005, -1, "a")]
 
 
 def test_log_tasks_once_per_failure(spark):
-    log = spark.createDataFrame([("d", "o", "e", None, "404", None, "2024-01-01"), ("d", "o", "e", None, "404", None, "2024-01-02"), ("d", "o", "e", None, "200", None, "2024-01-02"), ("d", "o", "e", None, None, None, "2024-01-02")], "dataset string, organisation string, endpoint string, resource string, status string, exception string, entry_date string")
+    log = spark.createDataFrame(
+        [
+            ("d", "o", "e", None, "404", None, "2024-01-01"),
+            ("d", "o", "e", None, "404", None, "2024-01-02"),
+            ("d", "o", "e", None, "200", None, "2024-01-02"),
+            ("d", "o", "e", None, None, None, "2024-01-02"),
+        ],
+        "dataset string, organisation string, endpoint string, resource string, status string, exception string, entry_date string",
+    )
     (t,) = tasks.log_tasks(log, "2024-03-01").collect()
     assert (t.details, t.severity, len(t.reference)) == ('{"status":404,"exception":""}', "error", 16)
 
 
-@pytest.mark.parametrize("lists,want", [(["x;y"], [("x", 1), ("y", 1)]), (["x;x"], [("x", 1)]), (["x;y", "x"], [("x", 2), ("y", 1)])])
+@pytest.mark.parametrize(
+    "lists,want", [(["x;y"], [("x", 1), ("y", 1)]), (["x;x"], [("x", 1)]), (["x;y", "x"], [("x", 2), ("y", 1)])]
+)
 def test_issue_tasks_per_organisation(spark, lists, want):
-    df = spark.createDataFrame([("d", "r", "f", "t", "error", "external", o, "e") for o in lists], "dataset string, resource string, field string, issue_type string, severity string, responsibility string, organisation string, endpoint string")
-    got = tasks.issue_tasks(df, "2024-01-01").select("organisation", F.get_json_object("details", "$.count").cast("int").alias("n"))
+    df = spark.createDataFrame(
+        [("d", "r", "f", "t", "error", "external", o, "e") for o in lists],
+        "dataset string, resource string, field string, issue_type string, severity string, responsibility string, organisation string, endpoint string",
+    )
+    got = tasks.issue_tasks(df, "2024-01-01").select(
+        "organisation", F.get_json_object("details", "$.count").cast("int").alias("n")
+    )
     assert rows(got) == want
 
 
 def test_resource_of_two_endpoints_is_counted_once(spark):
-    log = spark.createDataFrame([("e1", "r", "200", "2024-01-01", None), ("e2", "r", "200", "2024-01-01", None)], "endpoint string, resource string, status string, entry_date string, exception string")
-    source = spark.createDataFrame([("e1", "d", "o", ""), ("e2", "d", "o", None)], "endpoint string, pipelines string, organisation string, end_date string")
-    issues = spark.createDataFrame([("r", "d", "f", "t")] * 2, "resource string, dataset string, field string, issue_type string")
-    types = spark.createDataFrame([("t", "error", "external")], "issue_type string, severity string, responsibility string")
+    log = spark.createDataFrame(
+        [("e1", "r", "200", "2024-01-01", None), ("e2", "r", "200", "2024-01-01", None)],
+        "endpoint string, resource string, status string, entry_date string, exception string",
+    )
+    source = spark.createDataFrame(
+        [("e1", "d", "o", ""), ("e2", "d", "o", None)],
+        "endpoint string, pipelines string, organisation string, end_date string",
+    )
+    issues = spark.createDataFrame(
+        [("r", "d", "f", "t")] * 2, "resource string, dataset string, field string, issue_type string"
+    )
+    types = spark.createDataFrame(
+        [("t", "error", "external")], "issue_type string, severity string, responsibility string"
+    )
     (t,) = tasks.all_tasks(log, source, issues, types, "2024-01-01").collect()
     assert '"count":2' in t.details and t.organisation == "o"
 
 
 def test_active_resource_is_the_latest_success(spark):
-    log = spark.createDataFrame([("a", "r1", "200", "2024-01-01"), ("a", "r2", "200", "2024-01-02"), ("a", "r3", "404", "2024-01-03"), ("b", "", "200", "2024-01-01")], "endpoint string, resource string, status string, entry_date string")
+    log = spark.createDataFrame(
+        [
+            ("a", "r1", "200", "2024-01-01"),
+            ("a", "r2", "200", "2024-01-02"),
+            ("a", "r3", "404", "2024-01-03"),
+            ("b", "", "200", "2024-01-01"),
+        ],
+        "endpoint string, resource string, status string, entry_date string",
+    )
     assert rows(tasks.active_resources(log, None)) == [("r2", "", "", "a")]
 
 
 def test_quality_of_four_organisations(spark):
-    people = spark.createDataFrame([("local-authority:A", 1, "A", True), ("local-authority:B", 2, "B", True), ("government:C", 3, "C", True), ("local-authority:D", 4, "D", True)], "organisation string, organisation_entity long, organisation_name string, org_active boolean")
-    owned = spark.createDataFrame([("d", 1, "authoritative", 10), ("d", 1, "some", 11), ("d", 2, "some", 12), ("d", 2, "", 13)], "dataset string, organisation_entity long, quality string, entity long")
-    providers = spark.createDataFrame([("d", "local-authority:A", True), ("d", "local-authority:D", False)], "dataset string, organisation string, has_active_resource boolean")
-    lookup = spark.createDataFrame([(11, "government:C"), (12, "government:C"), (12, "local-authority:D"), (12, "local-authority:A")], "entity long, organisation string")
-    designated = spark.createDataFrame([("d", "local-authority:A"), ("d", "nobody")], "dataset string, organisation string")
+    people = spark.createDataFrame(
+        [
+            ("local-authority:A", 1, "A", True),
+            ("local-authority:B", 2, "B", True),
+            ("government:C", 3, "C", True),
+            ("local-authority:D", 4, "D", True),
+        ],
+        "organisation string, organisation_entity long, organisation_name string, org_active boolean",
+    )
+    owned = spark.createDataFrame(
+        [("d", 1, "authoritative", 10), ("d", 1, "some", 11), ("d", 2, "some", 12), ("d", 2, "", 13)],
+        "dataset string, organisation_entity long, quality string, entity long",
+    )
+    providers = spark.createDataFrame(
+        [("d", "local-authority:A", True), ("d", "local-authority:D", False)],
+        "dataset string, organisation string, has_active_resource boolean",
+    )
+    lookup = spark.createDataFrame(
+        [(11, "government:C"), (12, "government:C"), (12, "local-authority:D"), (12, "local-authority:A")],
+        "entity long, organisation string",
+    )
+    designated = spark.createDataFrame(
+        [("d", "local-authority:A"), ("d", "nobody")], "dataset string, organisation string"
+    )
     pq = quality.provision_quality(providers, people, designated, lookup, owned)
     got = {r.organisation: r for r in pq.collect()}
     assert set(got) == {"local-authority:A", "local-authority:B", "government:C", "local-authority:D"}
     a, b, c, d = (got[k] for k in ("local-authority:A", "local-authority:B", "government:C", "local-authority:D"))
-    assert (a.quality, a.entity_count, a.has_active_endpoint, a.is_designated_provider) == ("authoritative", 2, True, True)
+    assert (
+        a.quality, a.entity_count, a.has_active_endpoint, a.is_designated_provider
+    ) == ("authoritative", 2, True, True)
     assert (b.quality, b.entity_count, b.has_active_endpoint, b.owns_entities) == ("some", 2, False, True)
     assert (c.quality, c.entity_count, c.owns_entities) == ("some", 2, False)
     assert (d.quality, d.entity_count, d.has_active_endpoint, d.has_active_resource) == (None, 0, True, False)
     (dq,) = quality.dataset_quality(pq).collect()
-    assert (dq.authoritative_organisations, dq.some_organisations, dq.total_organisations, dq.total_entities) == (1, 2, 3, 4)
-    assert {r.organisation: r.total_entities_owned for r in quality.organisation_quality(pq).collect()} == {"local-authority:A": 2, "local-authority:B": 2, "government:C": 0}
+    assert (
+        dq.authoritative_organisations, dq.some_organisations, dq.total_organisations, dq.total_entities
+    ) == (1, 2, 3, 4)
+    assert {
+        r.organisation: r.total_entities_owned for r in quality.organisation_quality(pq).collect()
+    } == {"local-authority:A": 2, "local-authority:B": 2, "government:C": 0}
 
 
 @pytest.mark.parametrize("env,want", [("production", ["p"]), ("staging", ["p", "s"]), ("development", ["d", "p", "s"])])
 def test_live_datasets(spark, env, want):
-    df = spark.createDataFrame([("p", "production", ""), ("s", "staging", None), ("d", "development", ""), ("n", "", ""), ("r", "production", "2020-01-01")], "dataset string, environment string, end_date string")
+    df = spark.createDataFrame(
+        [
+            ("p", "production", ""),
+            ("s", "staging", None),
+            ("d", "development", ""),
+            ("n", "", ""),
+            ("r", "production", "2020-01-01"),
+        ],
+        "dataset string, environment string, end_date string",
+    )
     assert [x for (x,) in rows(quality.live_datasets(df, env))] == want
 
 
 def test_blank_organisations(spark):
-    assert quality.drop_blank_organisations(spark.createDataFrame([("d", ""), ("d", None), ("d", "o")], "dataset string, organisation string")).count() == 1
+    assert quality.drop_blank_organisations(
+        spark.createDataFrame([("d", ""), ("d", None), ("d", "o")], "dataset string, organisation string")
+    ).count() == 1
 
 
 def test_enforce(spark):
-    df = spark.createDataFrame([("1", "x", {"k": "v"}), ("n/a", "y", None)], "b string, extra string, m map<string,string>")
+    df = spark.createDataFrame(
+        [("1", "x", {"k": "v"}), ("n/a", "y", None)], "b string, extra string, m map<string,string>"
+    )
     out = S.enforce(df, S.StructType.fromDDL("a string, b bigint, m string"))
-    assert out.columns == ["a", "b", "m"] and [tuple(r) for r in out.collect()] == [(None, 1, '{"k":"v"}'), (None, None, None)]
+    assert out.columns == ["a", "b", "m"] and [tuple(r) for r in out.collect()] == [
+        (None, 1, '{"k":"v"}'), (None, None, None)
+    ]
 
 
 def test_dates(spark):

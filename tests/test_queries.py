@@ -30,4 +30,6 @@ def test_query_equals_sql(spark, name):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     want = db.sql(ORACLE_SQL[name])
     at = [want.columns.index(c) for c in columns]
-    assert Counter(tuple(norm(r[c]) for c in columns) for r in df.collect()) == Counter(tuple(norm(r[i]) for i in at) for r in want.fetchall())
+    assert Counter(
+        tuple(norm(r[c]) for c in columns) for r in df.collect()
+    ) == Counter(tuple(norm(r[i]) for i in at) for r in want.fetchall())
