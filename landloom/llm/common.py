@@ -63,7 +63,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ------------------------------------------------------------------------------------------------- Arrow and bytes
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, field: str | None = None, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+def blocks(
+    batches: Iterator[pa.RecordBatch], column: str, field: str | None = None, limit: int = BLOCK_BYTES
+) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a column of strings (or a field of a column of structs) has at most limit bytes in each, or one row."""
     for batch in batches:
         strings = batch.column(column) if field is None else batch.column(column).field(field)
@@ -101,7 +103,10 @@ BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE8
 
 @lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.concatenate([[np.uint64(1)], np.full(n - 1, b, np.uint64)]).cumprod(dtype=np.uint64) for b in (np.uint64(BASE), np.uint64(INVERSE)))
+    return tuple(
+        np.concatenate([[np.uint64(1)], np.full(n - 1, b, np.uint64)]).cumprod(dtype=np.uint64)
+        for b in (np.uint64(BASE), np.uint64(INVERSE))
+    )
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +151,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words in bytes, and at which word each document begins (one more at the end).
 
     UTF-8 keeps bytes of 0x80 and more for other than ASCII, so words split at ASCII bytes are the same as in code points."""
@@ -228,7 +235,13 @@ def annotate(docs: DataFrame, text: str, fields: str, make) -> DataFrame:
     def run(batches):
         for part in blocks(batches, "row", text):
             made = make(part.column("row").field(text))
-            yield pa.RecordBatch.from_arrays([part.column("row"), *[made[x] if isinstance(made[x], pa.Array) else pa.array(made[x]) for x in names[1:]]], names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("row"),
+                    *[made[x] if isinstance(made[x], pa.Array) else pa.array(made[x]) for x in names[1:]],
+                ],
+                names,
+            )
 
     return plain.mapInArrow(run, schema)
 
@@ -276,7 +289,9 @@ def look_up(rows: DataFrame, counts: DataFrame, on: list[str], by: list[str], n:
     own = F.struct(*rest)
     keyed = rows.join(F.broadcast(hot.select(*on, own.alias("_hot"))), on, "left")
     keyed = keyed.withColumn("_key", F.when(F.col("_hot").isNull(), F.col(on[0])).otherwise(F.xxhash64(*by)))
-    cold = counts.where(F.col(n) <= limit).select(F.col(on[0]).alias("_cold_key"), *[F.col(c).alias(f"_cold_{c}") for c in on[1:]], own.alias("_cold"))
+    cold = counts.where(F.col(n) <= limit).select(
+        F.col(on[0]).alias("_cold_key"), *[F.col(c).alias(f"_cold_{c}") for c in on[1:]], own.alias("_cold")
+    )
     same = (F.col("_key") == F.col("_cold_key")) & F.col("_hot").isNull()
     for c in on[1:]:
         same = same & (F.col(c) == F.col(f"_cold_{c}"))
@@ -294,8 +309,12 @@ def even_join(left: DataFrame, right: DataFrame, on: str, by: list[str], counts:
     if hot is None:
         return left.join(right, on)
     shares = F.broadcast(hot.select(on, F.ceil(F.col(n) / F.lit(limit)).cast("int").alias("_shares")))
-    one = left.join(shares, on, "left").withColumn("_share", F.coalesce(F.pmod(F.xxhash64(*by), "_shares").cast("int"), F.lit(0))).drop("_shares")
-    other = right.join(shares, on, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))).drop("_shares")
+    one = left.join(shares, on, "left").withColumn(
+        "_share", F.coalesce(F.pmod(F.xxhash64(*by), "_shares").cast("int"), F.lit(0))
+    ).drop("_shares")
+    other = right.join(shares, on, "left").withColumn(
+        "_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))
+    ).drop("_shares")
     return one.join(other, [on, "_share"]).drop("_share")
 
 
@@ -318,21 +337,33 @@ def components(edges: DataFrame) -> DataFrame:
         return look_up(rows, save(counts), [on], [by]).drop("n") if many else rows.join(counts.drop("n"), on)
 
     while True:
-        least = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+        least = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(
+            F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")
+        )
         seen = Observation()
-        large = joined(now, least.withColumnRenamed("a", "b"), "b", "a").observe(seen, F.count_if(F.col("m") < F.col("b")).alias("n"))
+        large = joined(now, least.withColumnRenamed("a", "b"), "b", "a").observe(
+            seen, F.count_if(F.col("m") < F.col("b")).alias("n")
+        )
         large = save(large.select("a", F.col("m").alias("b")).coalesce(few))
         more = Observation()
-        small = save(large.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("last"), F.count("*").alias("n")).observe(more, F.count_if(F.col("b") < F.col("last")).alias("n")).coalesce(few))
+        small = save(
+            large.groupBy("a").agg(
+                F.min("b").alias("b"), F.max("b").alias("last"), F.count("*").alias("n")
+            ).observe(more, F.count_if(F.col("b") < F.col("last")).alias("n")).coalesce(few)
+        )
         changed, several = (seen.get["n"] or 0) + (more.get["n"] or 0), more.get["n"]
         forget(now)
         now = small.select("a", "b")
         if several:
-            others = joined(large, small.where("b < last").select("a", F.col("b").alias("m"), "n"), "a", "b").where("b > m")
+            others = joined(
+                large, small.where("b < last").select("a", F.col("b").alias("m"), "n"), "a", "b"
+            ).where("b > m")
             now = save(now.unionByName(others.select(F.col("b").alias("a"), F.col("m").alias("b"))))
             forget(small)
         else:
             now._saved_at = small._saved_at
         forget(large)
         if not changed:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+                now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            )

@@ -32,7 +32,9 @@ SALTS = 16
 FACTORS = mixed(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xB5026F5AA96619E9)) | np.uint64(1)
 
 
-def all_hashes(words: np.ndarray, first: np.ndarray, served: dict[int, np.ndarray | None]) -> tuple[np.ndarray, np.ndarray]:
+def all_hashes(
+    words: np.ndarray, first: np.ndarray, served: dict[int, np.ndarray | None]
+) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, token at which they begin) within texts, of the tokens that masks keep. served: the entries of MASKS wanted,
     with the texts that each is for (None: all)."""
     hashes, places = [], []
@@ -68,7 +70,9 @@ def _lists(hashes: np.ndarray, places: np.ndarray, first: np.ndarray) -> tuple[p
     hashes, places = hashes[order], places[order]
     cuts = np.searchsorted(places, first).astype(np.int32)
     text = np.searchsorted(first, places, "right") - 1
-    return pa.ListArray.from_arrays(cuts, pa.array(signed(hashes))), pa.ListArray.from_arrays(cuts, pa.array(places - first[text]))
+    return pa.ListArray.from_arrays(cuts, pa.array(signed(hashes))), pa.ListArray.from_arrays(
+        cuts, pa.array(places - first[text])
+    )
 
 
 def _tokens(words: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -90,7 +94,16 @@ def overlaps(doc: np.ndarray, item: np.ndarray, shift: int, window: int, percent
     return lo + a, lo + b, int(sums[b] - sums[a])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT, max_filter: int = 1 << 21) -> DataFrame:
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    percent: int = PERCENT,
+    max_filter: int = 1 << 21,
+) -> DataFrame:
     """(doc_id, item_id, start, end, agreeing): the longest overlap of each document and benchmark item that have one.
 
     Tokens are lower-cased runs of letters and digits. Every overlap of WINDOW tokens, or of all of a shorter item, of which
@@ -106,8 +119,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         return {"words": _tokens(words, first), "h": h, "at": at}
 
     fields = "words array<long>, h array<long>, at array<long>"
-    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
-    items = save(annotate(items, "text", fields, hashed).where(F.size("words") >= min(MASKS)).select(F.col("row.item_id").alias("item_id"), "words", "h", "at").withColumn("variant", F.xxhash64("words")).dropDuplicates(["item_id", "variant"]))
+    items = benchmark.select(
+        F.col(item_id).alias("item_id"), F.col(item_text).alias("text")
+    ).where("item_id IS NOT NULL AND text IS NOT NULL")
+    items = save(
+        annotate(items, "text", fields, hashed).where(F.size("words") >= min(MASKS)).select(
+            F.col("row.item_id").alias("item_id"), "words", "h", "at"
+        ).withColumn("variant", F.xxhash64("words")).dropDuplicates(["item_id", "variant"])
+    )
     lengths = [r.n for r in items.select(F.least(F.size("words"), F.lit(max(MASKS))).alias("n")).distinct().collect()]
     served = dict.fromkeys(serving(np.array(lengths, np.int64)))
     spark = docs.sparkSession
@@ -138,32 +157,58 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         tokens = pa.ListArray.from_arrays(tokens.offsets, tokens.values, mask=pa.array(mask)) if len(mask) else tokens
         return {"words": tokens, "h": keys, "at": places}
 
-    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    held = save(annotate(plain, "text", fields, hits).where(F.size("h") > 0).select("row.doc_id", "words", "h", "at").withColumn("same", F.xxhash64("words")).dropDuplicates(["doc_id", "same"]))
+    plain = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
+    ).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    held = save(
+        annotate(plain, "text", fields, hits).where(F.size("h") > 0).select(
+            "row.doc_id", "words", "h", "at"
+        ).withColumn("same", F.xxhash64("words")).dropDuplicates(["doc_id", "same"])
+    )
     # what every third text holds is spread: a small benchmark is broadcast, a large one is dealt several times
     salt = F.lit(0) if small else F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
     every = F.lit(0) if small else F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     side = F.broadcast if small else (lambda x: x)
-    seen = held.select("doc_id", "same", salt.alias("salt"), F.explode(F.arrays_zip("h", "at")).alias("z")).select("doc_id", "same", "salt", "z.h", F.col("z.at").alias("d"))
-    asked = items.select("item_id", "variant", F.explode(F.arrays_zip("h", "at")).alias("z")).select("item_id", "variant", "z.h", F.col("z.at").alias("i"), every.alias("salt"))
-    shifts = seen.join(side(asked), ["h", "salt"]).select("doc_id", "same", "item_id", "variant", "salt", (F.col("d") - F.col("i")).alias("shift"))
+    seen = held.select(
+        "doc_id", "same", salt.alias("salt"), F.explode(F.arrays_zip("h", "at")).alias("z")
+    ).select("doc_id", "same", "salt", "z.h", F.col("z.at").alias("d"))
+    asked = items.select("item_id", "variant", F.explode(F.arrays_zip("h", "at")).alias("z")).select(
+        "item_id", "variant", "z.h", F.col("z.at").alias("i"), every.alias("salt")
+    )
+    shifts = seen.join(side(asked), ["h", "salt"]).select(
+        "doc_id", "same", "item_id", "variant", "salt", (F.col("d") - F.col("i")).alias("shift")
+    )
     shifts = shifts.groupBy("doc_id", "same", "item_id", "variant", "salt").agg(F.collect_set("shift").alias("shifts"))
     pairs = shifts.join(held.select("doc_id", "same", F.col("words").alias("dw")), ["doc_id", "same"])
-    pairs = pairs.join(side(items.select("item_id", "variant", F.col("words").alias("iw"), every.alias("salt"))), ["item_id", "variant", "salt"])
+    pairs = pairs.join(
+        side(items.select("item_id", "variant", F.col("words").alias("iw"), every.alias("salt"))),
+        ["item_id", "variant", "salt"],
+    )
 
     def verify(batches):
         for batch in batches:
             rows = []
-            for d, i, shifts_, dw, iw in zip(*[batch.column(c) for c in ("doc_id", "item_id", "shifts", "dw", "iw")], strict=True):
+            for d, i, shifts_, dw, iw in zip(
+                *[batch.column(c) for c in ("doc_id", "item_id", "shifts", "dw", "iw")], strict=True
+            ):
                 doc, item = dw.values.to_numpy(), iw.values.to_numpy()
-                best = max((overlaps(doc, item, x, WINDOW, percent) for x in shifts_.values.to_pylist()), key=lambda x: (x[1] - x[0], x[2], -x[0]))
+                best = max(
+                    (overlaps(doc, item, x, WINDOW, percent) for x in shifts_.values.to_pylist()),
+                    key=lambda x: (x[1] - x[0], x[2], -x[0]),
+                )
                 if best[1] > best[0]:
                     rows.append((d.as_py(), i.as_py(), *best))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "start", "end", "agreeing"])
-
-    found = pairs.select(F.col("doc_id").cast("long"), F.col("item_id").cast("long"), "shifts", "dw", "iw").mapInArrow(verify, "doc_id long, item_id long, start long, end long, agreeing long")
-    best = F.max_by(F.struct("start", "end", "agreeing"), F.struct(F.col("end") - F.col("start"), "agreeing", -F.col("start"))).alias("b")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "start", "end", "agreeing"]
+            )
+
+    found = pairs.select(
+        F.col("doc_id").cast("long"), F.col("item_id").cast("long"), "shifts", "dw", "iw"
+    ).mapInArrow(verify, "doc_id long, item_id long, start long, end long, agreeing long")
+    best = F.max_by(
+        F.struct("start", "end", "agreeing"), F.struct(F.col("end") - F.col("start"), "agreeing", -F.col("start"))
+    ).alias("b")
     out = save(found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*"))
     forget(items, held)
     return out
@@ -180,6 +225,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, contaminated, n_items, longest (tokens of the longest overlap, else 0), items (ids, ascending)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    by = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.max(F.col("end") - F.col("start")).alias("longest"), F.sort_array(F.collect_set("item_id")).alias("items"))
+    by = found.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.count("*").alias("n"),
+        F.max(F.col("end") - F.col("start")).alias("longest"),
+        F.sort_array(F.collect_set("item_id")).alias("items"),
+    )
     out = docs.select("doc_id").join(by, F.col("doc_id") == F.col("_id"), "left")
-    return out.select("doc_id", F.col("n").isNotNull().alias("contaminated"), F.coalesce("n", F.lit(0)).cast("long").alias("n_items"), F.coalesce("longest", F.lit(0)).cast("long").alias("longest"), F.coalesce("items", F.array().cast("array<bigint>")).alias("items"))
+    return out.select(
+        "doc_id",
+        F.col("n").isNotNull().alias("contaminated"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("longest", F.lit(0)).cast("long").alias("longest"),
+        F.coalesce("items", F.array().cast("array<bigint>")).alias("items"),
+    )

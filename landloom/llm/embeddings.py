@@ -76,7 +76,9 @@ def encode(vectors: DataFrame, dim: int, rotation: np.ndarray, length: int) -> D
                 bits = (matrix(b.column("v"), dim) @ rotation >= 0).reshape(b.num_rows, -1, length)
                 codes = (bits @ powers).astype(np.int32)
                 cuts = np.arange(0, codes.size + 1, codes.shape[1], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([b.column("cid"), pa.ListArray.from_arrays(cuts, pa.array(codes.ravel()))], ["cid", "codes"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("cid"), pa.ListArray.from_arrays(cuts, pa.array(codes.ravel()))], ["cid", "codes"]
+                )
 
     return vectors.select("cid", "v").mapInArrow(run, "cid long, codes array<int>")
 
@@ -94,12 +96,18 @@ def dealt(codes: DataFrame, block: int) -> DataFrame:
     else:
         each = each.join(sizes, ["tbl", "part"])
     blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    at = each.select("cid", "tbl", "part", blocks.alias("nb")).withColumn("at", F.pmod(F.xxhash64(F.lit(3), "cid"), "nb").cast("int"))
+    at = each.select("cid", "tbl", "part", blocks.alias("nb")).withColumn(
+        "at", F.pmod(F.xxhash64(F.lit(3), "cid"), "nb").cast("int")
+    )
     at = at.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
-    return at.select("cid", "tbl", "part", "at", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"))
+    return at.select(
+        "cid", "tbl", "part", "at", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi")
+    )
 
 
-def candidates(cuts: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def candidates(
+    cuts: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, most: int = 1 << 17
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i, j) of rows of one group, i < j, from both blocks where it has two; cuts: where groups begin, and the end.
     A portion holds most pairs or those of one row."""
     last = np.repeat(cuts[1:], np.diff(cuts))
@@ -144,7 +152,9 @@ def reranked(rows: DataFrame, dim: int, least: float) -> DataFrame:
             if (label == before).all():
                 break
         some = np.flatnonzero(links)
-        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(np.sort(ids)[label[some]])], ["id", "links", "root"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids[some]), pa.array(links[some]), pa.array(np.sort(ids)[label[some]])], ["id", "links", "root"]
+        )
 
     def run(batches):
         held: list[pa.RecordBatch] = []  # rows of the last group so far
@@ -153,7 +163,9 @@ def reranked(rows: DataFrame, dim: int, least: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             last = tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in keys)
-            other = np.flatnonzero(np.logical_or.reduce([batch.column(c).to_numpy() != v for c, v in zip(keys, last, strict=True)]))
+            other = np.flatnonzero(
+                np.logical_or.reduce([batch.column(c).to_numpy() != v for c, v in zip(keys, last, strict=True)])
+            )
             at = int(other[-1]) + 1 if len(other) else 0
             if at or (held and held_key != last):
                 yield links_of(pa.Table.from_batches([*held, *([batch.slice(0, at)] if at else [])]))
@@ -166,7 +178,14 @@ def reranked(rows: DataFrame, dim: int, least: float) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "id long, links long, root long")
 
 
-def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.95, sample: int = SAMPLE, block: int = 2000) -> DataFrame:
+def near_duplicates(
+    rows: DataFrame,
+    vec_id: str = "vec_id",
+    embedding: str = "embedding",
+    least: float = 0.95,
+    sample: int = SAMPLE,
+    block: int = 2000,
+) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row.
 
     Vectors are linked when their cosine is least or more and the index brings them together, with a chance of RECALL at
@@ -175,9 +194,15 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     Rows that repeat an id are one vector of several forms, whose links are added up; rows of a null id link with nothing.
     An empty table gives an empty result; other columns are ignored."""
     raw = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).alias("v"))
-    fine = F.forall("v", lambda z: F.coalesce(~F.isnan(z) & (F.abs(z) < float("inf")), F.lit(False))) & F.exists("v", lambda z: z != 0)
+    fine = F.forall(
+        "v", lambda z: F.coalesce(~F.isnan(z) & (F.abs(z) < float("inf")), F.lit(False))
+    ) & F.exists("v", lambda z: z != 0)
     good = raw.where(F.col("id").isNotNull() & F.coalesce(fine, F.lit(False))).withColumn("h", F.xxhash64("v"))
-    classes = save(good.groupBy("h", "v").agg(F.min("id").alias("id"), F.countDistinct("id").alias("n")).withColumn("cid", F.monotonically_increasing_id()))
+    classes = save(
+        good.groupBy("h", "v").agg(
+            F.min("id").alias("id"), F.countDistinct("id").alias("n")
+        ).withColumn("cid", F.monotonically_increasing_id())
+    )
     found = None
     for (dim,) in classes.select(F.size("v")).distinct().collect():
         own = classes.where(F.size("v") == dim)
@@ -188,15 +213,37 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         one = reranked(at, dim, least)
         found = one if found is None else found.unionByName(one)
     if found is None:
-        return rows.select(vec_id, F.lit(0).cast("long").alias("n_links"), F.col(vec_id).cast("long").alias("component_id"), F.lit(True).alias("kept"))
+        return rows.select(
+            vec_id,
+            F.lit(0).cast("long").alias("n_links"),
+            F.col(vec_id).cast("long").alias("component_id"),
+            F.lit(True).alias("kept"),
+        )
     found = save(found)
     counts = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-    same = good.join(classes.select("h", "v", F.col("id").alias("rep"), "n"), ["h", "v"]).select("id", "rep", "n").distinct()
-    whole = save(components(found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(same.select(F.col("id").alias("a"), F.col("rep").alias("b")))))
-    links = same.join(counts, "rep", "left").groupBy("id").agg(F.sum(F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = rows.select(F.col(vec_id).alias("_vec")).join(links.withColumnRenamed("id", "_id"), F.col("_vec") == F.col("_id"), "left").join(whole, F.col("_vec") == F.col("node"), "left")
+    same = good.join(
+        classes.select("h", "v", F.col("id").alias("rep"), "n"), ["h", "v"]
+    ).select("id", "rep", "n").distinct()
+    whole = save(
+        components(
+            found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(
+                same.select(F.col("id").alias("a"), F.col("rep").alias("b"))
+            )
+        )
+    )
+    links = same.join(counts, "rep", "left").groupBy("id").agg(
+        F.sum(F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    )
+    out = rows.select(F.col(vec_id).alias("_vec")).join(
+        links.withColumnRenamed("id", "_id"), F.col("_vec") == F.col("_id"), "left"
+    ).join(whole, F.col("_vec") == F.col("node"), "left")
     component = F.coalesce("component", "_vec").cast("long")
-    return out.select(F.col("_vec").alias(vec_id), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("_vec"), F.lit(True)).alias("kept"))
+    return out.select(
+        F.col("_vec").alias(vec_id),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(component == F.col("_vec"), F.lit(True)).alias("kept"),
+    )
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

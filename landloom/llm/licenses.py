@@ -46,7 +46,9 @@ def forms(parsed) -> set[bytes]:
         if op is parser.LITERAL:
             more = {b" " if NOT_ALNUM[arg] else bytes([arg])}
         elif op is parser.IN:
-            more = {b" "} if arg[0][0] is parser.NEGATE else {bytes([x]) for _, x in arg} if all(k is parser.LITERAL for k, _ in arg) else {b"\0"}
+            more = {b" "} if arg[0][0] is parser.NEGATE else {bytes([x]) for _, x in arg} if all(
+                k is parser.LITERAL for k, _ in arg
+            ) else {b"\0"}
         elif op is parser.SUBPATTERN:
             more = forms(arg[3])
         elif op is parser.BRANCH:
@@ -73,14 +75,27 @@ def make_rules() -> list[Rule]:
     for priority, confidence, lines in SECTIONS:
         for line in lines.strip().split("\n"):
             label, pattern = line.split(None, 1)
-            out.append(make_rule(label, rf"(?<![0-9a-z\x80-\xff])(?:{pattern.replace(' ', GAP)})(?![0-9a-z\x80-\xff])", priority, confidence))
+            out.append(
+                make_rule(
+                    label,
+                    rf"(?<![0-9a-z\x80-\xff])(?:{pattern.replace(' ', GAP)})(?![0-9a-z\x80-\xff])",
+                    priority,
+                    confidence,
+                )
+            )
     return sorted(out, key=lambda r: -r.priority)
 
 
 WORD = rb"0-9a-z\x80-\xff"
 ANY_WORD = re.compile(rb"[" + WORD + rb"]+")
 #: The first word is found as a literal; that no word character stands before it is checked afterwards.
-PHRASES = [(re.compile((rb"[^" + WORD + rb"]+").join(p.encode().split()) + rb"(?![" + WORD + rb"])"), p.split()[-1].encode(), label) for p, label in BASE.items()]
+PHRASES = [
+    (
+        re.compile((rb"[^" + WORD + rb"]+").join(p.encode().split()) + rb"(?![" + WORD + rb"])"),
+        p.split()[-1].encode(),
+        label,
+    ) for p, label in BASE.items()
+]
 
 
 def prefilter(rules: list[Rule]) -> dict[bytes, list[tuple[int, frozenset[bytes]]]]:
@@ -92,7 +107,9 @@ def prefilter(rules: list[Rule]) -> dict[bytes, list[tuple[int, frozenset[bytes]
     return by
 
 
-def detect(low: bytes, rules: list[Rule], by: dict[bytes, list[tuple[int, frozenset[bytes]]]]) -> list[tuple[int, int, str, float]]:
+def detect(
+    low: bytes, rules: list[Rule], by: dict[bytes, list[tuple[int, frozenset[bytes]]]]
+) -> list[tuple[int, int, str, float]]:
     """(start, end, label, confidence) in bytes, of what is left after suppression. by: prefilter(rules)."""
     words = set(ANY_WORD.findall(low))
     kept: list[tuple[int, int, str, float]] = []

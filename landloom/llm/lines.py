@@ -20,23 +20,39 @@ def line_key(line):
     return ascii_lower(F.btrim(line, F.lit(BLANKS)))
 
 
-def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 10, min_docs: int = 2) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 10, min_docs: int = 2
+) -> DataFrame:
     """(row, n_lines, n_dropped, kept): every row, as a struct, with the lines that stay, joined by newlines.
 
     A key of min_chars code points or more that at least min_docs documents hold keeps its lines only in the document of the
     smallest id. Null or empty text: one empty line, which stays. Rows that repeat an id count as one document. A null id
     counts as no document; lines of such rows go if enough other documents hold them. Equal lines in one document stand or
     fall together. An empty table gives an empty result; other columns ride along in row, whatever their names."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text")
+    )
     rows = rows.select("*", F.xxhash64("_text").alias("_same"))
     lines = rows.select("_id", "_same", F.posexplode(F.split("_text", "\n", -1)).alias("_at", "_line"))
-    keyed = lines.select("_id", "_same", "_at", line_key("_line").alias("_key")).where(F.char_length("_key") >= min_chars)
-    hashed = keyed.select("_id", "_same", "_at", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(77), "_key", F.char_length("_key")).alias("_h2"))
+    keyed = lines.select(
+        "_id", "_same", "_at", line_key("_line").alias("_key")
+    ).where(F.char_length("_key") >= min_chars)
+    hashed = keyed.select(
+        "_id",
+        "_same",
+        "_at",
+        F.xxhash64("_key").alias("_h1"),
+        F.xxhash64(F.lit(77), "_key", F.char_length("_key")).alias("_h2"),
+    )
     by = hashed.groupBy("_h1", "_h2")
     if min_docs == 2:
-        held = by.agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.count("*").alias("n")).where("_first < _last")
+        held = by.agg(
+            F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.count("*").alias("n")
+        ).where("_first < _last")
     else:
-        held = by.agg(F.min("_id").alias("_first"), F.countDistinct("_id").alias("_docs"), F.count("*").alias("n")).where(F.col("_docs") >= min_docs)
+        held = by.agg(
+            F.min("_id").alias("_first"), F.countDistinct("_id").alias("_docs"), F.count("*").alias("n")
+        ).where(F.col("_docs") >= min_docs)
     held = save(held.select("_h1", "_h2", "_first", "n"))
     gone = look_up(hashed, held, ["_h1", "_h2"], ["_id", "_at"]).where(~F.col("_id").eqNullSafe(F.col("_first")))
     gone = gone.groupBy(F.col("_id").alias("_in"), F.col("_same").alias("_as")).agg(F.collect_set("_at").alias("_gone"))
@@ -47,7 +63,9 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
         "row",
         F.size("_lines").cast("long").alias("n_lines"),
         F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long").alias("n_dropped"),
-        F.when(F.col("_gone").isNull(), F.array_join("_lines", "\n")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")).alias("kept"),
+        F.when(F.col("_gone").isNull(), F.array_join("_lines", "\n")).otherwise(
+            F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
+        ).alias("kept"),
     )
 
 
@@ -57,13 +75,18 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
     A document goes only when all the lines it had with anything in them are gone; one that was blank before stays."""
     out = line_dedup(docs)
     out = out.where((F.col("n_dropped") == 0) | (F.length(F.btrim("kept", F.lit(BLANKS))) > 0))
-    changed = {"text": F.when(F.col("n_dropped") == 0, F.col("row.text")).otherwise(F.col("kept")), "n_chars": F.when(F.col("n_dropped") == 0, F.col("row.n_chars")).otherwise(F.char_length("kept").cast("long"))}
+    changed = {
+        "text": F.when(F.col("n_dropped") == 0, F.col("row.text")).otherwise(F.col("kept")),
+        "n_chars": F.when(F.col("n_dropped") == 0, F.col("row.n_chars")).otherwise(F.char_length("kept").cast("long")),
+    }
     return out.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return out.select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
 
 
 SQL = """

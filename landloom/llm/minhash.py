@@ -29,7 +29,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import annotate, blocks, components, even_join, forget, inside, look_up, mixed, prefixes, save, signed, spans, table, unpack, windows, word_table
+from landloom.llm.common import (
+    annotate,
+    blocks,
+    components,
+    even_join,
+    forget,
+    inside,
+    look_up,
+    mixed,
+    prefixes,
+    save,
+    signed,
+    spans,
+    table,
+    unpack,
+    windows,
+    word_table,
+)
 
 #: Comparing with one more member of each open bucket goes on while one in so many pairs is a link.
 SOME = 20
@@ -83,7 +100,12 @@ def sketch(docs: DataFrame, text: str, k: int, m: int, bits: int = 16) -> DataFr
         with np.errstate(over="ignore"):
             h1 = [int(signed(x.sum(dtype=np.uint64)[None])[0]) for x in sets]
             h2 = [int(signed(mixed(x).sum(dtype=np.uint64)[None])[0]) for x in sets]
-        return {"n_shingles": [len(x) for x in sets], "h1": h1, "h2": h2, "sig": pa.array([signature(x, m, bits).tobytes() if len(x) else None for x in sets], pa.binary())}
+        return {
+            "n_shingles": [len(x) for x in sets],
+            "h1": h1,
+            "h2": h2,
+            "sig": pa.array([signature(x, m, bits).tobytes() if len(x) else None for x in sets], pa.binary()),
+        }
 
     return annotate(docs, text, "n_shingles long, h1 long, h2 long, sig binary", make)
 
@@ -109,7 +131,9 @@ def index_keys(classes: DataFrame, m: int, errors: int) -> DataFrame:
                         if j not in out:
                             held = mixed(held * np.uint64(0x2545F4914F6CDD1D) + sig[:, s] + np.uint64(j))
                     keys.append(held)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.tile(ids, len(keys)))], ["key", "id"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(np.concatenate(keys))), pa.array(np.tile(ids, len(keys)))], ["key", "id"]
+            )
 
     return classes.select("id", "sig").mapInArrow(run, "key long, id long")
 
@@ -128,21 +152,38 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for part in blocks(batches, "sa"):
-            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(part.column("sa").to_pylist(), part.column("sb").to_pylist(), strict=True)]
+            keep = [
+                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                for x, y in zip(part.column("sa").to_pylist(), part.column("sb").to_pylist(), strict=True)
+            ]
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     held = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    held = even_join(held, sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a", ["b"], pairs.groupBy("a").agg(F.count("*").alias("n")))
+    held = even_join(
+        held,
+        sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")),
+        "a",
+        ["b"],
+        pairs.groupBy("a").agg(F.count("*").alias("n")),
+    )
     return held.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def open_buckets(several: DataFrame, part: DataFrame) -> DataFrame:
     """(key, id, component, head): members of the buckets several(key, id, p) whose members are in more than one component of
     part(node, component); head: the component of the bucket's least member p. Saved."""
-    at = several.join(part.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    at = several.join(
+        part.withColumnRenamed("node", "id"), "id", "left"
+    ).withColumn("component", F.coalesce("component", "id"))
     head = F.max(F.when(F.col("id") == F.col("p"), F.col("component"))).alias("head")
-    loose = save(at.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), head, F.count("*").alias("n")).where("least < most").select("key", "head", "n"))
-    out = save(look_up(at.select("key", "id", "component"), loose, ["key"], ["id"]).select("key", "id", "component", "head"))
+    loose = save(
+        at.groupBy("key").agg(
+            F.min("component").alias("least"), F.max("component").alias("most"), head, F.count("*").alias("n")
+        ).where("least < most").select("key", "head", "n")
+    )
+    out = save(
+        look_up(at.select("key", "id", "component"), loose, ["key"], ["id"]).select("key", "id", "component", "head")
+    )
     forget(loose)
     return out
 
@@ -150,7 +191,11 @@ def open_buckets(several: DataFrame, part: DataFrame) -> DataFrame:
 def second_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(pairs, links), saved: in each open bucket, the members outside the head's component are compared with the least of them."""
     others = members.where("component <> head")
-    reps = save(others.groupBy("key").agg(F.min("id").alias("rep"), F.min_by("component", "id").alias("own"), F.count("*").alias("n")).where("n > 1"))
+    reps = save(
+        others.groupBy("key").agg(
+            F.min("id").alias("rep"), F.min_by("component", "id").alias("own"), F.count("*").alias("n")
+        ).where("n > 1")
+    )
     pairs = look_up(others.select("key", "id", "component"), reps, ["key"], ["id"]).where("component <> own")
     pairs = save(pairs.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct())
     forget(reps)
@@ -171,7 +216,9 @@ def in_blocks(members: DataFrame, m: int, errors: int, percent: int, block: int)
         n = np.array([len(x) for x in sets])
         found = []
         for i in np.flatnonzero(at == lo):
-            others = (at == hi) & (np.arange(len(ids)) > (i if lo == hi else -1)) & (label != label[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+            others = (at == hi) & (np.arange(len(ids)) > (i if lo == hi else -1)) & (label != label[i]) & (
+                100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
+            )
             others = np.flatnonzero(others)
             if len(others):
                 others = others[(sig[others] != sig[i]).sum(1) <= errors]
@@ -179,7 +226,9 @@ def in_blocks(members: DataFrame, m: int, errors: int, percent: int, block: int)
                 if label[i] != label[j] and linked(sets[i], sets[j], percent):
                     found.append((ids[i], ids[j]))
                     label[label == label[j]] = label[i]
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+        return pa.table(
+            {"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())}
+        )
 
     return members.groupBy("deal", "lo", "hi").applyInArrow(run, "a long, b long")
 
@@ -189,18 +238,39 @@ def block_pairs(members: DataFrame, block: int) -> DataFrame:
 
     The members of a cluster's largest component are not compared with each other, so only blocks of the others meet all."""
     sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("large"), F.max("n").alias("inner"), F.sum("n").alias("n"))
+    sizes = sizes.groupBy("cluster").agg(
+        F.max_by("component", F.struct("n", "component")).alias("large"),
+        F.max("n").alias("inner"),
+        F.sum("n").alias("n"),
+    )
     number = lambda x: F.ceil(x / F.lit(block)).cast("int")
-    sizes = save(sizes.where("n > inner").select("cluster", "large", number(F.col("inner")).alias("nl"), number(F.col("n") - F.col("inner")).alias("no"), "n"))
+    sizes = save(
+        sizes.where("n > inner").select(
+            "cluster", "large", number(F.col("inner")).alias("nl"), number(F.col("n") - F.col("inner")).alias("no"), "n"
+        )
+    )
     at = look_up(members, sizes, ["cluster"], ["id"])
     own, slot = F.col("component") == F.col("large"), F.xxhash64(F.lit(5), "id")
     at = at.withColumn("at", F.when(own, F.pmod(slot, "nl")).otherwise(F.col("nl") + F.pmod(slot, "no")).cast("int"))
-    at = at.select("*", F.explode(F.sequence(F.when(own, F.col("nl")).otherwise(0), F.col("nl") + F.col("no") - 1)).alias("other"))
+    at = at.select(
+        "*", F.explode(F.sequence(F.when(own, F.col("nl")).otherwise(0), F.col("nl") + F.col("no") - 1)).alias("other")
+    )
     lo, hi = F.least("at", "other"), F.greatest("at", "other")
-    return at.select(F.xxhash64("cluster", lo, hi).alias("deal"), lo.alias("lo"), hi.alias("hi"), "at", "id", "component")
-
-
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 85, m: int = 40, tail: float = 1e-5, block: int = 1000) -> DataFrame:
+    return at.select(
+        F.xxhash64("cluster", lo, hi).alias("deal"), lo.alias("lo"), hi.alias("hi"), "at", "id", "component"
+    )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    percent: int = 85,
+    m: int = 40,
+    tail: float = 1e-5,
+    block: int = 1000,
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row: the group of near-duplicates it is in.
 
     Texts are linked when 100 * intersection >= percent * union of their sets of distinct shingles of lower-cased words
@@ -210,20 +280,44 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component_id is the own id. Rows that repeat an id are one document, which links by any of its texts. An empty table
     gives an empty result; other columns are ignored."""
     errors = max_errors(m, percent / 100, tail)
-    rows = save(sketch(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).select("id", "text"), "text", shingle, m).select("row.id", "n_shingles", "h1", "h2", "sig"))
+    rows = save(
+        sketch(
+            docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).select("id", "text"),
+            "text",
+            shingle,
+            m,
+        ).select("row.id", "n_shingles", "h1", "h2", "sig")
+    )
     same = ["n_shingles", "h1", "h2"]
-    classes = save(rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("id"), F.first("sig").alias("sig")))
+    classes = save(
+        rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*same).agg(
+            F.min("id").alias("id"), F.first("sig").alias("sig")
+        )
+    )
     keys = index_keys(classes, m, errors)
     held = save(keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("n")).where("n > 1"))
     buckets = save(look_up(keys, held, ["key"], ["id"]).where("id <> p OR n > 2"))
     star = save(buckets.where("id <> p").select(F.col("p").alias("a"), F.col("id").alias("b")).distinct())
     degree = star.groupBy("a").agg(F.count("*").alias("n"))
-    near = even_join(star, classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na")), "a", ["b"], degree).join(classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb")), "b")
+    near = even_join(
+        star, classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na")), "a", ["b"], degree
+    ).join(classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb")), "b")
     near = save(near.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"))
     several = buckets.where("n > 2").select("key", "id", "p")
-    wanted = several.select("id").unionByName(near.select(F.col("a").alias("id"))).unionByName(near.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
-    sets = save(annotate(texts, "text", "shingles binary", lambda c: {"shingles": pa.array([x.tobytes() for x in shingle_sets(c, shingle)], pa.binary())}).select("row.id", "shingles").where(F.octet_length("shingles") > 0))
+    wanted = several.select("id").unionByName(
+        near.select(F.col("a").alias("id"))
+    ).unionByName(near.select(F.col("b").alias("id"))).distinct()
+    texts = docs.select(
+        F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")
+    ).join(wanted, "id", "left_semi")
+    sets = save(
+        annotate(
+            texts,
+            "text",
+            "shingles binary",
+            lambda c: {"shingles": pa.array([x.tobytes() for x in shingle_sets(c, shingle)], pa.binary())},
+        ).select("row.id", "shingles").where(F.octet_length("shingles") > 0)
+    )
     links = save(confirm(near, sets, percent))
     part = save(components(links))
     forget(held, star, near, links)
@@ -236,7 +330,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         compared, found = pairs.count(), links.count()
         if found:
             before = part
-            part = save(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)))
+            part = save(
+                components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+            )
             forget(before, open_)
             open_ = open_buckets(several, part)
         forget(pairs, links)
@@ -247,21 +343,39 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     clusters = components(edges).select(F.col("node").alias("component"), F.col("component").alias("cluster"))
     clusters = save(clusters.join(members.groupBy("component").agg(F.count("*").alias("n")), "component"))
     dealt = block_pairs(look_up(members, clusters, ["component"], ["id"]).drop("n"), block)
-    full = classes.groupBy("id").agg(F.first("sig").alias("sig")).join(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "id")
+    full = classes.groupBy("id").agg(F.first("sig").alias("sig")).join(
+        sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "id"
+    )
     more = save(in_blocks(dealt.join(full, "id"), m, errors, percent, block))
-    whole = save(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))) if not more.isEmpty() else part
+    whole = save(
+        components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    ) if not more.isEmpty() else part
     forget(buckets, sets, open_, members, clusters, more)
 
     known = classes.select(*[F.col(c).alias("_" + c) for c in same], F.col("id").alias("_rep"))
-    out = rows.drop("sig").join(known, (F.col("n_shingles") == F.col("_n_shingles")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & F.col("id").isNotNull(), "left")
+    out = rows.drop("sig").join(
+        known,
+        (F.col("n_shingles") == F.col("_n_shingles"))
+        & (F.col("h1") == F.col("_h1"))
+        & (F.col("h2") == F.col("_h2"))
+        & F.col("id").isNotNull(),
+        "left",
+    )
     out = out.join(whole.select(F.col("node").alias("_rep"), "component"), "_rep", "left")
     group = F.coalesce("component", "_rep", "id")
-    return out.select(F.col("id").alias(doc_id), "n_shingles", group.alias("component_id"), F.coalesce(group == F.col("id"), F.lit(True)).alias("kept"))
+    return out.select(
+        F.col("id").alias(doc_id),
+        "n_shingles",
+        group.alias("component_id"),
+        F.coalesce(group == F.col("id"), F.lit(True)).alias("kept"),
+    )
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest id. Rows of one id go or stay together."""
-    gone = near_duplicates(docs, shingle=shingle, percent=percent).groupBy("doc_id").agg(F.min("kept").alias("_kept")).where("NOT _kept")
+    gone = near_duplicates(
+        docs, shingle=shingle, percent=percent
+    ).groupBy("doc_id").agg(F.min("kept").alias("_kept")).where("NOT _kept")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"))
     return rows.join(gone.select(F.col("doc_id").alias("_id")), "_id", "left_anti").select(*unpack(docs, docs.columns))
 

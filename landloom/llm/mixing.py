@@ -26,8 +26,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
     Weights repeat over the sources in code point order. share: of all words, what the mix is to hold; where it is above
     what max_epochs times all sources give, every source stands at its cap. Only one row per source is put in order here."""
-    w = F.element_at(F.array(*[F.lit(x) for x in weights]), (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1)
-    out = sizes.select("source", "source_size", w.cast("long").alias("_w"), (F.col("source_size") * max_epochs).alias("_cap"))
+    w = F.element_at(
+        F.array(*[F.lit(x) for x in weights]),
+        (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1,
+    )
+    out = sizes.select(
+        "source", "source_size", w.cast("long").alias("_w"), (F.col("source_size") * max_epochs).alias("_cap")
+    )
     order = Window.orderBy(F.col("_cap") / F.col("_w"), F.col("source").asc_nulls_last())
     out = out.select(
         "*",
@@ -37,11 +42,28 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     )
     out = out.withColumn("_full", F.col("_cap") * F.col("_left") <= (F.col("_all") - F.col("_below")) * F.col("_w"))
     free = F.when(~F.col("_full"), F.col("_w"))
-    level = (F.max("_all").over(Window.partitionBy()) - F.coalesce(F.sum(F.when(F.col("_full"), F.col("_cap"))).over(Window.partitionBy()), F.lit(0))) / F.sum(free).over(Window.partitionBy())
-    return out.select("source", "source_size", F.when(F.col("_full"), F.col("_cap").cast("double")).otherwise(F.col("_w") * level).alias("target"))
+    level = (
+        F.max("_all").over(Window.partitionBy()) - F.coalesce(
+            F.sum(F.when(F.col("_full"), F.col("_cap"))).over(Window.partitionBy()), F.lit(0)
+        )
+    ) / F.sum(free).over(Window.partitionBy())
+    return out.select(
+        "source",
+        "source_size",
+        F.when(F.col("_full"), F.col("_cap").cast("double")).otherwise(F.col("_w") * level).alias("target"),
+    )
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
+def mix(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = 1.0,
+    max_epochs: int = 3,
+    seed: str = "mix",
+) -> DataFrame:
     """(doc_id, size, source_size, target, copies): how often the mix takes each row.
 
     size: words of a document (null or empty text: 0). A source's share of whole repetitions is the same for all its
@@ -51,28 +73,61 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     apart by size only, and rows alike in all are interchangeable. A source without words has target 0 and its documents 0 or whole copies of nothing. An empty
     table gives an empty result; other columns are ignored."""
     # rows without an id are spread by their texts, so that they don't share one place in the order
-    mark = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.xxhash64(text).cast("string")))))
-    sized = save(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), mark.alias("mark")))
+    mark = F.md5(
+        F.concat(
+            F.lit(seed + ":"),
+            F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.xxhash64(text).cast("string"))),
+        )
+    )
+    sized = save(
+        docs.select(
+            F.col(doc_id).alias("doc_id"),
+            F.col(source).alias("source"),
+            F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            mark.alias("mark"),
+        )
+    )
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs)
-    goal = save(goal.select("*", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("whole")))
+    goal = save(
+        goal.select(
+            "*",
+            F.when(
+                F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
+            ).otherwise(0).alias("whole"),
+        )
+    )
     goal = goal.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     alike = F.col("source").eqNullSafe(F.col("_source"))
 
     def cut(rows: DataFrame, slot, before) -> DataFrame:
         """The slot of each source in which the running sum passes rest, and the sum before it."""
-        sums = rows.groupBy("source", slot.alias("slot")).agg(F.sum("size").alias("n"), F.first(before).alias("b"), F.first("rest").alias("rest"))
+        sums = rows.groupBy("source", slot.alias("slot")).agg(
+            F.sum("size").alias("n"), F.first(before).alias("b"), F.first("rest").alias("rest")
+        )
         upto = F.col("b") + F.sum("n").over(Window.partitionBy("source").orderBy("slot"))
-        return sums.withColumn("upto", upto).where(F.col("upto") > F.col("rest")).groupBy(F.col("source").alias("_source")).agg(F.min("slot").alias("slot"), F.min_by(F.col("upto") - F.col("n"), "slot").alias("before"))
+        return sums.withColumn("upto", upto).where(F.col("upto") > F.col("rest")).groupBy(
+            F.col("source").alias("_source")
+        ).agg(
+            F.min("slot").alias("slot"), F.min_by(F.col("upto") - F.col("n"), "slot").alias("before")
+        )
 
     slots = F.substring("mark", 1, 3), F.substring("mark", 4, 2)
     with_goal = sized.join(goal.withColumnRenamed("source", "_source"), alike).drop("_source")
     first = save(cut(with_goal, slots[0], F.lit(0)))
-    at = with_goal.join(first, alike, "left").drop("_source").withColumnRenamed("slot", "slot1").withColumnRenamed("before", "before1")
+    at = with_goal.join(
+        first, alike, "left"
+    ).drop("_source").withColumnRenamed("slot", "slot1").withColumnRenamed("before", "before1")
     second = save(cut(at.where(slots[0] == F.col("slot1")), slots[1], F.col("before1")))
-    at = at.join(second, alike, "left").drop("_source").withColumnRenamed("slot", "slot2").withColumnRenamed("before", "before2")
+    at = at.join(
+        second, alike, "left"
+    ).drop("_source").withColumnRenamed("slot", "slot2").withColumnRenamed("before", "before2")
     inside = (slots[0] == F.col("slot1")) & (slots[1] == F.col("slot2"))
-    clear = F.col("slot1").isNull() | (slots[0] < F.col("slot1")) | ((slots[0] == F.col("slot1")) & (F.col("slot2").isNull() | (slots[1] < F.col("slot2"))))
-    middle = F.col("before2") + F.sum("size").over(Window.partitionBy("source").orderBy("mark", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2
+    clear = F.col("slot1").isNull() | (slots[0] < F.col("slot1")) | (
+        (slots[0] == F.col("slot1")) & (F.col("slot2").isNull() | (slots[1] < F.col("slot2")))
+    )
+    middle = F.col("before2") + F.sum("size").over(
+        Window.partitionBy("source").orderBy("mark", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    ) - F.col("size") / 2
     plain = at.where(~F.coalesce(inside, F.lit(False))).withColumn("more", clear.cast("long"))
     near = at.where(inside).withColumn("more", (middle <= F.col("rest")).cast("long"))
     out = plain.unionByName(near)
@@ -86,7 +141,9 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     counts = mix(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"))
     out = rows.join(counts, F.col("_doc").eqNullSafe(F.col("_id"))).where("_copies > 0")
-    return out.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c != "copies"], F.col("_copies").alias("copies"))
+    return out.select(
+        *[F.col("_row").getField(c).alias(c) for c in docs.columns if c != "copies"], F.col("_copies").alias("copies")
+    )
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,11 @@ def base_spans(text: str) -> list[tuple[int, str, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[1])))
 
 
-SYMBOLS = {**{c: "0" for c in "0123456789"}, **{c: "f" if c <= "f" else "z" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: "Z" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}}
+SYMBOLS = {
+    **{c: "0" for c in "0123456789"},
+    **{c: "f" if c <= "f" else "z" for c in "abcdefghijklmnopqrstuvwxyz"},
+    **{c: "Z" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"},
+}
 SYMBOL_OF_BYTE = np.array([ord(SYMBOLS.get(chr(b), chr(b))) for b in range(256)], np.uint8)
 GAP = np.array([not CREDENTIAL.match(chr(b)) for b in range(256)])
 
@@ -92,7 +96,9 @@ class Runs:
 
     def distinct(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, first place, number of each run's) of the distinct runs of data, which is bytes or symbols."""
-        return np.unique(spans(prefixes(BYTE_VALUES[data]), self.starts, self.ends), return_index=True, return_inverse=True)
+        return np.unique(
+            spans(prefixes(BYTE_VALUES[data]), self.starts, self.ends), return_index=True, return_inverse=True
+        )
 
     def read(self, data: np.ndarray, i: int) -> str:
         return data[self.starts[i] : self.ends[i]].tobytes().decode("ascii")
@@ -201,7 +207,11 @@ def chain(words: list[str], backed: float = 5.0) -> dict[str, float]:
     total = sum(single.values())
     pairs = Counter(x + y for w in words for x, y in zip(" " + w, w + " ", strict=True))
     before = Counter(c for w in words for c in " " + w)
-    return {x + y: math.log((pairs[x + y] + backed * n / total) / (before[x] + backed)) for x in single for y, n in single.items()}
+    return {
+        x + y: math.log((pairs[x + y] + backed * n / total) / (before[x] + backed))
+        for x in single
+        for y, n in single.items()
+    }
 
 
 def learn(positives: dict[str, list[str]], others: list[str], quantile: float = 0.1):
@@ -219,7 +229,9 @@ def learn(positives: dict[str, list[str]], others: list[str], quantile: float =
 
 def odds(automaton, background: dict[str, float], w: str) -> float:
     """Log-likelihood ratio against the background, per symbol."""
-    return (likelihood(automaton, w) - sum(background.get(x + y, -8.0) for x, y in zip(" " + w, w + " ", strict=True))) / (len(w) + 1)
+    return (
+        likelihood(automaton, w) - sum(background.get(x + y, -8.0) for x, y in zip(" " + w, w + " ", strict=True))
+    ) / (len(w) + 1)
 
 
 def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
@@ -229,7 +241,9 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
     Null and empty texts have none. Where no kind has 20 labelled credentials there is nothing to infer, and the fixed
     patterns' spans are all. Other columns ride along in row; an empty table gives an empty result."""
     fields = "array<struct<start:long,kind:string,end:long,token:string>>"
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64()), ("token", pa.string())]))
+    kind = pa.list_(
+        pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64()), ("token", pa.string())])
+    )
 
     def labelled(column: pa.Array) -> dict:
         """Spans of the fixed patterns; with a block's first text, the runs of least hash outside them, whose start is the hash."""
@@ -241,16 +255,33 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
         for i in np.flatnonzero(np.isin(runs.text, [k for k, own in enumerate(base) if own])).tolist():
             clear[i] = free(int(runs.at[i]), int(runs.at[i] + runs.ends[i] - runs.starts[i]), base[runs.text[i]])
         for k in np.flatnonzero(np.bincount(which, clear, len(hashes)) > 0)[:sample].tolist():
-            others.append({"start": int(signed(hashes[k : k + 1])[0]), "kind": "format", "end": 0, "token": runs.read(runs.data, first[k])})
+            others.append(
+                {
+                    "start": int(signed(hashes[k : k + 1])[0]),
+                    "kind": "format",
+                    "end": 0,
+                    "token": runs.read(runs.data, first[k]),
+                }
+            )
         if out:
             out[0] += others
         return {"base": pa.array(out, kind)}
 
     found = annotate(docs.select(text), text, f"base {fields}", labelled).select(F.explode("base").alias("z"))
-    tokens = save(found.select("z.kind", "z.token", F.when(F.col("z.kind") == "format", F.col("z.start")).otherwise(F.xxhash64("z.token")).alias("h")).distinct())
+    tokens = save(
+        found.select(
+            "z.kind",
+            "z.token",
+            F.when(F.col("z.kind") == "format", F.col("z.start")).otherwise(F.xxhash64("z.token")).alias("h"),
+        ).distinct()
+    )
     # hashes are in unsigned order
     order = [F.col("h") < 0, F.col("h"), F.col("token")]
-    bounded = {k: [r.token for r in tokens.where(F.col("kind") == k).orderBy(*order).limit(sample).collect()] for k in (*KINDS, "format")}
+    bounded = {
+        k: [
+            r.token for r in tokens.where(F.col("kind") == k).orderBy(*order).limit(sample).collect()
+        ] for k in (*KINDS, "format")
+    }
     forget(tokens)
     others = [x[a:b] for x in bounded.pop("format") for a, b in parts_of(x)]
     automata, background = learn(bounded, others)
@@ -260,7 +291,9 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
         """The parts of a run of symbols that are typical; runs of the same symbols are alike."""
         if run in known:
             return known[run]
-        good = [(a, b) for a, b in parts_of(run) if any(odds(m, background, run[a:b]) >= least for _, m, least in automata)]
+        good = [
+            (a, b) for a, b in parts_of(run) if any(odds(m, background, run[a:b]) >= least for _, m, least in automata)
+        ]
         if len(run) <= 64 and len(known) < 1 << 17:
             known[run] = good
         return good
@@ -277,19 +310,40 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
                 at, upto, whole = int(runs.at[i]), 0, runs.read(runs.data, i)
                 for a, b in good[which[i]]:
                     if b > upto and free(at + a, at + b, base[runs.text[i]]):  # a piece of an added run is none of its own
-                        added[runs.text[i]].append({"start": at + a, "kind": "format", "end": at + b, "token": whole[a:b]})
+                        added[runs.text[i]].append(
+                            {"start": at + a, "kind": "format", "end": at + b, "token": whole[a:b]}
+                        )
                         upto = b
-        return {"base": pa.array([[{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own] for own in base], kind), "added": pa.array(added, kind)}
+        return {
+            "base": pa.array(
+                [[{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own] for own in base], kind
+            ),
+            "added": pa.array(added, kind),
+        }
 
     rest = [c for c in docs.columns if c != text]
-    scored = annotate(docs, text, f"base {fields}, added {fields}", make).select(F.struct(*[F.col("row").getField(c).alias(c) for c in rest]).alias("row"), "base", "added")
+    scored = annotate(docs, text, f"base {fields}, added {fields}", make).select(
+        F.struct(*[F.col("row").getField(c).alias(c) for c in rest]).alias("row"), "base", "added"
+    )
     order = {k: i for i, k in enumerate((*KINDS, "format"))}
-    rank = lambda z: F.struct(z["start"].alias("start"), F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), z["kind"]).alias("rank"), z["kind"].alias("kind"), z["end"].alias("end"))
-    return scored.select("row", F.sort_array(F.transform("base", rank)).alias("base"), F.sort_array(F.transform(F.concat("base", "added"), rank)).alias("spans"))
+    rank = lambda z: F.struct(
+        z["start"].alias("start"),
+        F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), z["kind"]).alias("rank"),
+        z["kind"].alias("kind"),
+        z["end"].alias("end"),
+    )
+    return scored.select(
+        "row",
+        F.sort_array(F.transform("base", rank)).alias("base"),
+        F.sort_array(F.transform(F.concat("base", "added"), rank)).alias("spans"),
+    )
 
 
 def joined(column):
-    return F.array_join(F.transform(column, lambda z: F.concat_ws(":", z["kind"], z["start"].cast("string"), z["end"].cast("string"))), ",")
+    return F.array_join(
+        F.transform(column, lambda z: F.concat_ws(":", z["kind"], z["start"].cast("string"), z["end"].cast("string"))),
+        ",",
+    )
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,4 +351,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda z: z["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     out = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("row.doc_id", *[count(k) for k in KINDS], F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    return out.select(
+        "row.doc_id",
+        *[count(k) for k in KINDS],
+        F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )

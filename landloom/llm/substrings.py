@@ -18,7 +18,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import annotate, blocks, covered, even_join, forget, inside, look_up, mixed, prefixes, runs, save, signed, table, windows, winnow, word_table
+from landloom.llm.common import (
+    annotate,
+    blocks,
+    covered,
+    even_join,
+    forget,
+    inside,
+    look_up,
+    mixed,
+    prefixes,
+    runs,
+    save,
+    signed,
+    table,
+    windows,
+    winnow,
+    word_table,
+)
 
 #: So many ids of 8 bytes are broadcast at most, to filter texts before they are shuffled; beyond, the join shuffles them.
 MAX_IDS = 1 << 20
@@ -34,11 +51,15 @@ def anchors(words: np.ndarray, first: np.ndarray, length: int, seed: int) -> tup
     """(hashes of runs of seed words, anchor hash of each run of length words or 0, word hash prefix sums)."""
     sums = prefixes(words)
     grams = windows(sums, seed)
-    least, _ = winnow(grams, length - seed + 1, inside(first, length, len(words) - length + 1)) if len(words) >= length else (grams[:0], None)
+    least, _ = winnow(
+        grams, length - seed + 1, inside(first, length, len(words) - length + 1)
+    ) if len(words) >= length else (grams[:0], None)
     return grams, least, sums
 
 
-def extend(x: np.ndarray, y: np.ndarray, seeds_x: np.ndarray, seeds_y: np.ndarray, seed: int, length: int) -> np.ndarray:
+def extend(
+    x: np.ndarray, y: np.ndarray, seeds_x: np.ndarray, seeds_y: np.ndarray, seed: int, length: int
+) -> np.ndarray:
     """At which words of x runs of length words begin that y holds on a diagonal of a shared anchor (hashes of words given).
 
     Where anchors repeat so often that there are more than MAX_DIAGONALS of them, runs are looked up whole instead."""
@@ -61,7 +82,9 @@ def extend(x: np.ndarray, y: np.ndarray, seeds_x: np.ndarray, seeds_y: np.ndarra
                 for s, e in zip(a[b - a >= length], b[b - a >= length], strict=True):
                     out[lo + s : lo + e - length + 1] = True
             return out
-    return np.isin(windows(prefixes(x), length), windows(prefixes(y), length)) & np.isin(windows(prefixes(mixed(x)), length), windows(prefixes(mixed(y)), length))
+    return np.isin(windows(prefixes(x), length), windows(prefixes(y), length)) & np.isin(
+        windows(prefixes(mixed(x)), length), windows(prefixes(mixed(y)), length)
+    )
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, seed: int = 20) -> DataFrame:
@@ -71,20 +94,33 @@ def repeated_spans(docs: DataFrame, length: int = 50, seed: int = 20) -> DataFra
     def seeds(column: pa.Array) -> dict:
         words, first = word_table(column)
         _, least, _ = anchors(words, first, length, seed)
-        own = [np.unique(least[a : max(a, b - length + 1)]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+        own = [
+            np.unique(least[a : max(a, b - length + 1)])
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
+        ]
         cuts = np.cumsum([0, *map(len, own)]).astype(np.int32)
         return {"h": pa.ListArray.from_arrays(cuts, pa.array(signed(np.concatenate([*own, least[:0]]))))}
 
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    each = annotate(docs, "text", "h array<long>", seeds).select(F.col("row.doc_id").alias("doc_id"), F.explode("h").alias("h"))
-    leaders = save(each.groupBy("h").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("leader < last").drop("last"))
-    hits = look_up(each, leaders, ["h"], ["doc_id"]).where("doc_id > leader").groupBy("doc_id", "leader").agg(F.collect_set("h").alias("h"))
+    each = annotate(docs, "text", "h array<long>", seeds).select(
+        F.col("row.doc_id").alias("doc_id"), F.explode("h").alias("h")
+    )
+    leaders = save(
+        each.groupBy("h").agg(
+            F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"), F.count("*").alias("n")
+        ).where("leader < last").drop("last")
+    )
+    hits = look_up(
+        each, leaders, ["h"], ["doc_id"]
+    ).where("doc_id > leader").groupBy("doc_id", "leader").agg(F.collect_set("h").alias("h"))
     hits = save(hits)
     followers = hits.groupBy("leader").agg(F.count("*").alias("n"))
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("same"))
     xs, ys = save(hits.select("doc_id").distinct()), save(hits.select(F.col("leader").alias("doc_id")).distinct())
     left = only(hashed, xs, "doc_id").join(hits, "doc_id")
-    right = only(hashed, ys, "doc_id").select(F.col("doc_id").alias("leader"), F.col("text").alias("leading")).distinct()
+    right = only(hashed, ys, "doc_id").select(
+        F.col("doc_id").alias("leader"), F.col("text").alias("leading")
+    ).distinct()
 
     def pair(batches):
         for part in blocks(batches, "text"):
@@ -98,21 +134,50 @@ def repeated_spans(docs: DataFrame, length: int = 50, seed: int = 20) -> DataFra
                 rest = np.flatnonzero(np.isin(least, asked) & ~found)
                 a, b = runs(found)
                 more = windows(sums, length)[rest], windows(prefixes(mixed(own)), length)[rest]
-                rows.append((a.tolist(), (b + length - 1).tolist(), signed(more[0]).tolist(), signed(more[1]).tolist(), rest.tolist()))
+                rows.append(
+                    (
+                        a.tolist(),
+                        (b + length - 1).tolist(),
+                        signed(more[0]).tolist(),
+                        signed(more[1]).tolist(),
+                        rest.tolist(),
+                    )
+                )
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("same"), *[pa.array(c, pa.list_(pa.int64())) for c in columns]], ["doc_id", "same", "a", "b", "h1", "h2", "at"])
-
-    found = save(even_join(left, right, "leader", ["doc_id"], followers).select("doc_id", "same", "text", "leading", "h").mapInArrow(pair, "doc_id long, same long, a array<long>, b array<long>, h1 array<long>, h2 array<long>, at array<long>"))
-    rest = found.select("doc_id", "same", F.explode(F.arrays_zip("h1", "h2", "at")).alias("z")).select("doc_id", "same", "z.*")
-    firsts = save(rest.groupBy("h1", "h2").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("leader < last").drop("last"))
-    more = look_up(rest, firsts, ["h1", "h2"], ["doc_id", "at"]).where("doc_id > leader").select("doc_id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span"))
-    plain = found.select("doc_id", "same", F.explode(F.arrays_zip(F.col("a").alias("start"), F.col("b").alias("end"))).alias("span"))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("same"), *[pa.array(c, pa.list_(pa.int64())) for c in columns]],
+                ["doc_id", "same", "a", "b", "h1", "h2", "at"],
+            )
+
+    found = save(
+        even_join(
+            left, right, "leader", ["doc_id"], followers
+        ).select("doc_id", "same", "text", "leading", "h").mapInArrow(
+            pair, "doc_id long, same long, a array<long>, b array<long>, h1 array<long>, h2 array<long>, at array<long>"
+        )
+    )
+    rest = found.select(
+        "doc_id", "same", F.explode(F.arrays_zip("h1", "h2", "at")).alias("z")
+    ).select("doc_id", "same", "z.*")
+    firsts = save(
+        rest.groupBy("h1", "h2").agg(
+            F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"), F.count("*").alias("n")
+        ).where("leader < last").drop("last")
+    )
+    more = look_up(rest, firsts, ["h1", "h2"], ["doc_id", "at"]).where("doc_id > leader").select(
+        "doc_id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span")
+    )
+    plain = found.select(
+        "doc_id", "same", F.explode(F.arrays_zip(F.col("a").alias("start"), F.col("b").alias("end"))).alias("span")
+    )
     out = save(plain.unionByName(more).groupBy("doc_id", "same").agg(F.collect_set("span").alias("spans")))
     forget(leaders, hits, xs, ys, found, firsts)
     return out
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 50, seed: int = 20) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 50, seed: int = 20
+) -> DataFrame:
     """(row, n_words, n_removed, kept): every row with the words that stay, joined by single spaces.
 
     A word goes when a run of length words around it also begins in a document of a smaller id; repeats within one document
@@ -121,8 +186,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ride along in row."""
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     spans = repeated_spans(plain, length, seed)
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")).withColumn("_same", F.xxhash64("_text"))
-    held = rows.join(spans.select(F.col("doc_id").alias("_id"), F.col("same").alias("_same"), "spans"), ["_id", "_same"], "left")
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")
+    ).withColumn("_same", F.xxhash64("_text"))
+    held = rows.join(
+        spans.select(F.col("doc_id").alias("_id"), F.col("same").alias("_same"), "spans"), ["_id", "_same"], "left"
+    )
 
     def cut(batches):
         for part in blocks(batches, "_text"):
@@ -131,11 +200,20 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 words = (x or "").encode().split()
                 if s:
                     gone = covered(len(words), np.array([z["start"] for z in s]), np.array([z["end"] for z in s]))
-                    out.append((len(words), int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode()))
+                    out.append(
+                        (
+                            len(words),
+                            int(gone.sum()),
+                            b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode(),
+                        )
+                    )
                 else:
                     out.append((len(words), 0, b" ".join(words).decode()))
             n, k, kept = zip(*out, strict=True) if out else ([], [], [])
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(kept, pa.string())], ["row", "n_words", "n_removed", "kept"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(kept, pa.string())],
+                ["row", "n_words", "n_removed", "kept"],
+            )
 
     from pyspark.sql.types import StructType
 
@@ -145,7 +223,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return out.select(
+        "row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
 
 
 SQL = """

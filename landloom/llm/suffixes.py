@@ -38,7 +38,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from landloom.llm.common import BYTE_VALUES, annotate, blocks, covered, forget, inside, look_up, mixed, prefixes, runs, save, signed, table, utf8, windows, winnow
+from landloom.llm.common import (
+    BYTE_VALUES,
+    annotate,
+    blocks,
+    covered,
+    forget,
+    inside,
+    look_up,
+    mixed,
+    prefixes,
+    runs,
+    save,
+    signed,
+    table,
+    utf8,
+    windows,
+    winnow,
+)
 from landloom.llm.substrings import only
 
 LENGTH, SEED = 200, 64
@@ -75,7 +92,9 @@ def shared(a: bytes | None, b: bytes | None) -> tuple[int, int]:
 def pack(entries: list[tuple[int, bytes, int]]) -> bytes:
     """A block of (common prefix with the entry before, key, number), compressed; the first key is whole."""
     numbers = np.array([(e[0], len(e[1]), min(e[2], 2)) for e in entries], np.int32)
-    raw = struct.pack("<i", len(entries)) + numbers.tobytes() + b"".join(e[1] if not k else e[1][e[0] :] for k, e in enumerate(entries))
+    raw = struct.pack("<i", len(entries)) + numbers.tobytes() + b"".join(
+        e[1] if not k else e[1][e[0] :] for k, e in enumerate(entries)
+    )
     return struct.pack("<i", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -117,19 +136,37 @@ def make_runs(spots: DataFrame, length: int, seed: int) -> DataFrame:
         of, entries = sorted_run(keys)
         n = len(of)
         empty = pa.nulls(n, pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([run] * n), pa.array(of, pa.int64()), *[pa.array(c, pa.int64()) for c in zip(*spot, strict=True)], empty, empty, empty], names)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([run] * n),
+                pa.array(of, pa.int64()),
+                *[pa.array(c, pa.int64()) for c in zip(*spot, strict=True)],
+                empty,
+                empty,
+                empty,
+            ],
+            names,
+        )
         starts = range(0, len(entries), BLOCK_ENTRIES)
         for many in (starts[k : k + 64] for k in range(0, len(starts), 64)):
             none = pa.nulls(len(many), pa.int64())
             cut = [entries[k : k + BLOCK_ENTRIES] for k in many]
-            made = [pa.array(x, pa.binary()) for x in ([c[0][1] for c in cut], [c[-1][1] for c in cut], [pack(c) for c in cut])]
-            yield pa.RecordBatch.from_arrays([pa.array([run] * len(many)), pa.array(list(many), pa.int64()), none, none, none, *made], names)
+            made = [
+                pa.array(x, pa.binary()) for x in (
+                    [c[0][1] for c in cut], [c[-1][1] for c in cut], [pack(c) for c in cut]
+                )
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([run] * len(many)), pa.array(list(many), pa.int64()), none, none, none, *made], names
+            )
 
     def run(batches):
         number, held = TaskContext.get().partitionId() << 20, 0
         spot, keys = [], []
         for part in blocks(batches, "text"):
-            for i, s, text, ats in zip(*[part.column(c).to_pylist() for c in ("id", "same", "text", "ats")], strict=True):
+            for i, s, text, ats in zip(
+                *[part.column(c).to_pylist() for c in ("id", "same", "text", "ats")], strict=True
+            ):
                 data = text.encode()
                 spot += [(i, s, a) for a in ats]
                 keys += [key_of(data, a, length, length - seed) for a in ats]
@@ -215,7 +252,14 @@ class LoserTree:
 FOUND = "part int, run long, entry long, size int, c int, r2 int, low int, high int, first binary, last binary, after binary, before binary"
 
 
-def merge_part(runs_of: dict[int, list[tuple[int, bytes]]], low: bytes | None, high: bytes | None, length: int, seed: int, most: int) -> Iterator[tuple]:
+def merge_part(
+    runs_of: dict[int, list[tuple[int, bytes]]],
+    low: bytes | None,
+    high: bytes | None,
+    length: int,
+    seed: int,
+    most: int,
+) -> Iterator[tuple]:
     """Rows (run, entry, size, c, r2, low, high) of the entries of a range (see FOUND), then one of its first and last keys and of
     the suffixes after the first's and before the last's equals (None: there are none). runs_of: blocks of each run in order;
     most: the largest group that is extended."""
@@ -243,7 +287,9 @@ def merge_part(runs_of: dict[int, list[tuple[int, bytes]]], low: bytes | None, h
         group.append((known if group else 0, key, n, run, entry))
     if group:
         # of the first group, the lower border was seen to before unless it is also the last
-        yield from group_rows(group, cut(low, group[0][1]) and group[0][1] == first, cut(high, group[0][1]), length, most)
+        yield from group_rows(
+            group, cut(low, group[0][1]) and group[0][1] == first, cut(high, group[0][1]), length, most
+        )
     yield first, last, after, before
 
 
@@ -327,7 +373,9 @@ def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
     """(run, entry, size, c, r2) of all entries, as in FOUND, with what lies beyond the borders of their ranges."""
     parts = table_of_runs.where("block IS NOT NULL")
     wanted = max(1, ceil(parts.count() / RANGE_BLOCKS))
-    heads = sorted(bytes(r.head) for r in parts.select("head").orderBy(F.xxhash64("head"), "run").limit(4 * wanted).collect())
+    heads = sorted(
+        bytes(r.head) for r in parts.select("head").orderBy(F.xxhash64("head"), "run").limit(4 * wanted).collect()
+    )
     cuts = [heads[k * len(heads) // wanted] for k in range(1, wanted)] if heads else []
     # between groups, but within those that are larger than a range
     starts = [c[:seed] for c in cuts]
@@ -337,14 +385,33 @@ def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
     def deal(batches):
         for batch in batches:
             rows = []
-            for run, entry, head, tail, blob in zip(*[batch.column(c).to_pylist() for c in ("run", "entry", "head", "tail", "block")], strict=True):
+            for run, entry, head, tail, blob in zip(
+                *[batch.column(c).to_pylist() for c in ("run", "entry", "head", "tail", "block")], strict=True
+            ):
                 low, high = bisect_right(cuts, head), bisect_right(cuts, tail)
-                rows += [(k, run, e, b) for k, e, b in ([(low, entry, blob)] if low == high else cut_block(blob, entry, low, high, cuts))]
+                rows += [
+                    (k, run, e, b) for k, e, b in (
+                        [(low, entry, blob)] if low == high else cut_block(blob, entry, low, high, cuts)
+                    )
+                ]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["part", "run", "entry", "block"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(c, t) for c, t in zip(
+                        columns, (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True
+                    )
+                ],
+                ["part", "run", "entry", "block"],
+            )
 
     most = GROUP
-    schema = pa.schema([(x.split()[0], {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]]) for x in FOUND.split(", ")])
+    schema = pa.schema(
+        [
+            (
+                x.split()[0], {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]]
+            ) for x in FOUND.split(", ")
+        ]
+    )
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("run", "ascending"), ("entry", "ascending")])
@@ -355,13 +422,19 @@ def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
         *rows, ends = merge_part(by, cuts[k - 1] if k else None, cuts[k] if k < len(cuts) else None, length, seed, most)
         rows = [(k, *x, None, None, None, None) for x in rows if x[3] >= 0 or x[4] >= seed or x[5] or x[6]]
         rows.append((k, None, None, None, None, None, None, None, *ends))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        return pa.table(
+            [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
+        )
 
-    dealt = parts.select("run", "entry", "head", "tail", "block").mapInArrow(deal, "part int, run long, entry long, block binary")
+    dealt = parts.select("run", "entry", "head", "tail", "block").mapInArrow(
+        deal, "part int, run long, entry long, block binary"
+    )
     found = save(dealt.groupBy("part").applyInArrow(run, FOUND))
     rows = found.where("run IS NOT NULL").select("part", "run", "entry", "size", "c", "r2", "low", "high")
     if several:
-        rows = rows.where("low = 0 AND high = 0").unionByName(beyond_borders(rows.where("low > 0 OR high > 0"), found.where("run IS NULL")))
+        rows = rows.where("low = 0 AND high = 0").unionByName(
+            beyond_borders(rows.where("low > 0 OR high > 0"), found.where("run IS NULL"))
+        )
     return rows.where((F.col("c") >= 0) | (F.col("r2") >= seed)).select("run", "entry", "size", "c", "r2")
 
 
@@ -369,8 +442,15 @@ def beyond_borders(rows: DataFrame, ends: DataFrame) -> DataFrame:
     """rows with c and r2 as they are with the neighbours beyond a border: for each range, the nearest key on either side, and the
     nearest suffix that differs from the one at the border. ends has one row per range, in order by a window over those alone."""
     order = Window.orderBy("part")
-    near = ends.select("part", "first", "last", "after", "before").withColumns({"prev": F.lag("last").over(order), "next": F.lead("first").over(order)})
-    same = F.arrow_udf(lambda a, b: pa.array([shared(x, y)[1] >= 0 for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.bool_()), "boolean")
+    near = ends.select("part", "first", "last", "after", "before").withColumns(
+        {"prev": F.lag("last").over(order), "next": F.lead("first").over(order)}
+    )
+    same = F.arrow_udf(
+        lambda a, b: pa.array(
+            [shared(x, y)[1] >= 0 for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.bool_()
+        ),
+        "boolean",
+    )
     near = near.withColumns({"joins_prev": same("first", "prev"), "joins_next": same("last", "next")})
     # the suffix before (after) the class at a range's end, null where it comes from the range before (after)
     near = near.withColumns({
@@ -378,24 +458,48 @@ def beyond_borders(rows: DataFrame, ends: DataFrame) -> DataFrame:
         "a": F.when(F.col("after").isNotNull(), F.col("after")).when(~F.col("joins_next"), F.coalesce("next", F.lit(b""))),
     })
     earlier, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    near = near.withColumns({"lower": F.last("b", ignorenulls=True).over(earlier), "upper": F.first("a", ignorenulls=True).over(later)})
-    near = near.select("part", "first", "last", "prev", "next", F.when(F.col("joins_prev"), F.col("lower")).otherwise(F.col("prev")).alias("lower"), F.when(F.col("joins_next"), F.col("upper")).otherwise(F.col("next")).alias("upper"))
+    near = near.withColumns(
+        {"lower": F.last("b", ignorenulls=True).over(earlier), "upper": F.first("a", ignorenulls=True).over(later)}
+    )
+    near = near.select(
+        "part",
+        "first",
+        "last",
+        "prev",
+        "next",
+        F.when(F.col("joins_prev"), F.col("lower")).otherwise(F.col("prev")).alias("lower"),
+        F.when(F.col("joins_next"), F.col("upper")).otherwise(F.col("next")).alias("upper"),
+    )
 
     def compared(batches):
         for batch in batches:
             out = []
-            for part, first, last, prev, following, lower, upper in zip(*[batch.column(c).to_pylist() for c in batch.schema.names], strict=True):
+            for part, first, last, prev, following, lower, upper in zip(
+                *[batch.column(c).to_pylist() for c in batch.schema.names], strict=True
+            ):
                 mark = lambda x: x if x is None or END in x else x + END
-                out.append((part, shared(first, prev)[1], shared(last, following)[1], shared(first, mark(lower))[0], shared(last, mark(upper))[0]))
+                out.append(
+                    (
+                        part,
+                        shared(first, prev)[1],
+                        shared(last, following)[1],
+                        shared(first, mark(lower))[0],
+                        shared(last, mark(upper))[0],
+                    )
+                )
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in columns], ["part", "c1", "c2", "r1", "r3"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int32()) for c in columns], ["part", "c1", "c2", "r1", "r3"]
+            )
 
     facts = near.mapInArrow(compared, "part int, c1 int, c2 int, r1 int, r3 int")
     at = lambda test, c: F.when(test, F.col(c)).otherwise(-1)
     out = rows.join(facts, "part")
     c = F.greatest("c", at(F.col("low") == 2, "c1"), at(F.col("high") == 2, "c2"))
     r2 = F.greatest("r2", at(F.col("low") > 0, "r1"), at(F.col("high") > 0, "r3"))
-    return out.withColumns({"c": c.cast("int"), "r2": r2.cast("int")}).select("part", "run", "entry", "size", "c", "r2", "low", "high")
+    return out.withColumns({"c": c.cast("int"), "r2": r2.cast("int")}).select(
+        "part", "run", "entry", "size", "c", "r2", "low", "high"
+    )
 
 
 # ------------------------------------------------------------------------------------------------- the operator
@@ -408,10 +512,15 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     def anchors(column: pa.Array) -> dict:
         data, offsets = utf8(column)
         grams = windows(prefixes(BYTE_VALUES[data]), seed)
-        at = winnow(grams, length - seed + 1, inside(offsets, length, len(data) - length + 1))[1] if len(data) >= length else np.zeros(0, np.int64)
+        at = winnow(
+            grams, length - seed + 1, inside(offsets, length, len(data) - length + 1)
+        )[1] if len(data) >= length else np.zeros(0, np.int64)
         cuts = np.searchsorted(at, offsets).astype(np.int32)
         own = at - offsets[np.searchsorted(offsets, at, "right") - 1]
-        return {"h": pa.ListArray.from_arrays(cuts, pa.array(signed(grams[at]))), "at": pa.ListArray.from_arrays(cuts, pa.array(own.astype(np.int32)))}
+        return {
+            "h": pa.ListArray.from_arrays(cuts, pa.array(signed(grams[at]))),
+            "at": pa.ListArray.from_arrays(cuts, pa.array(own.astype(np.int32))),
+        }
 
     each = save(annotate(docs, "text", "h array<long>, at array<int>", anchors).select("row.id", "row.same", "h", "at"))
     often = save(each.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
@@ -421,9 +530,20 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     table_of_runs = save(make_runs(only(docs, ids, "id").join(spots, ["id", "same"]), length, seed))
     forget(each, often, ids)
     found = save(merged(table_of_runs, length, seed))
-    reach = table_of_runs.where("block IS NULL").select("run", "entry", "id", "same", "at").join(found, ["run", "entry"])
-    plain = reach.where(F.col("c") + F.col("size") >= length).select("id", "same", F.struct((F.col("at") - F.col("c")).cast("int").alias("start"), (F.col("at") + F.col("size")).cast("int").alias("end")).alias("span"))
-    open_ = save(reach.where(F.col("r2") >= seed).groupBy("id", "same").agg(F.collect_set(F.struct("at", "r2")).alias("z")))
+    reach = table_of_runs.where("block IS NULL").select(
+        "run", "entry", "id", "same", "at"
+    ).join(found, ["run", "entry"])
+    plain = reach.where(F.col("c") + F.col("size") >= length).select(
+        "id",
+        "same",
+        F.struct(
+            (F.col("at") - F.col("c")).cast("int").alias("start"),
+            (F.col("at") + F.col("size")).cast("int").alias("end"),
+        ).alias("span"),
+    )
+    open_ = save(
+        reach.where(F.col("r2") >= seed).groupBy("id", "same").agg(F.collect_set(F.struct("at", "r2")).alias("z"))
+    )
 
     def strings(batches):
         """The hashes of the strings that other suffixes may hold."""
@@ -447,27 +567,44 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
                 x = chosen[k]
                 j = np.minimum(np.searchsorted(at, x), len(at) - 1)
                 ask = np.flatnonzero((at[j] == x) & (length - (x - s) <= r2[j]))
-                h1, h2 = windows(sums, length)[ask], windows(prefixes(mixed(BYTE_VALUES[data] + np.uint64(1))), length)[ask]
+                h1, h2 = windows(sums, length)[ask], windows(
+                    prefixes(mixed(BYTE_VALUES[data] + np.uint64(1))), length
+                )[ask]
                 rows.append((signed(h1).tolist(), signed(h2).tolist(), ask.tolist()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
             kinds = pa.int64(), pa.int64(), pa.int32()
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("same"), *[pa.array(v, pa.list_(t)) for v, t in zip(columns, kinds, strict=True)]], ["id", "same", "h1", "h2", "at"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("id"),
+                    part.column("same"),
+                    *[pa.array(v, pa.list_(t)) for v, t in zip(columns, kinds, strict=True)],
+                ],
+                ["id", "same", "h1", "h2", "at"],
+            )
 
     some = save(open_.select("id").distinct())
     if some.isEmpty():
         out = save(plain.groupBy("id", "same").agg(F.collect_set("span").alias("spans")))
         forget(spots, table_of_runs, found, open_, some)
         return out
-    held = only(docs, some, "id").join(open_, ["id", "same"]).select("id", "same", "text", "z").mapInArrow(strings, "id long, same long, h1 array<long>, h2 array<long>, at array<int>")
-    asked = save(held.select("id", "same", F.explode(F.arrays_zip("h1", "h2", "at")).alias("z")).select("id", "same", "z.*"))
+    held = only(docs, some, "id").join(open_, ["id", "same"]).select("id", "same", "text", "z").mapInArrow(
+        strings, "id long, same long, h1 array<long>, h2 array<long>, at array<int>"
+    )
+    asked = save(
+        held.select("id", "same", F.explode(F.arrays_zip("h1", "h2", "at")).alias("z")).select("id", "same", "z.*")
+    )
     twice = save(asked.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1"))
-    more = look_up(asked, twice, ["h1", "h2"], ["id", "at"]).select("id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span"))
+    more = look_up(asked, twice, ["h1", "h2"], ["id", "at"]).select(
+        "id", "same", F.struct(F.col("at").alias("start"), (F.col("at") + length).alias("end")).alias("span")
+    )
     out = save(plain.unionByName(more).groupBy("id", "same").agg(F.collect_set("span").alias("spans")))
     forget(spots, table_of_runs, found, open_, some, asked, twice)
     return out
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED
+) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept): every row with the bytes of its UTF-8 text that stay, in one piece.
 
     A byte goes when a string of length bytes around it also starts anywhere else, in the same document too; matches never
@@ -487,13 +624,27 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 data = (x or "").encode()
                 if s:
                     gone = covered(len(data), np.array([z["start"] for z in s]), np.array([z["end"] for z in s]))
-                    out.append((len(data), int(gone.sum()), len(runs(gone)[0]), np.frombuffer(data, np.uint8)[~gone].tobytes()))
+                    out.append(
+                        (len(data), int(gone.sum()), len(runs(gone)[0]), np.frombuffer(data, np.uint8)[~gone].tobytes())
+                    )
                 else:
                     out.append((len(data), 0, 0, data))
             columns = list(zip(*out, strict=True)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([part.column("row"), *[pa.array(v, t) for v, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)]], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    schema = StructType([rows.schema["row"], *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary")])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("row"),
+                    *[
+                        pa.array(v, t) for v, t in zip(
+                            columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True
+                        )
+                    ],
+                ],
+                ["row", "n_bytes", "n_removed", "n_spans", "kept"],
+            )
+
+    schema = StructType(
+        [rows.schema["row"], *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary")]
+    )
     return held.select("row", "_text", "spans").mapInArrow(cut, schema)
 
 

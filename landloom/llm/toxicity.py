@@ -25,7 +25,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import BYTE_VALUES, LOWER, NOT_ALNUM, annotate, blocks, forget, mixed, prefixes, save, signed, spans, table, unpack, utf8, windows, word_bounds, word_table
+from landloom.llm.common import (
+    BYTE_VALUES,
+    LOWER,
+    NOT_ALNUM,
+    annotate,
+    blocks,
+    forget,
+    mixed,
+    prefixes,
+    save,
+    signed,
+    spans,
+    table,
+    unpack,
+    utf8,
+    windows,
+    word_bounds,
+    word_table,
+)
 
 FOLDS = 5
 #: A token must be at least so certain (z) to count; which of these is chosen crosswise.
@@ -86,13 +104,21 @@ def _counts(batches):
         keys, sums, kept = k[first], np.add.reduceat(n, first) if len(first) else n, []
 
     def rows():
-        return pa.RecordBatch.from_arrays([pa.array(signed(keys)), *[pa.array(np.ascontiguousarray(sums[:, c])) for c in range(4)]], [x.split()[0] for x in COUNTS.split(", ")])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(signed(keys)), *[pa.array(np.ascontiguousarray(sums[:, c])) for c in range(4)]],
+            [x.split()[0] for x in COUNTS.split(", ")],
+        )
 
     for part in blocks(batches, "text"):
         words, first = features(part.column("text"))
         toxic, weight, half = (part.column(c).to_numpy(zero_copy_only=False) for c in ("toxic", "weight", "half"))
         for column in range(4):
-            own = [(np.unique(words[a:b]), w) for a, b, t, w, h in zip(first[:-1], first[1:], toxic > 0, weight, half, strict=True) if 2 * h + t == column]
+            own = [
+                (np.unique(words[a:b]), w) for a, b, t, w, h in zip(
+                    first[:-1], first[1:], toxic > 0, weight, half, strict=True
+                )
+                if 2 * h + t == column
+            ]
             if own:
                 k, inverse = np.unique(np.concatenate([x for x, _ in own]), return_inverse=True)
                 n = np.zeros((len(k), 4))
@@ -113,7 +139,11 @@ def least_shingle(column: pa.Array) -> pa.Array:
     for part in blocks(iter([pa.RecordBatch.from_arrays([column], ["text"])]), "text"):
         words, first = word_table(part.column("text"), lower=True, gaps=NOT_ALNUM)
         grams = windows(prefixes(mixed(words)), 3)
-        out += [int(signed(grams[a : b - 2].min()[None])[0]) if b - a > 2 else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+        out += [
+            int(signed(grams[a : b - 2].min()[None])[0])
+            if b - a > 2
+            else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
+        ]
     return pa.array(out, pa.int64())
 
 
@@ -135,7 +165,9 @@ def segments(sums: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, float]]
     return [(a, b, high - low) for low, high, a, b in found]
 
 
-def passages(column: pa.Array, model: Model, limits: tuple[float, ...] = (0.0,)) -> tuple[np.ndarray, list[list[list[tuple[int, int, float]]]]]:
+def passages(
+    column: pa.Array, model: Model, limits: tuple[float, ...] = (0.0,)
+) -> tuple[np.ndarray, list[list[list[tuple[int, int, float]]]]]:
     """(number of tokens of each text, and per limit all maximal segments of each). A token's score is that of its most telling
     form; tokens whose scores are less certain than the limit (z) count as without one."""
     words, first = features(column)
@@ -190,8 +222,14 @@ def scan(column: pa.Array, model: Model) -> dict:
         for c, v in zip(("best_start", "best_end", "best"), top, strict=True):
             out[c].append(v)
         out["value"].append(together(model, k, [s for *_, s in own]))
-        out["segments"].append([{"start": a, "end": b, "x": x} for a, b, s in own if (x := standard(model, k, s)) >= model.significant])
-    return out | {"segments": pa.array(out["segments"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("x", pa.float64())])))}
+        out["segments"].append(
+            [{"start": a, "end": b, "x": x} for a, b, s in own if (x := standard(model, k, s)) >= model.significant]
+        )
+    return out | {
+        "segments": pa.array(
+            out["segments"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("x", pa.float64())]))
+        )
+    }
 
 
 FIELDS = "n long, best double, value double, best_start long, best_end long, segments array<struct<start:long,end:long,x:double>>"
@@ -201,7 +239,9 @@ def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float, float]:
     """Slope (0 or more) and offset of a logistic curve over (value, clean, toxic) counts, by Newton steps with a weak prior, and
     the logarithm of how unlikely the labels are by it."""
     x, clean, toxic = (np.array(v, float) for v in zip(*bins, strict=True))
-    mean, spread = np.average(x, weights=clean + toxic), max(1e-3, np.sqrt(np.cov(x, aweights=clean + toxic)) if len(x) > 1 else 1.0)
+    mean, spread = np.average(x, weights=clean + toxic), max(
+        1e-3, np.sqrt(np.cov(x, aweights=clean + toxic)) if len(x) > 1 else 1.0
+    )
     z = np.stack([np.ones_like(x), (x - mean) / spread], 1)
     w = np.zeros(2)
     for _ in range(100):
@@ -225,20 +265,40 @@ def law(m) -> dict[str, float]:
     return {"rate": rate, "usual": m.l, "log_k": rate * m.s - m.l - EULER}
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: float = 500.0, drift: float = 0.1) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: float = 500.0, drift: float = 0.1
+) -> Model:
     """Learn from labels(doc_id, toxic) of documents that are not held out: from max_labels of them at most, chosen by hash
     (two megabytes, which are broadcast, so that no text is shuffled).
 
     Rows without an id, a label or a text don't count; where an id has several labels, the largest holds. Without documents
     of both classes there is nothing to learn, and every score is 0. Documents alike share one document's weight, so that a
     text copied a thousand times doesn't make each of its words telling; they are in the same half."""
-    own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
-    train = docs.select("doc_id", "text").where("text IS NOT NULL").where(~held_out(F.col("doc_id"))).join(F.broadcast(own), "doc_id")
-    plain = save(train.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).withColumn("alike", F.arrow_udf(least_shingle, "long")("text")))
-    groups = save(plain.where("alike IS NOT NULL").groupBy("alike").agg((1 / F.count("*")).alias("weight")).where("weight < 1"))
+    own = labels.where(
+        "doc_id IS NOT NULL AND toxic IS NOT NULL"
+    ).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))).orderBy(
+        F.xxhash64("doc_id"), "doc_id"
+    ).limit(max_labels)
+    train = docs.select("doc_id", "text").where("text IS NOT NULL").where(
+        ~held_out(F.col("doc_id"))
+    ).join(F.broadcast(own), "doc_id")
+    plain = save(
+        train.select(
+            "doc_id", "text", F.col("toxic").cast("int").alias("toxic")
+        ).withColumn("alike", F.arrow_udf(least_shingle, "long")("text"))
+    )
+    groups = save(
+        plain.where("alike IS NOT NULL").groupBy("alike").agg((1 / F.count("*")).alias("weight")).where("weight < 1")
+    )
     half = F.pmod(F.xxhash64(F.coalesce("alike", "doc_id")), F.lit(2)).cast("int")
-    train = plain.join(F.broadcast(groups) if groups.count() <= max_labels else groups, "alike", "left").select("text", "toxic", half.alias("half"), F.coalesce("weight", F.lit(1.0)).alias("weight"))
-    counts = save(train.mapInArrow(_counts, COUNTS).groupBy("token").agg(*[F.sum(x.split()[0]).alias(x.split()[0]) for x in COUNTS.split(", ")[1:]]))
+    train = plain.join(F.broadcast(groups) if groups.count() <= max_labels else groups, "alike", "left").select(
+        "text", "toxic", half.alias("half"), F.coalesce("weight", F.lit(1.0)).alias("weight")
+    )
+    counts = save(
+        train.mapInArrow(_counts, COUNTS).groupBy("token").agg(
+            *[F.sum(x.split()[0]).alias(x.split()[0]) for x in COUNTS.split(", ")[1:]]
+        )
+    )
 
     def learn(clean, toxic) -> Model:
         """Token scores from columns of counts."""
@@ -248,10 +308,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: fl
             a = F.lit(0.5) + prior * (clean + toxic) / F.lit(float(all_clean + all_toxic))
             t, c = toxic + a, clean + a
             odds = F.log(t / (F.lit(all_toxic + prior) - t)) - F.log(c / (F.lit(all_clean + prior) - c))
-            telling = counts.select("token", odds.alias("s"), F.abs(odds / F.sqrt(1 / t + 1 / c)).alias("z"), (clean + toxic).alias("n")).where((F.col("z") >= LIMITS[0]) & (F.col("n") > 0)).select("token", "s", "z").toPandas()
+            telling = counts.select(
+                "token", odds.alias("s"), F.abs(odds / F.sqrt(1 / t + 1 / c)).alias("z"), (clean + toxic).alias("n")
+            ).where((F.col("z") >= LIMITS[0]) & (F.col("n") > 0)).select("token", "s", "z").toPandas()
             tokens = telling["token"].to_numpy(np.int64).view(np.uint64)
             order = np.argsort(tokens)
-            model.tokens, model.scores, model.certain = tokens[order], telling["s"].to_numpy(float)[order], telling["z"].to_numpy(float)[order]
+            model.tokens, model.scores, model.certain = tokens[
+                order
+            ], telling["s"].to_numpy(float)[order], telling["z"].to_numpy(float)[order]
         return model
 
     column = {x: F.col(x) for x in ("clean0", "toxic0", "clean1", "toxic1")}
@@ -266,27 +330,67 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: fl
                     n, found = passages(own.column("text"), other, LIMITS)
                     for k, some in enumerate(found):
                         scores = pa.array([[s for *_, s in x] for x in some], pa.list_(pa.float64()))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k, np.int32)), own.column("toxic"), own.column("weight"), pa.array(n), scores], ["k", "toxic", "weight", "n", "scores"])
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(some), k, np.int32)),
+                                own.column("toxic"),
+                                own.column("weight"),
+                                pa.array(n),
+                                scores,
+                            ],
+                            ["k", "toxic", "weight", "n", "scores"],
+                        )
 
         scored = save(train.mapInArrow(crosswise, "k int, toxic int, weight double, n long, scores array<double>"))
-        ln, best, w = F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")), F.coalesce(F.array_max("scores"), F.lit(0.0)), F.col("weight")
+        ln, best, w = F.log(
+            F.greatest(F.col("n"), F.lit(1)).cast("double")
+        ), F.coalesce(F.array_max("scores"), F.lit(0.0)), F.col("weight")
         mean = lambda x: F.sum(w * x) / F.sum(w)
-        moments = scored.where("toxic <= 0").groupBy("k").agg(mean(best).alias("s"), mean(ln).alias("l"), mean(best * best).alias("ss"), mean(ln * ln).alias("ll"), mean(best * ln).alias("sl")).collect()
+        moments = scored.where("toxic <= 0").groupBy("k").agg(
+            mean(best).alias("s"),
+            mean(ln).alias("l"),
+            mean(best * best).alias("ss"),
+            mean(ln * ln).alias("ll"),
+            mean(best * ln).alias("sl"),
+        ).collect()
         laws = {m.k: replace(model, **law(m)) for m in moments}
 
         def binned(batches):
             for batch in batches:
                 ks = batch.column("k").to_pylist()
-                x = np.array([together(laws.get(k, model), n, s) for k, n, s in zip(ks, batch.column("n").to_pylist(), batch.column("scores").to_pylist(), strict=True)], float)
+                x = np.array(
+                    [
+                        together(laws.get(k, model), n, s) for k, n, s in zip(
+                            ks, batch.column("n").to_pylist(), batch.column("scores").to_pylist(), strict=True
+                        )
+                    ],
+                    float,
+                )
                 at = np.clip(np.floor((x - LOW) / BIN), 0, BINS - 1).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(at), batch.column("toxic"), batch.column("weight")], ["k", "bin", "toxic", "weight"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("k"), pa.array(at), batch.column("toxic"), batch.column("weight")],
+                    ["k", "bin", "toxic", "weight"],
+                )
 
         weigh = lambda y: F.sum(F.when(y, w).otherwise(0.0))
-        bins = scored.mapInArrow(binned, "k int, bin long, toxic int, weight double").groupBy("k", "bin").agg(weigh(F.col("toxic") <= 0).alias("clean"), weigh(F.col("toxic") > 0).alias("toxic")).orderBy("k", "bin").collect()
-        curves = {k: curve([(LOW + BIN * (b.bin + 0.5), b.clean, b.toxic) for b in bins if b.k == k]) for k in sorted({b.k for b in bins})}
+        bins = scored.mapInArrow(binned, "k int, bin long, toxic int, weight double").groupBy("k", "bin").agg(
+            weigh(F.col("toxic") <= 0).alias("clean"), weigh(F.col("toxic") > 0).alias("toxic")
+        ).orderBy("k", "bin").collect()
+        curves = {
+            k: curve(
+                [(LOW + BIN * (b.bin + 0.5), b.clean, b.toxic) for b in bins if b.k == k]
+            ) for k in sorted({b.k for b in bins})
+        }
         k = min(curves, key=lambda k: (curves[k][2], -k))
         sure = model.certain >= LIMITS[k]
-        model = replace(laws.get(k, model), tokens=model.tokens[sure], scores=model.scores[sure], certain=model.certain[sure], slope=curves[k][0], offset=curves[k][1])
+        model = replace(
+            laws.get(k, model),
+            tokens=model.tokens[sure],
+            scores=model.scores[sure],
+            certain=model.certain[sure],
+            slope=curves[k][0],
+            offset=curves[k][1],
+        )
         forget(scored)
     forget(plain, groups, counts)
     return model
@@ -301,7 +405,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     out = annotate(docs, "text", FIELDS, lambda column: scan(column, model))
     if not len(model.tokens):
         return out.withColumn("score", F.lit(0.0))
-    return out.withColumn("score", 1 / (1 + F.exp(-F.lit(float(model.slope)) * F.col("value") - F.lit(float(model.offset)))))
+    return out.withColumn(
+        "score", 1 / (1 + F.exp(-F.lit(float(model.slope)) * F.col("value") - F.lit(float(model.offset))))
+    )
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -314,5 +420,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     return out.select(
-        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("n").alias("n_words"), F.size("segments").cast("long").alias("n_segments"), "best_start", "best_end", "segments"
+        "row.doc_id",
+        held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.col("n").alias("n_words"),
+        F.size("segments").cast("long").alias("n_segments"),
+        "best_start",
+        "best_end",
+        "segments",
     )

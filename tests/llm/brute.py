@@ -54,7 +54,9 @@ def shingle_set(text, k):
 
 def near_duplicates(rows, k=3, percent=85):
     sets = {i: shingle_set(t, k) for i, t in rows}
-    link = lambda a, b: bool(sets[a]) and bool(sets[b]) and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    link = lambda a, b: bool(sets[a]) and bool(sets[b]) and 100 * len(
+        sets[a] & sets[b]
+    ) >= percent * len(sets[a] | sets[b])
     return {i: (len(sets[i]), c) for i, c in components(sets, link).items()}
 
 
@@ -95,9 +97,20 @@ def repeated_bytes(rows, length=200):
 def secrets(text):
     """(kind, start, end) of the fixed patterns, by start, then kind."""
     either = lambda w: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
-    names = "|".join(either(w) for w in ("password", "passwd", "secret", "token", "api")).replace(either("api"), either("api") + "_?" + either("key"))
-    kinds = {"assign": (f"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), "access": ("(AKIA[A-Z0-9]+)", 1, 20), "hex": ("([0-9a-f]+)", 1, 24)}
-    found = [(m.start(), k, kind, m.end()) for k, (kind, (p, g, n)) in enumerate(kinds.items()) for m in re.finditer(p, text or "") if len(m[g]) >= n]
+    names = "|".join(
+        either(w) for w in ("password", "passwd", "secret", "token", "api")
+    ).replace(either("api"), either("api") + "_?" + either("key"))
+    kinds = {
+        "assign": (f"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        "access": ("(AKIA[A-Z0-9]+)", 1, 20),
+        "hex": ("([0-9a-f]+)", 1, 24),
+    }
+    found = [
+        (
+            m.start(), k, kind, m.end()
+        ) for k, (kind, (p, g, n)) in enumerate(kinds.items()) for m in re.finditer(p, text or "")
+        if len(m[g]) >= n
+    ]
     return [(kind, a, b) for a, _, kind, b in sorted(found)]
 
 
@@ -124,9 +137,13 @@ def license_phrases(text):
     """(words, places, first, last, labels) of the fixed phrases."""
     w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOW))
     phrases = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-    found = [(j, label) for p, label in phrases.items() for j in range(len(w)) if w[j : j + len(p.split())] == p.split()]
+    found = [
+        (j, label) for p, label in phrases.items() for j in range(len(w)) if w[j : j + len(p.split())] == p.split()
+    ]
     at = [j for j, _ in found]
-    return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({label for _, label in found}))
+    return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(
+        sorted({label for _, label in found})
+    )
 
 
 def targets(sizes, weights=(5, 2, 1), times=3):

@@ -14,7 +14,9 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 import brute
 
-from landloom.llm import common, decontam, embeddings, licenses, lines, minhash, mixing, secrets, substrings, suffixes, toxicity
+from landloom.llm import (
+    common, decontam, embeddings, licenses, lines, minhash, mixing, secrets, substrings, suffixes, toxicity
+)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -25,7 +27,9 @@ def corpus(seed=1):
     prose = lambda n: " ".join(r.choices(vocabulary, k=n))
     passage, line = prose(80), "A line that MANY documents share "
     out = [(i, prose(r.randint(0, 160))) for i in range(60)]
-    out += [(100 + i, f"{prose(30)} {passage} {prose(20)}") for i in range(6)] + [(110 + i, f"{prose(10)}\n{line}{' ' * i}\n{prose(10)}") for i in range(6)]
+    out += [(100 + i, f"{prose(30)} {passage} {prose(20)}") for i in range(6)] + [
+        (110 + i, f"{prose(10)}\n{line}{' ' * i}\n{prose(10)}") for i in range(6)
+    ]
     base = prose(200).split()
     for i in range(30):
         w = list(base)
@@ -33,12 +37,35 @@ def corpus(seed=1):
             w[r.randrange(len(w))] = "x" + str(r.random())
         out.append((200 + i, " ".join(w)))
     out += [(300 + i, out[5][1] + " " + passage) for i in range(4)]
-    out += [(400, None), (401, ""), (402, "  \t\n "), (403, "one"), (404, "one"), (405, "a b"), (406, "the " * 3000), (407, "the " * 2500), (408, "ab" * 4000), (409, prose(9000)), (410, "\n".join([line] * 5))]
+    out += [
+        (400, None),
+        (401, ""),
+        (402, "  \t\n "),
+        (403, "one"),
+        (404, "one"),
+        (405, "a b"),
+        (406, "the " * 3000),
+        (407, "the " * 2500),
+        (408, "ab" * 4000),
+        (409, prose(9000)),
+        (410, "\n".join([line] * 5)),
+    ]
     return out
 
 
 def frame(spark, rows, **more):
-    return spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 3}" if (i or 0) % 7 else None, len(t or "")) for i, t in rows], DOCS).withColumns({"row": F.lit(1), "id": F.lit("clash"), "_text": F.lit("x"), "n": F.lit(None).cast("int"), "h": F.lit(0), **more})
+    return spark.createDataFrame(
+        [(i, t, "en", f"s{(i or 0) % 3}" if (i or 0) % 7 else None, len(t or "")) for i, t in rows], DOCS
+    ).withColumns(
+        {
+            "row": F.lit(1),
+            "id": F.lit("clash"),
+            "_text": F.lit("x"),
+            "n": F.lit(None).cast("int"),
+            "h": F.lit(0),
+            **more,
+        }
+    )
 
 
 @pytest.fixture(scope="module")
@@ -57,15 +84,28 @@ def test_line_dedup(spark, rows, least_hot):
     got = lines.line_dedup(frame(spark, rows)).select("row.doc_id", "n_lines", "n_dropped", "kept").collect()
     assert sorted(map(tuple, got), key=str) == sorted(brute.line_dedup(rows), key=str)
     assert lines.line_dedup(frame(spark, rows[:0])).count() == 0
-    kept = lines.dedup_documents(spark.createDataFrame([(1, "shared line of text", "en", "s", 19), (2, "shared line of text", "en", "s", 19), (3, None, "en", "s", 0)], DOCS))
+    kept = lines.dedup_documents(
+        spark.createDataFrame(
+            [
+                (1, "shared line of text", "en", "s", 19),
+                (2, "shared line of text", "en", "s", 19),
+                (3, None, "en", "s", 0),
+            ],
+            DOCS,
+        )
+    )
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
 def test_mixing(spark, rows):
     rows = [*rows, (None, "some words here"), (5, rows[5][1])]
     out = mixing.mix(frame(spark, rows)).collect()
-    assert len(out) == len(rows) and out and sorted(map(tuple, out), key=str) == sorted(map(tuple, mixing.mix(frame(spark, rows).repartition(5)).collect()), key=str)
-    assert all(0 <= r.copies <= 3 and r.size >= 0 for r in out) and all(r.target <= 3 * r.source_size + 1e-6 for r in out)
+    assert len(out) == len(rows) and out and sorted(map(tuple, out), key=str) == sorted(
+        map(tuple, mixing.mix(frame(spark, rows).repartition(5)).collect()), key=str
+    )
+    assert all(0 <= r.copies <= 3 and r.size >= 0 for r in out) and all(
+        r.target <= 3 * r.source_size + 1e-6 for r in out
+    )
     by = {}
     for r in out:
         by.setdefault(r.source_size, [r.target, 0, 0])
@@ -84,7 +124,10 @@ def test_mixing_caps_and_reshares(spark):
 
 def test_near_duplicates(spark, rows, least_hot):
     rows = [*rows, (5, rows[5][1])]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame(spark, [*rows, (None, rows[0][1])]), block=7).collect()}
+    got = {
+        r.doc_id: (r.n_shingles, r.component_id)
+        for r in minhash.near_duplicates(frame(spark, [*rows, (None, rows[0][1])]), block=7).collect()
+    }
     assert got.pop(None)[1] is None and got == brute.near_duplicates(rows)
     assert minhash.near_duplicates(frame(spark, rows[:0])).count() == 0
 
@@ -102,7 +145,9 @@ def test_every_pair_within_the_distance_shares_a_key():
 
 def test_components(spark):
     r = random.Random(2)
-    edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (None, 3)]
+    edges = [
+        (r.randrange(300), r.randrange(300)) for _ in range(220)
+    ] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (None, 3)]
     got = {x.node: x.component for x in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     pairs = {(a, b) for a, b in edges if a is not None and a != b}
     want = brute.components({n for p in pairs for n in p}, lambda a, b: (a, b) in pairs or (b, a) in pairs)
@@ -111,7 +156,9 @@ def test_components(spark):
 
 def test_hot_keys_join_as_others(spark, monkeypatch):
     r = random.Random(4)
-    rows = [(r.choice([1, 1, 1, 2, 3, r.randrange(50)]), r.randrange(2), i) for i in range(400)] + [(None, 0, 500), (7777, 1, 501)]
+    rows = [
+        (r.choice([1, 1, 1, 2, 3, r.randrange(50)]), r.randrange(2), i) for i in range(400)
+    ] + [(None, 0, 500), (7777, 1, 501)]
     left = spark.createDataFrame(rows, "k long, k2 int, i long")
     counts = left.groupBy("k", "k2").agg(F.count("*").alias("n"), F.min("i").alias("first")).where("n > 1")
     one = left.groupBy("k").agg(F.count("*").alias("n"))
@@ -134,7 +181,9 @@ def test_groups_that_the_least_member_does_not_connect(spark):
             rows.append((r.randrange(10**6) * 3 + chain, " ".join(w)))
             for _ in range(3):
                 w[r.randrange(len(w))] = f"x{r.random()}"
-    got = {x.doc_id: (x.n_shingles, x.component_id) for x in minhash.near_duplicates(frame(spark, rows), block=4).collect()}
+    got = {
+        x.doc_id: (x.n_shingles, x.component_id) for x in minhash.near_duplicates(frame(spark, rows), block=4).collect()
+    }
     assert got == brute.near_duplicates(rows)
 
 
@@ -148,7 +197,13 @@ def test_substrings(spark, rows, least_hot):
 def test_windows_of_another_document_than_the_leader(spark):
     """Two documents share a run whose anchor a third, smaller one has in other surroundings."""
     w = [f"w{i}" for i in range(400)]
-    rows = [(1, " ".join(w[100:125])), (2, " ".join(w[80:160])), (3, " ".join(w[90:150])), (4, " ".join(w[100:148] + ["z"] * 30)), (5, " ".join(["q"] * 5 + w[98:148] + ["z"] * 30))]
+    rows = [
+        (1, " ".join(w[100:125])),
+        (2, " ".join(w[80:160])),
+        (3, " ".join(w[90:150])),
+        (4, " ".join(w[100:148] + ["z"] * 30)),
+        (5, " ".join(["q"] * 5 + w[98:148] + ["z"] * 30)),
+    ]
     got = substrings.remove_repeats(frame(spark, rows)).select("row.doc_id", "n_words", "n_removed", "kept").collect()
     assert sorted(map(tuple, got)) == sorted(brute.substrings(rows))
 
@@ -165,14 +220,29 @@ def test_repeated_bytes(spark, rows, way, monkeypatch):
     r = random.Random(6)
     noise = lambda n: "".join(r.choices("abcdefgh ", k=n))
     passage = noise(700)
-    rows = [*rows, (None, rows[60][1]), (5, rows[5][1]), *[(700 + i, noise(r.randint(100, 300)) + passage[r.randrange(60) :] + noise(r.randint(0, 300))) for i in range(25)]]
-    got = suffixes.remove_repeats(frame(spark, rows)).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
-    assert sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got), key=str) == sorted(brute.repeated_bytes(rows), key=str)
+    rows = [
+        *rows,
+        (None, rows[60][1]),
+        (5, rows[5][1]),
+        *[
+            (
+                700 + i, noise(r.randint(100, 300)) + passage[r.randrange(60) :] + noise(r.randint(0, 300))
+            ) for i in range(25)
+        ],
+    ]
+    got = suffixes.remove_repeats(frame(spark, rows)).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept"
+    ).collect()
+    assert sorted(
+        ((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got), key=str
+    ) == sorted(brute.repeated_bytes(rows), key=str)
     if way == "plain":
         assert suffixes.remove_repeats(frame(spark, rows[:0])).count() == 0
 
 
-@pytest.mark.parametrize("cuts", [[], [b"ab\xff", b"abab"], [b"aaaaa", b"b"], [b"abab\xffb", b"ababab", b"abababab\xffa", b"babb"]])
+@pytest.mark.parametrize(
+    "cuts", [[], [b"ab\xff", b"abab"], [b"aaaaa", b"b"], [b"abab\xffb", b"ababab", b"abababab\xffa", b"babb"]]
+)
 @pytest.mark.parametrize("most", [0, 3, 256])
 def test_merged_parts_find_all_repeats(cuts, most):
     """Over a small alphabet, strings of 8 and seeds of 3: what is not found at once stands at an anchor that is asked later."""
@@ -194,9 +264,13 @@ def test_merged_parts_find_all_repeats(cuts, most):
     for part, runs in sorted(parts.items()):
         *found, ends = suffixes.merge_part(runs, edges[part], edges[part + 1], length, seed, most)
         keys = sorted(e[1] for own in runs.values() for _, b in own for e in suffixes.unpack(b))
-        assert (ends[0], ends[1]) == (keys[0], keys[-1]) and all((edges[part] or b"") <= x and x < (edges[part + 1] or b"\xff") for x in keys)
+        assert (ends[0], ends[1]) == (keys[0], keys[-1]) and all(
+            (edges[part] or b"") <= x and x < (edges[part + 1] or b"\xff") for x in keys
+        )
         known = [k.split(b"\xff")[0] for k in keys]
-        assert ends[2] == next((x for x in known if x != known[0]), None) and ends[3] == next((x for x in known[::-1] if x != known[-1]), None)
+        assert ends[2] == next((x for x in known if x != known[0]), None) and ends[3] == next(
+            (x for x in known[::-1] if x != known[-1]), None
+        )
         for run, entry, size, c, r2, low, high in found:
             for d, a in members[run, entry]:
                 if c + size >= length:
@@ -217,7 +291,11 @@ def test_merged_parts_find_all_repeats(cuts, most):
 def test_loser_tree_merges_and_knows_prefixes():
     r = random.Random(4)
     for k in (0, 1, 2, 3, 7):
-        runs = [sorted("".join(r.choices("ab", k=r.randint(0, 6))).encode() for _ in range(r.randint(0, 30))) for _ in range(k)]
+        runs = [
+            sorted(
+                "".join(r.choices("ab", k=r.randint(0, 6))).encode() for _ in range(r.randint(0, 30))
+            ) for _ in range(k)
+        ]
         entries = [[(suffixes.common(run[i - 1], s, 0) if i else 0, s) for i, s in enumerate(run)] for run in runs]
         out = [(known, e[1]) for known, _, e in suffixes.LoserTree([iter(e) for e in entries])]
         want = sorted(s for run in runs for s in run)
@@ -229,21 +307,44 @@ def test_blocks_round_trip():
     entries = [(0, b"abcd\xffleft", 2), (3, b"abc\xff", 1), (1, b"ax\xffb", 1)]
     assert suffixes.unpack(suffixes.pack(entries)) == entries
     cuts = [b"", b"", b"abce", b"ad"]
-    assert [(k, e, suffixes.unpack(b)) for k, e, b in suffixes.cut_block(suffixes.pack(entries), 10, 2, 4, cuts)] == [(2, 10, entries[:1]), (3, 11, entries[1:2]), (4, 12, entries[2:])]
+    assert [
+        (k, e, suffixes.unpack(b)) for k, e, b in suffixes.cut_block(suffixes.pack(entries), 10, 2, 4, cuts)
+    ] == [(2, 10, entries[:1]), (3, 11, entries[1:2]), (4, 12, entries[2:])]
 
 
 def test_embeddings(spark):
     r = np.random.default_rng(1)
     centres = r.normal(size=(30, 32))
-    x = np.concatenate([centres[r.integers(0, 30, 260)] + r.normal(size=(260, 32)) * 0.08, r.normal(size=(200, 32))]).astype(np.float32)
-    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, x[0].tolist()), (1001, x[0].tolist()), (1002, (x[0] * 3).tolist()), (1003, None), (1004, []), (1005, [0.0] * 32), (1006, [float("nan")] * 32), (1007, [None] * 32), (1008, [float("inf")] * 32), (None, x[0].tolist())]
-    got = {q.vec_id: (q.n_links, q.component_id, q.kept) for q in embeddings.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("id", F.lit("clash")), block=40).collect()}
+    x = np.concatenate(
+        [centres[r.integers(0, 30, 260)] + r.normal(size=(260, 32)) * 0.08, r.normal(size=(200, 32))]
+    ).astype(np.float32)
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [
+        (1000, x[0].tolist()),
+        (1001, x[0].tolist()),
+        (1002, (x[0] * 3).tolist()),
+        (1003, None),
+        (1004, []),
+        (1005, [0.0] * 32),
+        (1006, [float("nan")] * 32),
+        (1007, [None] * 32),
+        (1008, [float("inf")] * 32),
+        (None, x[0].tolist()),
+    ]
+    got = {
+        q.vec_id: (q.n_links, q.component_id, q.kept)
+        for q in embeddings.near_duplicates(
+            spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("id", F.lit("clash")),
+            block=40,
+        ).collect()
+    }
     good = [i for i, v in data if i is not None and i < 1003]
     m = np.array([v for i, v in data if i is not None and i < 1003], np.float64)
     m /= np.linalg.norm(m, axis=1, keepdims=True)
     near = m @ m.T >= 0.95
     np.fill_diagonal(near, False)
-    assert sum(got[i][0] for i in good) >= 0.9 * near.sum() and all(got[i][0] <= n for i, n in zip(good, near.sum(1), strict=True))
+    assert sum(got[i][0] for i in good) >= 0.9 * near.sum() and all(
+        got[i][0] <= n for i, n in zip(good, near.sum(1), strict=True)
+    )
     want = brute.components(range(len(good)), lambda a, b: near[a, b])
     assert np.mean([got[good[a]][1] == good[c] for a, c in want.items()]) > 0.98
     assert all(got[i] == (0, i, True) for i in (1003, 1004, 1005, 1006, 1007, 1008)) and got[None][0] == 0
@@ -275,7 +376,11 @@ def test_embeddings_in_the_layout_of_a_large_table(spark, n, monkeypatch):
     of = embeddings.layout
     monkeypatch.setattr(embeddings, "layout", lambda _, least: of(n, least))
     x = close_pairs(400, 64, np.random.default_rng(n))
-    got = {q.vec_id: q.n_links for q in embeddings.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    got = {
+        q.vec_id: q.n_links for q in embeddings.near_duplicates(
+            spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        ).collect()
+    }
     near = x @ x.T >= 0.95
     np.fill_diagonal(near, False)
     assert sum(got.values()) >= 0.97 * near.sum() and all(got[i] <= k for i, k in enumerate(near.sum(1)))
@@ -283,7 +388,9 @@ def test_embeddings_in_the_layout_of_a_large_table(spark, n, monkeypatch):
 
 @pytest.mark.parametrize("scale", [1e-170, 1e170])
 def test_embeddings_of_extreme_lengths(spark, scale):
-    rows = [(1, [3.0, 4.0, 0.0]), (2, [3.0 * scale, 4.0 * scale, 0.0]), (3, [0.0, scale, -scale]), (4, [0.0, -1.0, 1.0])]
+    rows = [
+        (1, [3.0, 4.0, 0.0]), (2, [3.0 * scale, 4.0 * scale, 0.0]), (3, [0.0, scale, -scale]), (4, [0.0, -1.0, 1.0])
+    ]
     got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert sorted(map(tuple, got)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
 
@@ -293,28 +400,58 @@ def test_embeddings_that_all_fall_into_one_bucket(spark):
     r = np.random.default_rng(9)
     x = np.ones(8) + r.normal(size=(150, 8)) * 0.02
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=16).collect()
+    got = embeddings.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=16
+    ).collect()
     assert len(got) == 150 and all(g.n_links == 149 and g.component_id == 0 for g in got)
 
 
 def test_candidate_pairs():
     at, lo, hi = np.array([0, 0, 0, 1, 0, 1, 0]), np.array([0, 0, 0, 0, 0, 0, 2]), np.array([0, 0, 1, 1, 1, 1, 2])
     for most in (1, 2, 100):
-        pairs = [(int(a), int(b)) for i, j in embeddings.candidates(np.array([0, 2, 6, 7]), at, lo, hi, most) for a, b in zip(i, j, strict=True)]
+        pairs = [
+            (int(a), int(b))
+            for i, j in embeddings.candidates(np.array([0, 2, 6, 7]), at, lo, hi, most)
+            for a, b in zip(i, j, strict=True)
+        ]
         assert pairs == [(0, 1), (2, 3), (2, 5), (3, 4), (4, 5)]
 
 
 def test_embeddings_of_few_vectors(spark):
-    got = embeddings.near_duplicates(spark.createDataFrame([(2, [1.0, 0.0]), (1, [1.0, 0.01]), (3, [0.0, 1.0]), (4, [1.0])], "vec_id long, embedding array<double>")).collect()
+    got = embeddings.near_duplicates(
+        spark.createDataFrame(
+            [(2, [1.0, 0.0]), (1, [1.0, 0.01]), (3, [0.0, 1.0]), (4, [1.0])], "vec_id long, embedding array<double>"
+        )
+    ).collect()
     assert sorted(map(tuple, got)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
 
 
 def test_licenses(spark):
-    texts = ["Licensed UNDER the (MIT) License. Under the mit license", "Apache License, Version 2.0 and CC BY-NC 4.0", "xunder the mit license", "SPDX-License-Identifier: GPL-3.0", "released under the GNU General Public License v3", None, "", "under the é mit license", "All rights reserved", "word " * 50000]
-    got = {r[0]: r for r in licenses.scan(frame(spark, list(enumerate(texts)))).select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score").collect()}
+    texts = [
+        "Licensed UNDER the (MIT) License. Under the mit license",
+        "Apache License, Version 2.0 and CC BY-NC 4.0",
+        "xunder the mit license",
+        "SPDX-License-Identifier: GPL-3.0",
+        "released under the GNU General Public License v3",
+        None,
+        "",
+        "under the é mit license",
+        "All rights reserved",
+        "word " * 50000,
+    ]
+    got = {
+        r[0]: r
+        for r in licenses.scan(frame(spark, list(enumerate(texts)))).select(
+            "row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+        ).collect()
+    }
     assert got[0][1:6] == (9, 2, 1, 5, "mit") and got[1].base_labels == "apache-2,cc-by-nc" and got[1].n_base == 2
-    assert got[2].n_base == 0 and got[2].first_word is None and "gpl-3.0" in got[3].labels and "gpl-3.0" in got[4].labels
-    assert got[5][1:] == (0, 0, None, None, "", "", 0.0) == got[6][1:] and got[7].n_base == 0 and got[8].labels == "proprietary" and got[9].n_words == 50000
+    assert got[
+        2
+    ].n_base == 0 and got[2].first_word is None and "gpl-3.0" in got[3].labels and "gpl-3.0" in got[4].labels
+    assert got[5][1:] == (
+        0, 0, None, None, "", "", 0.0
+    ) == got[6][1:] and got[7].n_base == 0 and got[8].labels == "proprietary" and got[9].n_words == 50000
     assert all(0 <= r.score <= 1 for r in got.values()) and len(licenses.make_rules()) > 200
     assert licenses.scan(frame(spark, [])).count() == 0
 
@@ -322,9 +459,15 @@ def test_licenses(spark):
 def test_base_phrases_equal_brute_force(spark):
     r = random.Random(17)
     bits = ["Under", "the", "MIT", "license", "Apache", "version", "2", "cc", "by", "nc", "é", "underé", "x"]
-    texts = ["".join(r.choice(bits) + r.choice([" ", "-", "\n", ", ", ""]) for _ in range(r.randint(0, 120))) for _ in range(200)]
+    texts = [
+        "".join(
+            r.choice(bits) + r.choice([" ", "-", "\n", ", ", ""]) for _ in range(r.randint(0, 120))
+        ) for _ in range(200)
+    ]
     texts += ["cc by nc " * 3000, None, "", "under the mit license", "cc by cc by nc by nc"]
-    got = licenses.scan(frame(spark, list(enumerate(texts)))).select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels").collect()
+    got = licenses.scan(frame(spark, list(enumerate(texts)))).select(
+        "row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels"
+    ).collect()
     assert sorted(tuple(x)[:6] for x in got) == [(i, *brute.license_phrases(t)) for i, t in enumerate(texts)]
     assert all(set(filter(None, x.base_labels.split(","))) <= set(x.labels.split(",")) for x in got)
 
@@ -367,7 +510,10 @@ def test_license_filter_loses_no_alternative():
         text = examples(p.parse(rule.pattern.pattern))[-1]
         kept = []
         for other in rules:
-            kept += [(m.start(), m.end(), other.label, other.confidence) for m in other.pattern.finditer(text) if not any(a <= m.start() and m.end() <= b for a, b, _, _ in kept)]
+            kept += [
+                (m.start(), m.end(), other.label, other.confidence) for m in other.pattern.finditer(text)
+                if not any(a <= m.start() and m.end() <= b for a, b, _, _ in kept)
+            ]
         assert licenses.detect(text, rules, by) == kept != []
 
 
@@ -386,12 +532,18 @@ def test_license_filter_loses_no_alternative():
         ("published under Open Data Commons Attribution", "odc-by-1.0"),
         ("published under the Public Domain Dedication and Licence", "pddl-1.0"),
         ("published under the open  government licence", "ogl-3.0"),
-        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software\nand associated documentation files", "mit"),
+        (
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software\nand associated documentation files",
+            "mit",
+        ),
         ("Redistribution and use in source and binary forms, with or\n * without modification, are permitted", "bsd"),
         ("see GPL 3 terms", "gpl-3.0"),
         ("available under Apache 2.0", "apache-2"),
         ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa-4.0"),
-        ("Neither the name of the University of Somewhere nor the names of its contributors may be used to endorse or promote products", "bsd-3-clause"),
+        (
+            "Neither the name of the University of Somewhere nor the names of its contributors may be used to endorse or promote products",
+            "bsd-3-clause",
+        ),
     ],
 )
 def test_licenses_in_other_words(text, label):
@@ -409,11 +561,24 @@ def test_secrets(spark):
     r = random.Random(5)
     hexes = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(60)]
     keys = ["AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) for _ in range(60)]
-    texts = [f"é {'Api_Key' if i % 2 else 'TOKEN'} = \"{h}\" and {k}" for i, (h, k) in enumerate(zip(hexes, keys, strict=True))]
-    texts += ["password: short", "x ASIA" + keys[0][4:] + " y", "token: token: abcdefgh", None, "", "plain release-notes-2024-for-version-two words", "a1" * 60000]
+    texts = [
+        f"é {'Api_Key' if i % 2 else 'TOKEN'} = \"{h}\" and {k}"
+        for i, (h, k) in enumerate(zip(hexes, keys, strict=True))
+    ]
+    texts += [
+        "password: short",
+        "x ASIA" + keys[0][4:] + " y",
+        "token: token: abcdefgh",
+        None,
+        "",
+        "plain release-notes-2024-for-version-two words",
+        "a1" * 60000,
+    ]
     out = secrets.find(frame(spark, list(enumerate(texts)))).select("row.doc_id", "base", "spans").collect()
     got = {x.doc_id: x for x in out}
-    assert [(s.kind, s.start, s.end) for s in got[0].base] == [("assign", 2, 2 + len(f'TOKEN = "{hexes[0]}')), ("hex", 11, 51), ("access", 57, 77)]
+    assert [(s.kind, s.start, s.end) for s in got[0].base] == [
+        ("assign", 2, 2 + len(f'TOKEN = "{hexes[0]}')), ("hex", 11, 51), ("access", 57, 77)
+    ]
     assert got[60].base == [] and got[62].base == [] and got[63].spans == [] and got[64].spans == []
     assert [(s.kind, s.start, s.end) for s in got[61].spans] == [("format", 2, 22)] and got[65].spans == []
     assert all({(s.start, s.kind) for s in x.base} <= {(s.start, s.kind) for s in x.spans} for x in out)
@@ -426,8 +591,18 @@ def test_secrets_are_scored_whole_and_of_any_labelled_form(spark):
     hexes = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(60)]
     words = ["".join(r.choices("eastrnoidlu", k=r.randint(4, 11))) for _ in range(3000)]
     texts = [f"{' '.join(r.choices(words, k=20))} token: {short()} {h}" for h in hexes]
-    texts += [f"an {short()} b", f"It is {short()}.", "zz-" + "z-" * 40 + "z", f"{hexes[0].upper()[:20]}{'+/zq-_' * 40}", " ".join(words[:300]), hexes[1][:12] + "/" * 3000]
-    got = {x.doc_id: x.spans for x in secrets.find(frame(spark, list(enumerate(texts)))).select("row.doc_id", "spans").collect()}
+    texts += [
+        f"an {short()} b",
+        f"It is {short()}.",
+        "zz-" + "z-" * 40 + "z",
+        f"{hexes[0].upper()[:20]}{'+/zq-_' * 40}",
+        " ".join(words[:300]),
+        hexes[1][:12] + "/" * 3000,
+    ]
+    got = {
+        x.doc_id: x.spans
+        for x in secrets.find(frame(spark, list(enumerate(texts)))).select("row.doc_id", "spans").collect()
+    }
     assert [(s.kind, s.start, s.end) for s in got[60]] == [("format", 3, 14)]
     assert any(s.kind == "format" and s.start == 6 and s.end >= 17 for s in got[61])
     assert [s for k in (62, 63, 64, 65) for s in got[k]] == []
@@ -436,7 +611,32 @@ def test_secrets_are_scored_whole_and_of_any_labelled_form(spark):
 
 def test_secrets_of_the_fixed_patterns_equal_brute_force(spark):
     r = random.Random(3)
-    bits = ["password", "PassWD", "tokens", "Api_Key", "APIKEY", "secret", " ", " = ", ":", "=", '"', "'", "AKIA", "ABCDEFGH23456789", "0123456789abcdef", "deadbeef", "xyz", ".", "-", "é", "漢", "ſecret", "toKen", "\n"]
+    bits = [
+        "password",
+        "PassWD",
+        "tokens",
+        "Api_Key",
+        "APIKEY",
+        "secret",
+        " ",
+        " = ",
+        ":",
+        "=",
+        '"',
+        "'",
+        "AKIA",
+        "ABCDEFGH23456789",
+        "0123456789abcdef",
+        "deadbeef",
+        "xyz",
+        ".",
+        "-",
+        "é",
+        "漢",
+        "ſecret",
+        "toKen",
+        "\n",
+    ]
     texts = ["".join(r.choices(bits, k=r.randint(0, 40))) for _ in range(400)] + [None, "", "AKIA" * 30, "a" * 100_000]
     out = secrets.find(frame(spark, list(enumerate(texts)))).select("row.doc_id", "base", "spans").collect()
     assert len(out) == len(texts)
@@ -450,7 +650,12 @@ def test_secrets_of_the_fixed_patterns_equal_brute_force(spark):
 def test_automata_of_mixed_formats_hold_every_word(seed):
     """Every word has a path, probabilities add up to one, and they are those counted along the paths."""
     r = random.Random(seed)
-    forms = ["0123456789abcdef", "ABCDEFGHIJ0123456789", "abcxyz0123-", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN0123456789+/_.=-"]
+    forms = [
+        "0123456789abcdef",
+        "ABCDEFGHIJ0123456789",
+        "abcxyz0123-",
+        "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN0123456789+/_.=-",
+    ]
     words = sorted(secrets.classes("".join(r.choices(forms[r.randrange(4)], k=r.randint(6, 60)))) for _ in range(512))
     automaton = secrets.infer(words)
     seen = [{} for _ in automaton]
@@ -470,7 +675,9 @@ def test_candidates_are_runs_then_cores_then_pieces():
     runs = secrets.Runs.of(pa.array(["é abc.defghi=", None, "漢short ==abcdef", "abcdefgh"]))
     got = [(int(t), int(at), runs.read(runs.data, i)) for i, (t, at) in enumerate(zip(runs.text, runs.at, strict=True))]
     assert got == [(0, 2, "abc.defghi="), (2, 7, "==abcdef"), (3, 0, "abcdefgh")]
-    assert secrets.parts_of("abc.defghi=") == [(0, 11), (0, 10), (4, 10)] and secrets.parts_of("==abcdef") == [(0, 8), (2, 8)]
+    assert secrets.parts_of("abc.defghi=") == [
+        (0, 11), (0, 10), (4, 10)
+    ] and secrets.parts_of("==abcdef") == [(0, 8), (2, 8)]
 
 
 def test_automata_compare_states_to_the_full_depth():
@@ -488,23 +695,44 @@ def test_automata_tell_formats_apart():
     (_, a, least) = automata[0]
     fresh = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(100)]
     assert np.mean([secrets.odds(a, background, secrets.classes(w)) >= least for w in fresh]) > 0.8
-    assert not any(secrets.odds(a, background, secrets.classes(w)) >= least for w in ("release-notes-of-2023-a", "Some-Path/To-9-Things"))
+    assert not any(
+        secrets.odds(a, background, secrets.classes(w)) >= least
+        for w in ("release-notes-of-2023-a", "Some-Path/To-9-Things")
+    )
 
 
 def test_decontamination(spark, rows):
     r = random.Random(7)
-    items = [(i, " ".join(f"b{r.randrange(10**6)}" for _ in range(n))) for i, n in enumerate((40, 60, 18, 6, 3, 30))] + [(50, None), (51, ""), (None, "x y z " * 9)]
+    items = [
+        (i, " ".join(f"b{r.randrange(10**6)}" for _ in range(n))) for i, n in enumerate((40, 60, 18, 6, 3, 30))
+    ] + [(50, None), (51, ""), (None, "x y z " * 9)]
     hide = lambda text, share: " ".join(w if r.random() > share else f"s{r.random()}" for w in text.split())
     clean = [(i, t) for i, t in rows if i != 406]
-    dirty = [(500, f"{rows[1][1]} {items[0][1].upper()} {rows[2][1]}"), (501, hide(items[1][1], 0.1)), (502, f"a, {items[2][1]}!"), (503, f"z {items[3][1]} z"), (504, " ".join(items[5][1].split()[:22])), (505, items[0][1] + " " + items[1][1])]
-    found = decontam.contamination(frame(spark, clean + dirty), spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(0)))
+    dirty = [
+        (500, f"{rows[1][1]} {items[0][1].upper()} {rows[2][1]}"),
+        (501, hide(items[1][1], 0.1)),
+        (502, f"a, {items[2][1]}!"),
+        (503, f"z {items[3][1]} z"),
+        (504, " ".join(items[5][1].split()[:22])),
+        (505, items[0][1] + " " + items[1][1]),
+    ]
+    found = decontam.contamination(
+        frame(spark, clean + dirty),
+        spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(0)),
+    )
     got = {(x.doc_id, x.item_id) for x in found.collect()}
     assert got == {(500, 0), (501, 1), (502, 2), (503, 3), (504, 5), (505, 0), (505, 1)}
-    unfiltered = decontam.contamination(frame(spark, clean[:10] + dirty), spark.createDataFrame(items, "item_id long, text string"), max_filter=0)
+    unfiltered = decontam.contamination(
+        frame(spark, clean[:10] + dirty), spark.createDataFrame(items, "item_id long, text string"), max_filter=0
+    )
     assert {(x.doc_id, x.item_id) for x in unfiltered.collect()} == got
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contamination(frame(spark, clean[:3]), none).count() == 0
-    assert sorted(x.doc_id for x in decontam.drop_contaminated(frame(spark, clean[:3] + dirty[:1]), spark.createDataFrame(items, "item_id long, text string")).collect()) == sorted(i for i, _ in clean[:3])
+    assert sorted(
+        x.doc_id for x in decontam.drop_contaminated(
+            frame(spark, clean[:3] + dirty[:1]), spark.createDataFrame(items, "item_id long, text string")
+        ).collect()
+    ) == sorted(i for i, _ in clean[:3])
 
 
 @pytest.mark.parametrize("n", range(5, 24))
@@ -524,7 +752,9 @@ def test_masks_find_every_placing_of_substitutions(n):
 def test_decontamination_equals_brute_force(spark, max_filter):
     r = random.Random(21)
     vocabulary = [f"v{i}" for i in range(60)]
-    items = [(k, " ".join(r.choices(vocabulary, k=n))) for k, n in enumerate([*range(3, 26), 40, 60])] + [(90, None), (91, ""), (None, "v1 " * 9)]
+    items = [
+        (k, " ".join(r.choices(vocabulary, k=n))) for k, n in enumerate([*range(3, 26), 40, 60])
+    ] + [(90, None), (91, ""), (None, "v1 " * 9)]
     rows = []
     for i in range(300):
         words = r.choices(vocabulary, k=r.randint(0, 60))
@@ -533,9 +763,18 @@ def test_decontamination_equals_brute_force(spark, max_filter):
         part = own if r.random() < 0.6 else own[a : a + r.randint(4, 30)]
         wrong = r.sample(range(len(part)), min(len(part), r.randint(0, 1 + len(part) // 4)))
         at = r.randint(0, len(words))
-        rows.append((i, " ".join([*words[:at], *["other" if j in wrong else w.upper() for j, w in enumerate(part)], *words[at:]])))
+        rows.append(
+            (
+                i,
+                " ".join(
+                    [*words[:at], *["other" if j in wrong else w.upper() for j, w in enumerate(part)], *words[at:]]
+                ),
+            )
+        )
     rows += [(400, None), (401, ""), (None, items[20][1])]
-    found = decontam.contamination(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_filter=max_filter).collect()
+    found = decontam.contamination(
+        frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_filter=max_filter
+    ).collect()
     want = brute.contaminated(rows, items)
     assert len(want) > 100 and {(x.doc_id, x.item_id) for x in found} == want and len(found) == len(want)
 
@@ -559,7 +798,9 @@ def test_toxicity(spark):
     rows, labels = labelled()
     truth = {i: y for i, _, y in labels}
     edge = [(9000, None), (9001, ""), (9002, "vile " * 20000), (None, "nasty vile awful things"), (3, rows[3][1])]
-    y = spark.createDataFrame([*labels, (3, 1, 0), (None, 1, 1), (7, 1, None), (8888, 0, 1)], "doc_id long, quality int, toxic int")
+    y = spark.createDataFrame(
+        [*labels, (3, 1, 0), (None, 1, 1), (7, 1, None), (8888, 0, 1)], "doc_id long, quality int, toxic int"
+    )
     docs = frame(spark, rows + edge)
     model = toxicity.fit(docs, y)
     out = toxicity.score(docs, model).select("row.doc_id", "score", "segments", "best_start", "best_end").collect()
@@ -584,7 +825,10 @@ def test_toxicity_without_labels(spark):
 def test_maximal_segments():
     def plain(scores):
         """Ruzzo and Tompa's definition, by recursion on the best segment."""
-        best = max(((sum(scores[a:b]), -(b - a), a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=None)
+        best = max(
+            ((sum(scores[a:b]), -(b - a), a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)),
+            default=None,
+        )
         if not best or best[0] <= 0:
             return []
         a, b = best[2], best[3]

@@ -44,10 +44,14 @@ def plain_score(model, words):
         scores.append(max(each, key=abs) - model.drift)
 
     def maximal(a, b):
-        best = max(((sum(scores[i:j]), i - j, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, 0, 0, 0))
+        best = max(
+            ((sum(scores[i:j]), i - j, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, 0, 0, 0)
+        )
         return maximal(a, best[2]) + [best[0]] + maximal(best[3], b) if best[0] > 0 else []
 
-    return 1 / (1 + np.exp(-model.slope * toxicity.together(model, len(scores), maximal(0, len(scores))) - model.offset))
+    return 1 / (
+        1 + np.exp(-model.slope * toxicity.together(model, len(scores), maximal(0, len(scores))) - model.offset)
+    )
 
 
 @pytest.mark.skipif(not os.path.exists(DIR), reason="needs the given tables")
@@ -69,7 +73,9 @@ def test_stages(spark):
     (_, before, after) = seen[3]
     items = [(r.item_id, r.text) for r in table(spark, DIR, "benchmark").collect()]
     near = {w for _, t in items for w in (t or "").lower().split()}
-    some = [(i, t) for i, t in text(before).items() if i % 4 == 0 or sum(w in near for w in (t or "").lower().split()) > 10]
+    some = [
+        (i, t) for i, t in text(before).items() if i % 4 == 0 or sum(w in near for w in (t or "").lower().split()) > 10
+    ]
     gone = {i for i, _ in brute.contaminated(some, items)}
     assert {i for i, _ in some} & text(after).keys() == {i for i, _ in some} - gone
 
@@ -92,17 +98,36 @@ def test_toxicity_stage(spark):
     rows, labels = labelled(300)
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
     model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    kept = {r.doc_id for r in toxicity.drop_toxic(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    kept = {
+        r.doc_id for r in toxicity.drop_toxic(
+            docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        ).collect()
+    }
     short = [(i, t.split()) for i, t in rows if len(t.split()) <= 40]
     assert len(short) > 50 and all((i in kept) == (plain_score(model, w) < 0.5) for i, w in short)
 
 
 @pytest.mark.parametrize("rows", [0, 1], ids=["empty tables", "nulls, blanks and repeated rows"])
 def test_stages_on_awkward_tables(spark, tmp_path, rows):
-    some = [(1, None), (None, "a null id"), (2, ""), (3, "  \n "), (4, "one"), (4, "one"), (5, "word " * 30_000), (6, "shared line of text\nx"), (7, "shared line of text\ny"), (None, None)] * rows
-    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in some], DOCS).withColumns({"row": F.lit(1), "_id": F.lit("x"), "copies": F.lit(9), "id": F.lit(None).cast("string")})
+    some = [
+        (1, None),
+        (None, "a null id"),
+        (2, ""),
+        (3, "  \n "),
+        (4, "one"),
+        (4, "one"),
+        (5, "word " * 30_000),
+        (6, "shared line of text\nx"),
+        (7, "shared line of text\ny"),
+        (None, None),
+    ] * rows
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in some], DOCS).withColumns(
+        {"row": F.lit(1), "_id": F.lit("x"), "copies": F.lit(9), "id": F.lit(None).cast("string")}
+    )
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    spark.createDataFrame([(1, None), (None, "x")] * rows, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(
+        [(1, None), (None, "x")] * rows, "item_id long, text string"
+    ).write.parquet(f"{tmp_path}/benchmark.parquet")
     seen = stages(spark, docs, str(tmp_path))
     assert all(o.columns == docs.columns for _, _, o in seen[:-1]) and set(seen[-1][2].columns) == set(docs.columns)
     kept = [sorted(((r.doc_id, r.text) for r in o.collect()), key=str) for _, _, o in seen[:-1]]
