@@ -35,8 +35,8 @@ def flatten_geojson(df: DataFrame, column: str = "geojson") -> DataFrame:
 
 
 def flatten_features(df: DataFrame, name: str | None = None, value=None, attribute: str = "_attr_") -> DataFrame:
-    """A text column per tag of a feature tree, attributes as tag_attribute; of repeated tags, and tags of one name, the last
-    wins. name and value add a constant column, such as the source's name."""
+    """A text column per tag of a feature tree, attributes as tag_attribute; of repeated tags, and tags of one name, the
+    last wins. name and value add a constant column, such as the source's name."""
     found: dict[str, object] = {}
 
     def walk(kind, at, tag: str) -> None:

@@ -46,7 +46,8 @@ def _numeric(c: str, descending: bool) -> list[Column]:
 
 
 def latest_values(eav: DataFrame) -> DataFrame:
-    """The current row of each (entity, field): latest entry_date, then highest priority if there is one, then entry_number."""
+    """The current row of each (entity, field): latest entry_date, then highest priority if there is one, then
+    entry_number."""
     order = [
         F.col("entry_date").desc_nulls_last(),
         *(_numeric("priority", True) if "priority" in eav.columns else []),
@@ -74,7 +75,8 @@ def current_resources(log: DataFrame) -> DataFrame:
 
 
 def pivot(eav: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """A row per entity with a column per field and max_priority. One aggregation; without fields, a job finds them first.
+    """A row per entity with a column per field and max_priority. One aggregation; without fields, a job finds them
+    first.
 
     Rows of a null field carry no value. eav holds one row per (entity, field)."""
     if fields is None:
@@ -93,7 +95,8 @@ def join_organisation(df: DataFrame, organisation: DataFrame) -> DataFrame:
 
 
 def join_typology(df: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Add the typology of the dataset from dimension(dataset, typology); of several the least, null where there is none."""
+    """Add the typology of the dataset from dimension(dataset, typology); of several the least, null where there is
+    none."""
     own = dimension.groupBy("dataset").agg(F.min("typology").alias("typology"))
     return df.drop("typology").join(
         F.broadcast(own) if own.limit(MAX_DATASETS + 1).count() <= MAX_DATASETS else own, "dataset", "left"
@@ -126,9 +129,9 @@ def transform_entity(
     fields: list[str] | None = None,
     loaded=None,
 ) -> DataFrame:
-    """Wide entities: current values pivoted, quality from the highest priority, the owner's entity, what has no column of
-    its own as JSON, dates and geometry checked, and a point for each geometry. typology: the value for all, or a table to look it
-    up in (see join_typology())."""
+    """Wide entities: current values pivoted, quality from the highest priority, the owner's entity, what has no column
+    of its own as JSON, dates and geometry checked, and a point for each geometry. typology: the value for all, or a
+    table to look it up in (see join_typology())."""
     wide = C.snake_case(pivot(latest_values(eav), fields))
     has_priority = "priority" in eav.columns
     wide = C.with_constants(wide, dataset=dataset, quality=C.quality_of("max_priority") if has_priority else F.lit(""))

@@ -12,7 +12,8 @@ from landloom.plans.schema import LOADED, enforce
 
 
 def drop_withdrawn(df: DataFrame, withdrawn: DataFrame) -> DataFrame:
-    """Rows whose resource is not listed with status 410. Null resources stay; a null key in the list removes nothing."""
+    """Rows whose resource is not listed with status 410. Null resources stay; a null key in the list removes
+    nothing."""
     gone = withdrawn.where(F.col("status") == "410").select(F.col("old_resource").alias("resource")).distinct()
     return df.join(gone, "resource", "left_anti")
 
@@ -27,7 +28,8 @@ def active(df: DataFrame, end_date: str = "end_date") -> DataFrame:
 
 
 def backfill(df: DataFrame, lookup: DataFrame, on: str, column: str) -> DataFrame:
-    """Fill blank values of column from lookup(on, column); a key with several values gives several rows, an unknown stays ''.
+    """Fill blank values of column from lookup(on, column); a key with several values gives several rows, an unknown
+    stays ''.
 
     One join: rows that have a value meet no lookup row."""
     own = lookup.select(F.col(on).alias("_key"), F.col(column).alias("_found")).distinct()
@@ -45,9 +47,9 @@ def backfill(df: DataFrame, lookup: DataFrame, on: str, column: str) -> DataFram
 def range_join(df: DataFrame, ranges: DataFrame, key: str, low: str, high: str, width: int | None = None) -> DataFrame:
     """Inner join on low <= key <= high.
 
-    With width, each range is listed under the buckets of that width it touches and the join is on the bucket, so neither side
-    need fit into memory; choose about the usual length of a range. Without, the planner joins by comparing, which suits a small
-    list of ranges."""
+    With width, each range is listed under the buckets of that width it touches and the join is on the bucket, so
+    neither side need fit into memory; choose about the usual length of a range. Without, the planner joins by
+    comparing, which suits a small list of ranges."""
     within = F.col(key).between(F.col(low), F.col(high))
     if width is None:
         return df.join(ranges, within)
@@ -59,8 +61,8 @@ def range_join(df: DataFrame, ranges: DataFrame, key: str, low: str, high: str,
 
 
 def transform_old_entity(old: DataFrame, spec: DataFrame, width: int | None = None, loaded=None) -> DataFrame:
-    """Redirects of the dataset in whose range the old entity lies: its collection must be the dataset's, and the target, if
-    there is one, must lie in the same range."""
+    """Redirects of the dataset in whose range the old entity lies: its collection must be the dataset's, and the
+    target, if there is one, must lie in the same range."""
     old = C.snake_case(old).withColumns({"old_entity": C.as_long("old_entity"), "entity": C.as_long("entity")})
     own = spec.select(
         C.as_long("entity_minimum").alias("_low"),

@@ -37,7 +37,8 @@ def owner_side(owned: DataFrame) -> DataFrame:
 def seeder_side(
     owned: DataFrame, lookup: DataFrame, designated: DataFrame, active_organisations: DataFrame
 ) -> DataFrame:
-    """Active organisations that seeded entities of quality some in a dataset where they own none and are not designated.
+    """Active organisations that seeded entities of quality some in a dataset where they own none and are not
+    designated.
 
     Local authorities count only if they seeded for more than one owner."""
     some = owned.where(F.col("quality") == "some").select("dataset", "entity", F.col("organisation").alias("owner"))

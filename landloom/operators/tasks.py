@@ -40,7 +40,8 @@ def log_tasks(log: DataFrame, entry_date: str) -> DataFrame:
 
 
 def issue_tasks(issues: DataFrame, entry_date: str) -> DataFrame:
-    """A task for each (dataset, resource, field, issue type) and organisation of the ';' list, with the number of issues.
+    """A task for each (dataset, resource, field, issue type) and organisation of the ';' list, with the number of
+    issues.
 
     Severity, responsibility and endpoint are the least of the group, so that reruns agree."""
     own = issues.where(F.col("severity").isin(*SEVERITIES)).withColumn(
@@ -61,7 +62,8 @@ def issue_tasks(issues: DataFrame, entry_date: str) -> DataFrame:
 
 
 def active_resources(log: DataFrame, attributes: DataFrame | None) -> DataFrame:
-    """(resource, dataset, organisation, endpoint) that endpoints serve now; attributes(endpoint, dataset, organisation)."""
+    """(resource, dataset, organisation, endpoint) that endpoints serve now; attributes(endpoint, dataset,
+    organisation)."""
     now = current_resources(log)
     if attributes is None:
         now = C.with_constants(now, dataset="", organisation="")
@@ -73,7 +75,8 @@ def active_resources(log: DataFrame, attributes: DataFrame | None) -> DataFrame:
 
 
 def source_lookups(source: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(endpoint, dataset) exploded, (endpoint, organisation) and (endpoint, dataset list, organisation), of active sources.
+    """(endpoint, dataset) exploded, (endpoint, organisation) and (endpoint, dataset list, organisation), of active
+    sources.
 
     Where an endpoint is listed more than once, one row is kept: the least by organisation, then by list."""
     own = active(source)
@@ -97,8 +100,8 @@ def one_per_resource(active_: DataFrame) -> DataFrame:
 def all_tasks(
     log: DataFrame, source: DataFrame | None, issues: DataFrame | None, issue_types: DataFrame, entry_date: str
 ) -> DataFrame:
-    """The cross-collection task table: failed fetches, their dataset and organisation filled from the resource or the source,
-    and issues of resources that are served now."""
+    """The cross-collection task table: failed fetches, their dataset and organisation filled from the resource or the
+    source, and issues of resources that are served now."""
     lookups = source_lookups(source) if source is not None else None
     now = active_resources(log, lookups[2] if lookups else None)
     single = one_per_resource(now)

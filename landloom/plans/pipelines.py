@@ -23,8 +23,8 @@ def load_entities(
     publish: str | None = None,
     database: dict | None = None,
 ) -> dict[str, int]:
-    """Collected values of a dataset to fact_resource, fact and entity tables, and published files. Returns row counts of what
-    was read and of rows without a resource, which are left out."""
+    """Collected values of a dataset to fact_resource, fact and entity tables, and published files. Returns row counts
+    of what was read and of rows without a resource, which are left out."""
     eav = C.snake_case(readers.parquet(spark, transformed))
     if withdrawn is not None:
         eav = joins.drop_withdrawn(eav, withdrawn)
@@ -71,7 +71,8 @@ def load_old_entities(
     loaded=None,
     database: dict | None = None,
 ) -> DataFrame:
-    """Redirects of all collections, tagged by folder, to one table. width: about the usual length of a dataset's range."""
+    """Redirects of all collections, tagged by folder, to one table. width: about the usual length of a dataset's
+    range."""
     columns = ["old_entity", "status", "entity", "notes", "end_date", "entry_date", "start_date"]
     out = joins.transform_old_entity(readers.tagged(spark, pattern, columns), spec, width, loaded)
     sinks.overwrite(out, f"{output}/old_entity")
@@ -107,7 +108,8 @@ def generate_tasks(
 
 
 def active_providers(source: DataFrame, resource: DataFrame) -> DataFrame:
-    """(dataset, organisation, has_active_resource): providers with an active endpoint, and whether one still delivers."""
+    """(dataset, organisation, has_active_resource): providers with an active endpoint, and whether one still
+    delivers."""
     own = joins.active(source).where(~C.is_blank("endpoint") & ~C.is_blank("organisation"))
     own = own.select("endpoint", "organisation", F.explode(F.split("pipelines", ";")).alias("dataset"))
     delivering = joins.active(resource).select(
@@ -174,9 +176,9 @@ def provision_quality(
 
 
 def cadastral_study(spark: SparkSession, archives: str | DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
-    """(volume per archive, records per archive) of zipped cadastral XML, at paths that match a pattern or in archives(path,
-    content): executors unpack members and write their features as documents of their own, which name the archive; those are read
-    back and flattened to Parquet."""
+    """(volume per archive, records per archive) of zipped cadastral XML, at paths that match a pattern or in
+    archives(path, content): executors unpack members and write their features as documents of their own, which name the
+    archive; those are read back and flattened to Parquet."""
     members = readers.archive_members(spark, archives) if isinstance(archives, str) else readers.members_of(archives)
     members.write.mode("overwrite").parquet(f"{work}/members")
     members = spark.read.parquet(f"{work}/members")

@@ -34,7 +34,8 @@ def schema_of(name: str) -> StructType:
 
 
 def enforce(df: DataFrame, schema: str | StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One projection: known columns cast (null where that fails), missing ones null, others but keep dropped, in order."""
+    """One projection: known columns cast (null where that fails), missing ones null, others but keep dropped, in
+    order."""
     schema = schema_of(schema) if isinstance(schema, str) else schema
     have = set(df.columns)
 
@@ -86,7 +87,8 @@ def diff(spark: SparkSession, schema: str | StructType, path: str, fmt: str = "p
 
 
 def migrate(spark: SparkSession, schema: str | StructType, path: str, allow_destructive: bool = False, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> Difference:
-    """Rewrite the table at path: new columns as nulls always, drops and casts only if allowed. Returns what was done."""
+    """Rewrite the table at path: new columns as nulls always, drops and casts only if allowed. Returns what was
+    done."""
     schema = schema_of(schema) if isinstance(schema, str) else schema
     todo = diff(spark, schema, path, fmt)
     done = todo if allow_destructive else Difference(added=todo.added)
@@ -103,7 +105,8 @@ def migrate(spark: SparkSession, schema: str | StructType, path: str, allow_dest
 def migrate_all(
     spark: SparkSession, tables: list[tuple[str | StructType, str]], **options
 ) -> dict[str, tuple[Difference, Difference]]:
-    """migrate() each (schema or its name, path); by path: (what was done, what is still to be done, which is destructive)."""
+    """migrate() each (schema or its name, path); by path: (what was done, what is still to be done, which is
+    destructive)."""
     out = {}
     for name, path in tables:
         done = migrate(spark, name, path, **options)

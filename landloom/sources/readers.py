@@ -37,7 +37,8 @@ def csv_inferred(spark: SparkSession, path: str, header: bool = True, **options)
 
 
 def header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The column names in the first line of a delimited file, or of the first file of a folder; nothing else is read."""
+    """The column names in the first line of a delimited file, or of the first file of a folder; nothing else is
+    read."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -70,8 +71,8 @@ def csv_by_name(
 ) -> DataFrame:
     """The columns (snake case) of all files that have them, each by its own header: one scan per distinct header.
 
-    missing: also take files that lack some, as nulls. source: further columns from the file, as {name: function of its path}.
-    Fails if no file can be used."""
+    missing: also take files that lack some, as nulls. source: further columns from the file, as {name: function of its
+    path}. Fails if no file can be used."""
     frames = []
     for head, own in _by_header(spark, files).items():
         names = [h.replace("-", "_") for h in head]
@@ -104,7 +105,8 @@ def folder(path, up: int = 1):
 
 
 def entity_quality(spark: SparkSession, files: list[str]) -> DataFrame:
-    """(dataset, entity, organisation_entity, quality) from a file per dataset; files without those columns are left out."""
+    """(dataset, entity, organisation_entity, quality) from a file per dataset; files without those columns are left
+    out."""
     return csv_by_name(spark, files, ["entity", "organisation_entity", "quality"], {"dataset": stem})
 
 
@@ -128,8 +130,8 @@ def table_or_empty(spark: SparkSession, path: str, columns: list[str], fmt: str
 
 
 def xml_features(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Features of cadastral XML: featureMember elements, else member elements, without namespaces. A file is one document: what
-    follows the end of its root element is not read (see features_of() for documents in a column)."""
+    """Features of cadastral XML: featureMember elements, else member elements, without namespaces. A file is one
+    document: what follows the end of its root element is not read (see features_of() for documents in a column)."""
     for tag in ("featureMember", "member"):
         df = spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", "true").option(
             "attributePrefix", "_attr_"
@@ -157,8 +159,8 @@ def archive_members(spark: SparkSession, pattern: str, suffix: str = ".gml", tex
 
 
 def members_of(archives: DataFrame, suffix: str = ".gml", text: bool = True) -> DataFrame:
-    """(archive, member, size, text) of the members of zip archives(path, content); executors unzip, a member at a time. text:
-    also their contents."""
+    """(archive, member, size, text) of the members of zip archives(path, content); executors unzip, a member at a time.
+    text: also their contents."""
 
     def run(frames):
         for pdf in frames:

@@ -61,8 +61,8 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None
 
 
 def swap(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> None:
-    """Replace the table at path by df, which may read it: written beside it, then renamed. The old table is moved aside first and
-    deleted last, so that one of the two is there whenever this stops."""
+    """Replace the table at path by df, which may read it: written beside it, then renamed. The old table is moved aside
+    first and deleted last, so that one of the two is there whenever this stops."""
     spark, beside, aside = df.sparkSession, f"{
         path.rstrip('/')
     }-{uuid.uuid4().hex}", f"{path.rstrip('/')}-old-{uuid.uuid4().hex}"
@@ -227,11 +227,13 @@ def jdbc_swap(
     types: str | None = None,
     tries: int = 3,
 ) -> int:
-    """Append df to a staging table in parallel, then replace the rows of dataset (or all) in one transaction. Returns rows.
+    """Append df to a staging table in parallel, then replace the rows of dataset (or all) in one transaction. Returns
+    rows.
 
-    df is computed once. rows: how many are expected, for sizing(); types: column types of the staging table, as DDL. Columns go by
-    position, so df is put into the target's order. checked: refuse an empty copy, and roll back if the rows inserted are not
-    those staged. Failures that may pass are tried again; the staging table is dropped in any case."""
+    df is computed once. rows: how many are expected, for sizing(); types: column types of the staging table, as DDL.
+    Columns go by position, so df is put into the target's order. checked: refuse an empty copy, and roll back if the
+    rows inserted are not those staged. Failures that may pass are tried again; the staging table is dropped in any
+    case."""
     for k in range(tries):
         try:
             return _jdbc_swap(df, url, target, dataset, column, checked, properties or {}, rows, types)
@@ -298,8 +300,8 @@ def jdbc_subdivided(df: DataFrame, url: str, target: str, dataset: str, geometry
 def compact(spark: SparkSession, paths: list[str], target_bytes: int = 128 << 20, fmt: str = "parquet") -> dict[str, str]:
     """Rewrite each table with files of about target_bytes; a failure is reported and the others go on.
 
-    A partitioned table is rebalanced by its partition column, so that a large partition is written by several tasks and a small
-    one by one; tables of one partition level are meant."""
+    A partitioned table is rebalanced by its partition column, so that a large partition is written by several tasks and
+    a small one by one; tables of one partition level are meant."""
     out = {}
     for path in paths:
         try:
