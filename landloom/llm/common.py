@@ -24,8 +24,8 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; one of its own only where that is unset and Spark runs in one
-    process."""
+    """The folder in spark.checkpoint.dir, which all executors share; one of its own only where that is unset and Spark
+    runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
@@ -66,7 +66,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str, field: str | None = None, limit: int = BLOCK_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a column of strings (or a field of a column of structs) has at most limit bytes in each, or one row."""
+    """Cut batches so that a column of strings (or a field of a column of structs) has at most limit bytes in each, or
+    one row."""
     for batch in batches:
         strings = batch.column(column) if field is None else batch.column(column).field(field)
         sizes = np.cumsum(pc.fill_null(pc.binary_length(strings), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -156,7 +157,8 @@ def word_bounds(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words in bytes, and at which word each document begins (one more at the end).
 
-    UTF-8 keeps bytes of 0x80 and more for other than ASCII, so words split at ASCII bytes are the same as in code points."""
+    UTF-8 keeps bytes of 0x80 and more for other than ASCII, so words split at ASCII bytes are the same as in code
+    points."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     word = ~gaps[data]
@@ -225,7 +227,8 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def annotate(docs: DataFrame, text: str, fields: str, make) -> DataFrame:
-    """(row, *fields): every row of docs as a struct, with what make(column of texts) gives for it as a dict of arrays."""
+    """(row, *fields): every row of docs as a struct, with what make(column of texts) gives for it as a dict of
+    arrays."""
     from pyspark.sql.types import StructType
 
     plain = docs.select(F.struct("*").alias("row"))
@@ -265,13 +268,14 @@ def ascii_lower(c):
 # ------------------------------------------------------------------------------------------------- hot keys
 
 
-#: A key is hot if more than one in PARTS of the rows have it, and more than LEAST. So at most PARTS keys are, whatever the
-#: number of rows, and they may be broadcast.
+#: A key is hot if more than one in PARTS of the rows have it, and more than LEAST. So at most PARTS keys are, whatever
+#: the number of rows, and they may be broadcast.
 PARTS, LEAST = 4096, 1000
 
 
 def hot_keys(counts: DataFrame, n: str = "n") -> tuple[DataFrame | None, int]:
-    """(hot keys or None, limit) of counts: a row per key with the number n of rows that have it. counts is read twice."""
+    """(hot keys or None, limit) of counts: a row per key with the number n of rows that have it. counts is read
+    twice."""
     total, most = counts.agg(F.sum(n), F.max(n)).first()
     limit = max(LEAST, (total or 0) // PARTS)
     return (counts.where(F.col(n) > limit) if (most or 0) > limit else None), limit
@@ -280,8 +284,8 @@ def hot_keys(counts: DataFrame, n: str = "n") -> tuple[DataFrame | None, int]:
 def look_up(rows: DataFrame, counts: DataFrame, on: list[str], by: list[str], n: str = "n") -> DataFrame:
     """Inner join of rows with counts, which has a row per key and the number n of rows that have it; on[0] is a long.
 
-    Rows of hot keys get theirs from a broadcast, and are dealt by a hash of the columns by where the others are joined, instead
-    of meeting in one task."""
+    Rows of hot keys get theirs from a broadcast, and are dealt by a hash of the columns by where the others are joined,
+    instead of meeting in one task."""
     hot, limit = hot_keys(counts, n)
     if hot is None:
         return rows.join(counts, on)
@@ -303,8 +307,8 @@ def look_up(rows: DataFrame, counts: DataFrame, on: list[str], by: list[str], n:
 def even_join(left: DataFrame, right: DataFrame, on: str, by: list[str], counts: DataFrame, n: str = "n") -> DataFrame:
     """Inner join of left with right, which has a row or a few per key; counts: the number n of left's rows per key.
 
-    Left's rows of a hot key are dealt over shares by a hash of the columns by, and right's are repeated for each share; there
-    are at most 2 * PARTS shares of hot keys."""
+    Left's rows of a hot key are dealt over shares by a hash of the columns by, and right's are repeated for each share;
+    there are at most 2 * PARTS shares of hot keys."""
     hot, limit = hot_keys(counts, n)
     if hot is None:
         return left.join(right, on)
@@ -324,10 +328,10 @@ def even_join(left: DataFrame, right: DataFrame, on: str, by: list[str], counts:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b) pairs of ids; component: the smallest id reachable.
 
-    Alternates large-star and small-star steps: each links a node's neighbours to its least one, the first those that are
-    larger, the second those that are smaller. A step is one aggregation by node and one join, by look_up() where there are
-    many edges, so a node with very many neighbours is no single task's group. Steps are saved and report whether they changed
-    anything; a graph of stars is recognised in one round."""
+    Alternates large-star and small-star steps: each links a node's neighbours to its least one, the first those that
+    are larger, the second those that are smaller. A step is one aggregation by node and one join, by look_up() where
+    there are many edges, so a node with very many neighbours is no single task's group. Steps are saved and report
+    whether they changed anything; a graph of stars is recognised in one round."""
     few = 4 * edges.sparkSession.sparkContext.defaultParallelism  # ids only: tasks beyond four a core are overhead
     plain = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     now = save(plain.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).coalesce(few))

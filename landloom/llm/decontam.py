@@ -1,14 +1,15 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Fixed masks over runs of tokens ignore some positions, so a hash survives substituted tokens that fall there. The masks are
-chosen by the length of an item so that, wherever the substitutions fall that an overlap may hold, one of them misses all.
-Hashes of benchmark and training texts are joined; each hit gives a diagonal (how far the item is shifted in the text), and
-along it the two are compared token by token: a contaminated text holds a stretch of 20 tokens of an item (or the whole of a
-shorter item) of which at least percent agree.
+Fixed masks over runs of tokens ignore some positions, so a hash survives substituted tokens that fall there. The masks
+are chosen by the length of an item so that, wherever the substitutions fall that an overlap may hold, one of them
+misses all. Hashes of benchmark and training texts are joined; each hit gives a diagonal (how far the item is shifted in
+the text), and along it the two are compared token by token: a contaminated text holds a stretch of 20 tokens of an item
+(or the whole of a shorter item) of which at least percent agree.
 
 The benchmark's hashes are broadcast as a sorted array to drop other training hashes before the join, but only after
-counting that they are at most max_filter; a larger benchmark joins without that filter, with the same result. Training tokens
-are shuffled only for texts with a hit. A passage that every third text holds costs a row per text and item, spread by text."""
+counting that they are at most max_filter; a larger benchmark joins without that filter, with the same result. Training
+tokens are shuffled only for texts with a hit. A passage that every third text holds costs a row per text and item,
+spread by text."""
 
 from __future__ import annotations
 
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from landloom.llm.common import NOT_ALNUM, annotate, forget, inside, mixed, save, signed, table, unpack, word_table
 
-#: Masks (1: the token counts) by the least number of tokens of an item that they serve: together they find a stretch of so many
-#: tokens wherever the substitutions that PERCENT leaves it (1, 2, 3, 4) fall.
+#: Masks (1: the token counts) by the least number of tokens of an item that they serve: together they find a stretch of
+#: so many tokens wherever the substitutions that PERCENT leaves it (1, 2, 3, 4) fall.
 MASKS = {
     5: ("1111", "11101", "11011", "10111"),
     10: ("1111011", "11001111", "110110011", "11110101", "10101111"),
@@ -35,8 +36,8 @@ FACTORS = mixed(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xB5026F5AA96619E9
 def all_hashes(
     words: np.ndarray, first: np.ndarray, served: dict[int, np.ndarray | None]
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, token at which they begin) within texts, of the tokens that masks keep. served: the entries of MASKS wanted,
-    with the texts that each is for (None: all)."""
+    """(hashes, token at which they begin) within texts, of the tokens that masks keep. served: the entries of MASKS
+    wanted, with the texts that each is for (None: all)."""
     hashes, places = [], []
     weight = max((m.count("1") for n in served for m in MASKS[n]), default=0)
     scaled = [words * f for f in FACTORS[:weight]]
@@ -80,7 +81,8 @@ def _tokens(words: np.ndarray, first: np.ndarray) -> pa.Array:
 
 
 def overlaps(doc: np.ndarray, item: np.ndarray, shift: int, window: int, percent: int) -> tuple[int, int, int]:
-    """(start, end, agreeing) of the stretch of doc that agrees with item shifted by shift in windows; start = end: none."""
+    """(start, end, agreeing) of the stretch of doc that agrees with item shifted by shift in windows; start = end:
+    none."""
     w = min(window, len(item))
     lo, hi = max(0, shift), min(len(doc), shift + len(item))
     if hi - lo < w:
@@ -106,10 +108,10 @@ def contamination(
 ) -> DataFrame:
     """(doc_id, item_id, start, end, agreeing): the longest overlap of each document and benchmark item that have one.
 
-    Tokens are lower-cased runs of letters and digits. Every overlap of WINDOW tokens, or of all of a shorter item, of which
-    percent (PERCENT or more) agree is found, wherever the others stand; items of fewer than 5 tokens are ignored. Null, empty
-    and blank texts and items overlap with nothing. Rows of a null id are ignored; rows that repeat an id are one document of
-    several texts, or one item. Other columns are ignored, and empty tables give an empty result."""
+    Tokens are lower-cased runs of letters and digits. Every overlap of WINDOW tokens, or of all of a shorter item, of
+    which percent (PERCENT or more) agree is found, wherever the others stand; items of fewer than 5 tokens are ignored.
+    Null, empty and blank texts and items overlap with nothing. Rows of a null id are ignored; rows that repeat an id
+    are one document of several texts, or one item. Other columns are ignored, and empty tables give an empty result."""
     if percent < PERCENT:
         raise ValueError(f"the masks find overlaps of {PERCENT} percent or more")
 

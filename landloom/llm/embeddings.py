@@ -1,13 +1,14 @@
 """Embedding near-dedup by iterative quantisation and multi-index Hamming tables.
 
-Rotations are learnt on a bounded sample so that the signs of the rotated vectors are balanced codes that keep angles. Codes
-are cut into tables, as many as it takes for two vectors at the threshold to agree in all bits of at least one of them with a
-chance of RECALL, whatever the number of vectors. Vectors of one bucket of a table are candidates, and candidates are reranked
-by the cosine of the original vectors in double precision, each pair in the first table in which it meets.
+Rotations are learnt on a bounded sample so that the signs of the rotated vectors are balanced codes that keep angles.
+Codes are cut into tables, as many as it takes for two vectors at the threshold to agree in all bits of at least one of
+them with a chance of RECALL, whatever the number of vectors. Vectors of one bucket of a table are candidates, and
+candidates are reranked by the cosine of the original vectors in double precision, each pair in the first table in which
+it meets.
 
-Codes are dealt to tables first, without vectors; vectors then follow to the buckets that hold several. Pairs never leave a
-task: a task returns, per vector, how many others it links with and the smallest id it is connected with there. A bucket with
-very many vectors is dealt over blocks and pairs of blocks. Equal vectors are one from the start."""
+Codes are dealt to tables first, without vectors; vectors then follow to the buckets that hold several. Pairs never
+leave a task: a task returns, per vector, how many others it links with and the smallest id it is connected with there.
+A bucket with very many vectors is dealt over blocks and pairs of blocks. Equal vectors are one from the start."""
 
 from __future__ import annotations
 
@@ -31,7 +32,8 @@ MAX_HOT = 1 << 20
 
 
 def layout(n: int, least: float, recall: float = RECALL) -> tuple[int, int]:
-    """(tables, bits of each) for n vectors. A bit differs with chance angle / pi; vectors meet in a table if none does."""
+    """(tables, bits of each) for n vectors. A bit differs with chance angle / pi; vectors meet in a table if none
+    does."""
     length = min(31, max(LENGTH, math.ceil(math.log2(max(1, n) / FULL))))
     meet = (1 - math.acos(max(-1.0, min(1.0, least))) / math.pi) ** length
     return (1 if meet >= recall else math.ceil(math.log1p(-recall) / math.log1p(-meet))), length
@@ -84,7 +86,8 @@ def encode(vectors: DataFrame, dim: int, rotation: np.ndarray, length: int) -> D
 
 
 def dealt(codes: DataFrame, block: int) -> DataFrame:
-    """(cid, tbl, part, at, lo, hi) for each bucket of two vectors or more: a row for each pair of blocks that a vector is in."""
+    """(cid, tbl, part, at, lo, hi) for each bucket of two vectors or more: a row for each pair of blocks that a vector
+    is in."""
     each = codes.select("cid", F.posexplode("codes").alias("tbl", "part"))
     sizes = save(each.groupBy("tbl", "part").agg(F.count("*").alias("size")).where("size > 1"))
     hot = sizes.where(F.col("size") > block)
@@ -108,8 +111,8 @@ def dealt(codes: DataFrame, block: int) -> DataFrame:
 def candidates(
     cuts: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, most: int = 1 << 17
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j) of rows of one group, i < j, from both blocks where it has two; cuts: where groups begin, and the end.
-    A portion holds most pairs or those of one row."""
+    """Pairs (i, j) of rows of one group, i < j, from both blocks where it has two; cuts: where groups begin, and the
+    end. A portion holds most pairs or those of one row."""
     last = np.repeat(cuts[1:], np.diff(cuts))
     number = last - np.arange(len(last)) - 1
     upto = np.cumsum(number)
@@ -189,10 +192,10 @@ def near_duplicates(
     """(vec_id, n_links, component_id, kept) for each row.
 
     Vectors are linked when their cosine is least or more and the index brings them together, with a chance of RECALL at
-    least; none below least is linked. sample: the most vectors the rotations are learnt on, chosen by hash. Vectors that are
-    null, empty, zero or hold null or non-finite components link with nothing; those of different lengths don't link either.
-    Rows that repeat an id are one vector of several forms, whose links are added up; rows of a null id link with nothing.
-    An empty table gives an empty result; other columns are ignored."""
+    least; none below least is linked. sample: the most vectors the rotations are learnt on, chosen by hash. Vectors
+    that are null, empty, zero or hold null or non-finite components link with nothing; those of different lengths don't
+    link either. Rows that repeat an id are one vector of several forms, whose links are added up; rows of a null id
+    link with nothing. An empty table gives an empty result; other columns are ignored."""
     raw = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).alias("v"))
     fine = F.forall(
         "v", lambda z: F.coalesce(~F.isnan(z) & (F.abs(z) < float("inf")), F.lit(False))

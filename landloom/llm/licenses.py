@@ -1,9 +1,10 @@
 """License scans: ordered signature rules behind a keyword filter.
 
-A rule is a regular expression over lower-cased text with a label, a priority, a confidence and the keywords of which a text
-must hold some for the rule to be tried. The rules are written by hand (license_rules): tags, sentences of the licenses' own
-texts, grants, addresses and names. Keywords are read off the expression, so that no text with a match lacks them. Detections
-are resolved in order of priority: one whose interval lies within a kept detection's interval is suppressed.
+A rule is a regular expression over lower-cased text with a label, a priority, a confidence and the keywords of which a
+text must hold some for the rule to be tried. The rules are written by hand (license_rules): tags, sentences of the
+licenses' own texts, grants, addresses and names. Keywords are read off the expression, so that no text with a match
+lacks them. Detections are resolved in order of priority: one whose interval lies within a kept detection's interval is
+suppressed.
 
 A map over whole texts: nothing is shuffled."""
 
@@ -38,8 +39,8 @@ class Rule:
 
 
 def forms(parsed) -> set[bytes]:
-    """What the parsed expression matches, a blank for what separates words and a zero byte for characters that may be several;
-    of repetitions, the least number."""
+    """What the parsed expression matches, a blank for what separates words and a zero byte for characters that may be
+    several; of repetitions, the least number."""
     out = {b""}
     for op, arg in parsed:
         more = {b""}
@@ -126,9 +127,10 @@ FIELDS = "n_words long, n_base long, first_word long, last_word long, base_label
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row.
 
-    n_base: places where a phrase of BASE stands as consecutive words; first_word and last_word: the smallest and largest
-    word at which one begins, else null. labels: those of BASE and of the rules. score: the highest confidence, 0 without any.
-    Null and empty texts have no words and no labels. Other columns ride along in row; an empty table gives an empty result."""
+    n_base: places where a phrase of BASE stands as consecutive words; first_word and last_word: the smallest and
+    largest word at which one begins, else null. labels: those of BASE and of the rules. score: the highest confidence,
+    0 without any. Null and empty texts have no words and no labels. Other columns ride along in row; an empty table
+    gives an empty result."""
     ready: list = []
 
     def make(column: pa.Array) -> dict:

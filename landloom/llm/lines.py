@@ -1,8 +1,9 @@
 """Line dedup: explode normalised lines, hash, count distinct documents per hash, drop lines over the threshold,
 reassemble by position. Built-in functions only.
 
-Only hashes are shuffled for counting. A hash that every third document holds is summed before the shuffle and broadcast to
-its lines, so no task gathers a line's documents. A document's text moves once, to meet the list of its dropped lines."""
+Only hashes are shuffled for counting. A hash that every third document holds is summed before the shuffle and broadcast
+to its lines, so no task gathers a line's documents. A document's text moves once, to meet the list of its dropped
+lines."""
 
 from __future__ import annotations
 
@@ -25,10 +26,11 @@ def line_dedup(
 ) -> DataFrame:
     """(row, n_lines, n_dropped, kept): every row, as a struct, with the lines that stay, joined by newlines.
 
-    A key of min_chars code points or more that at least min_docs documents hold keeps its lines only in the document of the
-    smallest id. Null or empty text: one empty line, which stays. Rows that repeat an id count as one document. A null id
-    counts as no document; lines of such rows go if enough other documents hold them. Equal lines in one document stand or
-    fall together. An empty table gives an empty result; other columns ride along in row, whatever their names."""
+    A key of min_chars code points or more that at least min_docs documents hold keeps its lines only in the document of
+    the smallest id. Null or empty text: one empty line, which stays. Rows that repeat an id count as one document. A
+    null id counts as no document; lines of such rows go if enough other documents hold them. Equal lines in one
+    document stand or fall together. An empty table gives an empty result; other columns ride along in row, whatever
+    their names."""
     rows = docs.select(
         F.struct("*").alias("row"), F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text")
     )

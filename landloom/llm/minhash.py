@@ -1,22 +1,23 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
-Each text's set of word shingles gets a signature of b-bit MinHash symbols. Two sets at the wanted similarity differ in few
-symbols; max_errors() gives the number that all but tail of such pairs stay within. The signature is split into chunks so
-that, by pigeonhole, two signatures within that distance agree in some chunk but for errors // chunks symbols. Each chunk
-is indexed once for each choice of that many symbols left out, so every such pair shares at least one key, whatever the data.
+Each text's set of word shingles gets a signature of b-bit MinHash symbols. Two sets at the wanted similarity differ in
+few symbols; max_errors() gives the number that all but tail of such pairs stay within. The signature is split into
+chunks so that, by pigeonhole, two signatures within that distance agree in some chunk but for errors // chunks symbols.
+Each chunk is indexed once for each choice of that many symbols left out, so every such pair shares at least one key,
+whatever the data.
 
 Links are then confirmed on full sets, and groups are connected components of confirmed links:
 
 1. Equal sets are one class from the start.
 2. In each bucket of a key all members are compared with the least one only: as many pairs as members.
-3. What is left open are buckets of three or more whose members those links don't connect. While one of them has more than a
-   block of members, those outside the least one's component are compared with the least of them, as in 2.
-4. The members of buckets that are still open, each once, are gathered by connected component of those buckets. They are dealt
-   over blocks, and pairs of blocks are compared inside the tasks, but for blocks of the largest component of confirmed links,
-   which need not meet each other; only links between what isn't connected yet come out.
+3. What is left open are buckets of three or more whose members those links don't connect. While one of them has more
+   than a block of members, those outside the least one's component are compared with the least of them, as in 2.
+4. The members of buckets that are still open, each once, are gathered by connected component of those buckets. They are
+   dealt over blocks, and pairs of blocks are compared inside the tasks, but for blocks of the largest component of
+   confirmed links, which need not meet each other; only links between what isn't connected yet come out.
 
-So no bucket's pairs are ever written, and a bucket of any size is spread over many tasks. Signatures and keys grow with the
-number of documents, sets are made only for documents that share a key with another and come near it in size."""
+So no bucket's pairs are ever written, and a bucket of any size is spread over many tasks. Signatures and keys grow with
+the number of documents, sets are made only for documents that share a key with another and come near it in size."""
 
 from __future__ import annotations
 
@@ -170,8 +171,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def open_buckets(several: DataFrame, part: DataFrame) -> DataFrame:
-    """(key, id, component, head): members of the buckets several(key, id, p) whose members are in more than one component of
-    part(node, component); head: the component of the bucket's least member p. Saved."""
+    """(key, id, component, head): members of the buckets several(key, id, p) whose members are in more than one
+    component of part(node, component); head: the component of the bucket's least member p. Saved."""
     at = several.join(
         part.withColumnRenamed("node", "id"), "id", "left"
     ).withColumn("component", F.coalesce("component", "id"))
@@ -189,7 +190,8 @@ def open_buckets(several: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def second_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs, links), saved: in each open bucket, the members outside the head's component are compared with the least of them."""
+    """(pairs, links), saved: in each open bucket, the members outside the head's component are compared with the least
+    of them."""
     others = members.where("component <> head")
     reps = save(
         others.groupBy("key").agg(
@@ -203,8 +205,8 @@ def second_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[Dat
 
 
 def in_blocks(members: DataFrame, m: int, errors: int, percent: int, block: int) -> DataFrame:
-    """(a, b): links between members(lo, hi, deal, at, id, component, sig, shingles) of two blocks (or one) of a cluster, enough
-    to connect what links connect."""
+    """(a, b): links between members(lo, hi, deal, at, id, component, sig, shingles) of two blocks (or one) of a
+    cluster, enough to connect what links connect."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -234,9 +236,11 @@ def in_blocks(members: DataFrame, m: int, errors: int, percent: int, block: int)
 
 
 def block_pairs(members: DataFrame, block: int) -> DataFrame:
-    """(deal, lo, hi, at, id, component) of members(cluster, id, component): a row for each pair of blocks that a member is in.
+    """(deal, lo, hi, at, id, component) of members(cluster, id, component): a row for each pair of blocks that a member
+    is in.
 
-    The members of a cluster's largest component are not compared with each other, so only blocks of the others meet all."""
+    The members of a cluster's largest component are not compared with each other, so only blocks of the others meet
+    all."""
     sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("cluster").agg(
         F.max_by("component", F.struct("n", "component")).alias("large"),
@@ -274,11 +278,11 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) for each row: the group of near-duplicates it is in.
 
     Texts are linked when 100 * intersection >= percent * union of their sets of distinct shingles of lower-cased words
-    (fewer words: all of them as one). A pair whose similarity is exactly the threshold is missed with a chance of tail at
-    most, a more similar one less; none is linked below it. component_id: the smallest id reachable; kept: it is the row's
-    own. Null, empty and blank texts have no shingles and link with nothing, rows of null id neither: they are kept, and
-    component_id is the own id. Rows that repeat an id are one document, which links by any of its texts. An empty table
-    gives an empty result; other columns are ignored."""
+    (fewer words: all of them as one). A pair whose similarity is exactly the threshold is missed with a chance of tail
+    at most, a more similar one less; none is linked below it. component_id: the smallest id reachable; kept: it is the
+    row's own. Null, empty and blank texts have no shingles and link with nothing, rows of null id neither: they are
+    kept, and component_id is the own id. Rows that repeat an id are one document, which links by any of its texts. An
+    empty table gives an empty result; other columns are ignored."""
     errors = max_errors(m, percent / 100, tail)
     rows = save(
         sketch(

@@ -2,13 +2,13 @@
 Built-in functions only.
 
 A source's target is weight x level, but at most max_epochs times its size; the level is such that the targets add up to
-the words asked for. With the sources in order of cap / weight the level follows from running sums, in one pass and without
-iterating. Each document is then taken a whole number of times, and those that come first in the order of a seeded hash once
-more, until the source's target is met.
+the words asked for. With the sources in order of cap / weight the level follows from running sums, in one pass and
+without iterating. Each document is then taken a whole number of times, and those that come first in the order of a
+seeded hash once more, until the source's target is met.
 
-A source may hold a third of all rows, so its order is not made in one task: words are summed per (source, first 20 bits of
-the hash), running sums over those at most 4096 x 256 small sums find where the cut lies in two steps of 4096 and 256 slots,
-and only the documents of the slot with the cut are put in order one by one."""
+A source may hold a third of all rows, so its order is not made in one task: words are summed per (source, first 20 bits
+of the hash), running sums over those at most 4096 x 256 small sums find where the cut lies in two steps of 4096 and 256
+slots, and only the documents of the slot with the cut are put in order one by one."""
 
 from __future__ import annotations
 
@@ -25,7 +25,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     """(source, source_size, target) for sizes(source, source_size): one row per source, a null source last.
 
     Weights repeat over the sources in code point order. share: of all words, what the mix is to hold; where it is above
-    what max_epochs times all sources give, every source stands at its cap. Only one row per source is put in order here."""
+    what max_epochs times all sources give, every source stands at its cap. Only one row per source is put in order
+    here."""
     w = F.element_at(
         F.array(*[F.lit(x) for x in weights]),
         (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1,
@@ -67,11 +68,12 @@ def mix(
     """(doc_id, size, source_size, target, copies): how often the mix takes each row.
 
     size: words of a document (null or empty text: 0). A source's share of whole repetitions is the same for all its
-    documents; the rest goes to those that come first by md5(seed:doc_id), as far as the middle of a document lies before the
-    cut, so a source misses its target by half a document at most and a document is taken at most max_epochs times. Reruns
-    agree. A null source is a source of its own; rows of a null id are ordered by a hash of their text, rows of equal ids are told
-    apart by size only, and rows alike in all are interchangeable. A source without words has target 0 and its documents 0 or whole copies of nothing. An empty
-    table gives an empty result; other columns are ignored."""
+    documents; the rest goes to those that come first by md5(seed:doc_id), as far as the middle of a document lies
+    before the cut, so a source misses its target by half a document at most and a document is taken at most max_epochs
+    times. Reruns agree. A null source is a source of its own; rows of a null id are ordered by a hash of their text,
+    rows of equal ids are told apart by size only, and rows alike in all are interchangeable. A source without words has
+    target 0 and its documents 0 or whole copies of nothing. An empty table gives an empty result; other columns are
+    ignored."""
     # rows without an id are spread by their texts, so that they don't share one place in the order
     mark = F.md5(
         F.concat(

@@ -1,4 +1,5 @@
-"""The corpus operators as registered queries: name -> function of (spark, sf_dir), and the SQL of those that SQL can express."""
+"""The corpus operators as registered queries: name -> function of (spark, sf_dir), and the SQL of those that SQL can
+express."""
 
 from __future__ import annotations
 

@@ -1,13 +1,14 @@
 """Secret scans: fixed patterns, and probabilistic automata inferred from the credentials that those find.
 
 Labelled credentials of each kind are turned into strings of character classes. Their prefix tree is folded into a
-probabilistic automaton: states in breadth-first order are merged with an earlier state when the frequencies of ending and of
-each next symbol, and those of the states they lead to, differ by no more than Hoeffding's bound allows. Every other
-token that could be a credential is then scored by its log-likelihood under the best automaton against a background of
-ordinary candidates (a chain of pairs of symbols), per symbol; a token as typical as all but a few labelled credentials is added.
-
-Two maps over whole texts: one finds labelled credentials and a sample of the background, the other finds spans and scores all
-candidates. The automata come from at most sample credentials a kind (a documented
+probabilistic automaton: states in breadth-first order are merged with an earlier state when the frequencies of ending
+and of each next symbol, and those of the states they lead to, differ by no more than Hoeffding's bound allows. Every
+other token that could be a credential is then scored by its log-likelihood under the best automaton against a
+background of ordinary candidates (a chain of pairs of symbols), per symbol; a token as typical as all but a few
+labelled credentials is added.
+
+Two maps over whole texts: one finds labelled credentials and a sample of the background, the other finds spans and
+scores all candidates. The automata come from at most sample credentials a kind (a documented
 bound of the classifier, chosen by hash) and are a few states each."""
 
 from __future__ import annotations
@@ -65,8 +66,8 @@ def classes(token: str) -> str:
 
 
 def parts_of(run: str) -> list[tuple[int, int]]:
-    """What of a run could be a credential: all of it, then what is left without full stops and equals signs around, then its
-    pieces between those. Symbols do as well as characters."""
+    """What of a run could be a credential: all of it, then what is left without full stops and equals signs around,
+    then its pieces between those. Symbols do as well as characters."""
     own = [(0, len(run))]
     if "." in run or "=" in run:
         core = len(run) - len(run.lstrip(".=")), len(run.rstrip(".="))
@@ -201,8 +202,8 @@ def likelihood(automaton, w: str) -> float:
 
 
 def chain(words: list[str], backed: float = 5.0) -> dict[str, float]:
-    """Log-probabilities of pairs of neighbouring symbols, the start and the end of a word (a blank) among them: the second
-    given the first, smoothed by how common it is."""
+    """Log-probabilities of pairs of neighbouring symbols, the start and the end of a word (a blank) among them: the
+    second given the first, smoothed by how common it is."""
     single = Counter("0fzZ+/_=-. ") + Counter(c for w in words for c in w + " ")
     total = sum(single.values())
     pairs = Counter(x + y for w in words for x, y in zip(" " + w, w + " ", strict=True))
@@ -235,8 +236,8 @@ def odds(automaton, background: dict[str, float], w: str) -> float:
 
 
 def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
-    """(row, spans): every row with its spans as structs (start, kind, end) by start, then kind as listed; the automata's spans
-    are of kind format. Positions are code points, ends exclusive.
+    """(row, spans): every row with its spans as structs (start, kind, end) by start, then kind as listed; the
+    automata's spans are of kind format. Positions are code points, ends exclusive.
 
     Null and empty texts have none. Where no kind has 20 labelled credentials there is nothing to infer, and the fixed
     patterns' spans are all. Other columns ride along in row; an empty table gives an empty result."""
@@ -246,7 +247,8 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
     )
 
     def labelled(column: pa.Array) -> dict:
-        """Spans of the fixed patterns; with a block's first text, the runs of least hash outside them, whose start is the hash."""
+        """Spans of the fixed patterns; with a block's first text, the runs of least hash outside them, whose start is
+        the hash."""
         base = [base_spans(t or "") for t in column.to_pylist()]
         out = [[{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own] for own in base]
         runs, others = Runs.of(column), []

@@ -1,14 +1,14 @@
 """Substring dedup by seed and extend, on words.
 
-Every run of length words selects, by winnowing, the least hash of its runs of seed words: an anchor that equal runs share.
-Anchors are joined on their hash: each document meets the document of the smallest id that has the anchor, its leader, once
-per leader. The pair is extended from the anchors both ways along their diagonals, and repeats of length words or more are
-kept at their full extent. A run whose anchor the leader has but which the leader does not hold may still stand in another
-document; such runs are themselves joined, whole, as seeds as long as the threshold, on the smallest id. Partners of such a
-run have the same anchor and leader and are in the same position, so none is missed.
-
-A passage that every third document holds costs one leader and a row per document, dealt over as many tasks as those rows
-need. The pair step shuffles the texts of
+Every run of length words selects, by winnowing, the least hash of its runs of seed words: an anchor that equal runs
+share. Anchors are joined on their hash: each document meets the document of the smallest id that has the anchor, its
+leader, once per leader. The pair is extended from the anchors both ways along their diagonals, and repeats of length
+words or more are kept at their full extent. A run whose anchor the leader has but which the leader does not hold may
+still stand in another document; such runs are themselves joined, whole, as seeds as long as the threshold, on the
+smallest id. Partners of such a run have the same anchor and leader and are in the same position, so none is missed.
+
+A passage that every third document holds costs one leader and a row per document, dealt over as many tasks as those
+rows need. The pair step shuffles the texts of
 documents that share an anchor, and the last step all texts, once."""
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ from landloom.llm.common import (
     word_table,
 )
 
-#: So many ids of 8 bytes are broadcast at most, to filter texts before they are shuffled; beyond, the join shuffles them.
+#: So many ids of 8 bytes are broadcast at most, to filter texts before they are shuffled; beyond, the join shuffles
+#: them.
 MAX_IDS = 1 << 20
 MAX_DIAGONALS = 64
 
@@ -60,7 +61,8 @@ def anchors(words: np.ndarray, first: np.ndarray, length: int, seed: int) -> tup
 def extend(
     x: np.ndarray, y: np.ndarray, seeds_x: np.ndarray, seeds_y: np.ndarray, seed: int, length: int
 ) -> np.ndarray:
-    """At which words of x runs of length words begin that y holds on a diagonal of a shared anchor (hashes of words given).
+    """At which words of x runs of length words begin that y holds on a diagonal of a shared anchor (hashes of words
+    given).
 
     Where anchors repeat so often that there are more than MAX_DIAGONALS of them, runs are looked up whole instead."""
     out = np.zeros(max(0, len(x) - length + 1), bool)
@@ -88,8 +90,8 @@ def extend(
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, seed: int = 20) -> DataFrame:
-    """(doc_id, same, spans): the runs of words, as structs (start, end), that an earlier document holds, of docs(doc_id, text);
-    same is a hash of the text. Spans may touch or overlap."""
+    """(doc_id, same, spans): the runs of words, as structs (start, end), that an earlier document holds, of
+    docs(doc_id, text); same is a hash of the text. Spans may touch or overlap."""
 
     def seeds(column: pa.Array) -> dict:
         words, first = word_table(column)
@@ -180,10 +182,10 @@ def remove_repeats(
 ) -> DataFrame:
     """(row, n_words, n_removed, kept): every row with the words that stay, joined by single spaces.
 
-    A word goes when a run of length words around it also begins in a document of a smaller id; repeats within one document
-    stay. Null, empty and blank texts have no words. A null id is no document: nothing goes from such rows, and they
-    lead nobody. Rows that repeat an id are one document of several texts. An empty table gives an empty result; other columns
-    ride along in row."""
+    A word goes when a run of length words around it also begins in a document of a smaller id; repeats within one
+    document stay. Null, empty and blank texts have no words. A null id is no document: nothing goes from such rows, and
+    they lead nobody. Rows that repeat an id are one document of several texts. An empty table gives an empty result;
+    other columns ride along in row."""
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     spans = repeated_spans(plain, length, seed)
     rows = docs.select(

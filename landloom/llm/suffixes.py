@@ -1,28 +1,31 @@
 """Suffix-array dedup by a common-prefix-aware distributed merge sort, on bytes.
 
-A byte goes when a string of length bytes around it also starts anywhere else. Every such string selects, by winnowing, an
-anchor (the place of its least hash of seed bytes) that equal strings share at the same offset, so it is enough to sort the
-suffixes that start at anchors whose hash occurs more than once, each to length bytes. A suffix's key is the suffix, an end
-mark, and what stands before it, backwards: so equal suffixes are sorted by how much they share to the left.
-
-1. Tasks sort their keys into runs. Equal keys of a run are one entry with their number. Runs are front-coded (common prefix
-   with the entry before, then the rest) in blocks.
+A byte goes when a string of length bytes around it also starts anywhere else. Every such string selects, by winnowing,
+an anchor (the place of its least hash of seed bytes) that equal strings share at the same offset, so it is enough to
+sort the suffixes that start at anchors whose hash occurs more than once, each to length bytes. A suffix's key is the
+suffix, an end mark, and what stands before it, backwards: so equal suffixes are sorted by how much they share to the
+left.
+
+1. Tasks sort their keys into runs. Equal keys of a run are one entry with their number. Runs are front-coded (common
+   prefix with the entry before, then the rest) in blocks.
 2. Blocks are exchanged by ranges of keys, as many as their number asks for; a block that crosses a border is cut there.
-3. Each range is merged by a loser tree whose entries remember their common prefix with the last winner: the longer one wins
-   unseen, and only on a tie are bytes compared, from where the known prefix ends. The front coding supplies what the next
-   entry of a run has in common with the one before, so known prefixes are never compared again. The common prefixes of
-   neighbours come out of the tree by themselves.
-4. Entries that begin with the same seed bytes come out together. Borders lie between such groups, but for groups that are
-   larger than a range. Each entry of a group of at most GROUP is extended both ways: classes of equal suffixes are joined in
-   order of falling common prefix, the smaller to the larger, and an entry is compared with its neighbours in the order of left
-   contexts, which share most with it: n log n comparisons.
-5. In a larger group, or one that borders cut, an entry's neighbours tell how far it is repeated to the left by equal suffixes
-   (c), and how many bytes the nearest other suffix shares (r2); at a border, the neighbours are the last and first entries of
-   the ranges beside it. So all is known but for strings of which at most r2 bytes lie to the right of the anchor; these alone
-   are compared by 128-bit hashes. Which they are depends on the strings alone, so equal ones are all there or all absent.
-
-A task holds a range of some 16,000 entries, whatever their keys have in common; the driver holds a key for each range. A passage
-that every third document holds is one entry per run, and its beginnings, which differ to the left, are cut into ranges."""
+3. Each range is merged by a loser tree whose entries remember their common prefix with the last winner: the longer one
+   wins unseen, and only on a tie are bytes compared, from where the known prefix ends. The front coding supplies what
+   the next entry of a run has in common with the one before, so known prefixes are never compared again. The common
+   prefixes of neighbours come out of the tree by themselves.
+4. Entries that begin with the same seed bytes come out together. Borders lie between such groups, but for groups that
+   are larger than a range. Each entry of a group of at most GROUP is extended both ways: classes of equal suffixes are
+   joined in order of falling common prefix, the smaller to the larger, and an entry is compared with its neighbours in
+   the order of left contexts, which share most with it: n log n comparisons.
+5. In a larger group, or one that borders cut, an entry's neighbours tell how far it is repeated to the left by equal
+   suffixes (c), and how many bytes the nearest other suffix shares (r2); at a border, the neighbours are the last and
+   first entries of the ranges beside it. So all is known but for strings of which at most r2 bytes lie to the right of
+   the anchor; these alone are compared by 128-bit hashes. Which they are depends on the strings alone, so equal ones
+   are all there or all absent.
+
+A task holds a range of some 16,000 entries, whatever their keys have in common; the driver holds a key for each range.
+A passage that every third document holds is one entry per run, and its beginnings, which differ to the left, are cut
+into ranges."""
 
 from __future__ import annotations
 
@@ -128,8 +131,8 @@ RUN_SCHEMA = "run long, entry long, id long, same long, at long, head binary, ta
 
 
 def make_runs(spots: DataFrame, length: int, seed: int) -> DataFrame:
-    """Two kinds of rows of spots(id, same, text, ats): members (run, entry, id, same, at) and blocks (run, entry, head, tail, block),
-    where entry is the first one's number, and head and tail are the first and last keys."""
+    """Two kinds of rows of spots(id, same, text, ats): members (run, entry, id, same, at) and blocks (run, entry, head,
+    tail, block), where entry is the first one's number, and head and tail are the first and last keys."""
     names = [x.split()[0] for x in RUN_SCHEMA.split(", ")]
 
     def rows_of(run: int, spot: list[tuple[int, int, int]], keys: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +199,8 @@ def cut_block(blob: bytes, entry: int, low: int, high: int, cuts: list[bytes]) -
 
 
 class LoserTree:
-    """Merges sorted runs of (common prefix with the entry before, key, ...) into (common prefix, run, entry), in order."""
+    """Merges sorted runs of (common prefix with the entry before, key, ...) into (common prefix, run, entry), in
+    order."""
 
     def __init__(self, sources: list[Iterator[tuple]]):
         self.sources = sources
@@ -246,9 +250,9 @@ class LoserTree:
             self.winner = k
 
 
-#: Of an extended group: a row for each way in which an entry repeats, c bytes before its anchor and size from there on. Of others:
-#: its suffix, c (-1: no equal suffix) and r2. low, high: which border of the range cuts its class off from others (r2) or
-#: itself from its neighbour (2).
+#: Of an extended group: a row for each way in which an entry repeats, c bytes before its anchor and size from there on.
+#: Of others: its suffix, c (-1: no equal suffix) and r2. low, high: which border of the range cuts its class off from
+#: others (r2) or itself from its neighbour (2).
 FOUND = "part int, run long, entry long, size int, c int, r2 int, low int, high int, first binary, last binary, after binary, before binary"
 
 
@@ -260,9 +264,9 @@ def merge_part(
     seed: int,
     most: int,
 ) -> Iterator[tuple]:
-    """Rows (run, entry, size, c, r2, low, high) of the entries of a range (see FOUND), then one of its first and last keys and of
-    the suffixes after the first's and before the last's equals (None: there are none). runs_of: blocks of each run in order;
-    most: the largest group that is extended."""
+    """Rows (run, entry, size, c, r2, low, high) of the entries of a range (see FOUND), then one of its first and last
+    keys and of the suffixes after the first's and before the last's equals (None: there are none). runs_of: blocks of
+    each run in order; most: the largest group that is extended."""
 
     def source(run: int) -> Iterator[tuple]:
         for first, blob in runs_of[run]:
@@ -439,8 +443,9 @@ def merged(table_of_runs: DataFrame, length: int, seed: int) -> DataFrame:
 
 
 def beyond_borders(rows: DataFrame, ends: DataFrame) -> DataFrame:
-    """rows with c and r2 as they are with the neighbours beyond a border: for each range, the nearest key on either side, and the
-    nearest suffix that differs from the one at the border. ends has one row per range, in order by a window over those alone."""
+    """rows with c and r2 as they are with the neighbours beyond a border: for each range, the nearest key on either
+    side, and the nearest suffix that differs from the one at the border. ends has one row per range, in order by a
+    window over those alone."""
     order = Window.orderBy("part")
     near = ends.select("part", "first", "last", "after", "before").withColumns(
         {"prev": F.lag("last").over(order), "next": F.lead("first").over(order)}
@@ -506,8 +511,8 @@ def beyond_borders(rows: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """(id, same, spans): the repeated strings, as structs (start, end) of bytes, of docs(id, same, text), where same is a hash of
-    the text. Spans may touch or overlap."""
+    """(id, same, spans): the repeated strings, as structs (start, end) of bytes, of docs(id, same, text), where same is
+    a hash of the text. Spans may touch or overlap."""
 
     def anchors(column: pa.Array) -> dict:
         data, offsets = utf8(column)
@@ -607,10 +612,11 @@ def remove_repeats(
 ) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept): every row with the bytes of its UTF-8 text that stay, in one piece.
 
-    A byte goes when a string of length bytes around it also starts anywhere else, in the same document too; matches never
-    cross documents, and strings are judged on the input. Null and empty texts have no bytes. Every row is a document of its
-    own, whatever its id, so equal rows are copies of each other and go entirely if they are long enough. kept is binary, as
-    characters may be cut. An empty table gives an empty result; other columns ride along in row."""
+    A byte goes when a string of length bytes around it also starts anywhere else, in the same document too; matches
+    never cross documents, and strings are judged on the input. Null and empty texts have no bytes. Every row is a
+    document of its own, whatever its id, so equal rows are copies of each other and go entirely if they are long
+    enough. kept is binary, as characters may be cut. An empty table gives an empty result; other columns ride along in
+    row."""
     key = [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 62))).alias("id"), F.xxhash64(text).alias("same")]
     plain = docs.where(F.octet_length(text) >= length).select(*key, F.col(text).alias("text"))
     spans = repeated_bytes(plain, length, seed)

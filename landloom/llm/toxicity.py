@@ -1,18 +1,18 @@
 """Toxicity: maximum-scoring segment search over token log-odds, calibrated by extreme-value statistics.
 
 Training counts in how many labelled documents of either class each token stands, and scores tokens by log-odds with an
-informative Dirichlet prior (the corpus frequency of the token). A document is then scanned once, in linear time, for all
-maximal segments whose summed scores are positive; tokens without a score cost a little, so a segment ends where nothing
-supports it. The best segment of n tokens of clean text follows an extreme-value law with parameters lambda and K, so
-x = lambda * S - ln(K * n) is comparable between short and long documents. All segments of a document are aggregated by sum
-statistics: how unlikely it is that clean text has its r best segments together, for the r that is least likely. A logistic
-curve turns that into a score.
+informative Dirichlet prior (the corpus frequency of the token). A document is then scanned once, in linear time, for
+all maximal segments whose summed scores are positive; tokens without a score cost a little, so a segment ends where
+nothing supports it. The best segment of n tokens of clean text follows an extreme-value law with parameters lambda and
+K, so x = lambda * S - ln(K * n) is comparable between short and long documents. All segments of a document are
+aggregated by sum statistics: how unlikely it is that clean text has its r best segments together, for the r that is
+least likely. A logistic curve turns that into a score.
 
-Law and curve are fitted crosswise: on labelled documents scanned with tokens learnt from the other half of them. So is how
-certain a token's score must be to count at all: of several limits, that with the least log-loss.
+Law and curve are fitted crosswise: on labelled documents scanned with tokens learnt from the other half of them. So is
+how certain a token's score must be to count at all: of several limits, that with the least log-loss.
 
-Counting and scoring are map-side sums and maps; the model holds the tokens of at most max_labels documents that tell the
-classes apart. Labels of documents whose crc32(doc_id as text) mod 5 is 0 are never read."""
+Counting and scoring are map-side sums and maps; the model holds the tokens of at most max_labels documents that tell
+the classes apart. Labels of documents whose crc32(doc_id as text) mod 5 is 0 are never read."""
 
 from __future__ import annotations
 
@@ -74,7 +74,8 @@ def held_out(doc_id):
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (token, token or stem) of all tokens, 0 where a token has no such stem; at which token each text begins."""
+    """Hashes (token, token or stem) of all tokens, 0 where a token has no such stem; at which token each text
+    begins."""
     data, offsets = utf8(column)
     starts, ends, first = word_bounds(data, offsets, NOT_ALNUM)
     sums = prefixes(BYTE_VALUES[LOWER[data]])
@@ -168,8 +169,8 @@ def segments(sums: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, float]]
 def passages(
     column: pa.Array, model: Model, limits: tuple[float, ...] = (0.0,)
 ) -> tuple[np.ndarray, list[list[list[tuple[int, int, float]]]]]:
-    """(number of tokens of each text, and per limit all maximal segments of each). A token's score is that of its most telling
-    form; tokens whose scores are less certain than the limit (z) count as without one."""
+    """(number of tokens of each text, and per limit all maximal segments of each). A token's score is that of its most
+    telling form; tokens whose scores are less certain than the limit (z) count as without one."""
     words, first = features(column)
     each, z = np.zeros(len(words)), np.zeros(len(words))
     if len(model.tokens):
@@ -196,8 +197,8 @@ def standard(model: Model, n: int, score: float) -> float:
 
 
 def together(model: Model, n: int, scores: list[float]) -> float:
-    """How unlikely the segments of n tokens are in clean text: the largest, over r, of minus the logarithm of the chance that
-    the x of the r best add up to what they do, e^-t t^(r-1) / (r! (r-1)!), times 2^r for the choice of r.
+    """How unlikely the segments of n tokens are in clean text: the largest, over r, of minus the logarithm of the
+    chance that the x of the r best add up to what they do, e^-t t^(r-1) / (r! (r-1)!), times 2^r for the choice of r.
 
     A text without any segment counts as of the usual length at least: that it is short doesn't make it suspect."""
     if not scores:
@@ -236,8 +237,8 @@ FIELDS = "n long, best double, value double, best_start long, best_end long, seg
 
 
 def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float, float]:
-    """Slope (0 or more) and offset of a logistic curve over (value, clean, toxic) counts, by Newton steps with a weak prior, and
-    the logarithm of how unlikely the labels are by it."""
+    """Slope (0 or more) and offset of a logistic curve over (value, clean, toxic) counts, by Newton steps with a weak
+    prior, and the logarithm of how unlikely the labels are by it."""
     x, clean, toxic = (np.array(v, float) for v in zip(*bins, strict=True))
     mean, spread = np.average(x, weights=clean + toxic), max(
         1e-3, np.sqrt(np.cov(x, aweights=clean + toxic)) if len(x) > 1 else 1.0
@@ -258,8 +259,8 @@ def curve(bins: list[tuple[float, float, float]]) -> tuple[float, float, float]:
 
 
 def law(m) -> dict[str, float]:
-    """lambda, ln K and the usual length from means of the best segment s, the logarithm l of the length, and their products: the
-    variance of lambda * s - l is to be that of the extreme-value law, pi^2 / 6; its mean gives K."""
+    """lambda, ln K and the usual length from means of the best segment s, the logarithm l of the length, and their
+    products: the variance of lambda * s - l is to be that of the extreme-value law, pi^2 / 6; its mean gives K."""
     vs, vl, c = m.ss - m.s * m.s, m.ll - m.l * m.l, m.sl - m.s * m.l
     rate = min(5.0, max(0.05, (c + math.sqrt(max(0.0, c * c - vs * (vl - math.pi**2 / 6)))) / vs)) if vs > 1e-9 else 1.0
     return {"rate": rate, "usual": m.l, "log_k": rate * m.s - m.l - EULER}
@@ -268,12 +269,12 @@ def law(m) -> dict[str, float]:
 def fit(
     docs: DataFrame, labels: DataFrame, max_labels: int = 1 << 17, prior: float = 500.0, drift: float = 0.1
 ) -> Model:
-    """Learn from labels(doc_id, toxic) of documents that are not held out: from max_labels of them at most, chosen by hash
-    (two megabytes, which are broadcast, so that no text is shuffled).
+    """Learn from labels(doc_id, toxic) of documents that are not held out: from max_labels of them at most, chosen by
+    hash (two megabytes, which are broadcast, so that no text is shuffled).
 
-    Rows without an id, a label or a text don't count; where an id has several labels, the largest holds. Without documents
-    of both classes there is nothing to learn, and every score is 0. Documents alike share one document's weight, so that a
-    text copied a thousand times doesn't make each of its words telling; they are in the same half."""
+    Rows without an id, a label or a text don't count; where an id has several labels, the largest holds. Without
+    documents of both classes there is nothing to learn, and every score is 0. Documents alike share one document's
+    weight, so that a text copied a thousand times doesn't make each of its words telling; they are in the same half."""
     own = labels.where(
         "doc_id IS NOT NULL AND toxic IS NOT NULL"
     ).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id"))).orderBy(
@@ -397,8 +398,8 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(row, n, best, value, best_start, best_end, segments, score): every row with its best and its significant passages (in
-    tokens, with x), all of them together as value, and its score.
+    """(row, n, best, value, best_start, best_end, segments, score): every row with its best and its significant
+    passages (in tokens, with x), all of them together as value, and its score.
 
     Null and empty texts have no passage and get the score of one; equal texts get equal scores, however long. An empty
     table gives an empty result; other columns ride along in row."""
@@ -411,8 +412,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents whose score is below threshold. Null, empty and short texts without a passage stay; without labels of both
-    classes, and so for empty tables, everything stays. Rows that repeat an id are judged one by one."""
+    """The documents whose score is below threshold. Null, empty and short texts without a passage stay; without labels
+    of both classes, and so for empty tables, everything stays. Rows that repeat an id are judged one by one."""
     return score(docs, fit(docs, labels)).where(F.col("score") < threshold).select(*unpack(docs, docs.columns))
 
 
