@@ -10,8 +10,9 @@ Links are then confirmed on full sets, and groups are connected components of co
 
 1. Equal sets are one class from the start.
 2. In each bucket of a key all members are compared with the least one only: as many pairs as members.
-3. What is left open are buckets of three or more whose members those links don't connect. While one of them has more
-   than a block of members, those outside the least one's component are compared with the least of them, as in 2.
+3. What is left open are buckets of three or more whose members those links don't connect. While more than a
+   block of members of one are outside its least member's component, those are compared with the least of them, as in
+   2, as long as that links a third of them.
 4. The members of buckets that are still open, each once, are gathered by connected component of those buckets. They are
    dealt over blocks, and pairs of blocks are compared inside the tasks, but for blocks of the largest component of
    confirmed links, which need not meet each other; only links between what isn't connected yet come out.
@@ -50,7 +51,7 @@ from landloom.llm.common import (
 )
 
 #: Comparing with one more member of each open bucket goes on while one in so many pairs is a link.
-SOME = 20
+SOME = 3
 MULTIPLIERS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
 
@@ -327,8 +328,9 @@ def near_duplicates(
     forget(held, star, near, links)
 
     open_ = open_buckets(several, part)
-    while True:  # as long as buckets of more than a block are open and a comparison with one member links at least some
-        if (open_.groupBy("key").count().agg(F.max("count")).first()[0] or 0) <= block:
+    while True:  # as long as very many are open in a bucket, and a comparison with one of them links a good part
+        left = open_.where("component <> head").groupBy("key").count()
+        if (left.agg(F.max("count")).first()[0] or 0) <= block:
             break
         pairs, links = second_links(open_, sets, percent)
         compared, found = pairs.count(), links.count()
