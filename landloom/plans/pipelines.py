@@ -38,8 +38,9 @@ def load_entities(
     stored = spark.read.parquet(f"{output}/entity").where(F.col("dataset") == dataset)
     if publish:
         shown = C.kebab_case(stored)
-        sinks.single_file(shown, f"{publish}/{dataset}.csv")
-        sinks.single_file(shown, f"{publish}/{dataset}.parquet", "parquet")
+        rows = stored.count()
+        sinks.publish_file(shown, f"{publish}/{dataset}.csv", rows)
+        sinks.publish_file(shown, f"{publish}/{dataset}.parquet", rows, "parquet")
         sinks.publish_json(stored, f"{publish}/{dataset}.json")
         sinks.publish_geojson(stored, f"{publish}/{dataset}.geojson", dataset)
     if database:

@@ -191,6 +191,15 @@ def file_partitions(rows: int) -> int:
     return max(1, min(200, rows // 1_000_000))
 
 
+def publish_file(df: DataFrame, path: str, rows: int, fmt: str = "csv") -> None:
+    """df, of so many rows, as one file; where file_partitions() says more, as a folder of that many, written in parallel."""
+    files = file_partitions(rows)
+    if files == 1:
+        single_file(df, path, fmt)
+    else:
+        overwrite(df.repartition(files), path, fmt, **({"header": "true"} if fmt == "csv" else {}))
+
+
 def split_files(df: DataFrame, path: str, most: int = 500_000, fmt: str = "csv") -> None:
     """Files of at most so many records, 1000 at least."""
     df.write.format(fmt).mode("overwrite").option("header", "true").option(

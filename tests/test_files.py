@@ -104,6 +104,16 @@ def test_large_results_are_published_as_lines(spark, tmp_path):
     assert spark.read.text(f"{tmp_path}/out.jsonl").count() == spark.read.text(f"{tmp_path}/out.geojsonl").count() == 5
 
 
+def test_large_tables_are_published_as_folders(spark, tmp_path):
+    df = spark.range(10).selectExpr("id", "'x' AS v")
+    for rows, files in ((10, 0), (3_000_000, 3)):
+        for fmt in ("csv", "parquet"):
+            at = f"{tmp_path}/{rows}.{fmt}"
+            sinks.publish_file(df, at, rows, fmt)
+            assert os.path.isdir(at) == bool(files)
+            assert spark.read.format(fmt).option("header", "true").load(at).count() == 10
+
+
 def test_a_file_for_each_value(spark, tmp_path):
     df = spark.createDataFrame([(i, f"k#{i % 3}+ä") for i in range(9)], "a int, k string")
     sinks.file_per_value(df, f"{tmp_path}/out", "k", "{}/own.csv")
