@@ -171,22 +171,17 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return held.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def open_buckets(several: DataFrame, part: DataFrame) -> DataFrame:
-    """(key, id, component, head): members of the buckets several(key, id, p) whose members are in more than one
-    component of part(node, component); head: the component of the bucket's least member p. Saved."""
-    at = several.join(
-        part.withColumnRenamed("node", "id"), "id", "left"
-    ).withColumn("component", F.coalesce("component", "id"))
+def open_buckets(rows: DataFrame, part: DataFrame) -> DataFrame:
+    """(key, id, p, component, head), saved: members rows(key, id, p) of the buckets whose members are in more than one
+    component of part(node, component); head: the component of the bucket's least member p."""
+    at = rows.join(part.withColumnRenamed("node", "id"), "id", "left")
+    at = save(at.select("key", "id", "p", F.coalesce("component", "id").alias("component")))
     head = F.max(F.when(F.col("id") == F.col("p"), F.col("component"))).alias("head")
-    loose = save(
-        at.groupBy("key").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"), head, F.count("*").alias("n")
-        ).where("least < most").select("key", "head", "n")
-    )
-    out = save(
-        look_up(at.select("key", "id", "component"), loose, ["key"], ["id"]).select("key", "id", "component", "head")
-    )
-    forget(loose)
+    several = F.min("component").alias("least"), F.max("component").alias("most")
+    loose = at.groupBy("key").agg(*several, head, F.count("*").alias("n")).where("least < most")
+    loose = save(loose.select("key", "head", "n"))
+    out = save(look_up(at, loose, ["key"], ["id"]).select("key", "id", "p", "component", "head"))
+    forget(at, loose)
     return out
 
 
@@ -335,12 +330,10 @@ def near_duplicates(
         pairs, links = second_links(open_, sets, percent)
         compared, found = pairs.count(), links.count()
         if found:
-            before = part
-            part = save(
-                components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
-            )
-            forget(before, open_)
-            open_ = open_buckets(several, part)
+            whole = part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+            before, part = (part, open_), save(components(whole))
+            open_ = open_buckets(before[1].select("key", "id", "p"), part)
+            forget(*before)
         forget(pairs, links)
         if found * SOME < compared or not found:
             break
