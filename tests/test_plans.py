@@ -15,6 +15,7 @@ def plan(df):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     text = plan(QUERIES["study_filters"](spark, DIR))
     scan = next(line for line in text.split("\n") if "FileScan" in line)
     assert "EqualTo(lang,de)" in scan and "GreaterThan(n_chars,500)" in scan and "StringContains(text,der)" in scan
