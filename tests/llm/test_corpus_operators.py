@@ -361,8 +361,7 @@ def close_pairs(n, dim, r):
     return np.concatenate([a, c * a + np.sqrt(1 - c * c) * b])
 
 
-@pytest.mark.parametrize("n", [1_000, 51_282, 400_000, 50_000_000])
-@pytest.mark.parametrize("dim", [24, 64, 100])
+@pytest.mark.parametrize("n, dim", [(1_000, 24), (51_282, 64), (400_000, 64), (50_000_000, 100)])
 def test_close_vectors_meet_whatever_the_number(n, dim):
     x = close_pairs(3000, dim, np.random.default_rng(n + dim))
     tables, length = embeddings.layout(n, 0.95)
@@ -371,7 +370,7 @@ def test_close_vectors_meet_whatever_the_number(n, dim):
     assert (bit[:3000] == bit[3000:]).all(2).any(1).mean() > 0.98
 
 
-@pytest.mark.parametrize("n", [400_000, 50_000_000])
+@pytest.mark.parametrize("n", [50_000_000])
 def test_embeddings_in_the_layout_of_a_large_table(spark, n, monkeypatch):
     of = embeddings.layout
     monkeypatch.setattr(embeddings, "layout", lambda _, least: of(n, least))
