@@ -3,7 +3,7 @@ express."""
 
 from __future__ import annotations
 
-from landloom.llm import decontam, embeddings, licenses, lines, minhash, mixing, secrets, substrings, suffixes, toxicity
+from landloom.llm import decontam, embeddings, licenses, lines, minhash, mixing, search, secrets, substrings, suffixes, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_minhash_dedup": minhash.op8,
     "op9_substring_dedup": substrings.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_search": search.op11,
 }
 
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op7_line_dedup": lines.SQL,
     "op8_minhash_dedup": minhash.SQL,
     "op9_substring_dedup": substrings.SQL,
+    "op11_search": search.SQL,
 }
