@@ -3,7 +3,9 @@ express."""
 
 from __future__ import annotations
 
-from landloom.llm import decontam, embeddings, licenses, lines, minhash, mixing, search, secrets, substrings, suffixes, toxicity
+from landloom.llm import (
+    alignment, decontam, embeddings, licenses, lines, minhash, mixing, packing, search, secrets, substrings, suffixes, toxicity
+)
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -17,6 +19,8 @@ QUERIES = {
     "op9_substring_dedup": substrings.op9,
     "op10_toxicity": toxicity.op10,
     "op11_search": search.op11,
+    "op12_packing": packing.op12,
+    "op13_alignment": alignment.op13,
 }
 
 ORACLE_SQL = {
