@@ -664,6 +664,75 @@ def subdivide(spark, sf_dir):
     return cut.withColumn("area", F.round("area").cast("long"))
 
 
+def _crossing(spark, sf_dir):
+    """Shapes of a customer key: bow ties, squares with a hole over their edge, valid U shapes, squares with a hole."""
+    x, s = F.col("c_custkey") % 100, F.col("c_custkey") % 13 + 6
+    made = lambda pattern, *v: F.format_string(pattern, *v)
+    wkt = F.when(
+        F.col("c_custkey") % 4 == 0,
+        made("POLYGON ((%d 0, %d %d, %d 0, %d %d, %d 0))", x, x + 2 * s, 2 * s, x + 2 * s, x, 2 * s, x),
+    ).when(
+        F.col("c_custkey") % 4 == 1,
+        made(
+            "POLYGON ((0 0, %d 0, %d %d, 0 %d, 0 0), (%d 1, %d 1, %d 3, %d 3, %d 1))",
+            s, s, s, s, s - 1, s + 2, s + 2, s - 1, s - 1,
+        ),
+    ).when(
+        F.col("c_custkey") % 4 == 2,
+        made("POLYGON ((0 0, %d 0, %d %d, %d %d, %d 1, 1 1, 1 %d, 0 %d, 0 0))", s, s, s, s - 1, s, s - 1, s, s),
+    ).otherwise(
+        made("POLYGON ((0 0, %d 0, %d %d, 0 %d, 0 0), (1 1, 1 2, 2 2, 2 1, 1 1))", s, s, s, s)
+    )
+    return t(spark, sf_dir, "customer").select("c_custkey", wkt.alias("geometry"))
+
+
+def _area(g):
+    own = lambda r, k: F.abs(G.ring_area(r)) * F.when(k == 0, 1.0).otherwise(-1.0)
+    return F.aggregate(
+        F.flatten(F.transform(G.polygons(g), lambda p: F.transform(p, own))), F.lit(0.0), lambda s, a: s + a
+    )
+
+
+@query("""WITH c AS (SELECT c_custkey, c_custkey % 4 AS k, c_custkey % 13 + 6 AS s FROM customer)
+SELECT c_custkey, k > 1 AS valid, true AS made_valid, CASE WHEN k < 2 THEN 2 ELSE 1 END AS parts, (CASE k WHEN 0 THEN 2 * s * s WHEN 1 THEN s * s + 2 WHEN 2 THEN s * s - (s - 2) * (s - 1) ELSE s * s - 1 END)::BIGINT AS area FROM c""")
+def repair_shapes(spark, sf_dir):
+    """Bow ties and holes over an edge are flagged, and made valid with the area inside an odd number of rings."""
+    rows = _crossing(spark, sf_dir).withColumn("made", G.made_valid("geometry"))
+    return rows.select(
+        "c_custkey",
+        G.is_valid("geometry").alias("valid"),
+        G.is_valid("made").alias("made_valid"),
+        F.size(G.polygons("made")).alias("parts"),
+        F.round(_area(F.col("made"))).cast("long").alias("area"),
+    )
+
+
+@query("""SELECT c_custkey, true AS several, true AS small, true AS valid, (70 + c_custkey % 60) * 11::BIGINT AS area FROM customer""")
+def subdivide_concave(spark, sf_dir):
+    """Combs of 70 teeth and more: every fragment is a valid polygon of at most 256 points, and no area is lost."""
+    n = F.col("c_custkey") % 60 + 70
+    teeth = F.array_join(
+        F.transform(
+            F.sequence(F.lit(0), n - 1),
+            lambda k: F.format_string("%d 0, %d 9, %d 9, %d 0", 2 * k, 2 * k, 2 * k + 1, 2 * k + 1),
+        ),
+        ", ",
+    )
+    comb = F.concat(
+        F.lit("POLYGON (("), teeth, F.format_string(", %d 0, %d -1, 0 -1, 0 0))", 2 * n, 2 * n)
+    )
+    cut = G.subdivided(t(spark, sf_dir, "customer").select("c_custkey", comb.alias("geometry")))
+    seen = cut.select(
+        "c_custkey", _area(F.col("geometry")).alias("area"), G.vertices("geometry").alias("n"), G.is_valid("geometry").alias("ok")
+    )
+    return seen.groupBy("c_custkey").agg(
+        (F.count("*") > 1).alias("several"),
+        (F.max("n") <= 256).alias("small"),
+        F.bool_and("ok").alias("valid"),
+        F.round(F.sum("area")).cast("long").alias("area"),
+    )
+
+
 @query("""SELECT o_orderkey AS entity, try_strptime(CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END, '%Y-%m-%d')::DATE AS entry_date,
 CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS organisation_entity, o_orderstatus AS quality, NULL::VARCHAR AS name FROM orders""")
 def schema_enforce(spark, sf_dir):
