@@ -671,7 +671,7 @@ def old_entity_job(spark, sf_dir):
         F.col("p_brand").alias("collection"),
     )
     return pipelines.load_old_entities(
-        spark, f"{at}/*/old-entity.csv", spec, f"{at}-out", width=50
+        spark, f"{at}/*/old-entity.csv", spec, f"{at}-out"
     ).select("old_entity", "status", "entity", "collection", "dataset")
 
 

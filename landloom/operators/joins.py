@@ -44,23 +44,32 @@ def backfill(df: DataFrame, lookup: DataFrame, on: str, column: str) -> DataFram
     )
 
 
-def range_join(df: DataFrame, ranges: DataFrame, key: str, low: str, high: str, width: int | None = None) -> DataFrame:
-    """Inner join on low <= key <= high.
-
-    With width, each range is listed under the buckets of that width it touches and the join is on the bucket, so
-    neither side need fit into memory; choose about the usual length of a range. Without, the planner joins by
-    comparing, which suits a small list of ranges."""
-    within = F.col(key).between(F.col(low), F.col(high))
-    if width is None:
-        return df.join(ranges, within)
-    bucket = lambda c: F.floor(c / F.lit(width)).cast("bigint")
-    listed = ranges.where(F.col(low) <= F.col(high)).withColumn(
-        "_bucket", F.explode(F.sequence(bucket(F.col(low)), bucket(F.col(high))))
+def range_join(df: DataFrame, ranges: DataFrame, key: str, low: str, high: str) -> DataFrame:
+    """Inner join on low <= key <= high, for numbers, as a join by equal keys, however wide the ranges are.
+
+    A range of 2^(l-1) to 2^l numbers lies in one or two aligned blocks of 2^l, and is listed under these; a key is
+    listed under its block at each level that some range has, 64 at most. So a range has two rows at most, and a block
+    holds no keys that are farther from a range in it than four times its width. Neither side need fit into memory."""
+    whole = lambda c: F.floor(F.col(c)).cast("bigint")
+    sides = ranges.where(F.col(low) <= F.col(high)).withColumns({"_a": whole(low), "_b": whole(high)})
+    span = F.try_subtract("_b", "_a")  # null where it is beyond the type
+    level = F.when(span.isNull() | (span < 0), 63).when(span == 0, 0).otherwise(F.length(F.bin(span)))
+    sides = sides.withColumn("_level", level.cast("int")).withColumn(
+        "_block", F.explode(F.array_distinct(F.expr("array(shiftright(_a, _level), shiftright(_b, _level))")))
     )
-    return df.withColumn("_bucket", bucket(F.col(key))).join(listed, "_bucket").where(within).drop("_bucket")
-
-
-def transform_old_entity(old: DataFrame, spec: DataFrame, width: int | None = None, loaded=None) -> DataFrame:
+    sides = sides.drop("_a", "_b")
+    levels = sorted(r[0] for r in sides.select("_level").distinct().collect())
+    at = F.array(*[F.struct(F.lit(n).alias("level"), F.shiftright("_key", n).alias("block")) for n in levels])
+    if not levels:
+        at = F.array().cast("array<struct<level:int,block:bigint>>")
+    keys = df.withColumn("_key", whole(key)).withColumn("_at", F.explode(at)).withColumns(
+        {"_level": F.col("_at.level"), "_block": F.col("_at.block")}
+    ).drop("_key", "_at")
+    joined = keys.join(sides, ["_level", "_block"]).where(F.col(key).between(F.col(low), F.col(high)))
+    return joined.drop("_level", "_block")
+
+
+def transform_old_entity(old: DataFrame, spec: DataFrame, loaded=None) -> DataFrame:
     """Redirects of the dataset in whose range the old entity lies: its collection must be the dataset's, and the
     target, if there is one, must lie in the same range."""
     old = C.snake_case(old).withColumns({"old_entity": C.as_long("old_entity"), "entity": C.as_long("entity")})
@@ -70,7 +79,7 @@ def transform_old_entity(old: DataFrame, spec: DataFrame, width: int | None = No
         F.col("dataset"),
         F.col("collection").alias("_collection"),
     )
-    found = range_join(old.drop("dataset"), own, "old_entity", "_low", "_high", width)
+    found = range_join(old.drop("dataset"), own, "old_entity", "_low", "_high")
     found = found.where(
         (F.col("collection") == F.col("_collection")) & (
             F.col("entity").isNull() | F.col("entity").between(F.col("_low"), F.col("_high"))

@@ -68,14 +68,12 @@ def load_old_entities(
     pattern: str,
     spec: DataFrame,
     output: str,
-    width: int = 1 << 16,
     loaded=None,
     database: dict | None = None,
 ) -> DataFrame:
-    """Redirects of all collections, tagged by folder, to one table. width: about the usual length of a dataset's
-    range."""
+    """Redirects of all collections, tagged by folder, to one table."""
     columns = ["old_entity", "status", "entity", "notes", "end_date", "entry_date", "start_date"]
-    out = joins.transform_old_entity(readers.tagged(spark, pattern, columns), spec, width, loaded)
+    out = joins.transform_old_entity(readers.tagged(spark, pattern, columns), spec, loaded)
     sinks.overwrite(out, f"{output}/old_entity")
     stored = spark.read.parquet(f"{output}/old_entity")
     if database:

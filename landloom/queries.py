@@ -229,10 +229,29 @@ RANGE_SQL = "SELECT p_partkey, 'd' || s_suppkey::VARCHAR AS dataset FROM part JO
 @query(RANGE_SQL)
 def range_join(spark, sf_dir):
     return joins.range_join(
-        t(spark, sf_dir, "part").select("p_partkey"), _ranges(spark, sf_dir), "p_partkey", "low", "high", width=16
+        t(spark, sf_dir, "part").select("p_partkey"), _ranges(spark, sf_dir), "p_partkey", "low", "high"
     ).select("p_partkey", "dataset")
 
 
+UNEVEN = "s_suppkey * 20 - 10 AS low, s_suppkey * 20 - 11 + CASE s_suppkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 37 WHEN 2 THEN 4096 WHEN 3 THEN 1000000 ELSE 1000000000000 END AS high"
+
+
+@query(f"""WITH r AS (SELECT s_suppkey, {UNEVEN} FROM supplier WHERE s_suppkey % 5 < 2 OR s_suppkey % 20 = 2 OR s_suppkey % 50 > 47)
+SELECT s_suppkey, count(*) AS n, min(l_partkey)::BIGINT AS first, sum(l_partkey)::BIGINT AS total FROM lineitem JOIN r ON l_partkey BETWEEN low AND high GROUP BY s_suppkey""")
+def range_join_uneven(spark, sf_dir):
+    """Ranges of 1 to 1e12 keys in one join."""
+    width = "CASE s_suppkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 37 WHEN 2 THEN 4096 WHEN 3 THEN 1000000 ELSE 1000000000000 END"
+    ranges = t(spark, sf_dir, "supplier").where(
+        "s_suppkey % 5 < 2 OR s_suppkey % 20 = 2 OR s_suppkey % 50 > 47"
+    ).selectExpr("s_suppkey", "s_suppkey * 20 - 10 AS low", f"s_suppkey * 20 - 11 + {width} AS high")
+    joined = joins.range_join(t(spark, sf_dir, "lineitem").select("l_partkey"), ranges, "l_partkey", "low", "high")
+    return joined.groupBy("s_suppkey").agg(
+        F.count("*").alias("n"),
+        F.min("l_partkey").cast("long").alias("first"),
+        F.sum("l_partkey").cast("long").alias("total"),
+    )
+
+
 @query("""SELECT p_partkey AS old_entity, 301 AS status, CASE WHEN p_partkey % 4 > 0 THEN p_partkey + p_size END AS entity, 'c' || (s_suppkey % 3)::VARCHAR AS collection, 'd' || s_suppkey::VARCHAR AS dataset
 FROM part JOIN supplier ON p_partkey BETWEEN s_suppkey * 20 AND s_suppkey * 20 + 15
 WHERE p_partkey % 3 = s_suppkey % 3 AND (p_partkey % 4 = 0 OR p_partkey + p_size BETWEEN s_suppkey * 20 AND s_suppkey * 20 + 15)""")
@@ -251,7 +270,7 @@ def old_entity(spark, sf_dir):
         F.col("high").alias("entity_maximum"),
         F.concat(F.lit("c"), (F.substring("dataset", 2, 9).cast("long") % 3).cast("string")).alias("collection"),
     )
-    return joins.transform_old_entity(old, spec, width=16).select(
+    return joins.transform_old_entity(old, spec).select(
         "old_entity", "status", "entity", "collection", "dataset"
     )
 

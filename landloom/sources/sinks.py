@@ -4,6 +4,7 @@ File operations go through Hadoop's file system, so any store that Spark reaches
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from math import ceil
@@ -153,33 +154,49 @@ def write_xml(rows: DataFrame, path: str, root: str = "c", namespaces: str = "")
     )
 
 
-#: So many rows at most become one document; more are written as lines.
-MAX_ENVELOPE = 100_000
+def joined_file(rows: DataFrame, path: str, begin: str = "", between: str = "\n", end: str = "\n") -> None:
+    """rows(value) of text in one file of any size, with text before, between and after them.
 
+    Executors write numbered parts, each row followed by between; the file system's client strings them together in
+    that order, some kilobytes at a time. So no row and no task holds the file."""
+    spark, beside = rows.sparkSession, f"{path}-{uuid.uuid4().hex}"
+    rows.select("value").write.option("lineSep", between).text(f"{beside}/parts")
+    fs, at, path_of = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    parts = [s for s in fs.listStatus(path_of(f"{beside}/parts")) if s.getPath().getName().startswith("part-")]
+    parts = sorted((s for s in parts if s.getLen()), key=lambda s: s.getPath().getName())
+    out = fs.create(path_of(f"{beside}/whole"))
+    out.write(begin.encode())
+    for k, s in enumerate(parts):
+        last = len(between.encode()) if k == len(parts) - 1 else 0
+        source = fs.open(s.getPath())
+        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(source, s.getLen() - last)
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(bounded, out, 1 << 16, False)
+        source.close()
+    out.write(end.encode())
+    out.close()
+    fs.delete(at, True)
+    fs.mkdirs(at.getParent())
+    if not fs.rename(path_of(f"{beside}/whole"), at):
+        raise OSError(f"{beside}/whole could not be renamed to {path}")
+    fs.delete(path_of(beside), True)
 
-def _publish(rows: DataFrame, path: str, begin: str, end: str, most: int) -> str:
-    """value of all rows between begin and end in one file, or as lines in a folder beside it. Returns where."""
-    if rows.limit(most + 1).count() > most:
-        write_lines(rows, f"{path}l")
-        return f"{path}l"
-    single_file(
-        rows.agg(
-            F.concat(F.lit(begin), F.array_join(F.sort_array(F.collect_list("value")), ","), F.lit(end)).alias("value")
-        ),
-        path,
-        "text",
-    )
+
+def _publish(rows: DataFrame, path: str, begin: str, end: str) -> str:
+    """value of all rows between begin and end in one file, in order of value. Returns where."""
+    ordered = rows.repartitionByRange("value").sortWithinPartitions("value")
+    joined_file(ordered, path, begin, ",", f"{end}\n")
     return path
 
 
-def publish_json(df: DataFrame, path: str, most: int = MAX_ENVELOPE) -> str:
-    """One {"entities":[...]} document; beyond most rows, JSON lines in a folder at path + "l". Returns where."""
-    return _publish(json_rows(df), path, '{"entities":[', "]}", most)
+def publish_json(df: DataFrame, path: str) -> str:
+    """One {"entities":[...]} document of any size. Returns where."""
+    return _publish(json_rows(df), path, '{"entities":[', "]}")
 
 
-def publish_geojson(df: DataFrame, path: str, name: str, most: int = MAX_ENVELOPE) -> str:
-    """One FeatureCollection; beyond most rows, newline-delimited features in a folder at path + "l". Returns where."""
-    return _publish(feature_rows(df), path, f'{{"type":"FeatureCollection","name":"{name}","features":[', "]}", most)
+def publish_geojson(df: DataFrame, path: str, name: str) -> str:
+    """One FeatureCollection of any size. Returns where."""
+    return _publish(feature_rows(df), path, f'{{"type":"FeatureCollection","name":{json.dumps(name)},"features":[', "]}")
 
 
 def sizing(rows: int, most: int = 20) -> tuple[int, int]:
@@ -192,12 +209,14 @@ def file_partitions(rows: int) -> int:
 
 
 def publish_file(df: DataFrame, path: str, rows: int, fmt: str = "csv") -> None:
-    """df, of so many rows, as one file; where file_partitions() says more, as a folder of that many, written in parallel."""
-    files = file_partitions(rows)
-    if files == 1:
-        single_file(df, path, fmt)
-    else:
-        overwrite(df.repartition(files), path, fmt, **({"header": "true"} if fmt == "csv" else {}))
+    """df, of so many rows, as one file of any size: text is written in parallel, as file_partitions() says, and strung
+    together; Parquet goes through one writer, a row group at a time."""
+    if fmt != "csv":
+        return single_file(df, path, fmt)
+    quoted = df.sparkSession.createDataFrame([tuple(df.columns)], [f"c{k}" for k in range(len(df.columns))])
+    header = quoted.select(F.to_csv(F.struct("*")).alias("value")).first().value
+    texts = df.select(F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{k}") for k, c in enumerate(df.columns)])).alias("value"))
+    joined_file(texts.repartition(file_partitions(rows)), path, f"{header}\n")
 
 
 def split_files(df: DataFrame, path: str, most: int = 500_000, fmt: str = "csv") -> None:

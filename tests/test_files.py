@@ -95,23 +95,33 @@ def test_published_files(spark, tmp_path):
     assert len([f for f in os.listdir(f"{tmp_path}/split") if f.endswith(".csv")]) >= 3
 
 
-def test_large_results_are_published_as_lines(spark, tmp_path):
-    df = spark.createDataFrame(
-        [(str(i), "POINT (1 2)", None) for i in range(5)], "entity string, point string, geometry string"
-    )
-    assert sinks.publish_json(df, f"{tmp_path}/out.json", most=4) == f"{tmp_path}/out.jsonl"
-    assert sinks.publish_geojson(df, f"{tmp_path}/out.geojson", "d", most=4) == f"{tmp_path}/out.geojsonl"
-    assert spark.read.text(f"{tmp_path}/out.jsonl").count() == spark.read.text(f"{tmp_path}/out.geojsonl").count() == 5
-
+def test_documents_of_any_size_are_one_file(spark, tmp_path):
+    import json
 
-def test_large_tables_are_published_as_folders(spark, tmp_path):
-    df = spark.range(10).selectExpr("id", "'x' AS v")
-    for rows, files in ((10, 0), (3_000_000, 3)):
+    for n, parts in ((0, 1), (1, 3), (200_000, 7)):
+        df = spark.range(0, n, 1, parts).selectExpr(
+            "concat('é\\n', id) AS entity", "concat('POINT (', id, ' 2)') AS point", "CAST(NULL AS STRING) AS geometry"
+        )
+        assert sinks.publish_json(df, f"{tmp_path}/out.json") == f"{tmp_path}/out.json"
+        held = json.load(open(f"{tmp_path}/out.json"))["entities"]
+        assert {e["entity"] for e in held} == {f"é\n{i}" for i in range(n)} and len(held) == n
+        sinks.publish_geojson(df, f"{tmp_path}/out.geojson", 'a "name"')
+        whole = json.load(open(f"{tmp_path}/out.geojson"))
+        assert whole["name"] == 'a "name"' and len(whole["features"]) == n
+        texts = [json.dumps(f, separators=(",", ":")) for f in whole["features"][:50]]
+        assert texts == sorted(texts) or n > 1
+    assert sorted(os.listdir(tmp_path)) == [".out.geojson.crc", ".out.json.crc", "out.geojson", "out.json"]
+
+
+def test_large_tables_are_published_as_one_file(spark, tmp_path):
+    df = spark.range(10).selectExpr("id", "'x,\"y' AS v", "CAST(NULL AS STRING) AS `a.b`", "'' AS e")
+    for rows in (10, 3_000_000):
         for fmt in ("csv", "parquet"):
             at = f"{tmp_path}/{rows}.{fmt}"
             sinks.publish_file(df, at, rows, fmt)
-            assert os.path.isdir(at) == bool(files)
-            assert spark.read.format(fmt).option("header", "true").load(at).count() == 10
+            assert os.path.isfile(at)
+            back = spark.read.format(fmt).option("header", "true").load(at)
+            assert back.columns == df.columns and back.where("v = 'x,\"y'").count() == 10
 
 
 def test_a_file_for_each_value(spark, tmp_path):

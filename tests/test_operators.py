@@ -2,6 +2,8 @@
 
 import datetime
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,8 +89,23 @@ def test_backfill(spark):
     ]
 
 
-@pytest.mark.parametrize("width", [None, 1000, 7])
-def test_old_entity(spark, width):
+def test_ranges_of_any_width(spark):
+    r, top = random.Random(2), (1 << 63) - 1
+    ranges = [(0, -top - 1, top), (1, 5, 4), (2, 7, 7), (3, None, 9), (4, top, top), (5, -3, 1 << 62), (6, -top - 1, -top - 1), (7, 0, 1)]
+    for k in range(60):
+        low = r.randint(-(1 << 40), 1 << 40)
+        ranges.append((10 + k, low, low + r.choice([0, 1, 2, 3, 7, 8, 9, 1000, 1 << 20, 10**12])))
+    keys = [top, -top - 1, 0, 7, 7, None] + [x + d for _, a, b in ranges[8:] for x in (a, b) for d in (-1, 0, 1)]
+    found = joins.range_join(
+        spark.createDataFrame([(k,) for k in keys], "k long"),
+        spark.createDataFrame(ranges, "id long, low long, high long"), "k", "low", "high",
+    )
+    want = [(k, i) for k in keys for i, a, b in ranges if k is not None and a is not None and a <= k <= b]
+    assert found.columns == ["k", "id", "low", "high"] and sorted((x.k, x.id) for x in found.collect()) == sorted(want)
+    assert joins.range_join(found.select("k"), found.limit(0).select("low", "high"), "k", "low", "high").count() == 0
+
+
+def test_old_entity(spark):
     spec = spark.createDataFrame(
         [("a", "c1", 4000, 4999), ("b", "c2", 11000, 11999)],
         "dataset string, collection string, entity_minimum long, entity_maximum long",
@@ -105,7 +122,7 @@ def test_old_entity(spark, width):
         ["old-entity", "status", "entity", "collection"],
     )
     assert rows(
-        joins.transform_old_entity(old, spec, width).fillna({"entity": -1}), "old_entity", "entity", "dataset"
+        joins.transform_old_entity(old, spec).fillna({"entity": -1}), "old_entity", "entity", "dataset"
     ) == [(4001, 4002, "a"), (4005, -1, "a")]
 
 

@@ -31,7 +31,7 @@ def test_shuffles(spark, name, shuffles):
     assert text.count("Exchange hashpartitioning") <= shuffles and "Python" not in text and "Pandas" not in text
 
 
-def test_small_sides_are_broadcast_and_ranges_are_joined_by_bucket(spark):
+def test_small_sides_are_broadcast_and_ranges_are_joined_by_block(spark):
     assert "BroadcastHashJoin" in plan(QUERIES["org_left_join"](spark, DIR))
     text = plan(QUERIES["range_join"](spark, DIR))
     assert "NestedLoop" not in text and "CartesianProduct" not in text
