@@ -18,65 +18,88 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landloom.llm.common import BYTE_VALUES, blocks, forget, mixed, prefixes, save, spans, table, utf8, word_bounds
+from landloom.llm.common import LOWER, blocks, mixed, save, table, utf8, word_bounds
+from landloom.llm.pieces import Store, distinct, ragged, read
 
 WINDOW, SHARD, TOKENS = 4096, 1024, 1 << 21
-#: Words of which a Python worker remembers the tokens.
-REMEMBERED = 1 << 18
+#: Pieces of which a Python worker remembers the tokens.
+REMEMBERED = 1 << 20
 K1, B = 1.2, 0.75
 
 
-def ragged(values: np.ndarray, edges: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of rows one after another, and how many each has; row i's are values[edges[i]:edges[i + 1]]."""
-    sizes = edges[rows + 1] - edges[rows]
-    ends = np.cumsum(sizes)
-    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(edges[rows] - ends + sizes, sizes)], sizes
+#: Kinds of bytes: white space, letters, digits, marks; anything else (bytes beyond ASCII, control characters, the
+#: apostrophe, which begins contractions) stays with its neighbours.
+KIND = np.full(256, 4)
+KIND[[0x20, *range(0x09, 0x0E)]] = 0
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+KIND[0x30:0x3A] = 2
+KIND[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) != "'"]] = 3
 
 
-def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """(which of the distinct contents each span has, the contents)."""
-    hashes = spans(prefixes(BYTE_VALUES[data]), starts, ends)
-    _, first, codes = np.unique(hashes, return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    return codes, [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of pieces that are tokenized each on its own, and at which piece each document begins (one more
+    at the end): words, cut again between letters, digits and marks, and between digits."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    kind = KIND[data]
+    fresh = np.ones(len(data) + 1, bool)
+    one, two = kind[:-1], kind[1:]
+    fresh[1:-1] = (one == 0) | (two == 0) | ((one != two) & (one != 4) & (two != 4)) | ((one == 2) & (two == 2))
+    fresh[offsets] = True
+    edges = np.flatnonzero(fresh)
+    word = kind[edges[:-1]] > 0
+    starts = edges[:-1][word]
+    return starts, edges[1:][word], np.searchsorted(starts, offsets)
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
-
-
-def word_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words one after another, and where each one's begin (one more at the end)."""
-    tokenizer, known = _tokenizer(path)
-    fresh = [w for w in words if w not in known]
-    if len(known) + len(fresh) > REMEMBERED:
-        known.clear()
-        fresh = words
-    for at in range(0, len(fresh), 4096):
-        part = fresh[at : at + 4096]
-        made = tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-        known.update((w, np.array(x.ids, np.uint32)) for w, x in zip(part, made, strict=True))
-    ids = [known[w] for w in words]
-    return np.concatenate([np.zeros(0, np.uint32), *ids]), np.cumsum([0, *map(len, ids)])
+    tool = Tokenizer.from_file(path)
+    special = [t.content.encode() for t in tool.get_added_tokens_decoder().values()]
+    return tool, special, Store((np.uint32,), REMEMBERED)
+
+
+def made_by(tool, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(how many ids each word has, all of them); words are encoded together, with blanks between."""
+    sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for at in range(0, len(words), 4096):
+        part = words[at : at + 4096]
+        made = tool.encode(" ".join(part), add_special_tokens=False)
+        begin = np.cumsum([0, *[len(w) + 1 for w in part]])
+        place = np.array([a for a, _ in made.offsets], np.int64)
+        sizes.append(np.bincount(np.searchsorted(begin, place, "right") - 1, minlength=len(part)))
+        ids.append(np.array(made.ids, np.uint32))
+    return np.concatenate(sizes), np.concatenate(ids)
+
+
+def token_ids(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of texts one after another, at which each text begins; one more at the end)."""
+    tool, special, store = _tokenizer(path)
+    if any(x in data.tobytes() for x in special):
+        starts, ends, first = word_bounds(data, offsets)
+    else:
+        data = LOWER[data]  # as the tokenizer does itself; its special tokens have no capitals
+        starts, ends, first = cut(data, offsets)
+    hashes, one, codes = distinct(data, starts, ends)
+    rows = store.rows(hashes, lambda new: [made_by(tool, read(data, starts[one[new]], ends[one[new]]))])
+    ids, sizes = store.get(0, rows[codes])
+    return ids, np.concatenate([[0], np.cumsum(sizes)])[first]
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, ids, n, near) of docs (doc_id, text): little-endian unsigned 32-bit ids with end_id after them, how
     many, and the least hash of the distinct ones.
 
-    For a tokenizer that cuts at white space and drops it, so the tokens of a text are those of its words."""
+    For a tokenizer that lower-cases, drops white space and cuts there and between letters, digits and marks, so the
+    tokens of a text are those of such pieces; pieces that recur are tokenized once in a worker, told apart by 64-bit
+    hashes."""
 
     def run(batches):
         for part in blocks(batches, "text"):
             data, offsets = utf8(part.column("text"))
-            starts, ends, first = word_bounds(data, offsets)
-            codes, words = distinct_spans(data, starts, ends)
-            ids, edges = word_ids(path, words)
-            flat, sizes = ragged(ids, edges, codes)
-            at = np.concatenate([[0], np.cumsum(sizes)])[first]  # where documents begin
+            flat, at = token_ids(path, data, offsets)
             flat = np.insert(flat, at[1:], end_id).astype("<u4")
             at = at + np.arange(len(at))
             near = np.minimum.reduceat(mixed(flat.astype(np.uint64) + np.uint64(1)), at[:-1])
@@ -178,11 +201,11 @@ def pack(
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): the pieces of all documents, each in a sequence of
     window tokens or a power of two; pieces of a sequence follow each other without gaps.
 
-    tokenizer: path of a file of the tokenizers library, at the same place on every machine, whose tokens end at white
-    space. A document's tokens are those of its text and end_id; a null, empty or blank text has end_id alone. ids are
+    tokenizer: path of a file of the tokenizers library, at the same place on every machine, that lower-cases and whose
+    tokens end at white space and between letters, digits and marks. A document's tokens are those of its text and end_id; a null, empty or blank text has end_id alone. ids are
     little-endian unsigned 32-bit numbers. Rows that repeat an id, and rows of a null id, are packed each on its own.
     Ids are whole numbers or cast to them. Other columns are ignored, whatever their names, and an empty table gives an
-    empty result. Runs agree where Spark deals rows alike."""
+    empty result. Runs agree where Spark deals rows alike; save the result before reading it more than once."""
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -232,9 +255,7 @@ def pack(
         yield from ready(0)
 
     plan = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    out = save(dealt.select("doc_id", "ids").mapInArrow(run, plan))
-    forget(made)
-    return out
+    return dealt.select("doc_id", "ids").mapInArrow(run, plan)
 
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
