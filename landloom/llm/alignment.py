@@ -10,13 +10,14 @@ key is verified against the key that has its number, so keys of other segments a
 Hashes and counts of at most GROUP pairs are broadcast at a time; more pairs take more rounds, with the same result. The
 number of pairs is bound by the vocabularies, not by the corpus.
 
-Texts are cut before spaces where neither tokenizer can have a token that reaches across; alignment is done once for
-each distinct piece of a block, and remembered."""
+Texts are cut at spaces and ends of lines where neither tokenizer can have a token that reaches across; a piece that
+recurs is aligned once in a worker, told apart by a 64-bit hash."""
 
 from __future__ import annotations
 
 import math
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,23 +27,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.llm.common import blocks, forget, mixed, save, table, utf8
-from landloom.llm.packing import distinct_spans, ragged
+from landloom.llm.pieces import Store, distinct, ragged, read
 
 #: Keys in a segment, in the segments that are broadcast together, counts in one row of a vector.
 SEGMENT, GROUP, CHUNK = 1 << 16, 1 << 22, 1 << 16
 #: Pieces of text of which a Python worker remembers the alignment; pairs that a task sums up before it passes them on.
-REMEMBERED, HELD = 1 << 17, 1 << 21
+REMEMBERED, HELD = 1 << 20, 1 << 21
 BLOCK = 1 << 20
+#: Pairs of a group beyond which it is counted by distinct ids.
+LINKS = 1 << 12
 #: Bits in a level for each key that is left.
 ROOM = 2
 
+# fixed value: how byte-level tokenizers of this kind split text before their merges
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 #: Bytes after which a space begins a new piece: visible ASCII, and ends of characters that are no white space in
 #: any sense (those of U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000, and of U+2581,
-#: which stands for a space, are left out).
+#: which stands for a space, are left out; characters of two bytes are none of these from U+00C0 on).
 BEFORE = np.zeros(256, bool)
 BEFORE[0x21:0x7F] = True
 BEFORE[0x80:] = True
 BEFORE[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = False
+#: What begins a new piece after those: a space, the end of a line. After the end of a line, visible ASCII and bytes that
+#: begin no white space do too.
+BREAK = np.zeros(256, bool)
+BREAK[[0x20, 0x0A]] = True
+AFTER = np.ones(256, bool)
+AFTER[: 0x21] = AFTER[0x7F:0xC0] = AFTER[[0xC2, 0xE1, 0xE2, 0xE3]] = False
 
 
 # ------------------------------------------------------------------------------------------------- aligning
@@ -56,80 +68,167 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(how many each has, all values)."""
+    return np.array([len(x) for x in lists], np.int64), np.fromiter(chain.from_iterable(lists), np.int64)
+
+
 class Aligner:
-    """Tokens of both tokenizers for pieces of text."""
+    """Tokens of both tokenizers for pieces of text, aligned; columns of a store: figures (1 where the tokens spell the
+    piece; tokens of a, of b, groups, links), keys of pairs, how often each is linked, groups as text."""
 
     def __init__(self, path_a: str, path_b: str):
+        import json
+
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        with open(path_a, encoding="utf-8") as file:
+            model = json.load(file)
+        special = {t["id"] for t in model["added_tokens"]}
         byte_of = _byte_of()
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = {i: bytes(byte_of[c] for c in piece) for piece, i in vocabulary.items() if set(piece) <= set(byte_of)}
+        # ids follow the order of merges, so they are ranks
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in model["model"]["vocab"].items() if i not in special}
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
-        self.bytes_b = [
+        of_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
-        if any("▁" in p.lstrip("▁") for p in pieces):
-            raise ValueError("pieces must not reach from a word into the next")
-        self.head = len(self.b.encode("x"))
-        self.known: dict[bytes, tuple] = {}
-
-    def align(self, raw: bytes, a: list[int], b: list[int]) -> tuple:
-        """(whole, tokens of a, of b, groups, links, keys, how often each is linked, groups as text) of a piece."""
-        bytes_a, bytes_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
-            return False, 0, 0, 0, 0, (), (), ""
-        pairs: dict[int, int] = {}
-        groups, links, i, j, end_a, end_b = [], 0, 0, 0, 0, 0
-        while i < len(a):
-            i0, j0, i, j = i, j, i + 1, j + 1
-            end_a, end_b = end_a + len(bytes_a[i0]), end_b + len(bytes_b[j0])
-            while end_a != end_b:
-                if end_a < end_b:
-                    end_a, i = end_a + len(bytes_a[i]), i + 1
-                else:
-                    end_b, j = end_b + len(bytes_b[j]), j + 1
-            if i - i0 == j - j0 == 1:
-                key = a[i0] << 32 | b[j0]
-                pairs[key] = pairs.get(key, 0) + 1
-            else:
-                of_a, of_b = _counts(a[i0:i]), _counts(b[j0:j])
-                for x, n in of_a.items():
-                    for y, m in of_b.items():
-                        key = x << 32 | y
-                        pairs[key] = pairs.get(key, 0) + n * m
-            links += (i - i0) * (j - j0)
-            groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-        return True, len(a), len(b), len(groups), links, tuple(pairs), tuple(pairs.values()), ";".join(groups)
-
-    def pieces(self, wanted: list[bytes]) -> list[tuple]:
-        fresh = [w for w in wanted if w not in self.known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = wanted
-        own = {}
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            texts = [w.decode() for w in part]
-            of_a = self.a.encode_batch(texts, add_special_tokens=False)
-            of_b = self.b.encode(["x" + t for t in texts], num_threads=1)  # it puts a space before x
-            for w, x, y in zip(part, of_a, of_b, strict=True):
-                own[w] = self.align(w, x.ids, y[self.head :])
-        found = [own[w] if w in own else self.known[w] for w in wanted]
-        self.known.update((w, x) for w, x in own.items() if len(w) < 64)
-        return found
-
-
-def _counts(ids: list[int]) -> dict[int, int]:
-    out: dict[int, int] = {}
-    for i in ids:
-        out[i] = out.get(i, 0) + 1
-    return out
+        if any("▁" in p.lstrip("▁") for p in pieces) or any("\n" in p for p in pieces):
+            raise ValueError("pieces must reach neither from a word into the next nor over the end of a line")
+        of_a = [b""] * (max(ranks.values(), default=0) + 1)
+        for raw, i in ranks.items():
+            of_a[i] = raw
+        self.bytes_a, self.bytes_b = _table(of_a), _table(of_b)
+        # a token's id with what stands before it: nothing at a piece's begin, else a semicolon, a comma, a bar
+        most = max(len(of_a), len(of_b))
+        self.names = _table([mark + b"%d" % i for mark in (b"", b";", b",", b"|") for i in range(most)])
+        self.most = most
+        self.line_a, self.line_b = self.a.encode_ordinary("\n"), self.b.encode("\n")[1:]
+        self.store = Store((np.int64, np.uint64, np.int64, np.uint8), REMEMBERED)
+
+    def tokens(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """(how many tokens each piece has, all of them) for a and b. Pieces of one word are encoded together, with
+        ends of lines between, which no token crosses."""
+        plain = [k for k, t in enumerate(texts) if t[:1] != "\n" and len(t.split()) == 1 and t[-1:].strip() and t[1:2].strip()]
+        rest = sorted(set(range(len(texts))) - set(plain))
+        out = []
+        for line, encode, whole, lead in (
+            (self.line_a, self.a.encode_ordinary, lambda some: [self.a.encode_ordinary(t) for t in some], 0),
+            (self.line_b, self.b.encode, lambda some: [x[2:] for x in self.b.encode(["\n" + t for t in some], num_threads=1)], 1),
+        ):
+            sizes, parts = np.zeros(len(texts), np.int64), []
+            for at in range(0, len(plain), 4096):
+                own = plain[at : at + 4096]
+                ids = np.array(encode("\n" + "\n".join([texts[k] for k in own]))[lead:], np.int64)
+                edge = np.flatnonzero(ids == line[0])
+                sizes[own] = np.diff(np.append(edge, len(ids))) - 1
+                parts.append(ids[ids != line[0]])
+            more, ids = _flat(whole([texts[k] for k in rest]))
+            sizes[rest] = more
+            order = np.argsort(np.array([*plain, *rest], np.int64), kind="stable")
+            got = np.concatenate([np.zeros(0, np.int64), *parts, ids])
+            edges = np.concatenate([[0], np.cumsum(sizes[[*plain, *rest]])])
+            out.append((sizes, ragged(got, edges, order)[0]))
+        return out[0], out[1]
+
+    def make(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The columns of the store for pieces data[starts:ends]."""
+        (size_a, a), (size_b, b) = self.tokens(read(data, starts, ends))
+        raw, length = _spans_of(data, starts, ends)
+        n = len(starts)
+        piece_a, piece_b = np.repeat(np.arange(n), size_a), np.repeat(np.arange(n), size_b)
+        (raw_a, long_a), (raw_b, long_b) = ragged(*self.bytes_a, a), ragged(*self.bytes_b, b)
+        whole = _same(raw, length, raw_a, piece_a, long_a) & _same(raw, length, raw_b, piece_b, long_b)
+        mine_a, mine_b = whole[piece_a], whole[piece_b]
+        a, piece_a, long_a = a[mine_a], piece_a[mine_a], long_a[mine_a]
+        b, piece_b, long_b = b[mine_b], piece_b[mine_b], long_b[mine_b]
+        # pieces are laid one after another: their ends are ends of tokens of both
+        end_a, end_b = np.cumsum(long_a), np.cumsum(long_b)
+        edges = end_a[np.isin(end_a, end_b, assume_unique=True)]
+        group_a, group_b = np.searchsorted(edges, end_a), np.searchsorted(edges, end_b)
+        groups = len(edges)
+        in_a, in_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
+        first_a = np.cumsum(in_a) - in_a
+        piece = piece_a[first_a]
+        links = in_a * in_b
+        sums = lambda of, weight: np.bincount(of, weight, n).astype(np.int64)
+        figures = np.stack(
+            [
+                whole.astype(np.int64), sums(piece_a, None), sums(piece_b, None), sums(piece, None),
+                np.add.reduceat(np.append(links, 0), np.searchsorted(piece, np.arange(n))) * (sums(piece, None) > 0),
+            ], 1,
+        )
+        owner, keys, times = self._pairs(a, b, piece, in_a, in_b)
+        # a group's tokens of a, then those of b, each with its mark before it
+        start_a = np.ones(len(a), bool)
+        start_a[1:] = group_a[1:] != group_a[:-1]
+        start_b = np.ones(len(b), bool)
+        start_b[1:] = group_b[1:] != group_b[:-1]
+        new = np.ones(len(a), bool)
+        new[1:] = piece_a[1:] != piece_a[:-1]
+        mark_a = np.where(new, 0, np.where(start_a, 1, 2))
+        mark_b = np.where(start_b, 3, 2)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        names = np.concatenate([mark_a * self.most + a, mark_b * self.most + b])[order]
+        text, sizes = ragged(*self.names, names)
+        of_text = np.bincount(np.concatenate([piece_a, piece_b])[order], sizes, n).astype(np.int64)
+        return [
+            (np.full(n, 5), figures.ravel()),
+            (np.bincount(owner, minlength=n), keys),
+            (np.bincount(owner, minlength=n), times),
+            (of_text, text),
+        ]
+
+    @staticmethod
+    def _pairs(
+        a: np.ndarray, b: np.ndarray, piece: np.ndarray, in_a: np.ndarray, in_b: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(piece, key, how often) of the distinct pairs of each piece. Groups of very many pairs are counted by
+        distinct ids."""
+        first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        links = in_a * in_b
+        few = links <= LINKS
+        group = np.repeat(np.flatnonzero(few), links[few])
+        at = np.arange(len(group)) - np.repeat(np.cumsum(links[few]) - links[few], links[few])
+        x, y = a[first_a[group] + at // in_b[group]], b[first_b[group] + at % in_b[group]]
+        parts = [(piece[group], x, y, np.ones(len(group), np.int64))]
+        for g in np.flatnonzero(~few):
+            ids_a, n_a = np.unique(a[first_a[g] : first_a[g] + in_a[g]], return_counts=True)
+            ids_b, n_b = np.unique(b[first_b[g] : first_b[g] + in_b[g]], return_counts=True)
+            parts.append((np.full(len(ids_a) * len(ids_b), piece[g]), np.repeat(ids_a, len(ids_b)), np.tile(ids_b, len(ids_a)), np.outer(n_a, n_b).ravel()))
+        owner, x, y, times = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        keys = x.astype(np.uint64) << np.uint64(32) | y.astype(np.uint64)
+        order = np.lexsort((keys, owner))
+        owner, keys, times = owner[order], keys[order], times[order]
+        fresh = np.ones(len(keys), bool)
+        fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+        one = np.flatnonzero(fresh)
+        return owner[one], keys[one], np.add.reduceat(times, one) if len(one) else times
+
+
+def _table(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all rows, where each begins; one more at the end)."""
+    return np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+
+
+def _spans_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    sizes = ends - starts
+    upto = np.cumsum(sizes)
+    return data[np.arange(upto[-1] if len(upto) else 0) + np.repeat(starts - upto + sizes, sizes)], sizes
+
+
+def _same(raw: np.ndarray, length: np.ndarray, spelled: np.ndarray, piece: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the bytes that a piece's tokens spell are its own."""
+    n = len(length)
+    own = np.bincount(piece, size, n).astype(np.int64)
+    same = own == length
+    keep = np.repeat(same, length)
+    differ = raw[keep] != spelled[np.repeat(same, own)]
+    bad = np.bincount(np.repeat(np.arange(n), length)[keep][differ], minlength=n) > 0
+    return same & ~bad
 
 
 @lru_cache(maxsize=1)
@@ -144,18 +243,20 @@ class Block:
         spaced = pc.binary_join_element_wise(pa.scalar(" "), pc.fill_null(column, ""), "")
         data, offsets = utf8(spaced)
         start = np.zeros(len(data), bool)
-        start[1:] = (data[1:] == 0x20) & BEFORE[data[:-1]]
+        start[1:] = BREAK[data[1:]] & BEFORE[data[:-1]] | (data[:-1] == 0x0A) & AFTER[data[1:]]
+        start[2:] |= BREAK[data[2:]] & (data[1:-1] >= 0x80) & (data[:-2] >= 0xC3) & (data[:-2] < 0xE0)
         start[offsets[:-1]] = True
         starts = np.flatnonzero(start)
-        self.codes, texts = distinct_spans(data, starts, np.append(starts[1:], len(data)))
-        found = tool.pieces(texts)
+        ends = np.append(starts[1:], len(data))
+        hashes, one, self.codes = distinct(data, starts, ends)
+        self.store = tool.store
+        self.rows = self.store.rows(hashes, lambda new: tool.make(data, starts[one[new]], ends[one[new]]))
         self.first = np.searchsorted(starts, offsets)
-        self.whole = np.array([x[0] for x in found], bool)
-        self.figures = np.array([x[1:5] for x in found], np.int64).reshape(-1, 4)
-        self.edges = np.cumsum([0, *[len(x[5]) for x in found]])
-        self.keys = np.array([k for x in found for k in x[5]], np.uint64)
-        self.times = np.array([k for x in found for k in x[6]], np.int64)
-        self.groups = [x[7] for x in found]
+        figures = self.store.get(0, self.rows)[0].reshape(-1, 5)
+        self.whole, self.figures = figures[:, 0] > 0, figures[:, 1:]
+        self.keys, sizes = self.store.get(1, self.rows)
+        self.times = self.store.get(2, self.rows)[0]
+        self.edges = np.concatenate([[0], np.cumsum(sizes)])
         bad = np.concatenate([[0], np.cumsum(~self.whole[self.codes])])
         # an empty text is the added space alone
         self.ok = (bad[self.first[1:]] == bad[self.first[:-1]]) & (np.diff(offsets) > 1)
@@ -170,6 +271,21 @@ class Block:
         total = np.concatenate([np.zeros(1, np.int64), np.cumsum(of_pair)])[self.edges]
         return self.sums(np.diff(total))
 
+    def groups(self) -> pa.Array:
+        """Each text's groups."""
+        raw, sizes = self.store.get(3, self.rows)
+        upto = np.cumsum(sizes)
+        whole = raw.tobytes().decode("ascii")
+        names = [whole[a:b] for a, b in zip((upto - sizes).tolist(), upto.tolist(), strict=True)]
+        name, codes = names.__getitem__, self.codes.tolist()
+        return pa.array(
+            [
+                ";".join(map(name, codes[a:b])) if ok else ""
+                for a, b, ok in zip(self.first[:-1].tolist(), self.first[1:].tolist(), self.ok.tolist(), strict=True)
+            ],
+            pa.string(),
+        )
+
     def documents(self) -> tuple[np.ndarray, np.ndarray]:
         """(distinct keys, how many texts hold each)."""
         owner = np.repeat(np.arange(len(self.ok)), np.diff(self.first))
@@ -348,7 +464,8 @@ def aligned(
 ) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups) of every document.
 
-    path_a: a byte-level file of the tokenizers library, applied to a space and the text; path_b: a sentencepiece model
+    path_a: a byte-level file of the tokenizers library that splits by PATTERN and whose ids follow the order of merges,
+    applied to a space and the text; path_b: a sentencepiece model
     with byte fallback that puts a space before texts; both at the same places on every machine. Strings of special
     tokens are plain text. Groups are cut where tokens of both end, and written as `a1,a2|b1;a3|b2,b3`. A link is a
     token of each in one group; the count of a pair of ids is the number of documents (rows) that link them; n_best are
@@ -424,14 +541,7 @@ def _looked_up(sent, paths: tuple[str, str], first: bool, last: bool):
             n_best, total = block.pair_sums(block.times * top), block.pair_sums(block.times * count)
             if first:
                 figures = [pa.array(block.sums(block.figures[:, k])) for k in range(4)]
-                name, codes = block.groups.__getitem__, block.codes.tolist()
-                groups = pa.array(
-                    [
-                        ";".join(map(name, codes[a:b])) if ok else ""
-                        for a, b, ok in zip(block.first[:-1], block.first[1:], block.ok, strict=True)
-                    ],
-                    pa.string(),
-                )
+                groups = block.groups()
             else:
                 figures = [part.column(c) for c in ("n_a", "n_b", "n_groups", "n_links")]
                 groups = part.column("groups")
