@@ -150,20 +150,24 @@ def least_shingle(column: pa.Array) -> pa.Array:
 
 def segments(sums: np.ndarray, hits: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score), given running sums (one more than tokens) and where scores are
-    positive: a segment joins the one before that began lower if it ends higher."""
-    found: list[tuple[float, float, int, int]] = []  # running sum before, running sum after, start, end
+    positive: a segment joins the one before that began lower if it ends higher.
+
+    Each segment keeps the one at which its search for a lower beginning ended; a later search that passes the segment
+    goes on from there, as all between began higher. So the scan is linear."""
+    # running sum before, running sum after, start, end, where the search ended
+    found: list[tuple[float, float, int, int, int]] = []
     for i in hits.tolist():
-        low, high, start = float(sums[i]), float(sums[i + 1]), i
+        low, high, start, j = float(sums[i]), float(sums[i + 1]), i, len(found) - 1
         while True:
-            j = len(found) - 1
             while j >= 0 and found[j][0] >= low:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][1] >= high:
                 break
-            low, start = found[j][0], found[j][2]
+            low, _, start, _, before = found[j]
             del found[j:]
-        found.append((low, high, start, i + 1))
-    return [(a, b, high - low) for low, high, a, b in found]
+            j = before
+        found.append((low, high, start, i + 1, j))
+    return [(a, b, high - low) for low, high, a, b, _ in found]
 
 
 def passages(
