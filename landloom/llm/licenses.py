@@ -11,7 +11,9 @@ A map over whole texts: nothing is shuffled."""
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 from re import _parser as parser
 
 import numpy as np
@@ -114,10 +116,17 @@ def detect(
     """(start, end, label, confidence) in bytes, of what is left after suppression. by: prefilter(rules)."""
     words = set(ANY_WORD.findall(low))
     kept: list[tuple[int, int, str, float]] = []
+    starts: list[int] = []  # of what is kept, ascending
+    furthest: list[int] = []  # for each, the largest end up to it
     for k in sorted({k for w in by.keys() & words for k, own in by[w] if own <= words}):
-        for m in rules[k].pattern.finditer(low):
-            if not any(a <= m.start() and m.end() <= b for a, b, _, _ in kept):
+        before = len(kept)
+        for m in rules[k].pattern.finditer(low):  # a rule's own matches don't overlap
+            at = bisect_right(starts, m.start()) - 1
+            if at < 0 or furthest[at] < m.end():
                 kept.append((m.start(), m.end(), rules[k].label, rules[k].confidence))
+        if len(kept) > before:
+            order = sorted((a, b) for a, b, _, _ in kept)
+            starts, furthest = [a for a, _ in order], list(accumulate((b for _, b in order), max))
     return kept
 
 
