@@ -16,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -105,79 +107,115 @@ class Runs:
         return data[self.starts[i] : self.ends[i]].tobytes().decode("ascii")
 
 
-def free(start: int, end: int, taken: list[tuple[int, str, int, str]]) -> bool:
-    return not any(a < end and start < b for a, _, b, _ in taken)
+class Taken:
+    """Spans (start, kind, end, token) in order of their starts, asked whether others overlap with any."""
+
+    def __init__(self, spans_: list[tuple[int, str, int, str]]):
+        self.starts = [a for a, _, _, _ in spans_]
+        self.furthest = list(accumulate((b for _, _, b, _ in spans_), max))
+
+    def free(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return not before or self.furthest[before - 1] <= start
+
+
+class Node:
+    """A state of the prefix tree. tails: (word, how much of it leads here) of words that are not spelled out below."""
+
+    __slots__ = ("path", "ends", "count", "below", "tails")
+
+    def __init__(self, path: tuple[str, int]):
+        self.path, self.ends, self.count = path, 0, 0
+        self.below: dict[str, Node] = {}
+        self.tails: list[tuple[str, int]] = []
+
+    def spelled(self) -> dict[str, Node]:
+        """The states below, after the tails have been spelled out by a symbol, or as far as states are spelled out."""
+        own, self.tails = self.tails, []
+        for word, at in own:
+            node = self
+            while at < len(word):
+                below, c = node.below, word[at]
+                at += 1
+                node = below.get(c)
+                if node is None:
+                    node = below[c] = Node((word, at))
+                node.count += 1
+                if node.tails or not node.below:
+                    node.tails.append((word, at))
+                    break
+            else:
+                node.ends += 1
+        return self.below
 
 
 def infer(words: list[str], alpha: float = 0.05, least: int = 10) -> list[tuple[float, dict[str, tuple[float, int]]]]:
     """A probabilistic automaton: per state the probability to end, and for each symbol (probability, next state).
 
-    States seen fewer than least times carry too little evidence to tell apart and are merged with the first state kept.
-    Probabilities are counted over words once the states stand, half a count added to each."""
-    ends, counts, depth, tree = [0], [0], [0], [{}]
-    place = {0: 0}  # of each kept state
-    for w in words:
-        at = 0
-        counts[0] += 1
-        for c in w:
-            if c not in tree[at]:
-                tree[at][c] = len(tree)
-                tree.append({})
-                ends.append(0)
-                counts.append(0)
-                depth.append(depth[at] + 1)
-            at = tree[at][c]
-            counts[at] += 1
-        ends[at] += 1
+    States seen fewer than least times carry too little evidence to tell apart and are merged with the first state kept;
+    what follows them stays a list of words until then, so the tree takes little room beside the words. Probabilities
+    are counted over words once the states stand, half a count added to each."""
+    root = Node(("", 0))
+    root.count, root.tails = len(words), [(w, 0) for w in words]
     bound = math.sqrt(0.5 * math.log(2 / alpha))
 
     def differ(x: int, n: int, y: int, m: int) -> bool:
         return bool(n and m) and abs(x / n - y / m) > bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
 
-    def compatible(p: int, q: int) -> bool:
+    def compatible(p: Node, q: Node) -> bool:
         stack = [(p, q)]
         while stack:
             a, b = stack.pop()
-            if min(counts[a], counts[b]) < least:
+            if min(a.count, b.count) < least:
                 continue
-            if differ(ends[a], counts[a], ends[b], counts[b]):
+            of_a, of_b = a.spelled(), b.spelled()
+            if differ(a.ends, a.count, b.ends, b.count):
                 return False
-            for c in tree[a].keys() | tree[b].keys():
-                x, y = tree[a].get(c), tree[b].get(c)
-                if differ(counts[x] if x is not None else 0, counts[a], counts[y] if y is not None else 0, counts[b]):
+            for c in of_a.keys() | of_b.keys():
+                x, y = of_a.get(c), of_b.get(c)
+                if differ(x.count if x else 0, a.count, y.count if y else 0, b.count):
                     return False
-                if x is not None and y is not None and x != y:
+                if x and y and x is not y:
                     stack.append((x, y))
         return True
 
-    def fold(p: int, q: int) -> None:
+    def fold(p: Node, q: Node) -> None:
         """Add the subtree q to state p."""
         stack = [(p, q)]
         while stack:
             a, b = stack.pop()
-            ends[a] += ends[b]
-            counts[a] += counts[b]
-            for c, y in tree[b].items():
-                if c in tree[a]:
-                    stack.append((tree[a][c], y))
+            of_a = a.spelled() if b.below else a.below
+            a.count += b.count
+            a.ends += b.ends
+            a.tails += b.tails  # spelled out when they are looked at
+            for c, y in b.below.items():
+                if c in of_a:
+                    stack.append((of_a[c], y))
                 else:
-                    tree[a][c] = y
+                    of_a[c] = y
 
-    kept = [0]
+    kept, place = [root], {id(root): 0}
     while True:
+        while any(p.tails for p in kept):  # a kept state may lead back to one before
+            for p in kept:
+                p.spelled()
         # the states next to kept ones, which may have gained symbols by a fold; those nearest to the start come first
-        loose = [(depth[t], t, p, c) for p in kept for c, t in tree[p].items() if t not in place]
+        loose = [
+            (t.path[1], t.path[0][: t.path[1]], k, c) for k, p in enumerate(kept) for c, t in p.below.items()
+            if id(t) not in place
+        ]
         if not loose:
             break
-        _, q, p, c = min(loose)
+        _, _, k, c = min(loose)
+        q = kept[k].below[c]
         same = next((r for r in kept if compatible(r, q)), None)
         if same is None:
-            place[q] = len(kept)
+            place[id(q)] = len(kept)
             kept.append(q)
         else:
-            tree[p][c] = same
+            kept[k].below[c] = same
             fold(same, q)
-    moves = [{c: place[t] for c, t in tree[s].items()} for s in kept]
+    moves = [{c: place[id(t)] for c, t in s.below.items()} for s in kept]
     seen = [Counter() for _ in kept]
     for w in words:
         at = 0
@@ -253,9 +291,9 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
         out = [[{"start": a, "kind": k, "end": b, "token": x} for a, k, b, x in own] for own in base]
         runs, others = Runs.of(column), []
         hashes, first, which = runs.distinct(runs.data)
-        clear = np.ones(len(runs.text), bool)
+        clear, taken = np.ones(len(runs.text), bool), [Taken(own) for own in base]
         for i in np.flatnonzero(np.isin(runs.text, [k for k, own in enumerate(base) if own])).tolist():
-            clear[i] = free(int(runs.at[i]), int(runs.at[i] + runs.ends[i] - runs.starts[i]), base[runs.text[i]])
+            clear[i] = taken[runs.text[i]].free(int(runs.at[i]), int(runs.at[i] + runs.ends[i] - runs.starts[i]))
         for k in np.flatnonzero(np.bincount(which, clear, len(hashes)) > 0)[:sample].tolist():
             others.append(
                 {
@@ -308,10 +346,11 @@ def find(docs: DataFrame, text: str = "text", sample: int = 512) -> DataFrame:
             symbols = SYMBOL_OF_BYTE[runs.data]
             _, first, which = runs.distinct(symbols)
             good = [typical(runs.read(symbols, i)) for i in first.tolist()]
+            taken = [Taken(own) for own in base]
             for i in np.flatnonzero(np.array([bool(g) for g in good], bool)[which]).tolist():
                 at, upto, whole = int(runs.at[i]), 0, runs.read(runs.data, i)
                 for a, b in good[which[i]]:
-                    if b > upto and free(at + a, at + b, base[runs.text[i]]):  # a piece of an added run is none of its own
+                    if b > upto and taken[runs.text[i]].free(at + a, at + b):  # a piece of an added run is none of its own
                         added[runs.text[i]].append(
                             {"start": at + a, "kind": "format", "end": at + b, "token": whole[a:b]}
                         )
