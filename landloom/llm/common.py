@@ -269,15 +269,18 @@ def ascii_lower(c):
 
 
 #: A key is hot if more than one in PARTS of the rows have it, and more than LEAST. So at most PARTS keys are, whatever
-#: the number of rows, and they may be broadcast.
-PARTS, LEAST = 4096, 1000
+#: the number of rows, and they may be broadcast. Where that would leave more than MOST rows to one task, keys of more
+#: than MOST rows are hot, unless these are more than FEW.
+PARTS, LEAST, MOST, FEW = 4096, 1000, 1 << 20, 1 << 17
 
 
 def hot_keys(counts: DataFrame, n: str = "n") -> tuple[DataFrame | None, int]:
-    """(hot keys or None, limit) of counts: a row per key with the number n of rows that have it. counts is read
-    twice."""
+    """(hot keys or None, limit) of counts: a row per key with the number n of rows that have it. counts is read two or
+    three times."""
     total, most = counts.agg(F.sum(n), F.max(n)).first()
     limit = max(LEAST, (total or 0) // PARTS)
+    if limit > MOST and (most or 0) > MOST and counts.where(F.col(n) > MOST).count() <= FEW:
+        limit = MOST
     return (counts.where(F.col(n) > limit) if (most or 0) > limit else None), limit
 
 
@@ -308,7 +311,7 @@ def even_join(left: DataFrame, right: DataFrame, on: str, by: list[str], counts:
     """Inner join of left with right, which has a row or a few per key; counts: the number n of left's rows per key.
 
     Left's rows of a hot key are dealt over shares by a hash of the columns by, and right's are repeated for each share;
-    there are at most 2 * PARTS shares of hot keys."""
+    there are few shares of hot keys: at most 2 * PARTS, or one for each MOST rows."""
     hot, limit = hot_keys(counts, n)
     if hot is None:
         return left.join(right, on)

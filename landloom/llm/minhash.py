@@ -87,6 +87,13 @@ def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
+def full_sets(column: pa.Array, k: int, m: int, signed_too: bool, bits: int = 16) -> dict[str, pa.Array]:
+    """Sets of shingles, and their signatures where an id may have several."""
+    sets = shingle_sets(column, k)
+    sig = [signature(x, m, bits).tobytes() if signed_too and len(x) else None for x in sets]
+    return {"shingles": pa.array([x.tobytes() for x in sets], pa.binary()), "sig": pa.array(sig, pa.binary())}
+
+
 def signature(own: np.ndarray, m: int, bits: int) -> np.ndarray:
     best = np.full(m, np.uint64(2**64 - 1))
     for i in range(0, len(own), 4096):
@@ -277,8 +284,8 @@ def near_duplicates(
     (fewer words: all of them as one). A pair whose similarity is exactly the threshold is missed with a chance of tail
     at most, a more similar one less; none is linked below it. component_id: the smallest id reachable; kept: it is the
     row's own. Null, empty and blank texts have no shingles and link with nothing, rows of null id neither: they are
-    kept, and component_id is the own id. Rows that repeat an id are one document, which links by any of its texts. An
-    empty table gives an empty result; other columns are ignored."""
+    kept, and component_id is the own id. Rows that repeat an id are one document, which links by any of its texts, so
+    all get the same component_id. An empty table gives an empty result; other columns are ignored."""
     errors = max_errors(m, percent / 100, tail)
     rows = save(
         sketch(
@@ -288,12 +295,15 @@ def near_duplicates(
             m,
         ).select("row.id", "n_shingles", "h1", "h2", "sig")
     )
-    same = ["n_shingles", "h1", "h2"]
+    same = ["h1", "h2", "n_shingles"]
     classes = save(
         rows.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*same).agg(
-            F.min("id").alias("id"), F.first("sig").alias("sig")
+            F.min("id").alias("id"), F.first("sig").alias("sig"), F.count("*").alias("n")
         )
     )
+    repeated = save(rows.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1"))
+    forms = None if repeated.isEmpty() else own_classes(rows, classes, repeated, same)
+    several_forms = forms is not None
     keys = index_keys(classes, m, errors)
     held = save(keys.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("n")).where("n > 1"))
     buckets = save(look_up(keys, held, ["key"], ["id"]).where("id <> p OR n > 2"))
@@ -314,12 +324,12 @@ def near_duplicates(
         annotate(
             texts,
             "text",
-            "shingles binary",
-            lambda c: {"shingles": pa.array([x.tobytes() for x in shingle_sets(c, shingle)], pa.binary())},
-        ).select("row.id", "shingles").where(F.octet_length("shingles") > 0)
+            "shingles binary, sig binary",
+            lambda c: full_sets(c, shingle, m, several_forms),
+        ).select("row.id", "shingles", "sig").where(F.octet_length("shingles") > 0)
     )
     links = save(confirm(near, sets, percent))
-    part = save(components(links))
+    part = save(components(links.unionByName(forms) if several_forms else links))
     forget(held, star, near, links)
 
     open_ = open_buckets(several, part)
@@ -342,26 +352,32 @@ def near_duplicates(
     clusters = components(edges).select(F.col("node").alias("component"), F.col("component").alias("cluster"))
     clusters = save(clusters.join(members.groupBy("component").agg(F.count("*").alias("n")), "component"))
     dealt = block_pairs(look_up(members, clusters, ["component"], ["id"]).drop("n"), block)
-    full = classes.groupBy("id").agg(F.first("sig").alias("sig")).join(
-        sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "id"
-    )
+    if several_forms:
+        full = sets.withColumn("_h", F.xxhash64("shingles")).dropDuplicates(["id", "_h"]).drop("_h")
+    else:
+        full = classes.select("id", "sig").join(sets.drop("sig"), "id")
     more = save(in_blocks(dealt.join(full, "id"), m, errors, percent, block))
     whole = save(
         components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     ) if not more.isEmpty() else part
     forget(buckets, sets, open_, members, clusters, more)
 
-    known = classes.select(*[F.col(c).alias("_" + c) for c in same], F.col("id").alias("_rep"))
-    out = rows.drop("sig").join(
-        known,
-        (F.col("n_shingles") == F.col("_n_shingles"))
-        & (F.col("h1") == F.col("_h1"))
-        & (F.col("h2") == F.col("_h2"))
-        & F.col("id").isNotNull(),
-        "left",
+    plain = rows.drop("sig")
+    some = F.coalesce(F.col("id").isNotNull() & (F.col("n_shingles") > 0), F.lit(False))
+    reps = classes.select(*same, F.col("id").alias("_rep"), "n")
+    # copies of one text, however many, don't meet in one task
+    with_rep = look_up(plain.where(some), reps, same, ["id"]).select(*plain.columns, "_rep")
+    out = with_rep.unionByName(plain.where(~some).withColumn("_rep", F.lit(None).cast("long")))
+    out = out.join(whole.select(F.col("node").alias("_rep"), "component"), "_rep", "left").withColumn(
+        "group", F.coalesce("component", "_rep", "id")
     )
-    out = out.join(whole.select(F.col("node").alias("_rep"), "component"), "_rep", "left")
-    group = F.coalesce("component", "_rep", "id")
+    if several_forms:  # rows without words belong to their id's document
+        least = out.where("_rep IS NOT NULL").groupBy("id").agg(F.min("group").alias("_least"))
+        least = save(least.join(repeated, "id"))
+        again = look_up(out.join(repeated.select("id"), "id", "left_semi"), least, ["id"], ["h1", "h2"])
+        rest = out.join(least.select("id"), "id", "left_anti")
+        out = rest.unionByName(again.withColumn("group", F.col("_least")).select(*rest.columns))
+    group = F.col("group")
     return out.select(
         F.col("id").alias(doc_id),
         "n_shingles",
@@ -370,8 +386,17 @@ def near_duplicates(
     )
 
 
+def own_classes(rows: DataFrame, classes: DataFrame, repeated: DataFrame, same: list[str]) -> DataFrame:
+    """(a, b), saved: for ids with several texts, each class of its texts (by the class's id) and the least of these."""
+    texts = rows.where("n_shingles > 0").join(repeated.select("id"), "id", "left_semi").select("id", *same).distinct()
+    held = texts.join(classes.select(*same, F.col("id").alias("rep")), same).select("id", "rep").distinct()
+    # an id is a class's own where it is the least of one, so both are linked to it
+    return save(held.select(F.col("id").alias("a"), F.col("rep").alias("b")).where("a <> b"))
+
+
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest id. Rows of one id go or stay together."""
+    """One document of each group of near-duplicates: that of the smallest id. Rows that repeat an id are one document, and
+    go or stay together: where one of its texts links it to a smaller id, its other texts go as well."""
     gone = near_duplicates(
         docs, shingle=shingle, percent=percent
     ).groupBy("doc_id").agg(F.min("kept").alias("_kept")).where("NOT _kept")
