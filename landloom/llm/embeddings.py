@@ -1,8 +1,11 @@
 """Embedding near-dedup by iterative quantisation and multi-index Hamming tables.
 
 Rotations are learnt on a bounded sample so that the signs of the rotated vectors are balanced codes that keep angles.
-Codes are cut into tables, as many as it takes for two vectors at the threshold to agree in all bits of at least one of
-them with a chance of RECALL, whatever the number of vectors. Vectors of one bucket of a table are candidates, and
+Vectors that share a direction are centred on the sample's mean first, else most bits would be the same for all; that
+widens the angles of near pairs, so it takes more bits. Whether to centre, how many bits a table has and how many tables
+there are is chosen by the angles measured in the sample, as the cheapest layout by which two vectors at the threshold
+agree in all bits of at least one table with a chance of RECALL, whatever the number of vectors. The tables stand for
+random ones over learnt bits: it is not a pigeonhole over one code. Vectors of one bucket of a table are candidates, and
 candidates are reranked by the cosine of the original vectors in double precision, each pair in the first table in which
 it meets.
 
@@ -25,18 +28,46 @@ from landloom.llm.common import components, forget, save, table
 SAMPLE = 20_000
 #: The chance that two vectors meet whose cosine is just the threshold; closer ones meet with more.
 RECALL = 0.99
-#: Least bits of a table. It has more where a bucket would hold more than FULL vectors.
-LENGTH, FULL = 16, 64
+#: Bits that a table may have, the most tables, and what a vector in a table costs, in comparisons of two vectors.
+LENGTHS, TABLES, ROW = range(8, 32), 1024, 64
 #: So many buckets of more than a block are broadcast at most (some 30 MB); beyond, a shuffled join marks them.
 MAX_HOT = 1 << 20
 
 
-def layout(n: int, least: float, recall: float = RECALL) -> tuple[int, int]:
-    """(tables, bits of each) for n vectors. A bit differs with chance angle / pi; vectors meet in a table if none
-    does."""
-    length = min(31, max(LENGTH, math.ceil(math.log2(max(1, n) / FULL))))
-    meet = (1 - math.acos(max(-1.0, min(1.0, least))) / math.pi) ** length
-    return (1 if meet >= recall else math.ceil(math.log1p(-recall) / math.log1p(-meet))), length
+def angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Angles between the rows of a and of b, as parts of a half turn; a right angle where a row is zero."""
+    size = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
+    cosine = np.divide(np.einsum("ij,ij->i", a, b), size, out=np.zeros(len(a)), where=size > 0)
+    return np.arccos(np.clip(cosine, -1, 1)) / np.pi
+
+
+def layout(n: int, x: np.ndarray, least: float, recall: float = RECALL) -> tuple[int, int, np.ndarray]:
+    """(tables, bits of each, what to centre on) for n vectors, of which x is a sample of unit rows. A bit differs with
+    the chance of the angle over pi, vectors meet in a table if none does."""
+    random = np.random.default_rng(7)
+    a = x[random.integers(0, len(x), 2000)]
+    aside = random.normal(size=a.shape)
+    aside -= np.einsum("ij,ij->i", a, aside)[:, None] * a
+    size = np.linalg.norm(aside, axis=1, keepdims=True)
+    aside = np.divide(aside, size, out=np.zeros_like(aside), where=size > 1e-9)
+    near = least * a + math.sqrt(max(0.0, 1 - least * least)) * aside
+    i, j = random.integers(0, len(x), (2, 20_000))
+    i, j = i[i != j], j[i != j]
+    best = None
+    for shift in (np.zeros(x.shape[1]), x.mean(0)):
+        close, far = angles(a - shift, near - shift), angles(x[i] - shift, x[j] - shift)
+        for length in LENGTHS:
+            meet = (1 - close) ** length
+            low, high = 1, TABLES
+            while low < high:
+                middle = (low + high) // 2
+                low, high = (low, middle) if 1 - np.mean((1 - meet) ** middle) >= recall else (middle + 1, high)
+            if low == TABLES and length > LENGTHS[0]:
+                break  # more bits would miss more
+            load = low * (ROW + n * (np.mean((1 - far) ** length) if len(far) else 0.5**length))
+            if best is None or load < best[0]:
+                best = load, low, length, shift
+    return best[1:]
 
 
 def hyperplanes(x: np.ndarray, tables: int, length: int) -> np.ndarray:
@@ -61,21 +92,28 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def centred(x: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Rows that differ from shift, seen from it, at length one."""
+    x = x - shift
+    return unit(x[np.abs(x).max(1) > 1e-12]) if len(x) else x
+
+
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return unit(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim))
 
 
-def encode(vectors: DataFrame, dim: int, rotation: np.ndarray, length: int) -> DataFrame:
+def encode(vectors: DataFrame, dim: int, rotation: np.ndarray, length: int, shift: np.ndarray) -> DataFrame:
     """(cid, codes): the part of the code in each table."""
+    level = shift @ rotation
     powers = np.int64(1) << np.arange(length, dtype=np.int64)
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 b = batch.slice(at, 2000)
-                bits = (matrix(b.column("v"), dim) @ rotation >= 0).reshape(b.num_rows, -1, length)
+                bits = (matrix(b.column("v"), dim) @ rotation >= level).reshape(b.num_rows, -1, length)
                 codes = (bits @ powers).astype(np.int32)
                 cuts = np.arange(0, codes.size + 1, codes.shape[1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -192,7 +230,7 @@ def near_duplicates(
     """(vec_id, n_links, component_id, kept) for each row.
 
     Vectors are linked when their cosine is least or more and the index brings them together, with a chance of RECALL at
-    least; none below least is linked. sample: the most vectors the rotations are learnt on, chosen by hash. Vectors
+    least, by what the sample's angles tell; none below least is linked. sample: the most vectors the rotations are learnt on, chosen by hash. Vectors
     that are null, empty, zero or hold null or non-finite components link with nothing; those of different lengths don't
     link either. Rows that repeat an id are one vector of several forms, whose links are added up; rows of a null id
     link with nothing. An empty table gives an empty result; other columns are ignored."""
@@ -209,9 +247,9 @@ def near_duplicates(
     found = None
     for (dim,) in classes.select(F.size("v")).distinct().collect():
         own = classes.where(F.size("v") == dim)
-        tables, length = layout(own.count(), least)
         x = unit(np.array([r.v for r in own.orderBy("h", "cid").limit(sample).select("v").collect()], np.float64))
-        codes = save(encode(own, dim, hyperplanes(x, tables, length), length))
+        tables, length, shift = layout(own.count(), x, least)
+        codes = save(encode(own, dim, hyperplanes(centred(x, shift), tables, length), length, shift))
         at = dealt(codes, block).join(own.join(codes, "cid").select("cid", "id", "n", "codes", "v"), "cid").drop("cid")
         one = reranked(at, dim, least)
         found = one if found is None else found.unionByName(one)
