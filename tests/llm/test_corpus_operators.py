@@ -3,6 +3,7 @@
 import hashlib
 import random
 import sys
+import time
 from pathlib import Path
 
 import numpy as np
@@ -132,6 +133,41 @@ def test_near_duplicates(spark, rows, least_hot):
     assert minhash.near_duplicates(frame(spark, rows[:0])).count() == 0
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark, least_hot):
+    """All texts of an id are one document: it has one component, and what any of its texts links to is in it."""
+    r = random.Random(4)
+    prose = lambda: [r.choice("abcdefgh") + str(r.randrange(500)) for _ in range(60)]
+    a, b, c = prose(), prose(), prose()
+    near = lambda w: " ".join(["zz", *w[1:]])
+    rows = [(1, " ".join(a)), (5, " ".join(a)), (5, " ".join(b)), (9, " ".join(b)), (5, ""), (7, near(b)), (7, None), (20, near(c)), (21, " ".join(c)), (21, near(a)), (30, "alone"), (30, "apart"), (31, "apart")]
+    for k in range(40):  # ids that share classes in chains, and one with very many texts
+        rows += [(100 + k, f"chain {k} " + "x " * 9 + str(k)), (100 + k, f"chain {k + 1} " + "x " * 9 + str(k + 1)), (99, f"own {k} text")]
+    got = sorted((q.doc_id, q.component_id, q.kept) for q in minhash.near_duplicates(frame(spark, rows), block=3).collect())
+    sets = [brute.shingle_set(t, 3) for _, t in rows]
+    alike = lambda i, j: rows[i][0] == rows[j][0] or (
+        bool(sets[i]) and bool(sets[j]) and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    )
+    part = brute.components(range(len(rows)), alike)
+    least = {}
+    for k, p in part.items():
+        least[p] = min(least.get(p, rows[k][0]), rows[k][0])
+    assert got == sorted((rows[k][0], least[p], least[p] == rows[k][0]) for k, p in part.items())
+    kept = {q.doc_id for q in minhash.keep_one(frame(spark, rows), shingle=3, percent=85).collect()}
+    assert kept == {i for i, _, own in got if own}
+
+
+def test_hot_keys_have_an_absolute_limit(spark, monkeypatch):
+    monkeypatch.setattr(common, "LEAST", 10)
+    monkeypatch.setattr(common, "MOST", 50)
+    monkeypatch.setattr(common, "PARTS", 2)
+    counts = spark.createDataFrame([(k, 60 if k < 3 else 20) for k in range(20)], "key long, n long")
+    hot, limit = common.hot_keys(counts)
+    assert limit == 50 and hot.count() == 3
+    monkeypatch.setattr(common, "FEW", 2)
+    hot, limit = common.hot_keys(counts)
+    assert limit == 260 and hot is None
+
+
 def test_every_pair_within_the_distance_shares_a_key():
     r = np.random.default_rng(3)
     for m, similarity in ((40, 0.85), (40, 0.8), (24, 0.9)):
@@ -351,6 +387,69 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_scans_of_long_texts_are_linear():
+    """5 MB of hits each: segments, suppression and spans equal their plain versions on short texts, and end soon."""
+    r = random.Random(8)
+    for _ in range(300):
+        scores = np.array([r.choice([-2, -1, -0.5, 0.5, 1, 2]) for _ in range(r.randint(1, 40))])
+        sums = np.concatenate([[0.0], np.cumsum(scores)])
+        found = []  # the plain version: every stretch that no longer one of a higher sum holds
+        for i in np.flatnonzero(scores > 0).tolist():
+            low, high, start = sums[i], sums[i + 1], i
+            while True:
+                j = next((k for k in range(len(found) - 1, -1, -1) if found[k][0] < low), -1)
+                if j < 0 or found[j][1] >= high:
+                    break
+                low, start = found[j][0], found[j][2]
+                del found[j:]
+            found.append((low, high, start, i + 1))
+        assert toxicity.segments(sums, np.flatnonzero(scores > 0)) == [(a, b, y - x) for x, y, a, b in found]
+        spans = sorted((a, "hex", a + r.randint(1, 9), "") for a in (r.randrange(60) for _ in range(r.randint(0, 9))))
+        taken = secrets.Taken(spans)
+        for a in range(60):
+            b = a + r.randint(1, 6)
+            assert taken.free(a, b) is not any(x < b and a < y for x, _, y, _ in spans)
+    rules = licenses.make_rules()
+    by = licenses.prefilter(rules)
+    for text in (b"all rights reserved under the mit license, apache license version 2.0 ", b"licensed under cc by nc 4.0; "):
+        low, kept = text * 5, []
+        found = licenses.detect(low, rules, by)
+        for k in sorted({k for w in by.keys() & set(licenses.ANY_WORD.findall(low)) for k, own in by[w] if own <= set(licenses.ANY_WORD.findall(low))}):
+            for m in rules[k].pattern.finditer(low):
+                if not any(a <= m.start() and m.end() <= b for a, b, _, _ in kept):
+                    kept.append((m.start(), m.end(), rules[k].label, rules[k].confidence))
+        assert found == kept
+    began = time.process_time()
+    falling = np.where(np.arange(800_000) % 2 == 0, 0.5, -0.51)
+    assert len(toxicity.segments(np.concatenate([[0.0], np.cumsum(falling)]), np.flatnonzero(falling > 0))) == 400_000
+    assert licenses.detect(b"all rights reserved " * 250_000, rules, by)
+    base = secrets.base_spans("token=abcdef12345 " * 280_000)
+    taken = secrets.Taken(base)
+    assert not any(taken.free(a + 1, a + 3) for a, _, _, _ in base)
+    long = ["".join(r.choices("0f", k=20_000)) for _ in range(64)]
+    assert secrets.infer(sorted(long))
+    assert time.process_time() - began < 40
+
+
+@pytest.mark.parametrize("share, most", [(0.5, 600), (0.8, 3000)])
+def test_vectors_that_share_a_direction(share, most):
+    """Mean cosines of 0.5 and 0.8: centred codes bring close pairs together, and few others."""
+    r = np.random.default_rng(3)
+    n, dim = 12_000, 64
+    common_ = embeddings.unit(r.normal(size=(1, dim)))
+    x = embeddings.unit(np.sqrt(1 - share) * embeddings.unit(r.normal(size=(n, dim))) + np.sqrt(share) * common_)
+    aside = r.normal(size=(3000, dim))
+    aside = embeddings.unit(aside - (aside * x[:3000]).sum(1, keepdims=True) * x[:3000])
+    tables, length, shift = embeddings.layout(51_282, x, 0.95)
+    turn = embeddings.hyperplanes(embeddings.centred(x[:4000], shift), tables, length)
+    codes = lambda v: (v @ turn >= shift @ turn).reshape(len(v), tables, length) @ (1 << np.arange(length))
+    own = codes(x)
+    met = (own[:3000] == codes(0.951 * x[:3000] + np.sqrt(1 - 0.951**2) * aside)).any(1)
+    assert met.mean() > 0.95
+    pairs = sum((np.bincount(own[:, k]).astype(float) ** 2).sum() for k in range(tables)) / n - tables
+    assert pairs * 51_282 / n < most  # for the number of vectors that the layout is for
+
+
 def close_pairs(n, dim, r):
     """2 n vectors; those at k and n + k have a cosine of 0.951 to 0.97, all others are far apart."""
     a, b = r.normal(size=(2, n, dim))
@@ -364,16 +463,16 @@ def close_pairs(n, dim, r):
 @pytest.mark.parametrize("n, dim", [(1_000, 24), (51_282, 64), (400_000, 64), (50_000_000, 100)])
 def test_close_vectors_meet_whatever_the_number(n, dim):
     x = close_pairs(3000, dim, np.random.default_rng(n + dim))
-    tables, length = embeddings.layout(n, 0.95)
-    assert tables >= 4 and length >= 16
-    bit = (x @ embeddings.hyperplanes(x, tables, length) >= 0).reshape(len(x), -1, length)
+    tables, length, shift = embeddings.layout(n, x, 0.95)
+    turn = embeddings.hyperplanes(embeddings.centred(x, shift), tables, length)
+    bit = (x @ turn >= shift @ turn).reshape(len(x), -1, length)
     assert (bit[:3000] == bit[3000:]).all(2).any(1).mean() > 0.98
 
 
 @pytest.mark.parametrize("n", [50_000_000])
 def test_embeddings_in_the_layout_of_a_large_table(spark, n, monkeypatch):
     of = embeddings.layout
-    monkeypatch.setattr(embeddings, "layout", lambda _, least: of(n, least))
+    monkeypatch.setattr(embeddings, "layout", lambda _, x, least: of(n, x, least))
     x = close_pairs(400, 64, np.random.default_rng(n))
     got = {
         q.vec_id: q.n_links for q in embeddings.near_duplicates(
