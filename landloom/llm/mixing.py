@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landloom.llm.common import save, table
+from landloom.llm.common import look_up, save, table
 
 WEIGHTS = (5, 2, 1)
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -71,9 +71,15 @@ def mix(
     documents; the rest goes to those that come first by md5(seed:doc_id), as far as the middle of a document lies
     before the cut, so a source misses its target by half a document at most and a document is taken at most max_epochs
     times. Reruns agree. A null source is a source of its own; rows of a null id are ordered by a hash of their text,
-    rows of equal ids are told apart by size only, and rows alike in all are interchangeable. A source without words has
+    rows of equal ids are told apart by size and text, and rows alike in all are interchangeable. A source without words has
     target 0 and its documents 0 or whole copies of nothing. An empty table gives an empty result; other columns are
     ignored."""
+    marked = _marked(docs, doc_id, source, text, seed)
+    return _taken(marked, weights, share, max_epochs).select("doc_id", "size", "source_size", "target", "copies")
+
+
+def _marked(docs: DataFrame, doc_id: str, source: str, text: str, seed: str) -> DataFrame:
+    """(doc_id, source, size, mark, same), saved: mark gives the order, and same tells texts apart."""
     # rows without an id are spread by their texts, so that they don't share one place in the order
     mark = F.md5(
         F.concat(
@@ -81,14 +87,19 @@ def mix(
             F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.xxhash64(text).cast("string"))),
         )
     )
-    sized = save(
+    return save(
         docs.select(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
             F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             mark.alias("mark"),
+            F.xxhash64(text).alias("same"),
         )
     )
+
+
+def _taken(sized: DataFrame, weights: tuple[int, ...], share: float, max_epochs: int) -> DataFrame:
+    """The columns of _marked(), source_size, target and copies."""
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs)
     goal = save(
         goal.select(
@@ -128,22 +139,60 @@ def mix(
         (slots[0] == F.col("slot1")) & (F.col("slot2").isNull() | (slots[1] < F.col("slot2")))
     )
     middle = F.col("before2") + F.sum("size").over(
-        Window.partitionBy("source").orderBy("mark", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("source").orderBy("mark", "doc_id", "size", "same").rowsBetween(Window.unboundedPreceding, 0)
     ) - F.col("size") / 2
     plain = at.where(~F.coalesce(inside, F.lit(False))).withColumn("more", clear.cast("long"))
     near = at.where(inside).withColumn("more", (middle <= F.col("rest")).cast("long"))
     out = plain.unionByName(near)
     extra = F.when(F.col("rest") > 0, F.col("more")).otherwise(0)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("whole") + extra).alias("copies"))
+    return out.select(
+        "doc_id", "source", "mark", "same", "size", "source_size", "target", (F.col("whole") + extra).alias("copies")
+    )
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows that the mix takes, once each, with copies: how often a training run repeats them. Rows of a null id are
-    judged alike; where rows repeat an id, each gets the largest count of them."""
-    counts = mix(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"))
-    out = rows.join(counts, F.col("_doc").eqNullSafe(F.col("_id"))).where("_copies > 0")
-    return out.select(
+def _keys(doc_id, source, same) -> list:
+    """Two hashes of what tells rows apart; a null is told from any value."""
+    parts = [x for c in (doc_id, source, same) for x in (F.isnull(c), c)]
+    return [F.xxhash64(*parts).alias("_k1"), F.xxhash64(F.lit(31), *parts).alias("_k2")]
+
+
+def mix_documents(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = 1.0,
+    max_epochs: int = 3,
+    seed: str = "mix",
+) -> DataFrame:
+    """The rows of documents that the mix takes, once each, with copies: how often a training run repeats them.
+
+    Every row gets what mix() takes of it. Rows that are alike in id, source and text share what is taken of them evenly;
+    where that leaves some over, which only a source's last such group does, those first in the order of docs' partitions
+    get one more: docs should be a stored table, or one whose partitions are the same when it is read again."""
+    marked = _marked(docs, "doc_id", "source", "text", seed)
+    taken = _taken(marked, weights, share, max_epochs).select(
+        *_keys(F.col("doc_id"), F.col("source"), F.col("same")), "copies"
+    )
+    groups = taken.groupBy("_k1", "_k2").agg(F.count("*").alias("n"), F.sum("copies").cast("long").alias("_all"))
+    groups = save(groups.selectExpr("_k1", "_k2", "n", "_all div n AS _each", "_all % n AS _more").where("_all > 0"))
+    rows = docs.select(
+        F.struct("*").alias("_row"),
+        *_keys(F.col("doc_id"), F.col("source"), F.xxhash64("text")),
+        F.spark_partition_id().alias("_part"),
+    )
+    found = look_up(rows, groups, ["_k1", "_k2"], ["_part"])
+    plain = found.where("_more = 0").select("_row", F.col("_each").alias("_copies"))
+    if not groups.where("_more > 0").isEmpty():
+        odd = found.where("_more > 0")
+        keys = ["_k1", "_k2", "_part"]
+        upto = Window.partitionBy("_k1", "_k2").orderBy("_part")
+        before = odd.groupBy(*keys).agg(F.count("*").alias("_held")).select(
+            *keys, (F.sum("_held").over(upto) - F.col("_held")).alias("_before")
+        )
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+        odd = odd.withColumn("_place", place).join(before, keys)
+        more = (F.col("_place") + F.col("_before") <= F.col("_more")).cast("long")
+        plain = plain.unionByName(odd.select("_row", (F.col("_each") + more).alias("_copies")))
+    return plain.where("_copies > 0").select(
         *[F.col("_row").getField(c).alias(c) for c in docs.columns if c != "copies"], F.col("_copies").alias("copies")
     )
 
