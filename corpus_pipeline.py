@@ -31,20 +31,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that of the smallest id; rows of one id go or stay
-    together."""
+    """One document of each group of near-duplicates stays, that of the smallest id; rows of one id are one document and
+    go or stay together, a text that only such a row has among them."""
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark passage go; rows of one id go or stay together. Items of fewer than 5 tokens are
-    ignored."""
+    """Documents with a benchmark passage go; rows of one id go or stay together, rows of a null id are judged one by
+    one. Items of fewer than 5 tokens are ignored."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to their target weights; rows that the mix does not take go, those without words among them
-    where their source is not repeated whole. A null source is one of its own."""
+    where their source is not repeated whole. A null source is one of its own; rows that are alike in id, source and
+    text share evenly what is taken of them."""
     return mix_documents(docs)
 
 

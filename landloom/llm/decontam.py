@@ -105,13 +105,15 @@ def contamination(
     item_text: str = "text",
     percent: int = PERCENT,
     max_filter: int = 1 << 21,
+    by_text: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, start, end, agreeing): the longest overlap of each document and benchmark item that have one.
 
     Tokens are lower-cased runs of letters and digits. Every overlap of WINDOW tokens, or of all of a shorter item, of
     which percent (PERCENT or more) agree is found, wherever the others stand; items of fewer than 5 tokens are ignored.
-    Null, empty and blank texts and items overlap with nothing. Rows of a null id are ignored; rows that repeat an id
-    are one document of several texts, or one item. Other columns are ignored, and empty tables give an empty result."""
+    Null, empty and blank texts and items overlap with nothing. Rows of a null id are ignored, unless by_text is set:
+    then each of their texts is a document, told by one more column, same (its xxhash64; null for documents with an id).
+    Rows that repeat an id are one document of several texts, or one item. Other columns are ignored, and empty tables give an empty result."""
     if percent < PERCENT:
         raise ValueError(f"the masks find overlaps of {PERCENT} percent or more")
 
@@ -161,14 +163,14 @@ def contamination(
 
     plain = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
-    ).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    ).where("text IS NOT NULL" if by_text else "doc_id IS NOT NULL AND text IS NOT NULL")
     held = save(
         annotate(plain, "text", fields, hits).where(F.size("h") > 0).select(
-            "row.doc_id", "words", "h", "at"
-        ).withColumn("same", F.xxhash64("words")).dropDuplicates(["doc_id", "same"])
+            "row.doc_id", "words", "h", "at", F.xxhash64("row.text").alias("same")
+        ).dropDuplicates(["doc_id", "same"])
     )
     # what every third text holds is spread: a small benchmark is broadcast, a large one is dealt several times
-    salt = F.lit(0) if small else F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    salt = F.lit(0) if small else F.pmod(F.xxhash64("doc_id", "same"), F.lit(SALTS)).cast("int")
     every = F.lit(0) if small else F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     side = F.broadcast if small else (lambda x: x)
     seen = held.select(
@@ -181,7 +183,9 @@ def contamination(
         "doc_id", "same", "item_id", "variant", "salt", (F.col("d") - F.col("i")).alias("shift")
     )
     shifts = shifts.groupBy("doc_id", "same", "item_id", "variant", "salt").agg(F.collect_set("shift").alias("shifts"))
-    pairs = shifts.join(held.select("doc_id", "same", F.col("words").alias("dw")), ["doc_id", "same"])
+    words_of = held.select(F.col("doc_id").alias("_doc"), F.col("same").alias("_same"), F.col("words").alias("dw"))
+    alike = (F.col("same") == F.col("_same")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    pairs = shifts.join(words_of, alike).drop("_doc", "_same")
     pairs = pairs.join(
         side(items.select("item_id", "variant", F.col("words").alias("iw"), every.alias("salt"))),
         ["item_id", "variant", "salt"],
@@ -190,8 +194,8 @@ def contamination(
     def verify(batches):
         for batch in batches:
             rows = []
-            for d, i, shifts_, dw, iw in zip(
-                *[batch.column(c) for c in ("doc_id", "item_id", "shifts", "dw", "iw")], strict=True
+            for d, same, i, shifts_, dw, iw in zip(
+                *[batch.column(c) for c in ("doc_id", "same", "item_id", "shifts", "dw", "iw")], strict=True
             ):
                 doc, item = dw.values.to_numpy(), iw.values.to_numpy()
                 best = max(
@@ -199,28 +203,36 @@ def contamination(
                     key=lambda x: (x[1] - x[0], x[2], -x[0]),
                 )
                 if best[1] > best[0]:
-                    rows.append((d.as_py(), i.as_py(), *best))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+                    rows.append((d.as_py(), same.as_py(), i.as_py(), *best))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "start", "end", "agreeing"]
+                [pa.array(c, pa.int64()) for c in columns], ["doc_id", "same", "item_id", "start", "end", "agreeing"]
             )
 
     found = pairs.select(
-        F.col("doc_id").cast("long"), F.col("item_id").cast("long"), "shifts", "dw", "iw"
-    ).mapInArrow(verify, "doc_id long, item_id long, start long, end long, agreeing long")
+        F.col("doc_id").cast("long"), "same", F.col("item_id").cast("long"), "shifts", "dw", "iw"
+    ).mapInArrow(verify, "doc_id long, same long, item_id long, start long, end long, agreeing long")
+    found = found.withColumn("same", F.when(F.col("doc_id").isNull(), F.col("same")))
     best = F.max_by(
         F.struct("start", "end", "agreeing"), F.struct(F.col("end") - F.col("start"), "agreeing", -F.col("start"))
     ).alias("b")
-    out = save(found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*"))
+    keys = ["doc_id", "same", "item_id"] if by_text else ["doc_id", "item_id"]
+    out = save(found.groupBy(*keys).agg(best).select(*keys, "b.*"))
     forget(items, held)
     return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that overlap with no benchmark item. Rows of one id go or stay together; rows of a null id stay."""
-    gone = contamination(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"))
-    return rows.join(gone, "_id", "left_anti").select(*unpack(docs, docs.columns))
+    """The documents that overlap with no benchmark item. Rows of one id go or stay together; rows of a null id are
+    judged each by its own text."""
+    found = contamination(docs, benchmark, by_text=True)
+    ids = found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
+    texts = found.where("doc_id IS NULL").select(F.col("same").alias("_id")).distinct()
+    row = F.struct("*").alias("row")
+    named = docs.where("doc_id IS NOT NULL").select(row, F.col("doc_id").alias("_id"))
+    others = docs.where("doc_id IS NULL").select(row, F.xxhash64("text").alias("_id"))
+    rows = named.join(ids, "_id", "left_anti").unionByName(others.join(texts, "_id", "left_anti"))
+    return rows.select(*unpack(docs, docs.columns))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,6 +117,33 @@ def test_mixing(spark, rows):
     assert mixing.mix(frame(spark, rows[:0])).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_mixing_of_rows_without_an_id(spark, parts, least_hot):
+    """Very many of them, some with equal texts: each source's target is met within half a document."""
+    r = random.Random(6)
+    rows = [(None, " ".join("w" * r.randint(1, 9)), "abc"[r.randrange(3)]) for _ in range(200)]
+    rows += [(None, "the same five words here", "a")] * 300 + [(k % 40, "an id of six words each", "b") for k in range(300)]
+    rows += [(None, None, "a")] * 9 + [(None, "x y", None)] * 50
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], DOCS).withColumn("copies", F.lit(7))
+    out = mixing.mix_documents(docs.repartition(parts, "source", "text", "doc_id"))
+    taken, sizes, largest = {}, {}, {}
+    for q in out.collect():
+        assert 1 <= q.copies <= 3
+        taken[q.source] = taken.get(q.source, 0) + q.copies * len(brute.words(q.text))
+    for _, t, s in rows:
+        n = len(brute.words(t))
+        sizes[s], largest[s] = sizes.get(s, 0) + n, max(largest.get(s, 0), n)
+    for s, goal in brute.targets(sizes).items():
+        assert abs(taken.get(s, 0) - goal) <= largest[s] / 2 + 1, s
+
+
+def test_decontamination_of_rows_without_an_id(spark):
+    item = " ".join(f"q{k}" for k in range(30))
+    docs = [(None, f"before {item} after"), (None, f"before {item} after"), (None, "clean text of some words"), (None, None), (3, item), (3, "other text"), (4, "clean text of some words")]
+    kept = decontam.drop_contaminated(frame(spark, docs), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(((x.doc_id, x.text) for x in kept.collect()), key=str) == sorted([docs[2], docs[3], docs[6]], key=str)
+
+
 def test_mixing_caps_and_reshares(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 0), (None, 100)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(sizes).collect()}
