@@ -32,6 +32,21 @@ def distinct_per_group(df: DataFrame, group: str, value: str, approximate: bool
     return df.groupBy(group).agg(count.alias("distinct_values"))
 
 
+#: log2 of the registers of a sketch: a relative error of about 0.8 per cent.
+REGISTERS = 14
+
+
+def distinct_sketches(df: DataFrame, by: list[str], value: str, registers: int = REGISTERS) -> DataFrame:
+    """(*by, sketch): mergeable counts of distinct values, to be stored for groups as fine as will be asked for. Nulls
+    count for nothing."""
+    return df.groupBy(*by).agg(F.hll_sketch_agg(F.col(value).cast("string"), registers).alias("sketch"))
+
+
+def distinct_from(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, distinct_values): estimates for any roll-up of stored sketches, without the rows they were made of."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"))
+
+
 def top(df: DataFrame, k: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(k)
 

@@ -548,6 +548,23 @@ def json_flatten(spark, sf_dir):
     return nested.flatten_json(t(spark, sf_dir, "events").select("event_id", "props"), "props")
 
 
+@query("""SELECT event_id, event_id AS id, event_id % 4 AS tags, CASE WHEN event_id % 3 > 0 THEN event_type END AS kind, user_id AS user, CASE WHEN event_id % 2 = 0 THEN 'x' ELSE event_id::VARCHAR END AS mixed FROM events""")
+def json_typed(spark, sf_dir):
+    """Members of JSON by the types they have over all rows: numbers, arrays, nested objects; text where they differ."""
+    user = F.named_struct(
+        F.lit("user"), F.col("user_id"), F.lit("kind"), F.when(F.col("event_id") % 3 > 0, F.col("event_type"))
+    )
+    tags = F.slice(F.array(F.lit(1.5), F.lit(2.5), F.lit(3.5)), F.lit(1), (F.col("event_id") % 4).cast("int"))
+    made = F.concat(
+        F.lit('{"id":'), text("event_id"), F.lit(',"tags":'), F.to_json(tags), F.lit(',"in":'), F.to_json(user),
+        F.lit(',"mixed":'), F.when(F.col("event_id") % 2 == 0, F.lit('"x"')).otherwise(text("event_id")), F.lit("}"),
+    )
+    flat = nested.flatten_typed(t(spark, sf_dir, "events").select("event_id", made.alias("json")))
+    return flat.select(
+        "event_id", "id", F.size("tags").cast("long").alias("tags"), "in.kind", "in.user", "mixed"
+    )
+
+
 @query(
     """SELECT event_id, 'Point' AS type, (user_id % 180)::DOUBLE AS longitude, (event_id % 90)::DOUBLE AS latitude, event_type AS name FROM events"""
 )
@@ -775,6 +792,23 @@ def group_stats(spark, sf_dir):
     return stats.summary(stats.records_per_group(t(spark, sf_dir, "documents"), "source"), "source")
 
 
+@query("""SELECT event_type, count(DISTINCT user_id) AS exact, true AS close FROM events GROUP BY event_type UNION ALL SELECT NULL, count(DISTINCT user_id), true FROM events""")
+def distinct_rollup(spark, sf_dir):
+    """Sketches by type and day, stored and merged for each type and for all: within 2 per cent of the exact counts."""
+    events, at = t(spark, sf_dir, "events"), folder(spark)
+    stats.distinct_sketches(events.withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id").write.parquet(at)
+    stored = spark.read.parquet(at)
+    estimates = stats.distinct_from(stored, ["event_type"]).unionByName(
+        stats.distinct_from(stored.withColumn("event_type", F.lit(None).cast("string")), ["event_type"])
+    )
+    exact = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("exact")).unionByName(
+        events.agg(F.countDistinct("user_id").alias("exact")).withColumn("event_type", F.lit(None).cast("string"))
+    )
+    off = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1), 0.02 * F.col("exact"))
+    named = estimates.withColumnRenamed("event_type", "_type")
+    return exact.join(named, F.col("event_type").eqNullSafe(F.col("_type"))).select("event_type", "exact", off.alias("close"))
+
+
 @query("""SELECT source, count(DISTINCT lang) AS distinct_values FROM documents GROUP BY source""")
 def distinct_per_group(spark, sf_dir):
     return stats.distinct_per_group(t(spark, sf_dir, "documents"), "source", "lang")
@@ -933,6 +967,36 @@ def archive_volume(spark, sf_dir):
     return stats.archive_volume(readers.members_of(_zipped(spark, sf_dir))).select("archive", "members", "bytes")
 
 
+@query(
+    """SELECT 'n' || c_nationkey || '-' || (c_custkey // 25000) AS archive, count(*) AS members, sum(strlen(c_name) + strlen(c_custkey::VARCHAR) + strlen(c_nationkey::VARCHAR) + 119)::BIGINT AS bytes,
+sum(strlen(c_name) + strlen(c_custkey::VARCHAR) + strlen(c_nationkey::VARCHAR) + 119)::BIGINT AS read FROM customer GROUP BY 1"""
+)
+def archive_ranges(spark, sf_dir):
+    """Archives as files: volume from their directories alone, and members read one at a time."""
+    at = folder(spark)
+
+    def put(frames):
+        import pandas as pd
+
+        from landloom.sources.ranged import located
+
+        for pdf in frames:
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                store, place = located(f"{at}/{path.rsplit('/', 1)[-1]}")
+                store.create_dir(place.rsplit("/", 1)[0])
+                with store.open_output_stream(place) as out:
+                    out.write(content)
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    _zipped(spark, sf_dir).mapInPandas(put, "n long").agg(F.sum("n")).collect()
+    pattern = f"{at}/*.zip"
+    volume = stats.archive_volume(readers.archive_members(spark, pattern, text=False)).drop("volume")
+    read = readers.archive_members(spark, pattern).groupBy("archive").agg(
+        F.sum(F.octet_length("text")).cast("long").alias("read")
+    )
+    return volume.join(read, "archive")
+
+
 @query(
     """SELECT c_custkey, json_object('c_custkey', c_custkey::VARCHAR, 'c_name', c_name, 'since', '')::VARCHAR AS value FROM customer"""
 )

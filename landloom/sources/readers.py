@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv as delimited
 import io
 import zipfile
 
@@ -13,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from landloom.functions import columns as C
 from landloom.operators.joins import union_by_name
+from landloom.sources import ranged
 
 
 def empty(spark: SparkSession, columns: list[str]) -> DataFrame:
@@ -37,32 +37,16 @@ def csv_inferred(spark: SparkSession, path: str, header: bool = True, **options)
 
 
 def header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The column names in the first line of a delimited file, or of the first file of a folder; nothing else is
-    read."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.getFileStatus(at).isDirectory():
-        inside = sorted(
-            (s.getPath() for s in fs.listStatus(at) if s.isFile() and not s.getPath().getName().startswith(("_", "."))),
-            key=str,
-        )
-        if not inside:
-            return ()
-        at = inside[0]
-    stream = fs.open(at)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return tuple(x.strip() for x in next(delimited.reader([(line or "").lstrip("\ufeff")]), []))
+    """The column names in the first line of a delimited file, or of the first file of a folder."""
+    return ranged.headers(spark, [path])[path]
 
 
 def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
     """Files grouped by their header, in order of the first file of each."""
     found: dict[tuple[str, ...], list[str]] = {}
+    heads = ranged.headers(spark, files)
     for f in sorted(files):
-        found.setdefault(header(spark, f), []).append(f)
+        found.setdefault(heads[f], []).append(f)
     return found
 
 
@@ -154,8 +138,12 @@ def features_of(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def archive_members(spark: SparkSession, pattern: str, suffix: str = ".gml", text: bool = True) -> DataFrame:
-    """members_of() the zip archives that match a pattern."""
-    return members_of(spark.read.format("binaryFile").load(pattern), suffix, text)
+    """(archive, member, size, text) of the members of zip archives that match a pattern, of any size. Without text only
+    the archives' directories are read."""
+    entries = ranged.archive_entries(spark, discover(spark, pattern), suffix)
+    if text:
+        return ranged.member_texts(entries)
+    return entries.select("archive", "member", "size", F.lit(None).cast("string").alias("text"))
 
 
 def members_of(archives: DataFrame, suffix: str = ".gml", text: bool = True) -> DataFrame:

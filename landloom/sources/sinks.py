@@ -7,12 +7,14 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from math import ceil
 from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from landloom.functions import geometry as G
 
@@ -258,7 +260,7 @@ def jdbc_swap(
     """Append df to a staging table in parallel, then replace the rows of dataset (or all) in one transaction. Returns
     rows.
 
-    df is computed once. rows: how many are expected, for sizing(); types: column types of the staging table, as DDL.
+    df is computed once; rows that a task writes again, since it was tried again, count once. rows: how many are expected, for sizing(); types: column types of the staging table, as DDL.
     Columns go by position, so df is put into the target's order. checked: refuse an empty copy, and roll back if the
     rows inserted are not those staged. Failures that may pass are tried again; the staging table is dropped in any
     case."""
@@ -272,6 +274,42 @@ def jdbc_swap(
     raise ValueError("tries must be 1 or more")
 
 
+#: Columns of a staging table: which part of the rows, and which attempt at it, a row comes from.
+PART, TOKEN = "landloom_part", "landloom_attempt"
+
+
+def _with_attempt(df: DataFrame) -> DataFrame:
+    """df with PART and TOKEN. A task that is tried again, or twice at once, gives its rows another token."""
+    schema = StructType([*df.schema, StructField(PART, IntegerType()), StructField(TOKEN, StringType())])
+
+    def run(batches):
+        part, token = TaskContext.get().partitionId(), str(uuid.uuid4())
+        for batch in batches:
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([part] * n, pa.int32()), pa.array([token] * n, pa.string())], schema.names
+            )
+
+    return df.mapInArrow(run, schema)
+
+
+def _drop_repeats(link, staging: str, part: str, token: str) -> None:
+    """Leave one complete attempt at each part: that with most rows, as a failed one has fewer, and a complete one has
+    all. Only a row for each attempt comes to the driver."""
+    found = link.createStatement().executeQuery(
+        f"SELECT {part}, {token}, COUNT(*) FROM {staging} GROUP BY {part}, {token}"
+    )
+    attempts: dict[int, list[tuple[int, str]]] = {}
+    while found.next():
+        attempts.setdefault(found.getInt(1), []).append((found.getLong(3), found.getString(2)))
+    found.close()
+    for own in attempts.values():
+        for _, other in sorted(own)[:-1]:
+            gone = link.prepareStatement(f"DELETE FROM {staging} WHERE {token} = ?")
+            gone.setString(1, other)
+            gone.executeUpdate()
+
+
 def _jdbc_swap(df, url, target, dataset, column, checked, properties, rows, types) -> int:
     spark, staging = df.sparkSession, f"{target}_staging_{uuid.uuid4().hex[:8]}"
     tasks, batch = sizing(rows) if rows is not None else (20, 3000)
@@ -280,6 +318,8 @@ def _jdbc_swap(df, url, target, dataset, column, checked, properties, rows, type
     seen = Observation()
     ordered = df.select(*[F.col(have[c.lower()]).alias(c) for c in names]).observe(seen, F.count("*").alias("n"))
     ordered = ordered.repartition(tasks) if rows is not None else ordered.coalesce(tasks)
+    ordered = _with_attempt(ordered)
+    token = f"{TOKEN} VARCHAR(36)"
     jvm = spark.sparkContext._jvm
     info = jvm.java.util.Properties()
     for k, v in properties.items():
@@ -287,9 +327,8 @@ def _jdbc_swap(df, url, target, dataset, column, checked, properties, rows, type
     link = None
     try:
         out = ordered.write.option("batchsize", batch)
-        (
-            out.option("createTableColumnTypes", types) if types else out
-        ).jdbc(url, staging, mode="append", properties=properties)
+        kinds = f"{types}, {token}" if types else token
+        out.option("createTableColumnTypes", kinds).jdbc(url, staging, mode="append", properties=properties)
         n = seen.get["n"]
         if checked and not n:
             raise ValueError(f"nothing to write to {target}")
@@ -301,7 +340,10 @@ def _jdbc_swap(df, url, target, dataset, column, checked, properties, rows, type
             gone = link.prepareStatement(f"DELETE FROM {target} WHERE {column} = ?")
             gone.setString(1, dataset)
             gone.executeUpdate()
-        moved = link.createStatement().executeUpdate(f"INSERT INTO {target} SELECT * FROM {staging}")
+        quoted = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier
+        _drop_repeats(link, staging, quoted(PART), quoted(TOKEN))
+        columns = ", ".join(quoted(c) for c in names)
+        moved = link.createStatement().executeUpdate(f"INSERT INTO {target} SELECT {columns} FROM {staging}")
         if checked and moved != n:
             raise ValueError(f"{moved} of {n} rows were inserted into {target}")
         link.commit()
@@ -325,28 +367,80 @@ def jdbc_subdivided(df: DataFrame, url: str, target: str, dataset: str, geometry
     return jdbc_swap(G.subdivided(df, geometry=geometry), url, target, dataset, **options)
 
 
+def packed(sizes: list[tuple[str, int]], target: int) -> list[list[str]]:
+    """Bins of two files or more, of at most target bytes together, of those smaller than half of it: the largest first,
+    each into the first bin with room."""
+    bins: list[tuple[int, list[str]]] = []
+    for path, size in sorted(sizes, key=lambda x: (-x[1], x[0])):
+        if 2 * size >= target:
+            continue
+        at = next((k for k, (n, _) in enumerate(bins) if n + size <= target), None)
+        if at is None:
+            bins.append((size, [path]))
+        else:
+            bins[at] = bins[at][0] + size, [*bins[at][1], path]
+    return [files for _, files in bins if len(files) > 1]
+
+
+def _data_files(spark: SparkSession, path: str) -> dict[str, list[tuple[str, int]]]:
+    """(path, bytes) of the data files in each folder of a table, at any depth."""
+    fs, at, _ = _fs(spark, path)
+    found: dict[str, list[tuple[str, int]]] = {}
+    files = fs.listFiles(at, True)
+    while files.hasNext():
+        s = files.next()
+        name, folder = s.getPath().toString(), s.getPath().getParent().toString()
+        below = name.removeprefix(fs.makeQualified(at).toString()).split("/")
+        if not any(x.startswith(("_", ".")) for x in below):
+            found.setdefault(folder, []).append((name, s.getLen()))
+    return found
+
+
+def _compact(spark: SparkSession, path: str, target: int, fmt: str) -> None:
+    fs, at, path_of = _fs(spark, path)
+    if not fs.exists(at):
+        raise FileNotFoundError(path)
+    bins = [
+        (folder, files) for folder, own in sorted(_data_files(spark, path).items()) for files in packed(own, target)
+    ]
+    if not bins:
+        return
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    of = spark.createDataFrame(
+        [(f, k) for k, (_, files) in enumerate(bins) for f in files], "_file string, _bin int"
+    )
+    whole = spark.read.format(fmt).load(path).schema
+    inside = {part.split("=")[0] for folder, _ in bins for part in folder.split("/") if "=" in part}
+    schema = type(whole)([f for f in whole if f.name not in inside])
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    held = spark.read.schema(schema).format(fmt).load([f for _, files in bins for f in files])
+    # one task writes a bin; what it reads of each file is known by the file's path
+    held = held.withColumn("_from", plain(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))))
+    held = held.join(of.withColumn("_from", plain(F.col("_file"))), "_from").drop("_from", "_file")
+    held.repartition(len(bins), "_bin").sortWithinPartitions("_bin").write.partitionBy("_bin").format(fmt).save(beside)
+    for k, (folder, files) in enumerate(bins):
+        new = [s.getPath() for s in fs.listStatus(path_of(f"{beside}/_bin={k}")) if not s.getPath().getName().startswith((".", "_"))]
+        for f in files:  # hidden from readers first, so that a stop loses nothing
+            old = path_of(f)
+            fs.rename(old, path_of(f"{folder}/.old-{old.getName()}"))
+        for f in new:
+            fs.rename(f, path_of(f"{folder}/{f.getName()}"))
+        for f in files:
+            fs.delete(path_of(f"{folder}/.old-{path_of(f).getName()}"), False)
+    fs.delete(path_of(beside), True)
+
+
 def compact(spark: SparkSession, paths: list[str], target_bytes: int = 128 << 20, fmt: str = "parquet") -> dict[str, str]:
-    """Rewrite each table with files of about target_bytes; a failure is reported and the others go on.
+    """Pack the small files of each table, folder by folder at any depth, into files of at most about target_bytes; a
+    failure is reported and the others go on.
 
-    A partitioned table is rebalanced by its partition column, so that a large partition is written by several tasks and
-    a small one by one; tables of one partition level are meant."""
+    Only files below half of that are read and replaced, all bins in one job; others stay as they are. Replaced files are
+    hidden under .old-* before the new one is moved in, and deleted last: after a stop in between, the folder holds
+    either the new file or the hidden ones, or both. No other job may write to the table meanwhile."""
     out = {}
     for path in paths:
         try:
-            by = next((n.split("=")[0] for n, _ in listing(spark, path) if "=" in n), None)
-            df = spark.read.format(fmt).load(path)
-            if by is None:
-                swap(
-                    df.repartition(max(1, ceil(sum(b for _, b in listing(spark, path)) / target_bytes))), path, (), fmt
-                )
-            else:
-                setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-                before = spark.conf.get(setting)
-                spark.conf.set(setting, str(target_bytes))
-                try:
-                    swap(df.hint("rebalance", by), path, (by,), fmt)
-                finally:
-                    spark.conf.set(setting, before)
+            _compact(spark, path, target_bytes, fmt)
             out[path] = "compacted"
         except Exception as e:  # noqa: BLE001
             out[path] = f"failed: {type(e).__name__}"

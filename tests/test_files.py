@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from landloom.functions import nested
 from landloom.plans import pipelines
 from landloom.plans import schema as S
-from landloom.sources import readers, sinks
+from landloom.sources import ranged, readers, sinks
 
 
 def put(path, text):
@@ -161,6 +161,67 @@ def test_compaction_of_partitions(spark, tmp_path):
     )
 
 
+def test_only_small_files_are_packed(spark, tmp_path):
+    at = f"{tmp_path}/t"
+    rows_ = spark.range(60_000).selectExpr("id", "id % 2 AS k", "'a b+c%' AS `j`", "sha2(string(id), 256) AS v")
+    rows_.where("id < 50000").repartition(1).write.partitionBy("j", "k").parquet(at)
+    rows_.where("id >= 50000").repartition(5).write.mode("append").partitionBy("j", "k").parquet(at)
+    files = lambda: {os.path.join(d, f) for d, _, names in os.walk(at) for f in names if f.endswith(".parquet")}
+    before = {f: os.stat(f).st_mtime_ns for f in files()}
+    large = {f for f in before if os.path.getsize(f) > 500_000}
+    assert len(large) == 2 and len(before) == 12
+    assert sinks.compact(spark, [at], 1_000_000) == {at: "compacted"}
+    after = files()
+    assert len(after) == 4 and large < after and all(os.stat(f).st_mtime_ns == before[f] for f in large)
+    key = ["id", "k", "j", "v"]
+    assert spark.read.parquet(at).select(key).exceptAll(rows_.select(key)).count() == 0
+    assert spark.read.parquet(at).count() == 60_000
+    assert sinks.compact(spark, [at], 1_000_000) == {at: "compacted"} and files() == after
+
+
+def test_bins():
+    assert sinks.packed([("a", 60), ("b", 30), ("c", 25), ("d", 40), ("e", 49)], 100) == [["e", "d"], ["b", "c"]]
+    assert sinks.packed([("a", 10)], 100) == [] == sinks.packed([], 100)
+
+
+def test_headers_of_very_many_files(spark, tmp_path):
+    for k in range(300):
+        with open(f"{tmp_path}/f{k} +%.csv", "w", newline="") as out:
+            out.write(("\ufeff" if k % 2 else "") + f"a,\"b {k % 3}\"\r\n" + "1,2\r\n" * 5)
+    open(f"{tmp_path}/empty.csv", "w").close()
+    found = ranged.headers(spark, readers.discover(spark, f"{tmp_path}/*.csv"))
+    assert len(found) == 301 and sorted(set(found.values())) == [(), *[("a", f"b {k}") for k in range(3)]]
+    assert ranged.headers(spark, []) == {}
+
+
+def test_archives_are_read_by_members(spark, tmp_path):
+    doc = "<c>é " + "x" * 200_000 + "</c>"
+    for name, method in (("one", zipfile.ZIP_DEFLATED), ("two", zipfile.ZIP_STORED)):
+        with zipfile.ZipFile(f"{tmp_path}/{name}.zip", "w", method) as z:
+            for k in range(70):
+                z.writestr(f"deep/m{k}.GML", doc + str(k))
+            z.writestr("readme.txt", "no")
+    pattern = f"{tmp_path}/*.zip"
+    sizes = readers.archive_members(spark, pattern, text=False)
+    assert sizes.where("text IS NULL").count() == 140 and sizes.agg({"size": "min"}).first()[0] == len(doc.encode()) + 1
+    got = {(r.archive, r.member): r.text for r in readers.archive_members(spark, pattern).collect()}
+    assert got == {(a, f"{a}_m{k}.GML"): doc + str(k) for a in ("one", "two") for k in range(70)}
+    assert readers.archive_members(spark, f"{tmp_path}/none*.zip").count() == 0
+
+
+def test_rows_that_a_task_stages_again_count_once(spark):
+    """A staging table with a task's rows twice, and with a part of another's: each part is left once."""
+    url, jvm = "jdbc:derby:memory:again;create=true", spark.sparkContext._jvm
+    rows_ = spark.range(100).selectExpr("id AS ID").repartition(4)
+    for frame in (rows_, rows_.where("ID % 2 = 0"), rows_):
+        sinks._with_attempt(frame).write.option("createTableColumnTypes", f"{sinks.TOKEN} VARCHAR(36)").jdbc(url, "STAGED", mode="append")
+    link = jvm.java.sql.DriverManager.getConnection(url)
+    sinks._drop_repeats(link, "STAGED", f'"{sinks.PART}"', f'"{sinks.TOKEN}"')
+    link.close()
+    left = spark.read.jdbc(url, "STAGED")
+    assert left.count() == 100 == left.select("ID").distinct().count()
+
+
 def test_features_of_documents_keep_their_own_names(spark, tmp_path):
     doc = """<?xml version="1.0"?><w:c xmlns:w="u" xmlns:g="v"><w:member><g:id k:l="1">5</g:id><note>a:b &amp; c</note></w:member>
 <w:member><g:id>6</g:id></w:member></w:c>"""

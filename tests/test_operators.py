@@ -89,6 +89,30 @@ def test_backfill(spark):
     ]
 
 
+def test_typed_members_of_json(spark):
+    docs = ['{"a":1,"b":{"c":[1,2],"d e":"x"},"VOID":true}', '{"a":2.5,"m":1,"n":null,"VOID":false}', '{"m":"t","b":{"c":[3]}}', None, "no json"]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "id long, json string")
+    out = nested.flatten_typed(df)
+    kinds = dict(out.dtypes)
+    assert kinds["m"] == kinds["n"] == "string" and kinds["VOID"] == "boolean" and kinds["a"].startswith("decimal")
+    assert kinds["b"] == "struct<c:array<bigint>,d e:string>"
+    got = {r.id: r for r in out.collect()}
+    assert float(got[1].a) == 2.5 and got[0].b.c == [1, 2] and got[0].b["d e"] == "x" and got[2].m == "t" and got[1].m == "1"
+    assert got[3].a is None and got[4].b is None and len(got) == 5
+    with pytest.raises(ValueError):
+        nested.flatten_typed(df, most=2)
+    with pytest.raises(ValueError):
+        nested.flatten_json(df, most=2)
+    assert nested.flatten_typed(df.limit(0)).columns == ["id"]
+
+
+def test_sketches_merge(spark):
+    df = spark.range(200_000).selectExpr("id % 50000 AS v", "id % 4 AS g", "id % 7 AS p")
+    sketches = stats.distinct_sketches(df, ["g", "p"], "v")
+    (n,) = stats.distinct_from(sketches, []).first()
+    assert abs(n - 50_000) < 1000 and all(abs(r.distinct_values - 12_500) < 300 for r in stats.distinct_from(sketches, ["g"]).collect())
+
+
 def test_ranges_of_any_width(spark):
     r, top = random.Random(2), (1 << 63) - 1
     ranges = [(0, -top - 1, top), (1, 5, 4), (2, 7, 7), (3, None, 9), (4, top, top), (5, -3, 1 << 62), (6, -top - 1, -top - 1), (7, 0, 1)]
