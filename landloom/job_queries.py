@@ -202,6 +202,29 @@ def jdbc_subdivided(spark, sf_dir):
     return spark.read.jdbc(url, name).groupBy("C_CUSTKEY").agg(F.count("*").cast("int").alias("FRAGMENTS"))
 
 
+@query("""SELECT o_orderkey AS "O_ORDERKEY", o_orderstatus AS "O_ORDERSTATUS" FROM orders""")
+def jdbc_sized(spark, sf_dir):
+    """A relational copy in as many tasks and batches as its number of rows asks for."""
+    url, name = Q.database(spark), f"SIZED{uuid.uuid4().hex[:8]}".upper()
+    rows = t(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("O_ORDERKEY"), F.col("o_orderstatus").alias("O_ORDERSTATUS")
+    )
+    types = "O_ORDERSTATUS VARCHAR(4)"
+    rows.limit(0).write.option("createTableColumnTypes", types).jdbc(url, name)
+    sinks.jdbc_swap(rows, url, name, checked=True, rows=rows.count(), types=types)
+    return spark.read.jdbc(url, name)
+
+
+@query("""SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment || ', "quoted"' END AS note FROM customer""")
+def published_csv(spark, sf_dir):
+    """Delimited text in one file, written in parts."""
+    at = Q.folder(spark)
+    note = F.when(F.col("c_custkey") % 3 > 0, F.concat("c_mktsegment", F.lit(', "quoted"')))
+    rows = t(spark, sf_dir, "customer").select("c_custkey", "c_name", note.alias("note"))
+    sinks.publish_file(rows, f"{at}/out.csv", 10**6 * 3)
+    return spark.read.csv(f"{at}/out.csv", header=True, schema="c_custkey long, c_name string, note string")
+
+
 @query("""SELECT o_orderkey AS "O_ORDERKEY", o_orderstatus AS "O_ORDERSTATUS" FROM orders""")
 def jdbc_table(spark, sf_dir):
     """A whole relational table replaced by another one, with its columns in the target's order."""
@@ -647,6 +670,19 @@ def quality_job_organisations(spark, sf_dir):
     return _quality_job(spark, sf_dir)["organisation_quality"]
 
 
+@query(f"""WITH {Q.PROVISION}, live AS (SELECT * FROM pq WHERE {LIVE} AND quality IS NOT NULL), o AS (SELECT organisation, lower(min(organisation_name)) AS name FROM live GROUP BY organisation)
+SELECT row_number() OVER (ORDER BY name NULLS FIRST) AS position, coalesce(name, '') AS name FROM o""")
+def published_order(spark, sf_dir):
+    """The report on organisations as published: its lines are in the order of their names."""
+    at = Q.folder(spark)
+    sinks.single_file(_quality_job(spark, sf_dir)["organisation_quality"].select("organisation_name"), f"{at}/out.csv")
+    lines = spark.read.option("wholetext", "true").text(f"{at}/out.csv").select(
+        F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("position", "line")
+    )
+    plain = F.regexp_replace("line", '^"|"$', "")
+    return lines.where("position > 0").select(F.col("position").cast("long").alias("position"), F.lower(plain).alias("name"))
+
+
 @query(
     """SELECT p_partkey AS old_entity, 301 AS status, p_partkey + 1 AS entity, p_brand AS collection, 'd' || (p_partkey // 50) AS dataset FROM part WHERE p_partkey % 50 < 49 AND 'Brand#' || (p_partkey // 50 % 5 + 1) = left(p_brand, 7)"""
 )

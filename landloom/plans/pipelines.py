@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +30,16 @@ def load_entities(
     eav = C.snake_case(readers.parquet(spark, transformed))
     if withdrawn is not None:
         eav = joins.drop_withdrawn(eav, withdrawn)
-    seen = Observation()
+    seen, beside = Observation(), f"{output.rstrip('/')}/_history-{uuid.uuid4().hex}"
     eav = eav.observe(seen, F.count("*").alias("rows"), F.count_if(C.is_blank("resource")).alias("without_resource"))
-    eav = joins.drop_blank(eav, "resource")
+    # three tables are made of it: read and joined once
+    joins.drop_blank(eav, "resource").write.parquet(beside)
+    eav = spark.read.parquet(beside)
     sinks.replace_partition(history.transform_fact_resource(eav, dataset, loaded), f"{output}/fact_resource", dataset)
     sinks.replace_partition(history.transform_fact(eav, dataset, loaded), f"{output}/fact", dataset)
     entity = history.transform_entity(eav, dataset, organisation, typology, loaded=loaded)
     sinks.replace_partition(entity, f"{output}/entity", dataset)
+    sinks.remove(spark, beside)
     stored = spark.read.parquet(f"{output}/entity").where(F.col("dataset") == dataset)
     if publish:
         shown = C.kebab_case(stored)

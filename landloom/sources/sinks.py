@@ -30,6 +30,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at, _ = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def listing(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(name, bytes) of what lies directly in a folder, bytes summed over sub-folders."""
     fs, at, _ = _fs(spark, path)
