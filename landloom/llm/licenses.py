@@ -176,3 +176,21 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", *[x.split()[0] for x in FIELDS.split(", ")])
+
+
+BASE_FIELDS = ["n_words", "n_base", "first_word", "last_word", "base_labels"]
+
+
+def licenses_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5 has of the fixed phrases."""
+    return op5(spark, sf_dir).select("doc_id", *BASE_FIELDS)
+
+
+BASE_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT unnest(['under the mit license', 'apache license version 2', 'cc by nc']) AS phrase, unnest(['mit', 'apache-2', 'cc-by-nc']) AS label),
+places AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos, w FROM w),
+f AS (SELECT doc_id, pos, label FROM places JOIN p ON word = split_part(phrase, ' ', 1) AND array_to_string(w[pos + 1:pos + len(string_split(phrase, ' '))], ' ') = phrase),
+g AS (SELECT doc_id, count(*) AS n, min(pos) AS a, max(pos) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM f GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, b::BIGINT AS last_word, coalesce(labels, '') AS base_labels FROM w LEFT JOIN g USING (doc_id)
+"""

@@ -1,5 +1,5 @@
 """The corpus operators as registered queries: name -> function of (spark, sf_dir), and the SQL of those that SQL can
-express."""
+express. secrets_base and licenses_base are the columns of op2 and op5 that SQL can check."""
 
 from __future__ import annotations
 
@@ -21,6 +21,8 @@ QUERIES = {
     "op11_search": search.op11,
     "op12_packing": packing.op12,
     "op13_alignment": alignment.op13,
+    "secrets_base": secrets.secrets_base,
+    "licenses_base": licenses.licenses_base,
 }
 
 ORACLE_SQL = {
@@ -31,4 +33,6 @@ ORACLE_SQL = {
     "op8_minhash_dedup": minhash.SQL,
     "op9_substring_dedup": substrings.SQL,
     "op11_search": search.SQL,
+    "secrets_base": secrets.BASE_SQL,
+    "licenses_base": licenses.BASE_SQL,
 }

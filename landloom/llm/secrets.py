@@ -398,3 +398,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
         joined("spans").alias("spans"),
     )
+
+
+def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op2 counts of the fixed patterns."""
+    return op2(spark, sf_dir).select("doc_id", *[f"n_{k}" for k in KINDS])
+
+
+BASE_SQL = r"""
+SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1), lambda x: len(x) >= 6))::BIGINT AS n_assign,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: len(x) >= 20))::BIGINT AS n_access,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: len(x) >= 24))::BIGINT AS n_hex
+FROM documents
+"""
