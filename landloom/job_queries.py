@@ -676,8 +676,8 @@ def published_order(spark, sf_dir):
     """The report on organisations as published: its lines are in the order of their names."""
     at = Q.folder(spark)
     sinks.single_file(_quality_job(spark, sf_dir)["organisation_quality"].select("organisation_name"), f"{at}/out.csv")
-    lines = spark.read.option("wholetext", "true").text(f"{at}/out.csv").select(
-        F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("position", "line")
+    lines = spark.read.text(f"{at}/out.csv", wholetext=True).select(
+        F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("position", "line")
     )
     plain = F.regexp_replace("line", '^"|"$', "")
     return lines.where("position > 0").select(F.col("position").cast("long").alias("position"), F.lower(plain).alias("name"))
