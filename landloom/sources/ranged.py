@@ -49,19 +49,52 @@ def first_line(path: str) -> str:
     return held.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace").lstrip("﻿")
 
 
+def known(path: str) -> bool:
+    """Whether Arrow has a file system for the path."""
+    try:
+        located(path)
+        return True
+    except (pa.ArrowInvalid, OSError):
+        return False
+
+
+def _first_line_by_hadoop(spark: SparkSession, path: str) -> str:
+    """first_line() on the driver, for stores that only Spark's own readers open."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.getFileStatus(at).isDirectory():
+        own = [s.getPath() for s in store.listStatus(at) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+        if not own:
+            return ""
+        at = min(own, key=str)
+    stream = store.open(at)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return (line or "").lstrip("\ufeff")
+
+
+def _names(line: str) -> list[str]:
+    return [x.strip() for x in next(delimited.reader([line]), [])]
+
+
 def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """The column names of delimited files by path; nothing but first lines is read, by tasks."""
+    """The column names of delimited files by path; nothing but first lines is read, by tasks. Where Arrow has no file
+    system for their store, the driver reads them one after another."""
 
     def run(batches):
         for batch in batches:
-            lines = [first_line(p) for p in batch.column("path").to_pylist()]
-            names = [[x.strip() for x in next(delimited.reader([line]), [])] for line in lines]
+            names = [_names(first_line(p)) for p in batch.column("path").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("path"), pa.array(names, pa.list_(pa.string()))], ["path", "names"]
             )
 
     if not paths:
         return {}
+    if not known(paths[0]):
+        return {p: tuple(_names(_first_line_by_hadoop(spark, p))) for p in paths}
     found = _dealt(spark, paths).mapInArrow(run, "path string, names array<string>").collect()
     return {r.path: tuple(r.names) for r in found}
 

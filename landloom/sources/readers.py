@@ -139,8 +139,12 @@ def features_of(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def archive_members(spark: SparkSession, pattern: str, suffix: str = ".gml", text: bool = True) -> DataFrame:
     """(archive, member, size, text) of the members of zip archives that match a pattern, of any size. Without text only
-    the archives' directories are read."""
-    entries = ranged.archive_entries(spark, discover(spark, pattern), suffix)
+    the archives' directories are read. Archives in a store for which Arrow has no file system are read whole, and may
+    have 2 GB at most."""
+    paths = discover(spark, pattern)
+    if paths and not ranged.known(paths[0]):
+        return members_of(spark.read.format("binaryFile").load(pattern), suffix, text)
+    entries = ranged.archive_entries(spark, paths, suffix)
     if text:
         return ranged.member_texts(entries)
     return entries.select("archive", "member", "size", F.lit(None).cast("string").alias("text"))

@@ -190,6 +190,9 @@ def test_headers_of_very_many_files(spark, tmp_path):
             out.write(("\ufeff" if k % 2 else "") + f"a,\"b {k % 3}\"\r\n" + "1,2\r\n" * 5)
     open(f"{tmp_path}/empty.csv", "w").close()
     found = ranged.headers(spark, readers.discover(spark, f"{tmp_path}/*.csv"))
+    some = f"{tmp_path}/f1 +%.csv"
+    assert ranged._names(ranged._first_line_by_hadoop(spark, some)) == ["a", "b 1"] == list(found[f"file:{some}"])
+    assert ranged._first_line_by_hadoop(spark, f"{tmp_path}/empty.csv") == "" and not ranged.known("viewfs://store/x")
     assert len(found) == 301 and sorted(set(found.values())) == [(), *[("a", f"b {k}") for k in range(3)]]
     assert ranged.headers(spark, []) == {}
 
