@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landloom.llm.common import LOWER, blocks, mixed, save, table, utf8, word_bounds
-from landloom.llm.pieces import Store, distinct, ragged, read
+from landloom.llm.pieces import Store, distinct, places, read
 
 WINDOW, SHARD, TOKENS = 4096, 1024, 1 << 21
 #: Pieces of which a Python worker remembers the tokens.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 21
 K1, B = 1.2, 0.75
 
 
@@ -119,23 +119,31 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray]):
         sizes = np.array([len(d) for d in docs])
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        pairs, tf = np.unique(owner.astype(np.uint64) << np.uint64(32) | np.concatenate(docs), return_counts=True)
-        self.doc = (pairs >> np.uint64(32)).astype(np.int64)
-        _, self.term = np.unique(pairs & np.uint64(0xFFFFFFFF), return_inverse=True)
+        ids = np.concatenate(docs)
+        # a document and an id as one number, of 32 bits where they fit
+        bits = int(ids.max()).bit_length()
+        kind = np.uint32 if bits + len(docs).bit_length() <= 32 else np.uint64
+        pairs = np.repeat(np.arange(len(docs), dtype=kind), sizes) << kind(bits) | ids.astype(kind)
+        pairs.sort()
+        one = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+        tf, pairs = np.diff(np.append(one, len(pairs))), pairs[one]
+        self.doc = (pairs >> kind(bits)).astype(np.int64)
+        ids = (pairs & kind((1 << bits) - 1)).astype(np.int64)
+        df = np.bincount(ids)
+        number = np.cumsum(df > 0) - 1
+        self.term, df = number[ids], df[df > 0]
         self.of = np.searchsorted(self.doc, np.arange(len(docs) + 1))
-        df = np.bincount(self.term)
         idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
         long = K1 * (1 - B + B * sizes / sizes.mean())
         gain = idf[self.term] * tf * (K1 + 1) / (tf + long[self.doc])
-        by = np.argsort(self.term, kind="stable")
+        by = np.argsort(self.term.astype(np.uint16) if len(df) <= 1 << 16 else self.term, kind="stable")
         self.edges = np.concatenate([[0], np.cumsum(df)])
         self.held, self.gain = self.doc[by], gain[by]
 
     def scores(self, doc: int) -> np.ndarray:
         """How well each document answers a query of all distinct tokens of doc."""
         terms = self.term[self.of[doc] : self.of[doc + 1]]
-        at, _ = ragged(np.arange(len(self.held)), self.edges, terms)
+        at, _ = places(self.edges, terms)
         return np.bincount(self.held[at], self.gain[at], len(self.of) - 1)
 
 

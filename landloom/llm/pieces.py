@@ -9,11 +9,18 @@ import numpy as np
 from landloom.llm.common import BYTE_VALUES, prefixes, spans
 
 
-def ragged(values: np.ndarray, edges: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of rows one after another, and how many each has; row i's are values[edges[i]:edges[i + 1]]."""
+def places(edges: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values of rows stand, one row after another, and how many each has; row i's are those from edges[i] to
+    edges[i + 1]."""
     sizes = edges[rows + 1] - edges[rows]
     ends = np.cumsum(sizes)
-    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(edges[rows] - ends + sizes, sizes)], sizes
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(edges[rows] - ends + sizes, sizes), sizes
+
+
+def ragged(values: np.ndarray, edges: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of rows one after another, and how many each has; row i's are values[edges[i]:edges[i + 1]]."""
+    at, sizes = places(edges, rows)
+    return values[at], sizes
 
 
 class Growing:
