@@ -14,6 +14,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MEMBERS = "archive string, member string, size long, text string"
 ENTRIES = "path string, archive string, member string, size long, packed long, at long, method int"
 #: Bytes of text after which a task passes members on, and the first read of a header.
 BATCH, FIRST = 8 << 20, 1 << 14
@@ -142,6 +143,14 @@ def read_member(file, at: int, packed: int, method: int) -> bytes:
     return zlib.decompress(data, -15) if method == zipfile.ZIP_DEFLATED else data
 
 
+def member_batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of MEMBERS."""
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["archive", "member", "size", "text"]
+    )
+
+
 def member_texts(entries: DataFrame) -> DataFrame:
     """(archive, member, size, text) of archive_entries(): a task reads a stretch of an archive's members, one at a
     time, so archives may be larger than its memory."""
@@ -149,13 +158,6 @@ def member_texts(entries: DataFrame) -> DataFrame:
     def run(batches):
         open_, held, size = (None, None), [], 0
 
-        def out():
-            columns = zip(*held, strict=True)
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["archive", "member", "size", "text"]
-            )
-
         try:
             for batch in batches:
                 for r in batch.to_pylist():
@@ -168,13 +170,13 @@ def member_texts(entries: DataFrame) -> DataFrame:
                     held.append((r["archive"], r["member"], r["size"], text))
                     size += len(text)
                     if size > BATCH:
-                        yield out()
+                        yield member_batch(held)
                         held, size = [], 0
             if held:
-                yield out()
+                yield member_batch(held)
         finally:
             if open_[1]:
                 open_[1].close()
 
     dealt = entries.repartitionByRange("path", "at").sortWithinPartitions("path", "at")
-    return dealt.mapInArrow(run, "archive string, member string, size long, text string")
+    return dealt.mapInArrow(run, MEMBERS)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import io
 import zipfile
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -151,23 +150,24 @@ def archive_members(spark: SparkSession, pattern: str, suffix: str = ".gml", tex
 
 
 def members_of(archives: DataFrame, suffix: str = ".gml", text: bool = True) -> DataFrame:
-    """(archive, member, size, text) of the members of zip archives(path, content); executors unzip, a member at a time.
-    text: also their contents."""
-
-    def run(frames):
-        for pdf in frames:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                name = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
+    """(archive, member, size, text) of the members of zip archives(path, content); executors unzip, a member at a time,
+    and hand on several together. text: also their contents."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                name = path.as_py().rsplit("/", 1)[-1].rsplit(".", 1)[0]
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
                     for m in z.infolist():
                         if m.filename.lower().endswith(suffix):
-                            yield pd.DataFrame(
-                                {
-                                    "archive": [name],
-                                    "member": [f"{name}_{m.filename.rsplit('/', 1)[-1]}"],
-                                    "size": [m.file_size],
-                                    "text": [z.read(m).decode("utf-8", "replace") if text else None],
-                                }
-                            )
-
-    return archives.select("path", "content").mapInPandas(run, "archive string, member string, size long, text string")
+                            own = z.read(m).decode("utf-8", "replace") if text else None
+                            held.append((name, f"{name}_{m.filename.rsplit('/', 1)[-1]}", m.file_size, own))
+                            size += 200 + len(own or "")
+                            if size > ranged.BATCH:
+                                yield ranged.member_batch(held)
+                                held, size = [], 0
+        if held:
+            yield ranged.member_batch(held)
+
+    return archives.select("path", "content").mapInArrow(run, ranged.MEMBERS)

@@ -1,8 +1,10 @@
 """Sources, sinks and whole jobs on a local folder."""
 
+import io
 import os
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -362,3 +364,22 @@ def test_cadastral_study(spark, tmp_path):
     assert rows(volume, "archive", "members", "bytes") == [("leeds", 1, len(doc)), ("york", 1, len(doc))]
     assert rows(counts) == [("leeds", 3), ("york", 3)]
     assert rows(spark.read.parquet(f"{tmp_path}/work/features"), "LABEL", "TAG", "P_gid")[0] == ("L0", "b", "0")
+
+
+def test_members_of_an_archive_are_handed_on_together():
+    """Members share batches: one for each made a task of a thousand members take seconds."""
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for k in range(500):
+            z.writestr(f"{k}.gml", f"<a>{k}</a>")
+
+    class Archives:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            return run
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x/a.zip"]), pa.array([held.getvalue()])], ["path", "content"])
+    (out,) = readers.members_of(Archives())([batch])
+    assert out.num_rows == 500 and out.to_pylist()[7] == {"archive": "a", "member": "a_7.gml", "size": 8, "text": "<a>7</a>"}
