@@ -69,6 +69,43 @@ def range_join(df: DataFrame, ranges: DataFrame, key: str, low: str, high: str)
     return joined.drop("_level", "_block")
 
 
+def range_stats(df: DataFrame, ranges: DataFrame, key: str, low: str, high: str, span: int = 1 << 62) -> DataFrame:
+    """The ranges that hold keys, with n (rows whose key is in the range), first and total (least key, and their sum); for
+    whole numbers, and keys less than span apart.
+
+    What range_join() would list is counted without listing it: each distinct key is added up in its aligned block of
+    2^l numbers at each level l, and a range, cut to the keys there are, is the sum of two blocks a level at most. So the
+    work grows with keys and ranges, not with the pairs of them."""
+    keys = df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("_key")).agg(F.count("*").alias("n"))
+    least, most = df.agg(F.min(key).cast("bigint"), F.max(key).cast("bigint")).first()
+    own = ranges.where(F.col(low) <= F.col(high)).groupBy(*ranges.columns).agg(F.count("*").alias("_times"))  # ranges that are alike are counted once
+    if least is None:
+        least = most = 0
+    if most - least >= span:
+        raise ValueError(f"keys from {least} to {most} are too far apart")
+    levels = (most - least).bit_length() + 1
+    at = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(F.col("_key") - least, k).alias("block")) for k in range(levels)])
+    blocks = keys.select("_key", "n", (F.col("_key") * F.col("n")).alias("_sum"), F.explode(at).alias("_at")).groupBy("_at").agg(
+        F.sum("n").alias("n"), F.min("_key").alias("first"), F.sum("_sum").alias("total")
+    )
+    a = F.greatest(F.ceil(low).cast("bigint"), F.lit(least)) - least
+    b = F.least(F.floor(high).cast("bigint"), F.lit(most)) - least + 1  # the first number beyond
+    sides = []
+    for k in range(levels):
+        left, right = F.shiftright(F.col("_a") + ((1 << k) - 1), k), F.shiftright("_b", k)
+        block = lambda v: F.struct(F.lit(k).alias("level"), v.alias("block"))  # noqa: B023, E731
+        sides.append(F.when((left < right) & (left % 2 == 1), block(left)))
+        sides.append(F.when((left < right) & (right % 2 == 1), block(right - 1)))
+    found = own.select("*", a.alias("_a"), b.alias("_b")).where("_a < _b").select(
+        *own.columns, F.explode(F.array_compact(F.array(*sides))).alias("_at")
+    )
+    sums = found.join(blocks, "_at").groupBy(*own.columns).agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("total").alias("total")
+    )
+    again = F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))
+    return sums.withColumn("_again", again).drop("_again", "_times")
+
+
 def transform_old_entity(old: DataFrame, spec: DataFrame, loaded=None) -> DataFrame:
     """Redirects of the dataset in whose range the old entity lies: its collection must be the dataset's, and the
     target, if there is one, must lie in the same range."""

@@ -129,6 +129,36 @@ def test_ranges_of_any_width(spark):
     assert joins.range_join(found.select("k"), found.limit(0).select("low", "high"), "k", "low", "high").count() == 0
 
 
+def test_range_stats_equal_the_listed_pairs(spark):
+    r = random.Random(4)
+    keys = [r.randint(-300, 900) for _ in range(700)] + [None]
+    ranges = [(k, a, a + r.choice([-1, 0, 1, 7, 64, 500, 10**12])) for k, a in enumerate(r.randint(-500, 1000) for _ in range(120))]
+    ranges += [ranges[3], (500, None, 4), (501, -(10**15), 10**15)]
+    found = joins.range_stats(
+        spark.createDataFrame([(k,) for k in keys], "k long"),
+        spark.createDataFrame(ranges, "id long, low long, high long"), "k", "low", "high",
+    )
+    own = [(i, [k for k in keys if k is not None and a <= k <= b]) for i, a, b in ranges if a is not None]
+    assert sorted((x.id, x.n, x.first, x.total) for x in found.collect()) == sorted((i, len(v), min(v), sum(v)) for i, v in own if v)
+    assert not joins.range_stats(found.select("low").limit(0), found.select("id", "high", "low"), "low", "low", "high").count()
+
+
+def test_seeders_with_doubled_rows(spark):
+    """Entities of several owners and rows that come twice count once; a null owner is none."""
+    owned = spark.createDataFrame(
+        [("d", 1, "a", "some"), ("d", 1, "b", "some"), ("d", 1, "a", "some"), ("d", 2, "a", "some"), ("d", 3, None, "some"), ("d", None, "c", "some"), ("d", 4, "a", "x")],
+        "dataset string, entity long, organisation string, quality string",
+    )
+    pairs = [(1, "local-authority:p"), (1, "local-authority:p"), (2, "local-authority:q"), (2, "g"), (2, "g"), (1, "g"), (3, "h"), (2, "a"), (2, "off"), (4, "z"), (2, "named")]
+    lookup = spark.createDataFrame(pairs, "entity long, organisation string")
+    now = lookup.where("organisation != 'off'").select("organisation").distinct()
+    named = spark.createDataFrame([("d", "named")], "dataset string, organisation string")
+    out = quality.seeder_side(owned, lookup, named, now)
+    assert sorted((r.organisation, r.seeder_entity_count) for r in out.collect()) == [("g", 2), ("local-authority:p", 1)]
+    text = out._jdf.queryExecution().toString()
+    assert "Expand" not in text  # rows are not doubled for two kinds of distinct counts
+
+
 def test_old_entity(spark):
     spec = spark.createDataFrame(
         [("a", "c1", 4000, 4999), ("b", "c2", 11000, 11999)],
