@@ -40,19 +40,24 @@ def seeder_side(
     """Active organisations that seeded entities of quality some in a dataset where they own none and are not
     designated.
 
-    Local authorities count only if they seeded for more than one owner."""
-    some = owned.where(F.col("quality") == "some").select("dataset", "entity", F.col("organisation").alias("owner"))
-    now = lookup.select("entity", "organisation").join(
-        active_organisations.select("organisation"), "organisation", "left_semi"
+    Local authorities count only if they seeded for more than one owner. owners is exact up to 1 and at least 2 beyond."""
+    some = owned.where((F.col("quality") == "some") & F.col("entity").isNotNull()).select(
+        "dataset", "entity", F.col("organisation").alias("owner")
     )
-    seeded = some.join(now, "entity")
+    # one row per entity and one per (entity, organisation), dealt alike: joined rows are counted, not told apart again
+    each = some.repartition("entity").groupBy("dataset", "entity").agg(
+        F.min("owner").alias("owner"), F.coalesce(F.min("owner") < F.max("owner"), F.lit(False)).alias("_several")
+    )
+    now = lookup.where(F.col("entity").isNotNull()).select("entity", "organisation").repartition("entity").distinct()
+    by = each.join(now, "entity").groupBy(*KEY).agg(
+        (F.countDistinct("owner") + F.max(F.col("_several").cast("int"))).alias("owners"),
+        F.count("*").alias("seeder_entity_count"),
+    )
+    by = by.join(active_organisations.select("organisation"), "organisation", "left_semi")
     for others in (
         some.select("dataset", F.col("owner").alias("organisation")).distinct(), designated.select(*KEY).distinct()
     ):
-        seeded = seeded.join(others, KEY, "left_anti")
-    by = seeded.groupBy(*KEY).agg(
-        F.countDistinct("owner").alias("owners"), F.countDistinct("entity").alias("seeder_entity_count")
-    )
+        by = by.join(others, KEY, "left_anti")
     local = F.lit(False)
     for prefix in LOCAL_AUTHORITIES:
         local = local | F.col("organisation").startswith(prefix)

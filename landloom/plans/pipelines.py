@@ -159,7 +159,7 @@ def provision_quality(
         active_providers(source, resource),
         people,
         designated,
-        lookup.where(~C.is_blank("organisation")).distinct(),
+        lookup.where(~C.is_blank("organisation")),
         readers.entity_quality(spark, entity_files),
     )
     pq = quality.drop_blank_organisations(pq.join(quality.live_datasets(datasets, environment), "dataset", "left_semi"))
