@@ -74,17 +74,22 @@ def csv_by_name(
 
 def _named(part):
     """A part of a path as it is on disk: _metadata.file_path is a URI."""
-    return F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(part, F.lit("%")), decoded).otherwise(part)
+
+
+# Both are worked out for each row, so that patterns see the end of a path alone, and from its start: searched for in
+# whole paths they take time in the square of their length.
 
 
 def stem(path):
     """The name of a file without folder and extension."""
-    return _named(F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1))
+    return _named(F.regexp_extract(F.substring_index(path, "/", -1), r"^([^/]+?)(?:\.[^./]*)?$", 1))
 
 
 def folder(path, up: int = 1):
     """The name of the folder a file is in, or of one further up."""
-    return _named(F.regexp_extract(path, r"([^/]+)(?:/[^/]+){%d}$" % up, 1))
+    return _named(F.regexp_extract(F.substring_index(path, "/", -1 - up), r"^([^/]+)(?:/[^/]+){%d}$" % up, 1))
 
 
 def entity_quality(spark: SparkSession, files: list[str]) -> DataFrame:

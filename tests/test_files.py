@@ -2,6 +2,7 @@
 
 import io
 import os
+import time
 import zipfile
 
 import pyarrow as pa
@@ -44,6 +45,20 @@ def test_tagged_by_folder(spark, tmp_path):
     assert rows(got) == [("1", "301", "-", "x"), ("2", "-", "n", "y")]
 
 
+def test_tags_of_long_paths(spark):
+    """Each row's tag is read off the end of its path: found by search, the last of these took far longer."""
+    paths = ["/a/b.x/c", "/a/.hid", "/a/b.", "/a/", "c.tar.gz", "", "/p/a%20b/c%2Bd+%41.csv", f"/{'a' * 50_000}/b/x.csv"]
+    start = time.monotonic()
+    got = spark.createDataFrame([(k, p) for k, p in enumerate(paths)], "k int, p string").select(
+        "k", readers.stem("p").alias("stem"), readers.folder("p").alias("folder")
+    )
+    assert rows(got) == [
+        (0, "c", "b.x"), (1, ".hid", "a"), (2, "b", "a"), (3, "", ""), (4, "c.tar", ""), (5, "", ""),
+        (6, "c+d+A", "a b"), (7, "x", "b"),
+    ]
+    assert time.monotonic() - start < 15
+
+
 def test_partition_replacement(spark, tmp_path):
     at = f"{tmp_path}/t"
     df = spark.createDataFrame([("ds-a", 1), ("ds-b", 2)], "dataset string, value long")
